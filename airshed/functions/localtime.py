@@ -6,16 +6,11 @@ offset; no session time zone is involved, and the same expression runs in any SQ
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import LOCAL_OFFSET_MINUTES
 
-EPOCH_NTZ = _dt.datetime(1970, 1, 1)
-
-
 def local_ts(ts_utc: Column, offset_minutes: int = LOCAL_OFFSET_MINUTES) -> Column:
     return ts_utc + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(offset_minutes))
 
@@ -34,8 +29,9 @@ def local_day_start_utc(day: Column, offset_minutes: int = LOCAL_OFFSET_MINUTES)
 
 
 def epoch_seconds(ts_ntz: Column) -> Column:
-    """Seconds since 1970-01-01 of an NTZ timestamp (no time zone applied)."""
-    return F.timestamp_diff("SECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts_ntz)
+    """Seconds since 1970-01-01 of an NTZ timestamp, read as UTC wall clock (no session zone,
+    so no daylight-saving jumps inside a range frame)."""
+    return F.unix_timestamp(ts_ntz)
 
 
 def to_utc_ntz(ts_ltz: Column) -> Column:

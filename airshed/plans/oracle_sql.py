@@ -1,26 +1,36 @@
 """SQL text of the registered queries for the DuckDB check (driver tables pre-registered as views).
 
-Built from the same fixed tables as the Spark expressions; written in plain SQL with the
-reference semantics (e.g. the 8-hour mean as a per-site RANGE window), not in the halo form.
+Built from the same fixed tables as the Spark expressions, but written in the plain form of
+each rule (e.g. the 8-hour mean as one RANGE window per site, the merge as one full outer
+join per batch), not in the distributed forms the Spark operators use.
 """
 
 from __future__ import annotations
 
+from ..config import FRESHNESS_HOURS, MAX_PLAUSIBLE, POLLUTANT_LABELS
 from ..functions import aqi
 from ..functions.breakpoints import DAILY_MEAN_POLLUTANTS, MIN_HOURS_FOR_SUBINDEX, POLLUTANT_ORDER
-from ..functions.numeric import round_half_up_sql
+from ..functions.numeric import round_half_up_sql as rnd
 from ..sources.testdata import DIM_CITY_SQL, TIEBREAK_COLS, readings_sql
+from . import params as P
 
 VALUES = ["pm2_5", "pm10", "no2", "so2", "o3"]
-SILVER_COLS_SQL = ("city_id, ts_utc, obs_date_ist, obs_hour_ist, pm2_5, pm10, no2, so2, o3, co_mg_m3, "
-                   "grid_latitude, grid_longitude, run_id, ingested_at")
+VALUE_COLS = ["pm2_5", "pm10", "no2", "so2", "o3", "co_mg_m3"]
+SILVER_OUT = ["city_id", "ts_utc", "obs_date_ist", "obs_hour_ist", *VALUE_COLS, "grid_latitude", "grid_longitude",
+              "run_id", "ingested_at"]
+SILVER_SEL = ", ".join(SILVER_OUT)
+COLUMN_OF = {"pm2_5": "pm2_5", "pm10": "pm10", "no2": "no2", "so2": "so2", "o3": "o3", "co": "co_mg_m3"}
+
+
+def _d(day) -> str:
+    return f"DATE '{day.isoformat()}'"
 
 
 def clean_cte(source: str = "readings") -> str:
-    """P5..P9 on the readings view (keeps tie-break columns)."""
+    """P5..P9 (keeps tie-break columns and the line number)."""
     nan = ", ".join(f"CASE WHEN NOT isnan({c}) THEN {c} END AS {c}" for c in VALUES)
     tb = ", ".join(TIEBREAK_COLS)
-    return f"""SELECT city_id, ts_utc, run_id, ingested_at, {tb}, {nan},
+    return f"""SELECT city_id, ts_utc, run_id, ingested_at, {tb}, l_linenumber, {nan},
     CASE WHEN NOT isnan(co) THEN co END / 1000.0::DOUBLE AS co_mg_m3,
     latitude AS grid_latitude, longitude AS grid_longitude,
     CAST(ts_utc + INTERVAL 330 MINUTE AS DATE) AS obs_date_ist,
@@ -34,20 +44,18 @@ def newest_first_sql() -> str:
     return "ingested_at DESC, run_id DESC, " + ", ".join(f"{c} DESC" for c in TIEBREAK_COLS)
 
 
-def dedupe_cte(source: str = "clean") -> str:
-    return f"""SELECT * EXCLUDE (_rank) FROM (
+def dedupe_sql(source: str = "clean", where: str = "TRUE") -> str:
+    return f"""SELECT {SILVER_SEL} FROM (
     SELECT *, row_number() OVER (PARTITION BY city_id, ts_utc ORDER BY {newest_first_sql()}) AS _rank
-    FROM {source}) WHERE _rank = 1"""
+    FROM {source} WHERE {where}) WHERE _rank = 1"""
 
 
-def silver_ctes(early_ingest: bool = False) -> str:
-    """readings -> clean -> silver, as a WITH list (no trailing comma)."""
+def base_ctes(early_ingest: bool = False) -> str:
     return (f"readings AS ({readings_sql(early_ingest=early_ingest, keep_source=True)}),\n"
-            f"clean AS ({clean_cte()}),\n"
-            f"silver AS ({dedupe_cte()})")
+            f"clean AS ({clean_cte()}),\nsilver AS ({dedupe_sql()})")
 
 
-def rolled_cte(source: str = "silver") -> str:
+def rolled_sql(source: str = "silver") -> str:
     frame = "(PARTITION BY city_id ORDER BY ts_utc RANGE BETWEEN INTERVAL 7 HOUR PRECEDING AND CURRENT ROW)"
     return f"""SELECT *,
     CASE WHEN count(o3) OVER {frame} >= 6 THEN avg(o3) OVER {frame} END AS o3_8h,
@@ -55,15 +63,14 @@ def rolled_cte(source: str = "silver") -> str:
   FROM {source}"""
 
 
-def measures_cte(source: str = "rolled") -> str:
+def measures_sql(source: str = "rolled") -> str:
     means = ", ".join(f"avg({p}) AS {p}_24h" for p in DAILY_MEAN_POLLUTANTS)
-    col = {"pm2_5": "pm2_5", "pm10": "pm10", "no2": "no2", "so2": "so2", "o3": "o3", "co": "co_mg_m3"}
-    hours = ", ".join(f"count({col[p]}) AS {p}_hours" for p in POLLUTANT_ORDER)
+    hours = ", ".join(f"count({COLUMN_OF[p]}) AS {p}_hours" for p in POLLUTANT_ORDER)
     return f"""SELECT city_id, obs_date_ist, {means}, max(o3_8h) AS o3_8h_max, max(co_8h) AS co_8h_max, {hours}
   FROM {source} GROUP BY city_id, obs_date_ist"""
 
 
-def scored_select(source: str = "measures") -> str:
+def scored_sql(source: str = "measures") -> str:
     value = {p: f"{p}_24h" for p in DAILY_MEAN_POLLUTANTS}
     value.update({"o3": "o3_8h_max", "co": "co_8h_max"})
     si_defs = ", ".join(
@@ -71,25 +78,285 @@ def scored_select(source: str = "measures") -> str:
         for p in POLLUTANT_ORDER
     )
     si = {p: f"si_{p}" for p in POLLUTANT_ORDER}
-    rounded = ", ".join(f"{round_half_up_sql(f'{p}_24h', 2)} AS {p}_24h" for p in DAILY_MEAN_POLLUTANTS)
+    rounded = ", ".join(f"{rnd(f'{p}_24h', 2)} AS {p}_24h" for p in DAILY_MEAN_POLLUTANTS)
     return f"""SELECT city_id, obs_date_ist, aqi, {aqi.category_sql('aqi')} AS aqi_category,
     {aqi.main_pollutant_sql(si, 'aqi')} AS prominent_pollutant,
     {aqi.pollutants_reported_sql(si)} AS pollutants_reported,
-    {rounded}, {round_half_up_sql('o3_8h_max', 2)} AS o3_8h_max,
-    {round_half_up_sql('co_8h_max', 3)} AS co_8h_max_mg_m3,
+    {rounded}, {rnd('o3_8h_max', 2)} AS o3_8h_max,
+    {rnd('co_8h_max', 3)} AS co_8h_max_mg_m3,
     {', '.join(f'si_{p}' for p in POLLUTANT_ORDER)},
     {', '.join(f'{p}_hours' for p in POLLUTANT_ORDER)}
   FROM (SELECT *, {aqi.overall_index_sql(si)} AS aqi FROM (SELECT *, {si_defs} FROM {source}))"""
 
 
-def gold_ctes(early_ingest: bool = False) -> str:
-    return (silver_ctes(early_ingest) + ",\n"
-            f"rolled AS ({rolled_cte()}),\nmeasures AS ({measures_cte()}),\ngold AS ({scored_select()})")
+def gold_ctes(name: str, silver: str) -> str:
+    """`{name}` = daily index over silver CTE `silver`."""
+    return (f"{name}_rolled AS ({rolled_sql(silver)}),\n{name}_measures AS ({measures_sql(name + '_rolled')}),\n"
+            f"{name} AS ({scored_sql(name + '_measures')})")
+
+
+DIM = f"dim_city AS ({DIM_CITY_SQL})"
+
+
+def merge_sql(target: str, batch: str) -> str:
+    """K4 as one full outer join: merged rows with _action and before-images."""
+    non_key = [c for c in SILVER_OUT if c not in ("city_id", "ts_utc")]
+    changed = " OR ".join(f"t.{c} IS DISTINCT FROM b.{c}" for c in VALUE_COLS)
+    action = f"""CASE WHEN t.city_id IS NULL THEN 'insert' WHEN b.city_id IS NULL THEN 'keep'
+      WHEN b.ingested_at > t.ingested_at AND ({changed}) THEN 'update' ELSE 'unchanged' END"""
+    inner = f"""SELECT t.city_id AS t_city, t.ts_utc AS t_ts, b.city_id AS b_city, b.ts_utc AS b_ts, {action} AS _action,
+      {', '.join(f't.{c} AS t_{c}, b.{c} AS b_{c}' for c in non_key)}
+    FROM {target} t FULL OUTER JOIN {batch} b ON t.city_id = b.city_id AND t.ts_utc = b.ts_utc"""
+    take = "_action IN ('insert', 'update')"
+    cols = ", ".join(f"CASE WHEN {take} THEN b_{c} ELSE t_{c} END AS {c}" for c in non_key)
+    old = ", ".join(f"CASE WHEN _action = 'update' THEN t_{c} END AS _old_{c}" for c in non_key)
+    return f"""SELECT coalesce(t_city, b_city) AS city_id, coalesce(t_ts, b_ts) AS ts_utc, {cols}, _action, {old}
+  FROM ({inner})"""
+
+
+def merge_ctes() -> str:
+    t = f"l_linenumber <= {P.TARGET_LAST_RUN}"
+    b = f"l_linenumber > {P.TARGET_LAST_RUN}"
+    return (base_ctes() + f",\ntarget AS ({dedupe_sql('clean', t)}),\nbatch AS ({dedupe_sql('clean', b)}),\n"
+            f"plan AS ({merge_sql('target', 'batch')}),\nmerged AS (SELECT {SILVER_SEL} FROM plan)")
+
+
+# ------------------------------------------------------------------------------ queries
 
 
 def daily_aqi() -> str:
-    return f"WITH {gold_ctes()}\nSELECT * FROM gold"
+    return f"WITH {base_ctes()},\n{gold_ctes('gold', 'silver')}\nSELECT * FROM gold"
+
+
+def dedupe_latest() -> str:
+    return f"WITH {base_ctes()}\nSELECT * FROM silver"
+
+
+def silver_transform() -> str:
+    return dedupe_latest()
+
+
+def json_envelope_roundtrip() -> str:
+    return f"""WITH readings AS ({readings_sql()})
+SELECT city_id, run_id, ingested_at, ts_utc, pm2_5, pm10, no2, so2, o3, co,
+  latitude AS grid_latitude, longitude AS grid_longitude FROM readings"""
+
+
+def local_day_hour() -> str:
+    return f"""WITH {base_ctes()}
+SELECT obs_date_ist, obs_hour_ist, count(*) AS hours, min(ts_utc) AS first_ts_utc, max(ts_utc) AS last_ts_utc
+FROM silver GROUP BY obs_date_ist, obs_hour_ist"""
+
+
+def drop_future_hours() -> str:
+    return f"""WITH readings AS ({readings_sql(early_ingest=True, keep_source=True)}), clean AS ({clean_cte()})
+SELECT run_id, count(*) AS kept_rows, max(ts_utc) AS last_ts_utc, min(ingested_at) AS ingested_at
+FROM clean GROUP BY run_id"""
+
+
+def rolling_8h_mean() -> str:
+    return f"""WITH {base_ctes()}, rolled AS ({rolled_sql()})
+SELECT city_id, ts_utc, obs_date_ist, {rnd('o3_8h', 4)} AS o3_8h, {rnd('co_8h', 6)} AS co_8h FROM rolled"""
+
+
+def daily_hours_and_means() -> str:
+    hours = ", ".join(f"{p}_hours" for p in POLLUTANT_ORDER)
+    means = ", ".join(f"{rnd(f'{p}_24h', 4)} AS {p}_24h" for p in DAILY_MEAN_POLLUTANTS)
+    return f"""WITH {base_ctes()}, rolled AS ({rolled_sql()}), measures AS ({measures_sql()})
+SELECT city_id, obs_date_ist, {means}, {rnd('o3_8h_max', 4)} AS o3_8h_max, {rnd('co_8h_max', 6)} AS co_8h_max,
+  {hours} FROM measures"""
+
+
+def sub_index_all_pollutants() -> str:
+    parts = []
+    for p in POLLUTANT_ORDER:
+        c = COLUMN_OF[p]
+        parts.append(f"SELECT city_id, ts_utc, '{p}' AS pollutant, {c} AS conc, {aqi.sub_index_sql(p, c)} AS si "
+                     f"FROM silver WHERE {c} IS NOT NULL")
+    return f"WITH {base_ctes()}\n" + "\nUNION ALL\n".join(parts)
+
+
+def aqi_category_dist() -> str:
+    return f"""WITH {base_ctes()},\n{gold_ctes('gold', 'silver')}
+SELECT aqi_category, count(*) AS site_days, min(aqi) AS min_aqi, max(aqi) AS max_aqi
+FROM gold GROUP BY aqi_category"""
+
+
+def latest_aqi_sql_ctes() -> str:
+    return f"""{base_ctes()},\n{gold_ctes('gold', 'silver')},\n{DIM},
+reported AS (SELECT * FROM gold WHERE aqi IS NOT NULL),
+latest_day AS (SELECT city_id, max(obs_date_ist) AS obs_date_ist FROM reported GROUP BY city_id),
+latest AS (SELECT d.name, r.obs_date_ist, r.aqi, r.aqi_category, r.prominent_pollutant, r.pm2_5_24h, r.pm10_24h
+  FROM reported r JOIN latest_day l ON r.city_id = l.city_id AND r.obs_date_ist = l.obs_date_ist
+  JOIN dim_city d ON r.city_id = d.city_id)"""
+
+
+def latest_aqi_ranked() -> str:
+    return f"WITH {latest_aqi_sql_ctes()}\nSELECT * FROM latest"
+
+
+def ranked_report_rows() -> str:
+    labels = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in POLLUTANT_LABELS.items())
+    return f"""WITH {latest_aqi_sql_ctes()},
+ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY aqi DESC, name) AS INTEGER) AS rank,
+  coalesce(CASE prominent_pollutant {labels} END, prominent_pollutant) AS main_pollutant_label FROM latest)
+SELECT *, printf('| %d | %s | %s | **%d** | %s | %s | %.2f | %.2f |', rank, name, CAST(obs_date_ist AS VARCHAR),
+  aqi, aqi_category, main_pollutant_label, pm2_5_24h, pm10_24h) AS line FROM ranked"""
+
+
+def _row_checks(source: str, as_of=None) -> str:
+    neg = "greatest(" + ", ".join(f"CAST({c} < 0 AS INTEGER)" for c in VALUE_COLS) + ") = 1"
+    imp = "greatest(" + ", ".join(f"CAST({c} > {float(v)!r} AS INTEGER)" for c, v in MAX_PLAUSIBLE.items()) + ") = 1"
+    stats = f"""SELECT count(*) FILTER (WHERE city_id IS NULL OR ts_utc IS NULL) AS null_keys,
+    count(*) FILTER (WHERE {neg}) AS negative, count(*) FILTER (WHERE {imp}) AS implausible,
+    max(ts_utc) AS latest FROM {source}"""
+    rows = [
+        "SELECT 'not_null_keys' AS check_name, 'critical' AS severity, null_keys = 0 AS passed, "
+        "CAST(null_keys AS VARCHAR) || ' rows' AS observed FROM stats",
+        "SELECT 'no_negative_concentrations', 'critical', negative = 0, CAST(negative AS VARCHAR) || ' rows' FROM stats",
+        "SELECT 'plausible_concentrations', 'warning', implausible = 0, CAST(implausible AS VARCHAR) || ' rows' "
+        "FROM stats",
+    ]
+    if as_of is not None:
+        ts = f"TIMESTAMP '{as_of.isoformat(sep=' ')}'"
+        rows.append(f"SELECT 'fresh_within_{FRESHNESS_HOURS}h', 'warning', "
+                    f"coalesce(latest >= {ts} - INTERVAL {FRESHNESS_HOURS} HOUR, false), "
+                    f"'latest hour ' || coalesce(strftime(latest, '%Y-%m-%d %H:%M'), 'NULL') || ' UTC' FROM stats")
+    return stats, "\nUNION ALL\n".join(rows)
+
+
+def _dq_all(source: str, as_of=None) -> str:
+    stats, rows = _row_checks(source, as_of)
+    return f"""stats AS ({stats}),
+dupes AS (SELECT count(*) AS n FROM (SELECT city_id, ts_utc FROM {source} GROUP BY city_id, ts_utc HAVING count(*) > 1)),
+missing AS (SELECT d.city_id FROM (SELECT DISTINCT city_id FROM dim_city) d
+  WHERE d.city_id NOT IN (SELECT DISTINCT city_id FROM {source} WHERE city_id IS NOT NULL)),
+results AS ({rows}
+UNION ALL SELECT 'unique_city_hour', 'critical', n = 0, CAST(n AS VARCHAR) || ' duplicate keys' FROM dupes
+UNION ALL SELECT 'all_cities_present', 'warning', count(*) = 0,
+  'missing: [' || coalesce(string_agg('''' || city_id || '''', ', ' ORDER BY city_id), '') || ']' FROM missing)"""
+
+
+def dq_results_long() -> str:
+    return f"WITH {base_ctes()},\n{DIM},\n{_dq_all('silver')}\nSELECT * FROM results"
+
+
+def dq_duplicate_keys() -> str:
+    return f"""WITH {base_ctes()}
+SELECT city_id, ts_utc, count(*) AS versions FROM clean GROUP BY city_id, ts_utc HAVING count(*) > 1"""
+
+
+def dq_freshness_asof() -> str:
+    stats, rows = _row_checks("silver", P.FRESHNESS_AS_OF)
+    return f"WITH {base_ctes()},\nstats AS ({stats}),\nr AS ({rows})\nSELECT * FROM r WHERE check_name LIKE 'fresh%'"
+
+
+def dq_gate_decision() -> str:
+    return f"""WITH {base_ctes()},\n{DIM},\n{_dq_all('clean')}
+SELECT count(*) FILTER (WHERE severity = 'critical' AND NOT passed) = 0 AS may_publish,
+  coalesce(string_agg(check_name, ',' ORDER BY check_name) FILTER (WHERE severity = 'critical' AND NOT passed), '')
+    AS blocking_checks,
+  count(*) FILTER (WHERE NOT passed) AS failed_checks
+FROM results"""
+
+
+def dq_missing_cities() -> str:
+    return f"""WITH {base_ctes()},\n{DIM}
+SELECT d.city_id FROM (SELECT DISTINCT city_id FROM dim_city) d
+WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.city_id = d.city_id)"""
+
+
+def dim_unique_key_check() -> str:
+    return f"WITH {DIM}\nSELECT city_id, count(*) AS n FROM dim_city GROUP BY city_id HAVING count(*) > 1"
+
+
+def dim_publish() -> str:
+    return f"WITH {DIM}\nSELECT * FROM dim_city"
+
+
+def merge_upsert_state() -> str:
+    return f"WITH {merge_ctes()}\nSELECT * FROM merged"
+
+
+def merge_upsert_actions() -> str:
+    return f"WITH {merge_ctes()}\nSELECT _action AS action, count(*) AS rows FROM plan GROUP BY _action"
+
+
+def merge_revisions() -> str:
+    old = [c for c in SILVER_OUT if c not in ("city_id", "ts_utc")]
+    return f"""WITH {merge_ctes()}
+SELECT city_id, ts_utc, {', '.join(f'_old_{c} AS {c}' for c in old)}, run_id AS superseded_by_run
+FROM plan WHERE _action = 'update'"""
+
+
+def batch_stats() -> str:
+    return f"""WITH {merge_ctes()}
+SELECT count(*) AS batch_rows, min(obs_date_ist) AS date_min, max(obs_date_ist) AS date_max FROM batch"""
+
+
+def replace_date_range() -> str:
+    s, e = _d(P.REPLACE_START), _d(P.REPLACE_END)
+    return f"""WITH {merge_ctes()},\n{gold_ctes('old_gold', 'target')},\n{gold_ctes('new_gold', 'merged')}
+SELECT * FROM old_gold WHERE NOT (obs_date_ist BETWEEN {s} AND {e})
+UNION ALL SELECT * FROM new_gold WHERE obs_date_ist BETWEEN {s} AND {e}"""
+
+
+def late_revision_gold_delta() -> str:
+    return f"""WITH {merge_ctes()},\n{gold_ctes('old_gold', 'target')},\n{gold_ctes('new_gold', 'merged')}
+SELECT coalesce(o.city_id, n.city_id) AS city_id, coalesce(o.obs_date_ist, n.obs_date_ist) AS obs_date_ist,
+  o.aqi AS old_aqi, n.aqi AS new_aqi, o.prominent_pollutant AS old_main, n.prominent_pollutant AS new_main
+FROM old_gold o FULL OUTER JOIN new_gold n ON o.city_id = n.city_id AND o.obs_date_ist = n.obs_date_ist
+WHERE o.aqi IS DISTINCT FROM n.aqi OR o.city_id IS NULL OR n.city_id IS NULL"""
+
+
+def sequential_merge_ctes(order: list[int]) -> str:
+    parts = [base_ctes()]
+    prev = None
+    for i, run in enumerate(order):
+        parts.append(f"b{i} AS ({dedupe_sql('clean', f'l_linenumber = {run}')})")
+        if prev is None:
+            prev = f"b{i}"
+            continue
+        parts.append(f"p{i} AS ({merge_sql(prev, f'b{i}')}),\ns{i} AS (SELECT {SILVER_SEL} FROM p{i})")
+        prev = f"s{i}"
+    return ",\n".join(parts), prev
+
+
+def incremental_merge_state() -> str:
+    ctes, last = sequential_merge_ctes(P.ARRIVAL_IN_ORDER)
+    return f"WITH {ctes}\nSELECT * FROM {last}"
+
+
+def merge_out_of_order_values() -> str:
+    ctes, last = sequential_merge_ctes(P.ARRIVAL_OUT_OF_ORDER)
+    return f"WITH {ctes}\nSELECT city_id, ts_utc, {', '.join(VALUE_COLS)} FROM {last}"
+
+
+def incremental_window() -> str:
+    today = _d(P.TODAY)
+    return f"""WITH {base_ctes()}, latest AS (SELECT max(obs_date_ist) AS d FROM silver)
+SELECT CASE WHEN d IS NULL THEN CAST({today} - INTERVAL {P.BACKFILL_DAYS} DAY AS DATE)
+            ELSE least(CAST(d - INTERVAL {P.LOOKBACK_DAYS} DAY AS DATE), {today}) END AS window_start,
+       {today} AS window_end FROM latest"""
+
+
+def window_chunks() -> str:
+    n = P.CHUNK_DAYS
+    return f"""WITH {base_ctes()},
+span AS (SELECT city_id, min(obs_date_ist) AS s, max(obs_date_ist) AS e FROM silver GROUP BY city_id),
+starts AS (SELECT city_id, e, CAST(unnest(generate_series(s, e, INTERVAL {n} DAY)) AS DATE) AS chunk_start FROM span)
+SELECT city_id, chunk_start, least(CAST(chunk_start + INTERVAL {n - 1} DAY AS DATE), e) AS chunk_end FROM starts"""
+
+
+def skip_loaded_files_anti() -> str:
+    return f"""WITH readings AS ({readings_sql(keep_source=True)}),
+files AS (SELECT DISTINCT city_id, run_id, CAST(ts_utc AS DATE) AS d, l_linenumber FROM readings)
+SELECT city_id, run_id, strftime(d, '%Y-%m-%d') AS window_start,
+  run_id || '_' || strftime(d, '%Y%m%d') || '_landing.jsonl' AS source_file
+FROM files WHERE l_linenumber > {P.TARGET_LAST_RUN}"""
 
 
-def dim_city_cte() -> str:
-    return f"dim_city AS ({DIM_CITY_SQL})"
+def landing_roundtrip_counts() -> str:
+    return f"""WITH readings AS ({readings_sql()})
+SELECT city_id, run_id, strftime(CAST(ts_utc AS DATE), '%Y-%m-%d') AS window_start, min(ingested_at) AS ingested_at,
+  count(*) AS hours FROM readings GROUP BY city_id, run_id, CAST(ts_utc AS DATE)"""

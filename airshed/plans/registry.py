@@ -1,18 +1,38 @@
-"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame over the driver tables."""
+"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame over the driver tables.
+
+The air-quality inputs come from the `readings` adapter view over `lineitem` (one hourly
+observation per line item, one site per supplier) and the `dim_city` view over
+`supplier` + `nation`; see `airshed.sources.testdata`. Every query reads whole tables.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import to_silver
-from ..operators.daily import daily_aqi
-from ..sources import testdata
+from ..functions import aqi
+from ..functions.breakpoints import DAILY_MEAN_POLLUTANTS, POLLUTANT_ORDER
+from ..functions.numeric import round_half_up
+from ..operators import quality, serve, upsert, windows
+from ..operators.clean import clean_hours, explode_hours, parse_payload, silver_transform, to_silver
+from ..operators.daily import SILVER_COLUMN, daily_aqi, daily_measures
+from ..operators.publish import replace_range
+from ..operators.rolling import rolling_8h_mean
+from ..schemas import SILVER_COLUMNS
+from ..session import checkpoint_dir
+from ..sources import landing, testdata
 from . import oracle_sql as osql
+from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
+SILVER_OUT = [c for c in SILVER_COLUMNS if c != "updated_at"]
+VALUE_COLS = ["pm2_5", "pm10", "no2", "so2", "o3", "co_mg_m3"]
+
+
+# ------------------------------------------------------------------------ shared inputs
 
 
 def hourly_readings(spark: SparkSession, sf_dir: str, *, early_ingest: bool = False) -> DataFrame:
@@ -22,29 +42,323 @@ def hourly_readings(spark: SparkSession, sf_dir: str, *, early_ingest: bool = Fa
             .withColumnRenamed("longitude", "grid_longitude"))
 
 
-def silver_from_readings(spark: SparkSession, sf_dir: str, *, early_ingest: bool = False) -> DataFrame:
-    return to_silver(hourly_readings(spark, sf_dir, early_ingest=early_ingest), testdata.TIEBREAK_COLS, audit=False)
+def silver_of(hourly: DataFrame) -> DataFrame:
+    return to_silver(hourly, testdata.TIEBREAK_COLS, audit=False)
+
+
+def silver_from_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_of(hourly_readings(spark, sf_dir))
+
+
+def gold_of(silver: DataFrame) -> DataFrame:
+    return daily_aqi(silver, audit=False)
+
+
+def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 over the readings: one landing envelope per (site, run, UTC day)."""
+    r = testdata.readings(spark, sf_dir, keep_source=True)
+    return landing.build_envelopes(r, source="lineitem", order=testdata.TIEBREAK_COLS)
+
+
+def bronze_of(env: DataFrame) -> DataFrame:
+    """Envelopes typed as bronze rows (the landing file name is the envelope's file key)."""
+    return landing.parse_envelopes(env.withColumnRenamed("_file", "source_file"))
+
+
+def merge_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(target, batch): silver of runs 1..4, and the deduped batch of runs 5..7."""
+    h = hourly_readings(spark, sf_dir)
+    target = silver_of(h.where(F.col("l_linenumber") <= P.TARGET_LAST_RUN))
+    batch = silver_of(h.where(F.col("l_linenumber") > P.TARGET_LAST_RUN))
+    return target, batch
+
+
+def merge_plan_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch = merge_inputs(spark, sf_dir)
+    return upsert.merge_plan(target, batch, columns=SILVER_OUT)
+
+
+def sequential_merge(spark: SparkSession, sf_dir: str, order: list[int]) -> DataFrame:
+    """I5 batch by batch: merge each run's deduped rows into the state, in arrival `order`.
+
+    Each merged state is checkpointed to the shared checkpoint folder, so lineage stays one
+    merge deep and a lost executor recomputes one step, not the whole chain.
+    """
+    checkpoint_dir(spark)
+    h = hourly_readings(spark, sf_dir)
+    state = None
+    for run in order:
+        batch = silver_of(h.where(F.col("l_linenumber") == run))
+        if state is None:
+            state = batch.checkpoint()
+            continue
+        state = upsert.merged_state(upsert.merge_plan(state, batch, columns=SILVER_OUT)).checkpoint()
+    return state
+
+
+# ------------------------------------------------------------------------------ queries
 
 
 def q_daily_aqi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_aqi(silver_from_readings(spark, sf_dir), audit=False)
+    """X9 (flagship): daily index per site and local day."""
+    return gold_of(silver_from_readings(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {
-    "daily_aqi": q_daily_aqi,
-}
+def q_dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 (+P5..P9): latest version per (site, UTC hour)."""
+    return silver_from_readings(spark, sf_dir)
+
+
+def q_silver_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X10 through JSON: envelopes -> parse -> explode -> clean -> dedupe."""
+    return silver_transform(bronze_of(envelopes(spark, sf_dir)), audit=False)
+
+
+def q_json_envelope_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + P1..P4: every reading survives envelope -> JSON -> parse -> explode unchanged."""
+    bronze = bronze_of(envelopes(spark, sf_dir))
+    rows = explode_hours(parse_payload(bronze), ["city_id", "run_id", "ingested_at"])
+    return rows.select("city_id", "run_id", "ingested_at", "ts_utc", "pm2_5", "pm10", "no2", "so2", "o3", "co",
+                       "grid_latitude", "grid_longitude")
+
+
+def q_local_day_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Local (UTC+05:30) date and hour of every stored hour."""
+    return silver_from_readings(spark, sf_dir).groupBy("obs_date_ist", "obs_hour_ist").agg(
+        F.count("*").alias("hours"), F.min("ts_utc").alias("first_ts_utc"), F.max("ts_utc").alias("last_ts_utc"))
+
+
+def q_drop_future_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With ingestion inside the data span, hours after the ingestion time are dropped."""
+    kept = clean_hours(hourly_readings(spark, sf_dir, early_ingest=True).withColumnRenamed("co", "co"))
+    return kept.groupBy("run_id").agg(F.count("*").alias("kept_rows"), F.max("ts_utc").alias("last_ts_utc"),
+                                      F.min("ingested_at").alias("ingested_at"))
+
+
+def q_rolling_8h_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing 8-hour means (>= 6 values) of O3 and CO on every hourly row."""
+    rolled = rolling_8h_mean(silver_from_readings(spark, sf_dir))
+    return rolled.select("city_id", "ts_utc", "obs_date_ist", round_half_up(F.col("o3_8h"), 4).alias("o3_8h"),
+                         round_half_up(F.col("co_8h"), 6).alias("co_8h"))
+
+
+def q_daily_hours_and_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + X3/X4 inputs: 24-h means, daily max of 8-h means, non-null hours per pollutant."""
+    m = daily_measures(silver_from_readings(spark, sf_dir))
+    return m.select("city_id", "obs_date_ist",
+                    *[round_half_up(F.col(f"{p}_24h"), 4).alias(f"{p}_24h") for p in DAILY_MEAN_POLLUTANTS],
+                    round_half_up(F.col("o3_8h_max"), 4).alias("o3_8h_max"),
+                    round_half_up(F.col("co_8h_max"), 6).alias("co_8h_max"),
+                    *[f"{p}_hours" for p in POLLUTANT_ORDER])
+
+
+def q_sub_index_all_pollutants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 on every stored value of every pollutant."""
+    silver = silver_from_readings(spark, sf_dir)
+    long = silver.select(
+        "city_id", "ts_utc",
+        F.explode(F.array(*[F.struct(F.lit(p).alias("pollutant"), F.col(SILVER_COLUMN[p]).alias("conc"))
+                            for p in POLLUTANT_ORDER])).alias("v"),
+    ).select("city_id", "ts_utc", "v.pollutant", "v.conc").where(F.col("conc").isNotNull())
+    si = None
+    for p in POLLUTANT_ORDER:
+        branch = aqi.sub_index(p, F.col("conc"))
+        si = F.when(F.col("pollutant") == p, branch) if si is None else si.when(F.col("pollutant") == p, branch)
+    return long.withColumn("si", si)
+
+
+def q_aqi_category_dist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site-days per category."""
+    gold = gold_of(silver_from_readings(spark, sf_dir))
+    return gold.groupBy("aqi_category").agg(F.count("*").alias("site_days"), F.min("aqi").alias("min_aqi"),
+                                            F.max("aqi").alias("max_aqi"))
+
+
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = gold_of(silver_from_readings(spark, sf_dir))
+    return serve.latest_aqi(gold, testdata.dim_city(spark, sf_dir))
+
+
+def q_latest_aqi_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X11: latest reported day per site with its name, worst first."""
+    return _latest(spark, sf_dir)
+
+
+def q_ranked_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X12 + W3 + P18: ranked report rows with pollutant labels and the table line."""
+    rows = serve.report_rows(_latest(spark, sf_dir))
+    line = F.format_string("| %d | %s | %s | **%d** | %s | %s | %.2f | %.2f |", F.col("rank"), F.col("name"),
+                           F.col("obs_date_ist").cast("string"), F.col("aqi"), F.col("aqi_category"),
+                           F.col("main_pollutant_label"), F.col("pm2_5_24h"), F.col("pm10_24h"))
+    return rows.withColumn("line", line)
 
-ORACLE: dict[str, Callable[[], str]] = {
-    "daily_aqi": osql.daily_aqi,
+
+def q_dq_results_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1..Q5 + Q7: the long result table of the gate on silver."""
+    return quality.run_checks(silver_from_readings(spark, sf_dir), testdata.dim_city(spark, sf_dir))
+
+
+def q_dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 on cleaned rows before dedupe: every key with more than one version."""
+    clean = clean_hours(hourly_readings(spark, sf_dir))
+    return clean.groupBy("city_id", "ts_utc").agg(F.count("*").alias("versions")).where(F.col("versions") > 1)
+
+
+def q_dq_freshness_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness against a fixed clock."""
+    checks = quality.row_checks(silver_from_readings(spark, sf_dir), P.FRESHNESS_AS_OF)
+    return checks.where(F.col("check_name").startswith("fresh"))
+
+
+def q_dq_gate_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8 as data: the gate over un-deduped rows is blocked by the duplicate-key check."""
+    clean = clean_hours(hourly_readings(spark, sf_dir))
+    d = quality.gate_decision(quality.run_checks(clean, testdata.dim_city(spark, sf_dir)))
+    return d.select("may_publish", F.array_join("blocking_checks", ",").alias("blocking_checks"), "failed_checks")
+
+
+def q_dq_missing_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configured sites without any stored hour."""
+    return quality.missing_site_rows(silver_from_readings(spark, sf_dir), testdata.dim_city(spark, sf_dir))
+
+
+def q_dim_unique_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate site ids in the dimension (must be empty)."""
+    dim = testdata.dim_city(spark, sf_dir)
+    return dim.groupBy("city_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+
+
+def q_dim_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 content: the site dimension as published."""
+    return testdata.dim_city(spark, sf_dir)
+
+
+def q_merge_upsert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: silver after merging runs 5..7 into runs 1..4."""
+    return upsert.merged_state(merge_plan_of(spark, sf_dir), SILVER_OUT)
+
+
+def q_merge_upsert_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: rows per merge action."""
+    return upsert.merge_counts(merge_plan_of(spark, sf_dir)).withColumnRenamed("_action", "action")
+
+
+def q_merge_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I8: before-images of the rows the merge updated."""
+    return upsert.revisions(merge_plan_of(spark, sf_dir))
+
+
+def q_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: rows and local-date range of the batch."""
+    _, batch = merge_inputs(spark, sf_dir)
+    return batch.agg(F.count("*").alias("batch_rows"), F.min("obs_date_ist").alias("date_min"),
+                     F.max("obs_date_ist").alias("date_max"))
+
+
+def _old_new_gold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    target, batch = merge_inputs(spark, sf_dir)
+    merged = upsert.merged_state(upsert.merge_plan(target, batch, columns=SILVER_OUT), SILVER_OUT)
+    return gold_of(target), gold_of(merged)
+
+
+def q_replace_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 + P11: old gold with the republished range replaced by the recomputed days."""
+    old, new = _old_new_gold(spark, sf_dir)
+    return replace_range(old, new, P.REPLACE_START, P.REPLACE_END)
+
+
+def q_late_revision_gold_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4: site-days whose index changed (or appeared) after the late batch was merged."""
+    old, new = _old_new_gold(spark, sf_dir)
+    o = old.select("city_id", "obs_date_ist", F.col("aqi").alias("old_aqi"),
+                   F.col("prominent_pollutant").alias("old_main"), F.lit(True).alias("_o"))
+    n = new.select("city_id", "obs_date_ist", F.col("aqi").alias("new_aqi"),
+                   F.col("prominent_pollutant").alias("new_main"), F.lit(True).alias("_n"))
+    j = o.join(n, ["city_id", "obs_date_ist"], "full_outer")
+    changed = ~F.col("old_aqi").eqNullSafe(F.col("new_aqi")) | F.col("_o").isNull() | F.col("_n").isNull()
+    return j.where(changed).select("city_id", "obs_date_ist", "old_aqi", "new_aqi", "old_main", "new_main")
+
+
+def q_incremental_merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after merging the seven runs one batch at a time, in ingestion order."""
+    return sequential_merge(spark, sf_dir, P.ARRIVAL_IN_ORDER)
+
+
+def q_merge_out_of_order_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches arriving out of order end at the values of a full replay."""
+    state = sequential_merge(spark, sf_dir, P.ARRIVAL_OUT_OF_ORDER)
+    return state.select("city_id", "ts_utc", *VALUE_COLS)
+
+
+def q_incremental_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Next window from the newest stored day."""
+    return windows.incremental_window(silver_from_readings(spark, sf_dir), P.TODAY, P.LOOKBACK_DAYS,
+                                      P.BACKFILL_DAYS)
+
+
+def q_window_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each site's stored date span split into contiguous chunks."""
+    spans = silver_from_readings(spark, sf_dir).groupBy("city_id").agg(
+        F.min("obs_date_ist").alias("window_start"), F.max("obs_date_ist").alias("window_end"))
+    return windows.date_chunks(spans, P.CHUNK_DAYS)
+
+
+def q_skip_loaded_files_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + D0: landing files not yet in bronze (bronze holds the files of runs 1..4)."""
+    env = envelopes(spark, sf_dir).withColumnRenamed("_file", "source_file")
+    loaded = env.where(F.col("run_id").isin([f"run-{i}" for i in range(1, P.TARGET_LAST_RUN + 1)]))
+    fresh = landing.new_files_only(env, loaded, key="source_file")
+    return fresh.select("city_id", "run_id", "window_start", "source_file")
+
+
+def q_landing_roundtrip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 -> files -> S1: envelopes written as JSON lines and read back FAILFAST."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    landing.write_landing(envelopes(spark, sf_dir), folder)
+    back = landing.read_landing(spark, folder)
+    parsed = parse_payload(back)
+    return parsed.select("city_id", "run_id", F.date_format("window_start", "yyyy-MM-dd").alias("window_start"),
+                         "ingested_at", F.size("p.hourly.time").cast("long").alias("hours"))
+
+
+QUERIES: dict[str, tuple[Query, Callable[[], str] | None]] = {
+    "daily_aqi": (q_daily_aqi, osql.daily_aqi),
+    "dedupe_latest": (q_dedupe_latest, osql.dedupe_latest),
+    "silver_transform": (q_silver_transform, osql.silver_transform),
+    "json_envelope_roundtrip": (q_json_envelope_roundtrip, osql.json_envelope_roundtrip),
+    "landing_roundtrip_counts": (q_landing_roundtrip_counts, osql.landing_roundtrip_counts),
+    "local_day_hour": (q_local_day_hour, osql.local_day_hour),
+    "drop_future_hours": (q_drop_future_hours, osql.drop_future_hours),
+    "rolling_8h_mean": (q_rolling_8h_mean, osql.rolling_8h_mean),
+    "daily_hours_and_means": (q_daily_hours_and_means, osql.daily_hours_and_means),
+    "sub_index_all_pollutants": (q_sub_index_all_pollutants, osql.sub_index_all_pollutants),
+    "aqi_category_dist": (q_aqi_category_dist, osql.aqi_category_dist),
+    "latest_aqi_ranked": (q_latest_aqi_ranked, osql.latest_aqi_ranked),
+    "ranked_report_rows": (q_ranked_report_rows, osql.ranked_report_rows),
+    "dq_results_long": (q_dq_results_long, osql.dq_results_long),
+    "dq_duplicate_keys": (q_dq_duplicate_keys, osql.dq_duplicate_keys),
+    "dq_freshness_asof": (q_dq_freshness_asof, osql.dq_freshness_asof),
+    "dq_gate_decision": (q_dq_gate_decision, osql.dq_gate_decision),
+    "dq_missing_cities": (q_dq_missing_cities, osql.dq_missing_cities),
+    "dim_unique_key_check": (q_dim_unique_key_check, osql.dim_unique_key_check),
+    "dim_publish": (q_dim_publish, osql.dim_publish),
+    "merge_upsert_state": (q_merge_upsert_state, osql.merge_upsert_state),
+    "merge_upsert_actions": (q_merge_upsert_actions, osql.merge_upsert_actions),
+    "merge_revisions": (q_merge_revisions, osql.merge_revisions),
+    "batch_stats": (q_batch_stats, osql.batch_stats),
+    "replace_date_range": (q_replace_date_range, osql.replace_date_range),
+    "late_revision_gold_delta": (q_late_revision_gold_delta, osql.late_revision_gold_delta),
+    "incremental_merge_state": (q_incremental_merge_state, osql.incremental_merge_state),
+    "merge_out_of_order_values": (q_merge_out_of_order_values, osql.merge_out_of_order_values),
+    "incremental_window": (q_incremental_window, osql.incremental_window),
+    "window_chunks": (q_window_chunks, osql.window_chunks),
+    "skip_loaded_files_anti": (q_skip_loaded_files_anti, osql.skip_loaded_files_anti),
 }
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {k: q for k, (q, _) in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: f() for k, f in ORACLE.items()}
-
-
-_ = F  # keep import for query modules that extend this file
+    return {k: o() for k, (_, o) in QUERIES.items() if o is not None}
