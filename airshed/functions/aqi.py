@@ -42,7 +42,8 @@ def sub_index(pollutant: str, conc: Column, tolerance: float = TIE_TOLERANCE) ->
     c_lo, c_top = _band_param(pollutant, conc, 3), _band_param(pollutant, conc, 4)
     raw = i_lo + (i_hi - i_lo) * (conc - c_lo) / (c_top - c_lo)
     bounded = F.least(F.greatest(raw, F.lit(0.0)), F.lit(float(INDEX_MAX)))
-    return round_half_up(bounded, 0, tolerance).cast("int")
+    # greatest/least skip nulls, so the null test has to be explicit
+    return F.when(conc.isNotNull(), round_half_up(bounded, 0, tolerance).cast("int"))
 
 
 def category(aqi: Column) -> Column:
@@ -98,7 +99,7 @@ def sub_index_sql(pollutant: str, conc: str, tolerance: float = TIE_TOLERANCE) -
     c_lo, c_top = _band_param_sql(pollutant, conc, 3), _band_param_sql(pollutant, conc, 4)
     raw = f"({i_lo} + ({i_hi} - {i_lo}) * (({conc}) - {c_lo}) / ({c_top} - {c_lo}))"
     bounded = f"least(greatest({raw}, 0.0::DOUBLE), {float(INDEX_MAX)!r})"
-    return f"CAST({round_half_up_sql(bounded, 0, tolerance)} AS INTEGER)"
+    return f"(CASE WHEN ({conc}) IS NOT NULL THEN CAST({round_half_up_sql(bounded, 0, tolerance)} AS INTEGER) END)"
 
 
 def category_sql(aqi: str) -> str:

@@ -94,36 +94,78 @@ class MergeResult:
     changed_dates: list  # local dates with inserts or updates (bounded by the batch's days)
 
 
-def upsert(spark: SparkSession, batch: DataFrame, table_path: str, revisions_path: str | None = None,
-           partition_col: str = "obs_date_ist") -> MergeResult:
-    """Persist K4 into a parquet table partitioned by `partition_col` (silver: obs_date_ist).
+class StagedMerge:
+    """K4 written to a staging folder beside the table, not yet applied.
 
-    The partition column is a function of the key, so a key never changes partition. Only the
-    partitions holding an insert or update are rewritten (dynamic partition overwrite).
+    `candidate` holds the merged rows of the partitions that change (what a commit would
+    publish); gates can check it before `commit()` rewrites those partitions.
+    """
+
+    def __init__(self, spark: SparkSession, table_path: str, staged_path: str | None, cols: list[str],
+                 partition_col: str, stats: list, first_write: DataFrame | None = None):
+        self.spark, self.table_path, self.staged_path = spark, table_path, staged_path
+        self.cols, self.partition_col, self._first = cols, partition_col, first_write
+        self.inserted = sum(r["ins"] for r in stats)
+        self.updated = sum(r["upd"] for r in stats)
+        self.changed_dates = sorted(r[partition_col] for r in stats if r["ins"] or r["upd"])
+
+    @property
+    def plan(self) -> DataFrame:
+        if self._first is not None:
+            return self._first
+        return self.spark.read.parquet(self.staged_path).where(F.col(self.partition_col).isin(self.changed_dates))
+
+    @property
+    def candidate(self) -> DataFrame:
+        return merged_state(self.plan, self.cols)
+
+    def commit(self, revisions_path: str | None = None) -> MergeResult:
+        if self.changed_dates:
+            (self.candidate.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(self.partition_col).parquet(self.table_path))
+            if revisions_path and self._first is None:
+                (revisions(self.plan).withColumn("revised_at", F.current_timestamp())
+                 .write.mode("append").parquet(revisions_path))
+        self.discard()
+        return MergeResult(self.inserted, self.updated, self.changed_dates)
+
+    def discard(self) -> None:
+        if self.staged_path:
+            fs.delete(self.spark, self.staged_path)
+
+
+def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
+                partition_col: str = "obs_date_ist") -> StagedMerge:
+    """Evaluate K4 once against the partitions the batch touches and stage the result.
+
+    Only target partitions holding a batch date are read (the semi join on the batch's dates
+    lets Spark prune partitions at run time). A missing table (K3) stages the batch itself.
     """
     cols = [c for c in SILVER_COLUMNS if c in batch.columns]
     staged_path = fs.staging_path(table_path)
     if not fs.table_exists(spark, table_path):
-        # K3: first write creates the table from the batch itself.
-        batch.select(*cols).write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
-        counts = spark.read.parquet(table_path).groupBy(partition_col).count().collect()
-        return MergeResult(sum(r["count"] for r in counts), 0, sorted(r[partition_col] for r in counts))
+        batch.select(*cols).withColumn("_action", F.lit(INSERT)).write.mode("overwrite").parquet(staged_path)
+        staged = spark.read.parquet(staged_path)
+        stats = staged.groupBy(partition_col).agg(F.count("*").alias("ins"), F.lit(0).alias("upd")).collect()
+        return StagedMerge(spark, table_path, staged_path, cols, partition_col, stats, first_write=staged)
     target = spark.read.parquet(table_path)
     dates = batch.select(partition_col).distinct()
     touched = target.join(dates, partition_col, "left_semi")
-    plan = merge_plan(touched, batch.select(*cols), columns=cols)
-    plan.write.mode("overwrite").parquet(staged_path)  # stage: inputs are read before any rewrite
+    plan_df = merge_plan(touched, batch.select(*cols), columns=cols)
+    plan_df.write.mode("overwrite").parquet(staged_path)  # inputs are fully read before any rewrite
     staged = spark.read.parquet(staged_path)
-    stats = (staged.groupBy(partition_col).agg(
-        F.count_if(F.col("_action") == INSERT).alias("ins"), F.count_if(F.col("_action") == UPDATE).alias("upd"))
-        .where("ins > 0 OR upd > 0").collect())  # one row per changed day
-    changed = sorted(r[partition_col] for r in stats)
-    if changed:
-        rewrite = staged.where(F.col(partition_col).isin(changed))
-        (merged_state(rewrite, cols).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_path))
-        if revisions_path:
-            revisions(rewrite).withColumn("revised_at", F.current_timestamp()).write.mode("append").parquet(
-                revisions_path)
-    fs.delete(spark, staged_path)
-    return MergeResult(sum(r["ins"] for r in stats), sum(r["upd"] for r in stats), changed)
+    stats = staged.groupBy(partition_col).agg(
+        F.count_if(F.col("_action") == INSERT).alias("ins"),
+        F.count_if(F.col("_action") == UPDATE).alias("upd")).collect()  # one row per day of the batch
+    return StagedMerge(spark, table_path, staged_path, cols, partition_col, stats)
+
+
+def upsert(spark: SparkSession, batch: DataFrame, table_path: str, revisions_path: str | None = None,
+           partition_col: str = "obs_date_ist") -> MergeResult:
+    """K4 persisted into a parquet table partitioned by `partition_col` (silver: obs_date_ist).
+
+    The partition column is a function of the key, so a key never changes partition. Only the
+    partitions holding an insert or update are rewritten (dynamic partition overwrite), from
+    the staged merge, so a failed job never leaves a half-merged table.
+    """
+    return stage_merge(spark, batch, table_path, partition_col).commit(revisions_path)

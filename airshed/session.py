@@ -38,16 +38,20 @@ def get_spark(app: str = "airshed", master: str | None = None, shuffle_partition
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (`spark.checkpoint.dir`).
+    """The cluster's shared checkpoint folder (`spark.checkpoint.dir` or the context's setting).
 
-    Only when the session has none (local tests) is a private folder created and registered.
+    Only when the session has none (local tests, local bench) is a private folder created and
+    registered with the context; on a cluster the configured shared folder is always used.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if configured:
+            sc.setCheckpointDir(configured)
+            current = sc.getCheckpointDir() or configured
     if current:
         return current
     local = tempfile.mkdtemp(prefix="airshed-ckpt-", dir=os.environ.get("AIRSHED_SCRATCH", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local
