@@ -33,8 +33,9 @@ def response(site: int, hours: int = 72, start: dt.datetime = START, null_so2=()
     base = [(38.0, 60.0, 30.0, 12.0, 70.0, 900.0), (150.0, 230.0, 70.0, 28.0, 52.0, 2400.0)][site]
     hourly = {"time": [], "pm2_5": [], "pm10": [], "nitrogen_dioxide": [], "sulphur_dioxide": [], "ozone": [],
               "carbon_monoxide": []}
-    for h in range(hours):
-        t = start + dt.timedelta(hours=h)
+    for i in range(hours):
+        t = start + dt.timedelta(hours=i)
+        h = int((t - START).total_seconds() // 3600)  # values depend on the absolute hour only
         wave = 1.0 + 0.25 * math.sin((h + 3 * site) / 4.0)
         hourly["time"].append(t.strftime("%Y-%m-%dT%H:%M"))
         hourly["pm2_5"].append(round(base[0] * wave * scale_pm25, 1))
