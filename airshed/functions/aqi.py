@@ -1,7 +1,9 @@
 """Index scoring as plain Catalyst expressions (no UDF): sub-index, category, overall index.
 
-All expressions are generated from the band table in `breakpoints`, once as a Spark Column
-and once as SQL text, so the engine and the SQL check read the same table.
+Each rule is generated once, from the band table in `breakpoints`, as engine-neutral SQL
+expression text; the Spark Column is that text parsed by Spark (`F.expr`), so building a
+query costs one JVM call per expression, and the SQL check runs the very same text.
+Arguments are SQL expressions over column names (e.g. "pm2_5_24h").
 """
 
 from __future__ import annotations
@@ -17,101 +19,52 @@ from .breakpoints import (
     POLLUTANT_ORDER,
     interpolation_segments,
 )
-from .numeric import TIE_TOLERANCE, round_half_up, round_half_up_sql
+from .numeric import TIE_TOLERANCE, round_half_up_sql
 
 
-def _band_param(pollutant: str, conc: Column, pick: int) -> Column:
-    """Value `pick` of the first segment whose upper bound holds `conc` (open band: any value)."""
-    expr = None
-    for seg in interpolation_segments(pollutant):
-        upper = seg[0]
-        cond = conc.isNotNull() if upper is None else conc <= F.lit(float(upper))
-        val = F.lit(float(seg[pick]))
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr
+def _dbl(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
 
 
-def sub_index(pollutant: str, conc: Column, tolerance: float = TIE_TOLERANCE) -> Column:
-    """Sub-index (INT) of one pollutant concentration; null concentration gives null.
+def _bands(pollutant: str) -> list[tuple[float | None, float, float, float, float]]:
+    """(upper bound or None, i_lo, index span, c_lo, concentration span) per band, in order.
 
-    Linear inside the first band whose upper concentration is >= conc; bands have gaps, so a
-    value between two bands extrapolates the next band below its floor. Clamped to 0..500,
-    rounded half up.
+    Spans are computed once here (IEEE double subtraction, as in any engine), so every engine
+    evaluates exactly i_lo + i_span * (c - c_lo) / c_span.
     """
-    i_lo, i_hi = _band_param(pollutant, conc, 1), _band_param(pollutant, conc, 2)
-    c_lo, c_top = _band_param(pollutant, conc, 3), _band_param(pollutant, conc, 4)
-    raw = i_lo + (i_hi - i_lo) * (conc - c_lo) / (c_top - c_lo)
-    bounded = F.least(F.greatest(raw, F.lit(0.0)), F.lit(float(INDEX_MAX)))
-    # greatest/least skip nulls, so the null test has to be explicit
-    return F.when(conc.isNotNull(), round_half_up(bounded, 0, tolerance).cast("int"))
-
-
-def category(aqi: Column) -> Column:
-    """Category name of an index value: first band whose top is >= aqi; null stays null."""
-    expr = None
-    for _, i_hi, name in BANDS:
-        cond = aqi <= F.lit(i_hi)
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr
-
-
-def pollutants_reported(si: dict[str, Column]) -> Column:
-    """Number of pollutants that have a sub-index (INT)."""
-    total = None
-    for p in POLLUTANT_ORDER:
-        one = F.when(si[p].isNotNull(), F.lit(1)).otherwise(F.lit(0))
-        total = one if total is None else total + one
-    return total
-
-
-def overall_index(si: dict[str, Column]) -> Column:
-    """Highest sub-index, only with >= 3 sub-indices of which one is a particulate."""
-    has_particulate = F.lit(False)
-    for p in PARTICULATES:
-        has_particulate = has_particulate | si[p].isNotNull()
-    enough = pollutants_reported(si) >= F.lit(MIN_POLLUTANTS_FOR_AQI)
-    return F.when(enough & has_particulate, F.greatest(*[si[p] for p in POLLUTANT_ORDER]))
-
-
-def main_pollutant(si: dict[str, Column], aqi: Column) -> Column:
-    """First pollutant, in fixed order, whose sub-index equals the index."""
-    expr = None
-    for p in POLLUTANT_ORDER:
-        cond = si[p] == aqi
-        expr = F.when(cond, F.lit(p)) if expr is None else expr.when(cond, F.lit(p))
-    return expr
-
+    return [(upper, float(i_lo), float(i_hi) - float(i_lo), c_lo, c_top - c_lo)
+            for upper, i_lo, i_hi, c_lo, c_top in interpolation_segments(pollutant)]
 
-# ------------------------------------------------------------------ SQL text, same rules
 
+def sub_index_sql(pollutant: str, conc: str, tolerance: float = TIE_TOLERANCE) -> str:
+    """Sub-index (INT) of one pollutant concentration; null concentration gives null.
 
-def _band_param_sql(pollutant: str, conc: str, pick: int) -> str:
+    Linear inside the first band whose upper concentration is >= conc; bands have gaps, so a
+    value between two bands extrapolates the next band below its floor. Clamped to 0..500,
+    rounded half up. greatest/least skip nulls, so the null test is explicit.
+    """
     arms = []
-    for seg in interpolation_segments(pollutant):
-        upper = seg[0]
-        cond = f"({conc}) IS NOT NULL" if upper is None else f"({conc}) <= {float(upper)!r}"
-        arms.append(f"WHEN {cond} THEN {float(seg[pick])!r}")
-    return "(CASE " + " ".join(arms) + " END)"
-
-
-def sub_index_sql(pollutant: str, conc: str, tolerance: float = TIE_TOLERANCE) -> str:
-    i_lo, i_hi = _band_param_sql(pollutant, conc, 1), _band_param_sql(pollutant, conc, 2)
-    c_lo, c_top = _band_param_sql(pollutant, conc, 3), _band_param_sql(pollutant, conc, 4)
-    raw = f"({i_lo} + ({i_hi} - {i_lo}) * (({conc}) - {c_lo}) / ({c_top} - {c_lo}))"
-    bounded = f"least(greatest({raw}, 0.0::DOUBLE), {float(INDEX_MAX)!r})"
+    for upper, i_lo, i_span, c_lo, c_span in _bands(pollutant):
+        cond = f"({conc}) IS NOT NULL" if upper is None else f"({conc}) <= {_dbl(upper)}"
+        arms.append(f"WHEN {cond} THEN {_dbl(i_lo)} + {_dbl(i_span)} * (({conc}) - {_dbl(c_lo)}) / {_dbl(c_span)}")
+    raw = "(CASE " + " ".join(arms) + " END)"
+    bounded = f"least(greatest({raw}, {_dbl(0)}), {_dbl(INDEX_MAX)})"
     return f"(CASE WHEN ({conc}) IS NOT NULL THEN CAST({round_half_up_sql(bounded, 0, tolerance)} AS INTEGER) END)"
 
 
 def category_sql(aqi: str) -> str:
+    """Category name: first band whose top is >= aqi; null stays null."""
     arms = " ".join(f"WHEN ({aqi}) <= {i_hi} THEN '{name}'" for _, i_hi, name in BANDS)
     return f"(CASE {arms} END)"
 
 
 def pollutants_reported_sql(si: dict[str, str]) -> str:
+    """Number of pollutants with a sub-index (INT)."""
     return "(" + " + ".join(f"(CASE WHEN {si[p]} IS NOT NULL THEN 1 ELSE 0 END)" for p in POLLUTANT_ORDER) + ")"
 
 
 def overall_index_sql(si: dict[str, str]) -> str:
+    """Highest sub-index, only with >= 3 sub-indices of which one is a particulate."""
     has_pm = " OR ".join(f"{si[p]} IS NOT NULL" for p in PARTICULATES)
     top = "greatest(" + ", ".join(si[p] for p in POLLUTANT_ORDER) + ")"
     return (f"(CASE WHEN {pollutants_reported_sql(si)} >= {MIN_POLLUTANTS_FOR_AQI} AND ({has_pm}) "
@@ -119,5 +72,29 @@ def overall_index_sql(si: dict[str, str]) -> str:
 
 
 def main_pollutant_sql(si: dict[str, str], aqi: str) -> str:
+    """First pollutant, in fixed order, whose sub-index equals the index."""
     arms = " ".join(f"WHEN {si[p]} = {aqi} THEN '{p}'" for p in POLLUTANT_ORDER)
     return f"(CASE {arms} END)"
+
+
+# ------------------------------------------------------------------ Spark Columns (same text)
+
+
+def sub_index(pollutant: str, conc: str, tolerance: float = TIE_TOLERANCE) -> Column:
+    return F.expr(sub_index_sql(pollutant, conc, tolerance))
+
+
+def category(aqi: str) -> Column:
+    return F.expr(category_sql(aqi))
+
+
+def pollutants_reported(si: dict[str, str]) -> Column:
+    return F.expr(pollutants_reported_sql(si))
+
+
+def overall_index(si: dict[str, str]) -> Column:
+    return F.expr(overall_index_sql(si))
+
+
+def main_pollutant(si: dict[str, str], aqi: str) -> Column:
+    return F.expr(main_pollutant_sql(si, aqi))

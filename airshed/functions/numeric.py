@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 TIE_TOLERANCE = 1e-7
 
 
-def round_half_up(c: Column, digits: int = 0, tolerance: float = TIE_TOLERANCE) -> Column:
-    """floor(x * 10^d + 0.5 + tol) / 10^d as DOUBLE; null stays null. NaN stays NaN."""
+def round_half_up(c: Column | str, digits: int = 0, tolerance: float = TIE_TOLERANCE) -> Column:
+    """floor(x * 10^d + 0.5 + tol) / 10^d as DOUBLE; null stays null. A str is a SQL expression."""
+    if isinstance(c, str):
+        return F.expr(round_half_up_sql(c, digits, tolerance))
     scale = float(10**digits)
     shifted = F.floor(c * F.lit(scale) + F.lit(0.5 + tolerance))
     return shifted.cast("double") / F.lit(scale) if digits else shifted.cast("double")
@@ -21,5 +23,5 @@ def round_half_up(c: Column, digits: int = 0, tolerance: float = TIE_TOLERANCE)
 def round_half_up_sql(expr: str, digits: int = 0, tolerance: float = TIE_TOLERANCE) -> str:
     """The same rule as SQL text (DuckDB / Spark SQL)."""
     scale = float(10**digits)
-    inner = f"floor(({expr}) * {scale!r} + {0.5 + tolerance!r})::DOUBLE"
+    inner = f"CAST(floor(({expr}) * {scale!r} + {0.5 + tolerance!r}) AS DOUBLE)"
     return f"({inner} / {scale!r})" if digits else f"({inner})"

@@ -43,27 +43,27 @@ def clean_hours(hourly: DataFrame) -> DataFrame:
 
     NaN becomes null (it would otherwise sort above every band and score 500); CO moves to
     mg/m3; local date/hour are derived; rows with no parseable hour, future (forecast) hours
-    and hours with no value at all are dropped.
+    and hours with no value at all are dropped. One projection, one filter.
     """
-    out = hourly
-    for col in POLLUTANTS.values():
-        out = out.withColumn(col, _no_nan(F.col(col).cast("double")))
-    out = (
-        out.withColumn("co_mg_m3", F.col("co") / F.lit(1000.0))
-        .drop("co")
-        .withColumn("obs_date_ist", local_date(F.col("ts_utc")))
-        .withColumn("obs_hour_ist", local_hour(F.col("ts_utc")))
+    value_of = {col: _no_nan(F.col(col).cast("double")) for col in POLLUTANTS.values()}
+    value_of["co_mg_m3"] = value_of.pop("co") / F.lit(1000.0)
+    keep = [c for c in hourly.columns if c not in POLLUTANTS.values()]
+    out = hourly.select(
+        *keep,
+        *[value_of[c].alias(c) for c in VALUE_COLS],
+        local_date(F.col("ts_utc")).alias("obs_date_ist"),
+        local_hour(F.col("ts_utc")).alias("obs_hour_ist"),
     )
-    return (
-        out.where(F.col("ts_utc").isNotNull())
-        .where(F.col("ts_utc") <= F.col("ingested_at"))
-        .where(F.coalesce(*[F.col(c) for c in VALUE_COLS]).isNotNull())
+    return out.where(
+        F.col("ts_utc").isNotNull()
+        & (F.col("ts_utc") <= F.col("ingested_at"))
+        & F.coalesce(*[F.col(c) for c in VALUE_COLS]).isNotNull()
     )
 
 
-def newest_first(tiebreak: list[str] | None = None) -> list[Column]:
-    """Version order: latest ingestion, then highest run id, then caller tie-breakers, all descending."""
-    return [F.col("ingested_at").desc(), F.col("run_id").desc()] + [F.col(c).desc() for c in (tiebreak or [])]
+def newest_first(tiebreak: list[str] | None = None) -> list[str]:
+    """Version order, largest wins: latest ingestion, then highest run id, then caller tie-breakers."""
+    return ["ingested_at", "run_id", *(tiebreak or [])]
 
 
 def to_silver(hourly: DataFrame, tiebreak: list[str] | None = None, *, audit: bool = True) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame  # noqa: F401
 from pyspark.sql import functions as F
 
 from ..functions import aqi
@@ -47,27 +47,25 @@ def daily_measures(hourly: DataFrame) -> DataFrame:
 
 def score_daily(measures: DataFrame, tolerance: float = TIE_TOLERANCE) -> DataFrame:
     """X1..X8 on daily measures: gated sub-indices, index, category, main pollutant, rounding."""
-    value = {p: F.col(f"{p}_24h") for p in DAILY_MEAN_POLLUTANTS}
-    value.update({p: F.col(f"{p}_8h_max") for p in ROLLING_8H_POLLUTANTS})
-    out = measures
-    for p in POLLUTANT_ORDER:
-        gated = F.when(F.col(f"{p}_hours") >= F.lit(MIN_HOURS_FOR_SUBINDEX), aqi.sub_index(p, value[p], tolerance))
-        out = out.withColumn(f"si_{p}", gated)
-    si = {p: F.col(f"si_{p}") for p in POLLUTANT_ORDER}
-    out = out.withColumn("aqi", aqi.overall_index(si))
-    out = (
-        out.withColumn("aqi_category", aqi.category(F.col("aqi")))
-        .withColumn("prominent_pollutant", aqi.main_pollutant(si, F.col("aqi")))
-        .withColumn("pollutants_reported", aqi.pollutants_reported(si))
-    )
-    rounded = [round_half_up(F.col(f"{p}_24h"), 2, tolerance).alias(f"{p}_24h") for p in DAILY_MEAN_POLLUTANTS]
-    rounded += [
-        round_half_up(F.col("o3_8h_max"), 2, tolerance).alias("o3_8h_max"),
-        round_half_up(F.col("co_8h_max"), 3, tolerance).alias("co_8h_max_mg_m3"),
+    value = {p: f"{p}_24h" for p in DAILY_MEAN_POLLUTANTS}
+    value.update({p: f"{p}_8h_max" for p in ROLLING_8H_POLLUTANTS})
+    gated = [
+        F.when(F.col(f"{p}_hours") >= F.lit(MIN_HOURS_FOR_SUBINDEX), aqi.sub_index(p, value[p], tolerance))
+        .alias(f"si_{p}") for p in POLLUTANT_ORDER
     ]
-    keep = [c for c in GOLD_COLUMNS if c not in {f"{p}_24h" for p in DAILY_MEAN_POLLUTANTS}
-            | {"o3_8h_max", "co_8h_max_mg_m3"}]
-    return out.select(*keep, *rounded).select(*GOLD_COLUMNS)
+    with_si = measures.select("*", *gated)
+    si = {p: f"si_{p}" for p in POLLUTANT_ORDER}
+    with_aqi = with_si.select("*", aqi.overall_index(si).alias("aqi"))
+    rounded = {f"{p}_24h": round_half_up(f"{p}_24h", 2, tolerance) for p in DAILY_MEAN_POLLUTANTS}
+    rounded["o3_8h_max"] = round_half_up("o3_8h_max", 2, tolerance)
+    rounded["co_8h_max_mg_m3"] = round_half_up("co_8h_max", 3, tolerance)
+    derived = {
+        "aqi_category": aqi.category("aqi"),
+        "prominent_pollutant": aqi.main_pollutant(si, "aqi"),
+        "pollutants_reported": aqi.pollutants_reported(si),
+        **rounded,
+    }
+    return with_aqi.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in GOLD_COLUMNS])
 
 
 def daily_aqi(

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
-    """Keep one row per key: the first in `newest_first` order.
+def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[str]) -> DataFrame:
+    """Keep one row per key: the one with the largest (newest_first[0], newest_first[1], ...).
 
-    Planned as a top-1 window: Catalyst adds a partial WindowGroupLimit below the shuffle, so
-    every map task reduces each key to one row before exchanging, and a hot key with millions
-    of versions ships one row per map task. Give a total order (add tie-breakers) to make the
-    winner deterministic.
+    Planned as an aggregate, max(struct(order columns..., other columns...)) per key: struct
+    comparison is field by field with nulls lowest, i.e. the first row of an ORDER BY ... DESC
+    NULLS LAST. The aggregate runs partially on every map task before the shuffle, so a hot key
+    with millions of versions ships one row per map task, and no sort of whole groups is
+    needed. Give a total order (add tie-breakers) to make the winner deterministic.
     """
-    w = Window.partitionBy(*keys).orderBy(*newest_first)
-    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
+    rest = [c for c in df.columns if c not in keys and c not in newest_first]
+    packed = F.struct(*[F.col(c) for c in newest_first], *[F.col(c) for c in rest])
+    best = df.groupBy(*keys).agg(F.max(packed).alias("_best"))
+    return best.select(*[F.col(k) for k in keys], *[F.col(f"_best.{c}").alias(c) for c in newest_first + rest])

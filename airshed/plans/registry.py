@@ -162,7 +162,7 @@ def q_sub_index_all_pollutants(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("city_id", "ts_utc", "v.pollutant", "v.conc").where(F.col("conc").isNotNull())
     si = None
     for p in POLLUTANT_ORDER:
-        branch = aqi.sub_index(p, F.col("conc"))
+        branch = aqi.sub_index(p, "conc")
         si = F.when(F.col("pollutant") == p, branch) if si is None else si.when(F.col("pollutant") == p, branch)
     return long.withColumn("si", si)
 

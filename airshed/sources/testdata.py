@@ -29,32 +29,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def readings(spark: SparkSession, sf_dir: str, *, early_ingest: bool = False, keep_source: bool = False) -> DataFrame:
-    """Hourly observations in silver units (co in ug/m3 kept as `co`), one per lineitem row."""
-    li = table(spark, sf_dir, "lineitem")
-    k = F.col("l_suppkey") % 5
-    hour_no = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % HOURS_SPAN
+def readings_exprs(*, early_ingest: bool = False) -> list[str]:
+    """The adapter's columns as Spark SQL expressions (one projection, one JVM call)."""
+    k = "(l_suppkey % 5)"
     if early_ingest:
-        ingested = F.timestamp_add("DAY", F.col("l_linenumber"), F.lit(EARLY_INGEST_BASE).cast("timestamp_ntz"))
+        ingested = "timestampadd(DAY, l_linenumber, TIMESTAMP_NTZ '2024-01-04 00:00:00')"
     else:
-        ingested = F.timestamp_add("HOUR", F.col("l_linenumber"), F.lit(INGEST_BASE).cast("timestamp_ntz"))
-    cols = [
-        F.concat(F.lit("C"), F.col("l_suppkey").cast("string")).alias("city_id"),
-        F.timestamp_add("HOUR", hour_no, F.lit(GRID_START).cast("timestamp_ntz")).alias("ts_utc"),
-        F.concat(F.lit("run-"), F.col("l_linenumber").cast("string")).alias("run_id"),
-        ingested.alias("ingested_at"),
-        (F.col("l_quantity") * (F.lit(0.3) + F.lit(1.5) * k)).alias("pm2_5"),
-        (F.col("l_extendedprice") / F.lit(1000.0) * (F.lit(0.5) + F.lit(1.5) * k)).alias("pm10"),
-        (F.col("l_discount") * F.lit(400.0) * (F.lit(1.0) + k)).alias("no2"),
-        F.when(F.col("l_partkey") % 10 >= 3, F.col("l_tax") * F.lit(300.0) * (F.lit(1.0) + k)).alias("so2"),
-        ((F.col("l_partkey") % 200) * (F.lit(0.2) + F.lit(0.2) * k)).alias("o3"),
-        ((F.col("l_orderkey") % 50) * F.lit(20.0) * (F.lit(1.0) + k)).alias("co"),
-        (F.lit(8.0) + (F.col("l_suppkey") % 29)).alias("latitude"),
-        (F.lit(68.0) + (F.col("l_suppkey") % 23)).alias("longitude"),
+        ingested = "timestampadd(HOUR, l_linenumber, TIMESTAMP_NTZ '2024-02-01 00:00:00')"
+    return [
+        "concat('C', CAST(l_suppkey AS STRING)) AS city_id",
+        f"timestampadd(HOUR, (l_orderkey * 7 + l_linenumber) % {HOURS_SPAN}, TIMESTAMP_NTZ '2024-01-01 00:00:00') "
+        "AS ts_utc",
+        "concat('run-', CAST(l_linenumber AS STRING)) AS run_id",
+        f"{ingested} AS ingested_at",
+        f"l_quantity * (CAST(0.3 AS DOUBLE) + CAST(1.5 AS DOUBLE) * {k}) AS pm2_5",
+        f"l_extendedprice / CAST(1000.0 AS DOUBLE) * (CAST(0.5 AS DOUBLE) + CAST(1.5 AS DOUBLE) * {k}) AS pm10",
+        f"l_discount * CAST(400.0 AS DOUBLE) * (CAST(1.0 AS DOUBLE) + {k}) AS no2",
+        f"CASE WHEN l_partkey % 10 >= 3 THEN l_tax * CAST(300.0 AS DOUBLE) * (CAST(1.0 AS DOUBLE) + {k}) END AS so2",
+        f"(l_partkey % 200) * (CAST(0.2 AS DOUBLE) + CAST(0.2 AS DOUBLE) * {k}) AS o3",
+        f"(l_orderkey % 50) * CAST(20.0 AS DOUBLE) * (CAST(1.0 AS DOUBLE) + {k}) AS co",
+        "CAST(8.0 AS DOUBLE) + (l_suppkey % 29) AS latitude",
+        "CAST(68.0 AS DOUBLE) + (l_suppkey % 23) AS longitude",
     ]
-    if keep_source:
-        cols += [F.col(c) for c in TIEBREAK_COLS + ["l_linenumber"]]
-    return li.select(*cols)
+
+
+def readings(spark: SparkSession, sf_dir: str, *, early_ingest: bool = False, keep_source: bool = False) -> DataFrame:
+    """Hourly observations in source units (co in ug/m3), one per lineitem row."""
+    extra = TIEBREAK_COLS + ["l_linenumber"] if keep_source else []
+    return table(spark, sf_dir, "lineitem").selectExpr(*readings_exprs(early_ingest=early_ingest), *extra)
 
 
 def dim_city(spark: SparkSession, sf_dir: str) -> DataFrame:
