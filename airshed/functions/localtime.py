@@ -34,6 +34,12 @@ def epoch_seconds(ts_ntz: Column) -> Column:
     return F.unix_timestamp(ts_ntz)
 
 
+def epoch_micros(ts_ntz: Column) -> Column:
+    """Microseconds since 1970-01-01 of an NTZ timestamp, read as UTC wall clock (exact, no zone)."""
+    frac = (F.date_part(F.lit("SECOND"), ts_ntz) * F.lit(1_000_000)).cast("long") % F.lit(1_000_000)
+    return F.unix_timestamp(ts_ntz) * F.lit(1_000_000) + frac
+
+
 def to_utc_ntz(ts_ltz: Column) -> Column:
     """Instant (TIMESTAMP) -> its UTC wall clock as TIMESTAMP_NTZ, whatever the session zone."""
     return F.convert_timezone(None, F.lit("UTC"), ts_ltz)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.breakpoints import MIN_HOURS_IN_8H_WINDOW
-from ..functions.localtime import epoch_seconds, local_day_start_utc
+from ..functions.localtime import epoch_micros, local_day_start_utc
 
 DAY_COL = "_wday"  # the local day a (possibly halo) row is evaluated in
 
@@ -53,8 +53,8 @@ def with_trailing_means(
     halo = with_halo(hourly, hours, ts, day)
     w = (
         Window.partitionBy(key, DAY_COL)
-        .orderBy(epoch_seconds(F.col(ts)))
-        .rangeBetween(-(hours - 1) * 3600, 0)
+        .orderBy(epoch_micros(F.col(ts)))
+        .rangeBetween(-(hours - 1) * 3600 * 1_000_000, 0)
     )
     means = [
         F.when(F.count(src).over(w) >= F.lit(min_count), F.avg(src).over(w)).alias(out)

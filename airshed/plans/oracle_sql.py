@@ -360,3 +360,11 @@ def landing_roundtrip_counts() -> str:
     return f"""WITH readings AS ({readings_sql()})
 SELECT city_id, run_id, strftime(CAST(ts_utc AS DATE), '%Y-%m-%d') AS window_start, min(ingested_at) AS ingested_at,
   count(*) AS hours FROM readings GROUP BY city_id, run_id, CAST(ts_utc AS DATE)"""
+
+
+def events_trailing_mean() -> str:
+    h, m = P.EVENT_WINDOW_HOURS, P.EVENT_MIN_COUNT
+    frame = f"(PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL {h - 1} HOUR PRECEDING AND CURRENT ROW)"
+    return f"""SELECT event_id, user_id, ts,
+  {rnd(f'CASE WHEN count(value) OVER {frame} >= {m} THEN avg(value) OVER {frame} END', 4)} AS value_8h
+FROM events"""

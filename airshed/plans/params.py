@@ -19,3 +19,6 @@ LOOKBACK_DAYS = 2
 BACKFILL_DAYS = 30
 # Chunk length of the window-chunk query, in days.
 CHUNK_DAYS = 4
+# Trailing mean of event values per user: frame length (hours) and minimum events in a frame.
+EVENT_WINDOW_HOURS = 8
+EVENT_MIN_COUNT = 1

@@ -20,7 +20,8 @@ from ..operators import quality, serve, upsert, windows
 from ..operators.clean import clean_hours, explode_hours, parse_payload, silver_transform, to_silver
 from ..operators.daily import SILVER_COLUMN, daily_aqi, daily_measures
 from ..operators.publish import replace_range
-from ..operators.rolling import rolling_8h_mean
+from ..functions.localtime import local_date
+from ..operators.rolling import rolling_8h_mean, with_trailing_means
 from ..schemas import SILVER_COLUMNS
 from ..session import checkpoint_dir
 from ..sources import landing, testdata
@@ -321,6 +322,16 @@ def q_landing_roundtrip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "ingested_at", F.size("p.hourly.time").cast("long").alias("hours"))
 
 
+def q_events_trailing_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 on a second table with irregular timestamps: per user, mean event value over the
+    trailing 8 hours (a time-range frame), partitioned by (user, local day) with halo rows."""
+    ev = testdata.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    ev = ev.withColumn("obs_date_ist", local_date(F.col("ts")))
+    rolled = with_trailing_means(ev, {"value_8h": "value"}, hours=P.EVENT_WINDOW_HOURS,
+                                 min_count=P.EVENT_MIN_COUNT, key="user_id", ts="ts")
+    return rolled.select("event_id", "user_id", "ts", round_half_up(F.col("value_8h"), 4).alias("value_8h"))
+
+
 QUERIES: dict[str, tuple[Query, Callable[[], str] | None]] = {
     "daily_aqi": (q_daily_aqi, osql.daily_aqi),
     "dedupe_latest": (q_dedupe_latest, osql.dedupe_latest),
@@ -353,6 +364,7 @@ QUERIES: dict[str, tuple[Query, Callable[[], str] | None]] = {
     "incremental_window": (q_incremental_window, osql.incremental_window),
     "window_chunks": (q_window_chunks, osql.window_chunks),
     "skip_loaded_files_anti": (q_skip_loaded_files_anti, osql.skip_loaded_files_anti),
+    "events_trailing_mean": (q_events_trailing_mean, osql.events_trailing_mean),
 }
 
 
