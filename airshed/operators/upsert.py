@@ -149,7 +149,10 @@ def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
         stats = staged.groupBy(partition_col).agg(F.count("*").alias("ins"), F.lit(0).alias("upd")).collect()
         return StagedMerge(spark, table_path, staged_path, cols, partition_col, stats, first_write=staged)
     target = spark.read.parquet(table_path)
-    dates = batch.select(partition_col).distinct()
+    # Size bound: one row per distinct calendar day of the batch (a decade of history is
+    # ~3,650 rows), so the broadcast is safe; it also lets Spark prune target partitions at run
+    # time (dynamic partition pruning reuses this broadcast).
+    dates = F.broadcast(batch.select(partition_col).distinct())
     touched = target.join(dates, partition_col, "left_semi")
     plan_df = merge_plan(touched, batch.select(*cols), columns=cols)
     plan_df.write.mode("overwrite").parquet(staged_path)  # inputs are fully read before any rewrite
