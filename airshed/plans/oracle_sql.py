@@ -348,18 +348,26 @@ starts AS (SELECT city_id, e, CAST(unnest(generate_series(s, e, INTERVAL {n} DAY
 SELECT city_id, chunk_start, least(CAST(chunk_start + INTERVAL {n - 1} DAY AS DATE), e) AS chunk_end FROM starts"""
 
 
+def _envelopes_sql() -> str:
+    """One row per landing envelope: (site, run, UTC day, version slot) with its hour count."""
+    tb = ", ".join(TIEBREAK_COLS)
+    return f"""readings AS ({readings_sql(keep_source=True)}),
+slotted AS (SELECT *, CAST(ts_utc AS DATE) AS d,
+  row_number() OVER (PARTITION BY city_id, run_id, ts_utc ORDER BY {tb}) - 1 AS slot FROM readings),
+envelopes AS (SELECT city_id, run_id, d, slot, min(l_linenumber) AS l_linenumber, max(ingested_at) AS ingested_at,
+  count(*) AS hours FROM slotted GROUP BY city_id, run_id, d, slot)"""
+
+
 def skip_loaded_files_anti() -> str:
-    return f"""WITH readings AS ({readings_sql(keep_source=True)}),
-files AS (SELECT DISTINCT city_id, run_id, CAST(ts_utc AS DATE) AS d, l_linenumber FROM readings)
+    return f"""WITH {_envelopes_sql()}
 SELECT city_id, run_id, strftime(d, '%Y-%m-%d') AS window_start,
-  run_id || '_' || strftime(d, '%Y%m%d') || '_landing.jsonl' AS source_file
-FROM files WHERE l_linenumber > {P.TARGET_LAST_RUN}"""
+  printf('%s_%s_v%05d_landing.jsonl', run_id, strftime(d, '%Y%m%d'), slot) AS source_file
+FROM envelopes WHERE l_linenumber > {P.TARGET_LAST_RUN}"""
 
 
 def landing_roundtrip_counts() -> str:
-    return f"""WITH readings AS ({readings_sql()})
-SELECT city_id, run_id, strftime(CAST(ts_utc AS DATE), '%Y-%m-%d') AS window_start, min(ingested_at) AS ingested_at,
-  count(*) AS hours FROM readings GROUP BY city_id, run_id, CAST(ts_utc AS DATE)"""
+    return f"""WITH {_envelopes_sql()}
+SELECT city_id, run_id, strftime(d, '%Y-%m-%d') AS window_start, ingested_at, hours FROM envelopes"""
 
 
 def events_trailing_mean() -> str:

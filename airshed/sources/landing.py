@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,21 +28,24 @@ def response_struct(entries: Column, latitude: Column, longitude: Column) -> Col
 
 
 def build_envelopes(hourly: DataFrame, source: str, order: list[str] | None = None) -> DataFrame:
-    """K1 as a DataFrame: one envelope per (city_id, run_id, UTC date) of hourly readings.
+    """K1 as a DataFrame: source-shaped envelopes of hourly readings, one value per hour each.
 
     `hourly` has city_id, run_id, ingested_at (NTZ, UTC), ts_utc, latitude, longitude and the
-    six values under our column names (co in ug/m3). The arrays are built from structs sorted
-    by (ts_utc, *order), because collect_list drops bare nulls but keeps null struct fields;
-    to_json keeps nulls inside arrays, so values round-trip. A response covers one site and one
-    day of one run: at most 24 hours per version of an hour, the natural size of a source
-    response, so no group grows with the table.
+    six values under our column names (co in ug/m3). A run that reports the same hour more
+    than once gets one envelope per version: `_slot` is the version's ordinal within (site,
+    run, hour), in `order` (ascending), and is part of the file key, so a later slot wins ties
+    in the silver dedupe. An envelope therefore covers one site, one UTC day, one run and one
+    slot: at most 24 entries, like a real source response, whatever the data volume. Arrays
+    are built from structs sorted by time; to_json keeps nulls inside arrays, so values
+    round-trip.
     """
     order = order or []
     api_of = {col: api for api, col in POLLUTANTS.items()}
-    entry = F.struct(F.col("ts_utc"), *[F.col(c) for c in order],
-                     *[F.col(col).alias(api_of[col]) for col in POLLUTANTS.values()])
+    by_hour = Window.partitionBy("city_id", "run_id", "ts_utc").orderBy(*[F.col(c) for c in order])
+    slotted = hourly.withColumn("_slot", F.row_number().over(by_hour) - 1)
+    entry = F.struct(F.col("ts_utc"), *[F.col(col).alias(api_of[col]) for col in POLLUTANTS.values()])
     day = F.to_date("ts_utc")
-    grouped = hourly.groupBy("city_id", "run_id", day.alias("_day")).agg(
+    grouped = slotted.groupBy("city_id", "run_id", day.alias("_day"), "_slot").agg(
         F.max("ingested_at").alias("_ingested"),
         F.min("latitude").alias("_lat"),
         F.min("longitude").alias("_lon"),
@@ -56,7 +59,8 @@ def build_envelopes(hourly: DataFrame, source: str, order: list[str] | None = No
         F.date_format("_day", "yyyy-MM-dd").alias("window_start"),
         F.date_format("_day", "yyyy-MM-dd").alias("window_end"),
         F.to_json(response_struct(F.col("_entries"), F.col("_lat"), F.col("_lon"))).alias("payload"),
-        F.concat_ws("_", "run_id", F.date_format("_day", "yyyyMMdd"), F.lit("landing.jsonl")).alias("_file"),
+        F.format_string("%s_%s_v%05d_landing.jsonl", F.col("run_id"), F.date_format("_day", "yyyyMMdd"),
+                        F.col("_slot")).alias("_file"),
     )
 
 
