@@ -37,7 +37,7 @@ def _bands(pollutant: str) -> list[tuple[float | None, float, float, float, floa
 
 
 def sub_index_sql(pollutant: str, conc: str, tolerance: float = TIE_TOLERANCE) -> str:
-    """Sub-index (INT) of one pollutant concentration; null concentration gives null.
+    """Sub-index (INT) of one pollutant concentration; null concentration gives null.
 
     Linear inside the first band whose upper concentration is >= conc; bands have gaps, so a
     value between two bands extrapolates the next band below its floor. Clamped to 0..500,
@@ -53,18 +53,18 @@ def sub_index_sql(pollutant: str, conc: str, tolerance: float = TIE_TOLERANCE) -
 
 
 def category_sql(aqi: str) -> str:
-    """Category name: first band whose top is >= aqi; null stays null."""
+    """Category name, first band whose top is >= aqi; null stays null."""
     arms = " ".join(f"WHEN ({aqi}) <= {i_hi} THEN '{name}'" for _, i_hi, name in BANDS)
     return f"(CASE {arms} END)"
 
 
 def pollutants_reported_sql(si: dict[str, str]) -> str:
-    """Number of pollutants with a sub-index (INT)."""
+    """Number of pollutants with a sub-index (INT)."""
     return "(" + " + ".join(f"(CASE WHEN {si[p]} IS NOT NULL THEN 1 ELSE 0 END)" for p in POLLUTANT_ORDER) + ")"
 
 
 def overall_index_sql(si: dict[str, str]) -> str:
-    """Highest sub-index, only with >= 3 sub-indices of which one is a particulate."""
+    """Highest sub-index, only with >= 3 sub-indices of which one is a particulate."""
     has_pm = " OR ".join(f"{si[p]} IS NOT NULL" for p in PARTICULATES)
     top = "greatest(" + ", ".join(si[p] for p in POLLUTANT_ORDER) + ")"
     return (f"(CASE WHEN {pollutants_reported_sql(si)} >= {MIN_POLLUTANTS_FOR_AQI} AND ({has_pm}) "
@@ -72,7 +72,7 @@ def overall_index_sql(si: dict[str, str]) -> str:
 
 
 def main_pollutant_sql(si: dict[str, str], aqi: str) -> str:
-    """First pollutant, in fixed order, whose sub-index equals the index."""
+    """First pollutant, in fixed order, whose sub-index equals the index."""
     arms = " ".join(f"WHEN {si[p]} = {aqi} THEN '{p}'" for p in POLLUTANT_ORDER)
     return f"(CASE {arms} END)"
 

@@ -17,7 +17,8 @@ def parse_payload(bronze: DataFrame) -> DataFrame:
 
 
 def explode_hours(parsed: DataFrame, carry: list[str]) -> DataFrame:
-    """P2..P4: one row per element of `p.hourly.time`; pick the same position of each value array.
+    """P2 (posexplode), P3 (positional pick), P4 (nested fields): one row per element of
+    `p.hourly.time`, taking the same position of each value array.
 
     `get` returns null past the end of a shorter (ragged) or missing array instead of failing.
     Columns in `carry` are kept; `pos` is the element position.
@@ -42,8 +43,9 @@ def clean_hours(hourly: DataFrame) -> DataFrame:
     """P5..P9 on typed hourly rows (value columns named as in POLLUTANTS, `co` in ug/m3).
 
     NaN becomes null (it would otherwise sort above every band and score 500); CO moves to
-    mg/m3; local date/hour are derived; rows with no parseable hour, future (forecast) hours
-    and hours with no value at all are dropped. One projection, one filter.
+    mg/m3 (P5); local date/hour are derived (P6); rows with no parseable hour (P7), future
+    (forecast) hours (P8) and hours with no value at all (P9) are dropped. One projection, one
+    filter.
     """
     value_of = {col: _no_nan(F.col(col).cast("double")) for col in POLLUTANTS.values()}
     value_of["co_mg_m3"] = value_of.pop("co") / F.lit(1000.0)
@@ -67,7 +69,8 @@ def newest_first(tiebreak: list[str] | None = None) -> list[str]:
 
 
 def to_silver(hourly: DataFrame, tiebreak: list[str] | None = None, *, audit: bool = True) -> DataFrame:
-    """Clean + keep the latest version per (city_id, ts_utc) + fixed silver columns."""
+    """Clean + keep the latest version per (city_id, ts_utc) + fixed silver columns (P17), with
+    the audit time `updated_at` (P16) unless `audit=False`."""
     latest = latest_per_key(clean_hours(hourly), ["city_id", "ts_utc"], newest_first(tiebreak))
     cols = [c for c in SILVER_COLUMNS if c != "updated_at"]
     if audit:

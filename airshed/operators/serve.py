@@ -13,7 +13,7 @@ REPORT_COLUMNS = ["name", "obs_date_ist", "aqi", "aqi_category", "prominent_poll
 
 
 def latest_per_site(gold: DataFrame) -> DataFrame:
-    """A4 + J3: the row of each site's latest day with a reported index.
+    """A4 + J3: the row of each site's latest day with a reported index (P15: aqi not null).
 
     One aggregate keyed by site with map-side partial aggregation (a site with a third of all
     days is pre-reduced on every map task), instead of max-date + self-join.
@@ -26,7 +26,7 @@ def latest_per_site(gold: DataFrame) -> DataFrame:
 
 
 def latest_aqi(gold: DataFrame, dim: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """X11: latest reported day per site joined to the dimension (inner), worst index first."""
+    """X11: latest reported day per site joined to the dimension (J4, inner), worst index first (O1)."""
     latest = latest_per_site(gold.select("city_id", *REPORT_COLUMNS[1:]))
     joined = join_dimension(latest, dim.select("city_id", "name"), "city_id", max_broadcast_rows)
     return joined.select(*REPORT_COLUMNS).orderBy(F.col("aqi").desc(), F.col("name"))
