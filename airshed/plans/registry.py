@@ -131,7 +131,7 @@ def q_local_day_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_drop_future_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With ingestion inside the data span, hours after the ingestion time are dropped."""
-    kept = clean_hours(hourly_readings(spark, sf_dir, early_ingest=True).withColumnRenamed("co", "co"))
+    kept = clean_hours(hourly_readings(spark, sf_dir, early_ingest=True))
     return kept.groupBy("run_id").agg(F.count("*").alias("kept_rows"), F.max("ts_utc").alias("last_ts_utc"),
                                       F.min("ingested_at").alias("ingested_at"))
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import POLLUTANTS
 from ..schemas import LANDING_SCHEMA, PAYLOAD_SCHEMA, RESPONSES_SCHEMA
@@ -148,5 +147,3 @@ def read_saved_responses(spark: SparkSession, path: str, dim_ordered: DataFrame,
         F.to_json("r").alias("payload"),
     )
 
-
-_ = T

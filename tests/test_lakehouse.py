@@ -6,8 +6,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
-
 from airshed.operators import quality
 from airshed.plans import lakehouse
 from airshed.plans.lakehouse import Paths
@@ -127,4 +125,3 @@ def test_more_responses_than_sites_fails(spark, root, dim, tmp_path):
     p.write_text(json.dumps(sample_responses() * 2), encoding="utf-8")
     with pytest.raises(Exception):
         lakehouse.run(spark, root, dim, fixture=str(p), run_id="run-x")
-    _ = F

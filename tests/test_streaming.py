@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 
 from airshed.plans.lakehouse import Paths
@@ -52,4 +51,3 @@ def test_replayed_epoch_changes_nothing(spark, tmp_path, dim):
     again = landing_stream.apply_batch(spark, root, dim, batch, 0)
     assert (first["inserted"], again["inserted"], again["updated"]) == (144, 0, 0)
     assert spark.read.parquet(Paths(root).bronze).count() == 2
-    _ = dt

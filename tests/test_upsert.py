@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from airshed.operators import upsert
 from airshed.operators.publish import replace_range, write_range
 
@@ -75,4 +73,3 @@ def test_replace_range_empties_days_without_new_rows(spark, tmp_path):
     assert write_range(spark, new, path, dt.date(2026, 9, 2), dt.date(2026, 9, 3)) == 1
     got = sorted((r.obs_date_ist.day, r.v) for r in spark.read.parquet(path).collect())
     assert got == [(1, 1), (2, 2)]
-    _ = F
