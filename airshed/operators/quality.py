@@ -61,7 +61,9 @@ def row_checks(silver: DataFrame, as_of: _dt.datetime | None = None) -> DataFram
         stats.select(*_check("plausible_concentrations", WARNING, F.col("implausible") == 0, rows("implausible"))),
     ]
     if as_of is not None:
-        limit = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(FRESHNESS_HOURS))
+        # a string cast keeps the clock value exact whatever the session or process time zone
+        as_of_ntz = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+        limit = as_of_ntz - F.make_dt_interval(F.lit(0), F.lit(FRESHNESS_HOURS))
         fresh = F.coalesce(F.col("latest") >= limit, F.lit(False))
         observed = F.concat(F.lit("latest hour "), F.coalesce(F.date_format("latest", "yyyy-MM-dd HH:mm"),
                                                               F.lit("NULL")), F.lit(" UTC"))
