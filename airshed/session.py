@@ -20,6 +20,23 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Sizing for a cluster run over `input_bytes` of parquet.
+
+    Shuffles start with about one partition per `target_partition_bytes` of input (at least
+    3x the cores, so every core has work), and AQE coalesces what turns out smaller and splits
+    skewed partitions; scan splits use the same target. 100 TB at 256 MB gives ~400k initial
+    partitions, which AQE merges after each map stage.
+    """
+    parts = max(3 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def get_spark(app: str = "airshed", master: str | None = None, shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
     """Builder with RECOMMENDED_CONF; `master`/`shuffle_partitions` only for local runs and tests."""
