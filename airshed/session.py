@@ -20,20 +20,23 @@ RECOMMENDED_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 256 << 20) -> dict:
+def cluster_conf(input_bytes: int, executor_cores_total: int, scan_split_bytes: int = 512 << 20,
+                 shuffle_input_bytes_per_partition: int = 1 << 30, max_shuffle_partitions: int = 100_000) -> dict:
     """Sizing for a cluster run over `input_bytes` of parquet.
 
-    Shuffles start with about one partition per `target_partition_bytes` of input (at least
-    3x the cores, so every core has work), and AQE coalesces what turns out smaller and splits
-    skewed partitions; scan splits use the same target. 100 TB at 256 MB gives ~400k initial
-    partitions, which AQE merges after each map stage.
+    Scan tasks read ~`scan_split_bytes` each. Shuffles start with one partition per
+    ~`shuffle_input_bytes_per_partition` of input (at least 3x the cores, at most
+    `max_shuffle_partitions`, so map-output bookkeeping stays bounded); AQE then coalesces
+    small post-shuffle partitions toward the advisory size and splits skewed ones.
+    Example: 100 TB on 8,000 cores -> 200k scan tasks, 100k initial shuffle partitions.
     """
-    parts = max(3 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    parts = -(-input_bytes // shuffle_input_bytes_per_partition)
+    parts = min(max_shuffle_partitions, max(3 * executor_cores_total, parts))
     return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
     }
 
 
