@@ -81,9 +81,11 @@ def to_silver(hourly: DataFrame, tiebreak: list[str] | None = None, *, audit: bo
 def silver_transform(bronze: DataFrame, *, audit: bool = True) -> DataFrame:
     """Bronze envelopes (payload JSON) -> one silver row per (city_id, ts_utc).
 
-    Among versions with equal ingestion time and run id, the later landing file and then the
-    later array position win, so the result does not depend on task order.
+    Among versions with equal ingestion time and run id, the later landing path (`source_path`,
+    else `source_file`) and then the later array position win, so the result does not depend
+    on task order.
     """
-    carry = ["city_id", "run_id", "ingested_at", "source_file"]
+    origin = "source_path" if "source_path" in bronze.columns else "source_file"
+    carry = ["city_id", "run_id", "ingested_at", origin]
     hourly = explode_hours(parse_payload(bronze), carry)
-    return to_silver(hourly, ["source_file", "pos"], audit=audit)
+    return to_silver(hourly, [origin, "pos"], audit=audit)

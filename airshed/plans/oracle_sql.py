@@ -376,3 +376,7 @@ def events_trailing_mean() -> str:
     return f"""SELECT event_id, user_id, ts,
   {rnd(f'CASE WHEN count(value) OVER {frame} >= {m} THEN avg(value) OVER {frame} END', 4)} AS value_8h
 FROM events"""
+
+
+def stream_landing_silver() -> str:
+    return f"WITH {base_ctes()}\nSELECT city_id, ts_utc, {', '.join(VALUE_COLS)} FROM silver"

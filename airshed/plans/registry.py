@@ -62,8 +62,9 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_of(env: DataFrame) -> DataFrame:
-    """Envelopes typed as bronze rows (the landing file name is the envelope's file key)."""
-    return landing.parse_envelopes(env.withColumnRenamed("_file", "source_file"))
+    """Envelopes typed as bronze rows (the envelope's file key stands in for the landing path)."""
+    return landing.parse_envelopes(env.drop("version").withColumnRenamed("_file", "source_file")
+                                   .withColumn("source_path", F.col("source_file")))
 
 
 def merge_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -306,7 +307,7 @@ def q_window_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_skip_loaded_files_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 + D0: landing files not yet in bronze (bronze holds the files of runs 1..4)."""
-    env = envelopes(spark, sf_dir).withColumnRenamed("_file", "source_file")
+    env = envelopes(spark, sf_dir).drop("version").withColumnRenamed("_file", "source_file")
     loaded = env.where(F.col("run_id").isin([f"run-{i}" for i in range(1, P.TARGET_LAST_RUN + 1)]))
     fresh = landing.new_files_only(env, loaded, key="source_file")
     return fresh.select("city_id", "run_id", "window_start", "source_file")
@@ -332,6 +333,24 @@ def q_events_trailing_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolled.select("event_id", "user_id", "ts", round_half_up(F.col("value_8h"), 4).alias("value_8h"))
 
 
+def q_stream_landing_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming (I1, I4, I5): landing files arrive in two waves (runs 1..4, then 5..7);
+    each `availableNow` run of the stream picks up only the new files and applies them
+    (bronze append, staged merge, gate, commit, gold). Result: silver keys and values."""
+    from ..streaming import landing_stream
+    from .lakehouse import Paths
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    paths = Paths(root)
+    env = envelopes(spark, sf_dir)
+    first_wave = F.col("run_id").isin([f"run-{i}" for i in range(1, P.TARGET_LAST_RUN + 1)])
+    dim = testdata.dim_city(spark, sf_dir)
+    for wave in (first_wave, ~first_wave):
+        landing.write_landing(env.where(wave), paths.landing)
+        landing_stream.start(spark, root, dim).awaitTermination()
+    return spark.read.parquet(paths.silver).select("city_id", "ts_utc", *VALUE_COLS)
+
+
 QUERIES: dict[str, tuple[Query, Callable[[], str] | None]] = {
     "daily_aqi": (q_daily_aqi, osql.daily_aqi),
     "dedupe_latest": (q_dedupe_latest, osql.dedupe_latest),
@@ -365,6 +384,7 @@ QUERIES: dict[str, tuple[Query, Callable[[], str] | None]] = {
     "window_chunks": (q_window_chunks, osql.window_chunks),
     "skip_loaded_files_anti": (q_skip_loaded_files_anti, osql.skip_loaded_files_anti),
     "events_trailing_mean": (q_events_trailing_mean, osql.events_trailing_mean),
+    "stream_landing_silver": (q_stream_landing_silver, osql.stream_landing_silver),
 }
 
 

@@ -60,14 +60,17 @@ def build_envelopes(hourly: DataFrame, source: str, order: list[str] | None = No
         F.to_json(response_struct(F.col("_entries"), F.col("_lat"), F.col("_lon"))).alias("payload"),
         F.format_string("%s_%s_v%05d_landing.jsonl", F.col("run_id"), F.date_format("_day", "yyyyMMdd"),
                         F.col("_slot")).alias("_file"),
+        F.format_string("%05d", F.col("_slot")).alias("version"),
     )
 
 
 def write_landing(envelopes: DataFrame, landing_dir: str) -> None:
-    """K1 sink: JSON lines under ingest_date=<date of ingestion>, appended, never rewritten."""
+    """K1 sink: JSON lines under ingest_date=<date of ingestion>/version=<slot>/, appended, never
+    rewritten. Later versions of an hour within one run land under a later `version` folder,
+    so the landing path orders them."""
     (envelopes.withColumn("ingest_date", F.substring("ingested_at", 1, 10))
      .drop("_file")
-     .write.mode("append").partitionBy("ingest_date").json(landing_dir))
+     .write.mode("append").partitionBy("ingest_date", "version").json(landing_dir))
 
 
 def _require(c: str) -> Column:
@@ -97,7 +100,8 @@ def read_landing(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     Adds the file base name (`source_file`, as recorded by the reference layout) and the full
     path (`source_path`, the skip key: base names can repeat across ingest dates).
     """
-    raw = (spark.read.schema(LANDING_SCHEMA).option("mode", "FAILFAST").json(paths)
+    raw = (spark.read.schema(LANDING_SCHEMA).option("mode", "FAILFAST").option("recursiveFileLookup", "true")
+           .json(paths)
            .select(*LANDING_SCHEMA.fieldNames(), F.col("_metadata.file_name").alias("source_file"),
                    F.col("_metadata.file_path").alias("source_path")))
     return parse_envelopes(raw)

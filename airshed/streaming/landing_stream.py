@@ -25,7 +25,8 @@ from ..sources import fs, landing
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of landing JSON lines with the declared schema; corrupt lines fail."""
-    reader = spark.readStream.schema(LANDING_SCHEMA).option("mode", "FAILFAST")
+    reader = (spark.readStream.schema(LANDING_SCHEMA).option("mode", "FAILFAST")
+              .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.json(landing_dir).select(
@@ -60,7 +61,8 @@ def apply_batch(spark: SparkSession, root: str, dim: DataFrame, batch: DataFrame
 
 
 def start(spark: SparkSession, root: str, dim: DataFrame, *, checkpoint: str | None = None,
-          available_now: bool = True, processing_time: str | None = None, log: list | None = None) -> StreamingQuery:
+          available_now: bool = True, processing_time: str | None = None, log: list | None = None,
+          max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the landing stream. The checkpoint defaults to a folder under the lakehouse root
     (shared storage), never a machine-local one."""
     paths = Paths(root)
@@ -71,7 +73,7 @@ def start(spark: SparkSession, root: str, dim: DataFrame, *, checkpoint: str | N
         if log is not None:
             log.append(out)
 
-    writer = (landing_stream(spark, paths.landing).writeStream.foreachBatch(each)
+    writer = (landing_stream(spark, paths.landing, max_files_per_trigger).writeStream.foreachBatch(each)
               .option("checkpointLocation", checkpoint).queryName("airshed_landing"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "1 minute")
