@@ -17,7 +17,8 @@ from ..functions import aqi
 from ..functions.breakpoints import DAILY_MEAN_POLLUTANTS, POLLUTANT_ORDER
 from ..functions.numeric import round_half_up
 from ..operators import quality, serve, upsert, windows
-from ..operators.clean import clean_hours, explode_hours, parse_payload, silver_transform, to_silver
+from ..operators.clean import clean_hours, explode_hours, newest_first, parse_payload, silver_transform, to_silver
+from ..operators.dedupe import latest_per_key
 from ..operators.daily import SILVER_COLUMN, daily_aqi, daily_measures
 from ..operators.publish import replace_range
 from ..functions.localtime import local_date
@@ -83,14 +84,18 @@ def merge_plan_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sequential_merge(spark: SparkSession, sf_dir: str, order: list[int]) -> DataFrame:
     """I5 batch by batch: merge each run's deduped rows into the state, in arrival `order`.
 
-    Each merged state is checkpointed to the shared checkpoint folder, so lineage stays one
-    merge deep and a lost executor recomputes one step, not the whole chain.
+    All runs' batches come from one pass: a single dedupe keyed by (run, site, hour),
+    checkpointed once, from which each batch is a filter. Each merged state is checkpointed to
+    the shared checkpoint folder, so lineage stays one merge deep and a lost executor
+    recomputes one step, not the whole chain.
     """
     checkpoint_dir(spark)
-    h = hourly_readings(spark, sf_dir)
+    clean = clean_hours(hourly_readings(spark, sf_dir))
+    per_run = latest_per_key(clean, ["run_id", "city_id", "ts_utc"],
+                             newest_first(testdata.TIEBREAK_COLS)).select(*SILVER_OUT).checkpoint()
     state = None
     for run in order:
-        batch = silver_of(h.where(F.col("l_linenumber") == run))
+        batch = per_run.where(F.col("run_id") == f"run-{run}")
         if state is None:
             state = batch.checkpoint()
             continue
