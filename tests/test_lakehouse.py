@@ -125,3 +125,21 @@ def test_more_responses_than_sites_fails(spark, root, dim, tmp_path):
     p.write_text(json.dumps(sample_responses() * 2), encoding="utf-8")
     with pytest.raises(Exception):
         lakehouse.run(spark, root, dim, fixture=str(p), run_id="run-x")
+
+
+def test_failed_run_rows_are_picked_up_later(spark, root, dim, sample_file, tmp_path):
+    bad = sample_responses()
+    bad[0]["hourly"]["pm10"][5] = -3.0
+    p = tmp_path / "bad.json"
+    p.write_text(json.dumps(bad), encoding="utf-8")
+    with pytest.raises(quality.DataQualityError):
+        lakehouse.run(spark, root, dim, fixture=str(p), run_id="run-a")
+    assert lakehouse.pending_runs(spark, Paths(root), "run-b") == ["run-a", "run-b"]
+    s = lakehouse.run(spark, root, dim, fixture=sample_file, run_id="run-b")
+    assert s.status == "success" and s.silver_inserted == 144
+    silver = spark.read.parquet(Paths(root).silver)
+    assert silver.where("pm10 < 0").count() == 0  # the newer run's version replaced the bad hour
+    # run-b merged run-a's rows and recorded it as recovered: nothing left to pick up
+    assert lakehouse.pending_runs(spark, Paths(root), "run-c") == ["run-c"]
+    statuses = sorted(r.status for r in spark.read.parquet(Paths(root).runs).collect() if r.run_id == "run-a")
+    assert statuses == ["failed", "recovered"]
