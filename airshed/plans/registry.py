@@ -19,7 +19,7 @@ from ..functions.numeric import round_half_up
 from ..operators import quality, serve, upsert, windows
 from ..operators.clean import clean_hours, explode_hours, newest_first, parse_payload, silver_transform, to_silver
 from ..operators.dedupe import latest_per_key
-from ..operators.daily import SILVER_COLUMN, daily_aqi, daily_measures
+from ..operators.daily import GOLD_COLUMNS, SILVER_COLUMN, daily_aqi, daily_measures
 from ..operators.publish import replace_range
 from ..functions.localtime import local_date
 from ..operators.rolling import rolling_8h_mean, with_trailing_means
@@ -356,6 +356,23 @@ def q_stream_landing_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(paths.silver).select("city_id", "ts_utc", *VALUE_COLS)
 
 
+def q_lakehouse_runs_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I7 (with I1, I4, I5, K2, K6): seven lakehouse runs, one per ingestion run, in order; each
+    loads its landing files, merges, gates, commits and republishes the changed days (+1).
+    The published gold then equals the daily index over all data."""
+    from .lakehouse import Paths, run
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
+    paths = Paths(root)
+    env = envelopes(spark, sf_dir).checkpoint()  # built once, landed run by run
+    dim = testdata.dim_city(spark, sf_dir)
+    for i in P.ARRIVAL_IN_ORDER:
+        folder = f"{paths.landing}/run-{i}"
+        landing.write_landing(env.where(F.col("run_id") == f"run-{i}"), folder)
+        run(spark, root, dim, landing_files=[folder], run_id=f"run-{i}", mode="backfill")
+    return spark.read.parquet(paths.gold_daily).drop("computed_at").select(*GOLD_COLUMNS)
+
+
 QUERIES: dict[str, tuple[Query, Callable[[], str] | None]] = {
     "daily_aqi": (q_daily_aqi, osql.daily_aqi),
     "dedupe_latest": (q_dedupe_latest, osql.dedupe_latest),
@@ -390,6 +407,7 @@ QUERIES: dict[str, tuple[Query, Callable[[], str] | None]] = {
     "skip_loaded_files_anti": (q_skip_loaded_files_anti, osql.skip_loaded_files_anti),
     "events_trailing_mean": (q_events_trailing_mean, osql.events_trailing_mean),
     "stream_landing_silver": (q_stream_landing_silver, osql.stream_landing_silver),
+    "lakehouse_runs_gold": (q_lakehouse_runs_gold, osql.daily_aqi),
 }
 
 
