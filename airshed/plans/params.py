@@ -22,3 +22,6 @@ CHUNK_DAYS = 4
 # Trailing mean of event values per user: frame length (hours) and minimum events in a frame.
 EVENT_WINDOW_HOURS = 8
 EVENT_MIN_COUNT = 1
+# Time buckets of the event window: events are high-frequency, so one user-day may be large;
+# 6-hour buckets bound a window group to 13 hours of one user.
+EVENT_BUCKET_HOURS = 6

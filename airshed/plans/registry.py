@@ -330,11 +330,12 @@ def q_landing_roundtrip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_events_trailing_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2 on a second table with irregular timestamps: per user, mean event value over the
-    trailing 8 hours (a time-range frame), partitioned by (user, local day) with halo rows."""
+    trailing 8 hours (a time-range frame), partitioned by (user, 6-hour bucket) with halo rows."""
     ev = testdata.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     ev = ev.withColumn("obs_date_ist", local_date(F.col("ts")))
     rolled = with_trailing_means(ev, {"value_8h": "value"}, hours=P.EVENT_WINDOW_HOURS,
-                                 min_count=P.EVENT_MIN_COUNT, key="user_id", ts="ts")
+                                 min_count=P.EVENT_MIN_COUNT, key="user_id", ts="ts",
+                                 bucket_hours=P.EVENT_BUCKET_HOURS)
     return rolled.select("event_id", "user_id", "ts", round_half_up(F.col("value_8h"), 4).alias("value_8h"))
 
 

@@ -50,3 +50,21 @@ def test_frame_crosses_local_midnight(spark):
     assert last.obs_date_ist == dt.date(2026, 9, 2)
     assert last.o3_8h == pytest.approx(sum(range(8)) / 8)
     assert got[start + dt.timedelta(hours=4)].o3_8h is None  # only 5 values in frame
+
+
+@pytest.mark.parametrize("bucket", [1, 3, 6])
+def test_short_buckets_match_brute_force(spark, bucket):
+    rnd = random.Random(bucket)
+    start = dt.datetime(2026, 9, 1)
+    rows = []
+    for h in range(24 * 3):
+        for _ in range(rnd.randint(0, 3)):  # irregular, sub-hour timestamps
+            t = start + dt.timedelta(hours=h, seconds=rnd.randint(0, 3599), microseconds=rnd.randint(0, 999999))
+            rows.append(("U", t, round(rnd.uniform(0, 50), 2), 1.0))
+    rows = list({r[1]: r for r in rows}.values())
+    out = rolling_8h_mean(_hourly(spark, rows), min_count=1, bucket_hours=bucket)
+    got = {r.ts_utc: r.o3_8h for r in out.collect()}
+    want = brute.rolling([(t, v) for _, t, v, _ in rows], hours=8, min_count=1)
+    assert len(got) == len(rows)
+    for t, w in want.items():
+        assert got[t] == pytest.approx(w), (t, got[t], w)
