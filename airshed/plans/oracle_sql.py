@@ -348,12 +348,13 @@ starts AS (SELECT city_id, e, CAST(unnest(generate_series(s, e, INTERVAL {n} DAY
 SELECT city_id, chunk_start, least(CAST(chunk_start + INTERVAL {n - 1} DAY AS DATE), e) AS chunk_end FROM starts"""
 
 
-def _envelopes_sql() -> str:
-    """One row per landing envelope: (site, run, UTC day, version slot) with its hour count."""
+def _envelopes_sql(source: str = "readings") -> str:
+    """One row per landing envelope: (site, run, UTC day, version slot) with its hour count.
+    Defines `source` as the readings view unless it is "readings" defined elsewhere."""
     tb = ", ".join(TIEBREAK_COLS)
-    return f"""readings AS ({readings_sql(keep_source=True)}),
+    return f"""{source} AS ({readings_sql(keep_source=True)}),
 slotted AS (SELECT *, CAST(ts_utc AS DATE) AS d,
-  row_number() OVER (PARTITION BY city_id, run_id, ts_utc ORDER BY {tb}) - 1 AS slot FROM readings),
+  row_number() OVER (PARTITION BY city_id, run_id, ts_utc ORDER BY {tb}) - 1 AS slot FROM {source}),
 envelopes AS (SELECT city_id, run_id, d, slot, min(l_linenumber) AS l_linenumber, max(ingested_at) AS ingested_at,
   count(*) AS hours FROM slotted GROUP BY city_id, run_id, d, slot)"""
 
@@ -380,3 +381,27 @@ FROM events"""
 
 def stream_landing_silver() -> str:
     return f"WITH {base_ctes()}\nSELECT city_id, ts_utc, {', '.join(VALUE_COLS)} FROM silver"
+
+
+def lakehouse_run_audit() -> str:
+    """Audit rows of seven runs merged in order: per step, the inserted/updated counts and the
+    changed-day window of the merge, and the gold rows of [first, last changed day + 1]."""
+    ctes, _ = sequential_merge_ctes(P.ARRIVAL_IN_ORDER)
+    rows = []
+    for i, run in enumerate(P.ARRIVAL_IN_ORDER):
+        if i == 0:
+            changed, state, ins, upd = "b0", "b0", "(SELECT count(*) FROM b0)", "0"
+        else:
+            changed = f"(SELECT * FROM p{i} WHERE _action IN ('insert', 'update'))"
+            state = f"s{i}"
+            ins = f"(SELECT count(*) FROM p{i} WHERE _action = 'insert')"
+            upd = f"(SELECT count(*) FROM p{i} WHERE _action = 'update')"
+        rows.append(f"""SELECT 'run-{run}' AS run_id, 'backfill' AS mode, w.ws AS window_start, w.we AS window_end,
+    'success' AS status, (SELECT count(*) FROM envelopes WHERE run_id = 'run-{run}') AS bronze_rows,
+    {ins} AS silver_inserted, {upd} AS silver_updated,
+    (SELECT count(*) FROM (SELECT DISTINCT city_id, obs_date_ist FROM {state}
+       WHERE obs_date_ist BETWEEN w.ws AND CAST(w.we + INTERVAL 1 DAY AS DATE))) AS gold_rows,
+    CAST(NULL AS VARCHAR) AS error
+  FROM (SELECT min(obs_date_ist) AS ws, max(obs_date_ist) AS we FROM {changed}) w""")
+    env = _envelopes_sql("env_readings")  # `readings` is already defined by the merge CTEs
+    return f"WITH {ctes},\n{env}\n" + "\nUNION ALL\n".join(rows)
