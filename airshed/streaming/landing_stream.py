@@ -11,6 +11,7 @@ merge leaves equal versions unchanged, and gold replaces whole date ranges.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def start(spark: SparkSession, root: str, dim: DataFrame, *, checkpoint: str | N
             log.append(out)
 
     writer = (landing_stream(spark, paths.landing, max_files_per_trigger).writeStream.foreachBatch(each)
-              .option("checkpointLocation", checkpoint).queryName("airshed_landing"))
+              .option("checkpointLocation", checkpoint).queryName(f"airshed_landing_{uuid.uuid4().hex[:8]}"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "1 minute")
     return writer.start()
