@@ -38,6 +38,12 @@ def _check(name: str, severity: str, passed: Column, observed: Column) -> list[C
             passed.alias("passed"), observed.alias("observed")]
 
 
+def _unpivot(one_row: DataFrame, checks: list[list[Column]]) -> DataFrame:
+    """Several checks computed from one aggregate row -> one output row each (no re-evaluation)."""
+    rows = F.explode(F.array(*[F.struct(*c) for c in checks])).alias("_c")
+    return one_row.select(rows).select("_c.*")
+
+
 def duplicate_keys(silver: DataFrame, keys: list[str] = SILVER_KEY) -> DataFrame:
     """Q1/A5: number of keys that occur more than once (one row)."""
     dupes = silver.groupBy(*keys).count().where(F.col("count") > 1).agg(F.count("*").alias("n"))
@@ -55,10 +61,10 @@ def row_checks(silver: DataFrame, as_of: _dt.datetime | None = None) -> DataFram
         F.max("ts_utc").alias("latest"),
     )
     rows = lambda c: F.concat(F.col(c).cast("string"), F.lit(" rows"))
-    parts = [
-        stats.select(*_check("not_null_keys", CRITICAL, F.col("null_keys") == 0, rows("null_keys"))),
-        stats.select(*_check("no_negative_concentrations", CRITICAL, F.col("negative") == 0, rows("negative"))),
-        stats.select(*_check("plausible_concentrations", WARNING, F.col("implausible") == 0, rows("implausible"))),
+    checks = [
+        _check("not_null_keys", CRITICAL, F.col("null_keys") == 0, rows("null_keys")),
+        _check("no_negative_concentrations", CRITICAL, F.col("negative") == 0, rows("negative")),
+        _check("plausible_concentrations", WARNING, F.col("implausible") == 0, rows("implausible")),
     ]
     if as_of is not None:
         # a string cast keeps the clock value exact whatever the session or process time zone
@@ -67,11 +73,8 @@ def row_checks(silver: DataFrame, as_of: _dt.datetime | None = None) -> DataFram
         fresh = F.coalesce(F.col("latest") >= limit, F.lit(False))
         observed = F.concat(F.lit("latest hour "), F.coalesce(F.date_format("latest", "yyyy-MM-dd HH:mm"),
                                                               F.lit("NULL")), F.lit(" UTC"))
-        parts.append(stats.select(*_check(f"fresh_within_{FRESHNESS_HOURS}h", WARNING, fresh, observed)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        checks.append(_check(f"fresh_within_{FRESHNESS_HOURS}h", WARNING, fresh, observed))
+    return _unpivot(stats, checks)
 
 
 def missing_sites(silver: DataFrame, expected: DataFrame) -> DataFrame:
