@@ -143,3 +143,10 @@ def test_failed_run_rows_are_picked_up_later(spark, root, dim, sample_file, tmp_
     assert lakehouse.pending_runs(spark, Paths(root), "run-c") == ["run-c"]
     statuses = sorted(r.status for r in spark.read.parquet(Paths(root).runs).collect() if r.run_id == "run-a")
     assert statuses == ["failed", "recovered"]
+
+
+def test_empty_lakehouse_run_and_rebuild_are_no_ops(spark, root, dim):
+    s = lakehouse.run(spark, root, dim, landing_files=[], run_id="run-empty", mode="incremental")
+    assert (s.status, s.bronze_rows, s.silver_inserted, s.gold_rows) == ("success", 0, 0, 0)
+    assert lakehouse.rebuild(spark, root, dim) == 0
+    assert [r.status for r in spark.read.parquet(Paths(root).runs).collect()] == ["success"]
