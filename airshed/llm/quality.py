@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, once, written
 
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -38,11 +38,6 @@ RULES = ("symbols", "capitals", "dup_lines", "repeats")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def once(value: Column, use) -> Column:
-    """`use(value)` with `value` computed once a row: inside lambdas a plain expression is computed for each element."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _paired(hashes: Column, span: int) -> Column:
     """Each hash with the one `span` places on."""
     return once(hashes, lambda a: F.transform(a, lambda h, i: F.xxhash64(h, F.get(a, i + span))))

@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, quality_sql, simhash
+from . import decontaminate, packing, pii, quality, quality_sql, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and found spans of every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
+                        pii.digest(F.col("spans")).alias("spans"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 1024 ids: one row per piece."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -59,6 +67,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM docs LEFT JOIN words USING (rid) LEFT JOIN found USING (rid)"""
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_pii": (op1_pii, None),
     "op4_packing": (op4_packing, None),
     "op6_quality_rules": (op6_quality_rules, quality_sql.QUERY),
     "op7_simhash": (op7_simhash, None),

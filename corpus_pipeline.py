@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm import decontaminate, packing, quality, simhash
+from airshed.llm import decontaminate, packing, pii, quality, simhash
 from airshed.llm.common import table, written
 
 
@@ -26,6 +26,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind."""
+    return pii.mask(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens."""
     return packing.pack(docs)
@@ -35,6 +40,7 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
     ("decontamination", decontamination),
+    ("pii", mask_pii),
     ("packing", pack),
 ]
 
