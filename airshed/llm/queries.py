@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, quality, quality_sql, simhash
+from . import decontaminate, html_text, langid, packing, pii, quality, quality_sql, shuffle_shards, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,20 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.digest(F.col("spans")).alias("spans"))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; documents whose crc32(doc_id) mod 4 is 2 are held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    model = langid.train(docs.where(~held_out).select("doc_id", "lang", "text"))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 1024 ids: one row per piece."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -39,6 +53,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("root_doc").alias("component_id"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document under the law `key`."""
+    rows = shuffle_shards.write_shards(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("_doc").alias("doc_id"), F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
+                       F.lit("key").alias("law"), F.col("_shard").cast("int").alias("shard"), F.col("_slot").cast("long").alias("slot"),
+                       F.col("_grown").cast("int").alias("grown_shard"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words and items found in every document."""
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -68,9 +90,12 @@ FROM docs LEFT JOIN words USING (rid) LEFT JOIN found USING (rid)"""
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_pii": (op1_pii, None),
+    "op2_langid": (op2_langid, None),
+    "op3_html_text": (op3_html_text, None),
     "op4_packing": (op4_packing, None),
     "op6_quality_rules": (op6_quality_rules, quality_sql.QUERY),
     "op7_simhash": (op7_simhash, None),
+    "op8_sharding": (op8_sharding, None),
     "op10_decontamination": (op10_decontamination, DECONTAMINATION_SQL),
 }
 
