@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, langid, packing, pii, quality, quality_sql, shuffle_shards, simhash
+from . import chat, decontaminate, html_text, langid, packing, pii, quality, quality_sql, shuffle_shards, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool calls and results derived from all conversations, linked, ordered, validated and serialised."""
+    return chat.link(chat.tool_messages(table(spark, sf_dir, "conversations")), chat.TOOLS)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and verdict of the certified cutoffs for every document."""
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -93,6 +98,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op2_langid": (op2_langid, None),
     "op3_html_text": (op3_html_text, None),
     "op4_packing": (op4_packing, None),
+    "op5_chat_format": (op5_chat_format, chat.SQL),
     "op6_quality_rules": (op6_quality_rules, quality_sql.QUERY),
     "op7_simhash": (op7_simhash, None),
     "op8_sharding": (op8_sharding, None),
