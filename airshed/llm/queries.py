@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, langid, packing, pii, quality, quality_sql, shuffle_shards, simhash
+from . import chat, decontaminate, html_text, langid, lm_score, packing, pii, quality, quality_sql, shuffle_shards, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("_grown").cast("int").alias("grown_shard"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document; documents whose crc32(doc_id) mod 7 is 2 are held out."""
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
+    return lm_score.score(table(spark, sf_dir, "documents"), held_out)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words and items found in every document."""
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -102,6 +108,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op6_quality_rules": (op6_quality_rules, quality_sql.QUERY),
     "op7_simhash": (op7_simhash, None),
     "op8_sharding": (op8_sharding, None),
+    "op9_lm_score": (op9_lm_score, None),
     "op10_decontamination": (op10_decontamination, DECONTAMINATION_SQL),
 }
 
