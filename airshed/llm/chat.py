@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from .common import positions, ship, written
 
@@ -145,8 +146,8 @@ def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         F.when(with_call, F.col("call_turn")).otherwise(F.col("turn")).alias("_k3"),
         F.when(with_call, F.col("call_id")).otherwise("").alias("_k4"),
         F.when(with_call & (F.col("kind") == "result"), 1).otherwise(0).alias("_k5"))
-    formatted = keyed.mapInArrow(_format(schemas), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.schema.fields)
-                                 + ", message string, valid boolean, errors string")
+    formatted = keyed.mapInArrow(_format(schemas), StructType([
+        *keyed.schema.fields, StructField("message", StringType()), StructField("valid", BooleanType()), StructField("errors", StringType())]))
     placed = positions(formatted, "conv_id", ["_k1", "_k2", "_k3", "_k4", "_k5", "turn", "message"])
     return placed.select("conv_id", "position", "turn", "role", "call_id", "linked", "cyclic", "valid", "errors", "message")
 

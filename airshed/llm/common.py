@@ -44,6 +44,20 @@ def once(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def as_record(df: DataFrame, name: str = "_row") -> Column:
+    """All columns of `df` as one struct, so that an operator's own columns cannot clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+
+
+def with_text(changed: DataFrame, documents: DataFrame) -> DataFrame:
+    """The columns of `documents` from rows (_row, text, _changed): with the new text, and n_chars where it changed."""
+    new = {"text": F.col("text").cast(documents.schema["text"].dataType)}
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        new["n_chars"] = F.when(F.col("_changed"), F.char_length("text").cast(kind)).otherwise(F.col("_row.n_chars"))
+    return changed.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in documents.columns])
+
+
 def positions(df: DataFrame, group: str, order: Sequence[str], out: str = "position") -> DataFrame:
     """Add `out`: the row's 0-based place in its group by `order`, without gathering a group in one task.
 

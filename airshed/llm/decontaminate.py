@@ -24,13 +24,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from .common import ship, written
+from .common import as_record, ship, with_text
 
 WINDOW_WORDS = 10
 BLOCK_WORDS = 500_000
 MAX_COVERAGE = 0.5  # share of hit words beyond which a whole document goes
 
+_FOUND = StructType([StructField("_n_words", LongType()), StructField("_spans", ArrayType(ArrayType(LongType()))),
+                     StructField("_items", ArrayType(StringType()))])
+
 # the words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing A-Z: digits, a-z and all beyond ASCII
 _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
                   for c in range(256))
@@ -224,8 +228,8 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS,
     while True:
         shared = spark.sparkContext.broadcast(build(first, window))
         given = out.withColumnsRenamed({"_spans": "_spans0", "_items": "_items0"}).drop("_n_words")
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields)
-        passed = given.mapInArrow(_scanner(shared), schema + ", _n_words long, _spans array<array<long>>, _items array<string>")
+        schema = StructType([*given.schema.fields, *_FOUND.fields])
+        passed = given.mapInArrow(_scanner(shared), schema)
         out = passed.select(*documents.columns, "_n_words", F.concat("_spans0", "_spans").alias("_spans"),
                             F.array_union("_items0", "_items").alias("_items"))
         first = next(blocks, None)
@@ -247,36 +251,29 @@ def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS,
                         F.sort_array("_items").alias("items")).withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def _remover(shared, text_at: int, chars_at: int | None, max_coverage: float):
+def _remover(max_coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, texts, sizes = [], [], []
-            spans = batch.column("_spans").to_pylist()
-            counts = batch.column("_n_words").to_pylist()
-            rows = batch.column(text_at)
-            for i, (ranges, n) in enumerate(zip(spans, counts)):
-                ranges = merged([tuple(r) for r in ranges])
+            keep, texts, changed = [], [], []
+            rows = batch.column("text")
+            for i, (spans, n) in enumerate(zip(batch.column("_spans").to_pylist(), batch.column("_n_words").to_pylist())):
+                ranges = merged([tuple(r) for r in spans])
+                if sum(b - a for a, b in ranges) > max_coverage * n:
+                    continue
                 text = rows[i].as_py()
                 if ranges:
-                    if sum(b - a for a, b in ranges) > max_coverage * n:
-                        continue
                     places = [m.span() for m in _WORD_CHARS.finditer(text)]
                     parts, at = [], 0
                     for a, b in ranges:
                         parts.append(text[at:places[a][0]])
                         at = places[b - 1][1]
                     text = "".join(parts) + text[at:]
-                    sizes.append(len(text))
-                else:
-                    sizes.append(batch.column(chars_at)[i].as_py() if chars_at is not None else 0)
                 keep.append(i)
                 texts.append(text)
+                changed.append(bool(ranges))
             kept = batch.take(pa.array(keep, pa.int64()))
-            columns = list(kept.columns[:-2])
-            columns[text_at] = pa.array(texts, pa.string())
-            if chars_at is not None:
-                columns[chars_at] = pa.array(sizes, pa.int64())
-            yield pa.RecordBatch.from_arrays(columns, names=kept.schema.names[:-2])
+            yield pa.RecordBatch.from_arrays([kept.column("_row"), pa.array(texts, pa.string()), pa.array(changed, pa.bool_())],
+                                             names=["_row", "text", "_changed"])
 
     return run
 
@@ -288,14 +285,11 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     Hit spans are cut from a text and `n_chars`, where there is one, is counted anew; a document whose hit
     words are more than `max_coverage` of its words goes. Documents without hits stay as they are.
     """
-    names = documents.columns
-    plain = documents.withColumn("text", F.col("text").cast("string"))
-    if "n_chars" in names:
-        plain = plain.withColumn("n_chars", F.col("n_chars").cast("long"))
-    marked = scan(plain, benchmark, window, block_words).drop("_items")
-    marked = marked.select(*names, "_n_words", "_spans")
-    chars_at = names.index("n_chars") if "n_chars" in names else None
-    return marked.mapInArrow(_remover(None, names.index("text"), chars_at, max_coverage), plain.schema)
+    rows = documents.select(as_record(documents), F.col("text").cast("string").alias("text"))
+    marked = scan(rows, benchmark, window, block_words).drop("_items")
+    schema = StructType([rows.schema["_row"], rows.schema["text"], StructField("_changed", BooleanType())])
+    out = marked.mapInArrow(_remover(max_coverage), schema)
+    return with_text(out, documents)
 
 
 def items_digest(items) -> str:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import once, written
+from .common import as_record, once, with_text, written
 
 KINDS = ("email", "ip", "card", "phone")  # base kinds in the order of the digest; found kinds follow by name
 
@@ -218,18 +218,14 @@ def mask(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     Only texts that can hold a span are joined with their spans; the rest pass through.
     """
-    names = documents.columns
     spans = find(documents, rounds).where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key2"), F.col("spans").alias("_spans"))
-    spans = spans.dropDuplicates(["_doc", "_key2"])
-    can = F.coalesce(F.col("text").cast("string").rlike("[0-9@]"), F.lit(False))
-    rows = documents.where(can).withColumn("_key", F.xxhash64(F.col("text").cast("string")))
-    joined = rows.join(spans, (F.col("_key") == F.col("_key2")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+        F.col("doc_id").alias("_doc2"), F.col("text_key").alias("_key2"), F.col("spans").alias("_spans"))
+    spans = spans.dropDuplicates(["_doc2", "_key2"])
+    text = F.col("text").cast("string")
+    rows = documents.select(as_record(documents), F.col("doc_id").alias("_doc"), text.alias("_text"), F.xxhash64(text).alias("_key"))
+    can = F.coalesce(F.col("_text").rlike("[0-9@]"), F.lit(False))
+    joined = rows.where(can).join(spans, (F.col("_key") == F.col("_key2")) & F.col("_doc").eqNullSafe(F.col("_doc2")), "left")
     hit = F.col("_spans").isNotNull()
-    new = joined.withColumn("_text", F.when(hit, _masked(F.col("text").cast("string"), F.col("_spans"))).otherwise(F.col("text").cast("string")))
-    changed = {"text": F.col("_text")}
-    if "n_chars" in names:
-        kind = documents.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(hit, F.char_length("_text").cast(kind)).otherwise(F.col("n_chars"))
-    out = new.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in names])
-    return documents.where(~can).withColumn("text", F.col("text").cast("string")).unionByName(out)
+    new = joined.select("_row", F.when(hit, _masked(F.col("_text"), F.col("_spans"))).otherwise(F.col("_text")).alias("text"), hit.alias("_changed"))
+    plain = rows.where(~can).select("_row", F.col("_text").alias("text"), F.lit(False).alias("_changed"))
+    return with_text(plain.unionByName(new), documents)

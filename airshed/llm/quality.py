@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, once, written
+from .common import WORD, as_record, once, written
 
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -66,8 +66,7 @@ def _repeat_words(windows: Column) -> Column:
 def measured(documents: DataFrame) -> DataFrame:
     """`_row` (all input columns), `doc_id`, `stratum`, the COUNTS, one ratio from 0 to 1 for each rule, `base_failed`."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    df = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"),
-                          F.col("doc_id").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"),
+    df = documents.select(as_record(documents), F.col("doc_id").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"),
                           text.alias("_text"))
     df = df.withColumns({
         "_words": F.filter(F.split("_text", SPACE), lambda w: w != ""),
@@ -159,4 +158,5 @@ def judge(documents: DataFrame, labels: DataFrame, risk: float = RISK, error: fl
 def filter_documents(documents: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """`documents` (same columns) without those that the rules reject; texts are not shuffled."""
     rows = written(measured(documents.select("doc_id", "text", "lang")).drop("_row"), "quality")
-    return verdict(measured(documents), certify(rows, labels, risk, error)).where("kept").select("_row.*")
+    return verdict(measured(documents), certify(rows, labels, risk, error)).where("kept").select(
+        *[F.col(f"_row.`{c}`") for c in documents.columns])

@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import scratch_path, ship, written
+from .common import as_record, scratch_path, ship, written
 
 SHARDS = 24
 SEED = 20240
@@ -72,12 +73,12 @@ def write_shards(documents: DataFrame, shards: int = SHARDS, seed: int = SEED, b
     crc = F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long")
     doc = F.col("doc_id").cast("long")
     rows = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("record"), doc.alias("_doc"), size.alias("_size"), crc.alias("_crc"),
+        as_record(documents, "record"), doc.alias("_doc"), size.alias("_size"), crc.alias("_crc"),
         shard_of(doc, shards, seed).alias("_shard"), shard_of(doc, shards + 1, seed).alias("_grown"),
         F.pmod(F.xxhash64(F.lit(~seed), doc, crc), F.lit(buckets)).cast("int").alias("_bucket"))
     names = [*rows.columns, "_place"]
     ship(spark)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", _place long"
+    schema = StructType([*rows.schema.fields, StructField("_place", LongType())])
     path = path or scratch_path(spark, "shards")
     shuffled = rows.repartition(shards * buckets, "_shard", "_bucket").groupBy("_shard", "_bucket").applyInArrow(_shuffle_bucket(seed, names), schema)
     shuffled.write.partitionBy("_shard").parquet(path)

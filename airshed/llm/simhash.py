@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import as_record, ship, written
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -224,11 +224,10 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE_WORDS, max_bits
 
 def keep_one(documents: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """`documents` (same columns) with one row of each group of near duplicates, the one with the smallest doc_id."""
-    names = documents.columns
     groups = near_duplicates(documents, shingle, max_bits)
     heads = groups.where(F.col("doc_id").eqNullSafe(F.col("root_doc")) & (F.col("text_key") == F.col("root_key")))
     heads = heads.select(F.col("doc_id").alias("_head_doc"), F.col("text_key").alias("_head_key")).distinct()
-    rows = documents.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
-    kept = rows.join(heads, F.col("doc_id").cast("long").eqNullSafe(F.col("_head_doc")) & (F.col("_key") == F.col("_head_key")),
-                     "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).select(*names)
+    rows = documents.select(as_record(documents), F.col("doc_id").cast("long").alias("_doc"),
+                            F.xxhash64(F.col("text").cast("string")).alias("_key"))
+    kept = rows.join(heads, F.col("_doc").eqNullSafe(F.col("_head_doc")) & (F.col("_key") == F.col("_head_key")), "left_semi")
+    return kept.dropDuplicates(["_doc", "_key"]).select(*[F.col(f"_row.`{c}`") for c in documents.columns])

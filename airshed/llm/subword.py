@@ -15,6 +15,7 @@ import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
 CACHE_ENTRIES = 600_000  # of a generation, about 120 MB a worker; two generations are kept (only speed changes)
+LONG_CHUNK = 64  # characters beyond which a chunk is not kept
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s|^\s|\s$")
 
@@ -87,4 +88,8 @@ class Subwords:
         if missing:
             self._learn(missing)
         find = self.cache.__getitem__
-        return [b"".join(map(find, chunks)) for chunks in split]
+        out = [b"".join(map(find, chunks)) for chunks in split]
+        for c in missing:
+            if len(c) > LONG_CHUNK:  # seldom seen again
+                del self.cache[c]
+        return out
