@@ -118,18 +118,18 @@ def certify(judged: DataFrame, labels: DataFrame, risk: float = RISK, error: flo
         (F.min("quality") > 0).alias("good"))
     seen = judged.where(~F.col("base_failed")).select("doc_id", "stratum", *RULES).join(label, "doc_id")
     rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.ceil(F.col(r) * GRID).cast("int").alias("step")) for r in RULES])
-    tally = seen.select("stratum", "good", F.inline(rules)).groupBy("stratum", "rule", "step").agg(
-        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("junk"))
+    tally = written(seen.select("stratum", "good", F.inline(rules)).groupBy("stratum", "rule", "step").agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("junk")), "tally")
+    strata = tally.select("stratum").distinct().count()
     steps = tally.select("stratum", "rule").distinct().withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(GRID))))
     full = steps.join(tally, ["stratum", "rule", "step"], "left").fillna(0, ["good", "junk"])
     by = Window.partitionBy("stratum", "rule")
     beyond = by.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)  # ratios above this cutoff
-    strata = full.select("stratum").distinct().agg(F.count(F.lit(1)).alias("strata"))
     cut = full.select("*", F.sum("good").over(by).alias("n"), F.sum("junk").over(by).alias("n_junk"),
                       F.coalesce(F.sum("good").over(beyond), F.lit(0)).alias("k"),
-                      F.coalesce(F.sum("junk").over(beyond), F.lit(0)).alias("k_junk")).join(F.broadcast(strata))  # one row
+                      F.coalesce(F.sum("junk").over(beyond), F.lit(0)).alias("k_junk"))
     tested = cut.withColumn("p", binomial_tail(F.col("n"), F.col("k"), F.lit(risk / len(RULES))))
-    passed = tested.withColumn("ok", F.col("p") <= F.lit(error / len(RULES)) / F.col("strata"))
+    passed = tested.withColumn("ok", F.col("p") <= F.lit(error / len(RULES) / max(1, strata)))
     certified = passed.withColumn("all_ok", F.min("ok").over(by.orderBy(F.desc("step")))).where("all_ok")
     worth = F.col("k_junk") / F.greatest("n_junk", F.lit(1)) - GOOD_WEIGHT * F.col("k") / F.greatest("n", F.lit(1))
     best = certified.groupBy("stratum", "rule").agg(F.max(F.struct(worth.alias("worth"), F.col("step"))).alias("best"))
