@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
-CACHE_ENTRIES = 600_000  # of a generation, about 120 MB a worker; two generations are kept (only speed changes)
+CACHE_ENTRIES = 250_000  # of a generation, about 50 MB a worker; two generations are kept (only speed changes)
 LONG_CHUNK = 64  # characters beyond which a chunk is not kept
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s|^\s|\s$")
