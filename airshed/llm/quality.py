@@ -158,5 +158,7 @@ def judge(documents: DataFrame, labels: DataFrame, risk: float = RISK, error: fl
 def filter_documents(documents: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """`documents` (same columns) without those that the rules reject; texts are not shuffled."""
     rows = written(measured(documents.select("doc_id", "text", "lang")).drop("_row"), "quality")
-    return verdict(measured(documents), certify(rows, labels, risk, error)).where("kept").select(
-        *[F.col(f"_row.`{c}`") for c in documents.columns])
+    judged = verdict(measured(documents), certify(rows, labels, risk, error))
+    # explode of a null gives no row; a filter would be pushed below the measures and compute them twice
+    kept = judged.select(F.explode(F.when(F.col("kept"), F.array("_row"))).alias("_row"))
+    return kept.select(*[F.col(f"_row.`{c}`") for c in documents.columns])
