@@ -13,8 +13,7 @@ POLLUTANTS: dict[str, str] = {
     "ozone": "o3",
     "carbon_monoxide": "co",
 }
-# Local reporting time zone is Asia/Kolkata: UTC+05:30 all year (no daylight saving).
-LOCAL_TZ = "Asia/Kolkata"
+# Local reporting time is that of Asia/Kolkata: UTC+05:30 all year (no daylight saving).
 LOCAL_OFFSET_MINUTES = 330
 # Incremental runs re-read this many days before the newest stored day.
 INCREMENTAL_LOOKBACK_DAYS = 2
@@ -31,10 +30,8 @@ FRESHNESS_HOURS = 48
 POLLUTANT_LABELS: dict[str, str] = {
     "pm2_5": "PM2.5", "pm10": "PM10", "no2": "NO2", "so2": "SO2", "o3": "O3", "co": "CO",
 }
-# End of fixed values.
-# ---------------------------------------------------------------------------------------
-
-# Silver value columns (CO already converted to mg/m3) and keys.
+# Silver value columns (CO already converted to mg/m3) and key.
 VALUE_COLS = ["pm2_5", "pm10", "no2", "so2", "o3", "co_mg_m3"]
 SILVER_KEY = ["city_id", "ts_utc"]
-GOLD_KEY = ["city_id", "obs_date_ist"]
+# End of fixed values.
+# ---------------------------------------------------------------------------------------

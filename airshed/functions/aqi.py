@@ -1,8 +1,8 @@
 """Index scoring as plain Catalyst expressions (no UDF): sub-index, category, overall index.
 
-Each rule is generated once, from the band table in `breakpoints`, as engine-neutral SQL
-expression text; the Spark Column is that text parsed by Spark (`F.expr`), so building a
-query costs one JVM call per expression, and the SQL check runs the very same text.
+Each rule is generated once, from the band table in `breakpoints`, as SQL expression text; the
+Spark Column is that text parsed by Spark (`F.expr`), so building a query costs one JVM call per
+expression. The SQL check has the rules written out on its own.
 Arguments are SQL expressions over column names (e.g. "pm2_5_24h").
 """
 
@@ -19,7 +19,7 @@ from .breakpoints import (
     POLLUTANT_ORDER,
     interpolation_segments,
 )
-from .numeric import TIE_TOLERANCE, round_half_up_sql
+from .numeric import round_half_up_sql
 
 
 def _dbl(x: float) -> str:
@@ -36,7 +36,7 @@ def _bands(pollutant: str) -> list[tuple[float | None, float, float, float, floa
             for upper, i_lo, i_hi, c_lo, c_top in interpolation_segments(pollutant)]
 
 
-def sub_index_sql(pollutant: str, conc: str, tolerance: float = TIE_TOLERANCE) -> str:
+def sub_index_sql(pollutant: str, conc: str, tolerance: float = 0.0) -> str:
     """Sub-index (INT) of one pollutant concentration; null concentration gives null.
 
     Linear inside the first band whose upper concentration is >= conc; bands have gaps, so a
@@ -80,7 +80,7 @@ def main_pollutant_sql(si: dict[str, str], aqi: str) -> str:
 # ------------------------------------------------------------------ Spark Columns (same text)
 
 
-def sub_index(pollutant: str, conc: str, tolerance: float = TIE_TOLERANCE) -> Column:
+def sub_index(pollutant: str, conc: str, tolerance: float = 0.0) -> Column:
     return F.expr(sub_index_sql(pollutant, conc, tolerance))
 
 

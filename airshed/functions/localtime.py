@@ -28,12 +28,6 @@ def local_day_start_utc(day: Column, offset_minutes: int = LOCAL_OFFSET_MINUTES)
     return day.cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(offset_minutes))
 
 
-def epoch_seconds(ts_ntz: Column) -> Column:
-    """Seconds since 1970-01-01 of an NTZ timestamp, read as UTC wall clock (no session zone,
-    so no daylight-saving jumps inside a range frame)."""
-    return F.unix_timestamp(ts_ntz)
-
-
 def epoch_micros(ts_ntz: Column) -> Column:
     """Microseconds since 1970-01-01 of an NTZ timestamp, read as UTC wall clock (exact, no zone)."""
     frac = (F.date_part(F.lit("SECOND"), ts_ntz) * F.lit(1_000_000)).cast("long") % F.lit(1_000_000)

@@ -14,7 +14,7 @@ from ..functions.breakpoints import (
     POLLUTANT_ORDER,
     ROLLING_8H_POLLUTANTS,
 )
-from ..functions.numeric import TIE_TOLERANCE, round_half_up
+from ..functions.numeric import round_half_up
 from .rolling import DAY_COL, with_trailing_means
 
 # pollutant code -> silver column
@@ -45,7 +45,7 @@ def daily_measures(hourly: DataFrame) -> DataFrame:
     return rolled.groupBy("city_id", DAY_COL).agg(*aggs).withColumnRenamed(DAY_COL, "obs_date_ist")
 
 
-def score_daily(measures: DataFrame, tolerance: float = TIE_TOLERANCE) -> DataFrame:
+def score_daily(measures: DataFrame, tolerance: float = 0.0) -> DataFrame:
     """X1..X8 on daily measures: gated sub-indices, index, category, main pollutant, rounding."""
     value = {p: f"{p}_24h" for p in DAILY_MEAN_POLLUTANTS}
     value.update({p: f"{p}_8h_max" for p in ROLLING_8H_POLLUTANTS})
@@ -73,10 +73,11 @@ def daily_aqi(
     start: _dt.date | None = None,
     end: _dt.date | None = None,
     *,
-    tolerance: float = TIE_TOLERANCE,
+    days: list[_dt.date] | None = None,
+    tolerance: float = 0.0,
     audit: bool = True,
 ) -> DataFrame:
-    """Gold rows for local days [start, end] (all days when both are None).
+    """Gold rows for local days [start, end] (all days when both are None), or for exactly `days`.
 
     The scan is widened one day back so the 8-hour means just after midnight are complete; with
     silver partitioned by obs_date_ist both filters prune partitions. The date filter has to be
@@ -85,7 +86,11 @@ def daily_aqi(
     hourly = silver
     if start is not None and end is not None:
         hourly = silver.where(F.col("obs_date_ist").between(F.lit(start - _dt.timedelta(days=1)), F.lit(end)))
+    if days is not None:
+        hourly = hourly.where(F.col("obs_date_ist").isin(sorted({*days, *(d - _dt.timedelta(days=1) for d in days)})))
     measures = daily_measures(hourly)
+    if days is not None:
+        measures = measures.where(F.col("obs_date_ist").isin(days))
     if start is not None and end is not None:
         measures = measures.where(F.col("obs_date_ist").between(F.lit(start), F.lit(end)))
     gold = score_daily(measures, tolerance)

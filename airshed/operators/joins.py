@@ -1,21 +1,11 @@
-"""Dimension joins with a checked broadcast."""
+"""Dimension joins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when `df` has at most `max_rows` rows; reads at most max_rows + 1 rows to find out."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], max_broadcast_rows: int,
-                   how: str = "inner") -> DataFrame:
-    """Fact-dimension equi join. The dimension is broadcast only after its row count is checked
-    against `max_broadcast_rows`; a larger one is joined with a shuffle (and AQE may still pick
-    a broadcast from measured sizes)."""
-    if bounded_rows(dim, max_broadcast_rows):
-        return fact.join(F.broadcast(dim), on, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Fact-dimension equi join without a hint: AQE broadcasts a side whose measured bytes are below the
+    session's threshold, and otherwise shuffles both and splits skewed keys."""
     return fact.join(dim, on, how)

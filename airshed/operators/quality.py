@@ -10,27 +10,32 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FRESHNESS_HOURS, MAX_PLAUSIBLE, SILVER_KEY, VALUE_COLS
-from ..schemas import DQ_SCHEMA
+from ..schemas import CHECK_DDL
 
 CRITICAL, WARNING = "critical", "warning"
 
 
-class DataQualityError(RuntimeError):
-    pass
+class GateBlocked(RuntimeError):
+    """Critical checks failed; `checks` has their names. Their results are on record."""
+
+    def __init__(self, checks: list[str]):
+        super().__init__(f"{len(checks)} critical checks failed: {', '.join(checks)}")
+        self.checks = checks
 
 
 def any_negative(cols: list[str] = VALUE_COLS) -> Column:
-    """Some value below zero (null values are skipped by greatest)."""
-    return F.greatest(*[(F.col(c) < F.lit(0)).cast("int") for c in cols]) == F.lit(1)
+    """Some value below zero; nulls are no values."""
+    return F.coalesce(F.exists(F.array_compact(F.array(*cols)), lambda v: v < 0), F.lit(False))
 
 
 def any_implausible(limits: dict[str, float] = MAX_PLAUSIBLE) -> Column:
-    """Some value above its column's limit."""
-    return F.greatest(*[(F.col(c) > F.lit(float(v))).cast("int") for c, v in limits.items()]) == F.lit(1)
+    """Some value above its column's limit, as shares of the limits; nulls are no values."""
+    pairs = F.array(*[F.struct(F.col(c).alias("v"), F.lit(float(top)).alias("top")) for c, top in limits.items()])
+    return F.exists(F.filter(pairs, lambda p: p["v"].isNotNull()), lambda p: p["v"] > p["top"])
 
 
 def _check(name: str, severity: str, passed: Column, observed: Column) -> list[Column]:
@@ -51,40 +56,36 @@ def duplicate_keys(silver: DataFrame, keys: list[str] = SILVER_KEY) -> DataFrame
                                 F.concat(F.col("n").cast("string"), F.lit(" duplicate keys"))))
 
 
-def row_checks(silver: DataFrame, as_of: _dt.datetime | None = None) -> DataFrame:
-    """Q2, Q3, Q4 (and Q6 when `as_of` is given) from one scan of silver: A6 filtered counts as
-    `count_if`, A7 latest hour."""
+def row_checks(silver: DataFrame) -> DataFrame:
+    """Q2, Q3, Q4 from one scan of silver: A6 filtered counts as `count_if`."""
     stats = silver.agg(
         F.count_if(F.col("city_id").isNull() | F.col("ts_utc").isNull()).alias("null_keys"),
         F.count_if(any_negative()).alias("negative"),
         F.count_if(any_implausible()).alias("implausible"),
-        F.max("ts_utc").alias("latest"),
     )
     rows = lambda c: F.concat(F.col(c).cast("string"), F.lit(" rows"))
-    checks = [
+    return _unpivot(stats, [
         _check("not_null_keys", CRITICAL, F.col("null_keys") == 0, rows("null_keys")),
         _check("no_negative_concentrations", CRITICAL, F.col("negative") == 0, rows("negative")),
         _check("plausible_concentrations", WARNING, F.col("implausible") == 0, rows("implausible")),
-    ]
-    if as_of is not None:
-        # a string cast keeps the clock value exact whatever the session or process time zone
-        as_of_ntz = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-        limit = as_of_ntz - F.make_dt_interval(F.lit(0), F.lit(FRESHNESS_HOURS))
-        fresh = F.coalesce(F.col("latest") >= limit, F.lit(False))
-        observed = F.concat(F.lit("latest hour "), F.coalesce(F.date_format("latest", "yyyy-MM-dd HH:mm"),
-                                                              F.lit("NULL")), F.lit(" UTC"))
-        checks.append(_check(f"fresh_within_{FRESHNESS_HOURS}h", WARNING, fresh, observed))
-    return _unpivot(stats, checks)
+    ])
+
+
+def freshness(silver: DataFrame, as_of: _dt.datetime) -> DataFrame:
+    """The latest stored hour lies within FRESHNESS_HOURS before `as_of` (one row)."""
+    # a string cast keeps the clock value exact whatever the session or process time zone
+    limit = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(FRESHNESS_HOURS))
+    shown = F.coalesce(F.date_format("latest", "yyyy-MM-dd HH:mm"), F.lit("NULL"))
+    return silver.agg(F.max("ts_utc").alias("latest")).select(*_check(
+        f"fresh_within_{FRESHNESS_HOURS}h", WARNING, F.coalesce(F.col("latest") >= limit, F.lit(False)),
+        F.concat(F.lit("latest hour "), shown, F.lit(" UTC"))))
 
 
 def missing_sites(silver: DataFrame, expected: DataFrame) -> DataFrame:
-    """Expected sites without any silver row, as one sorted list (one row)."""
-    present = silver.select("city_id").distinct()
-    missing = expected.select("city_id").distinct().join(present, "city_id", "left_anti")
-    listed = missing.agg(F.sort_array(F.collect_list("city_id")).alias("ids"))
-    quoted = F.transform(F.col("ids"), lambda x: F.concat(F.lit("'"), x, F.lit("'")))
-    observed = F.concat(F.lit("missing: ["), F.array_join(quoted, ", "), F.lit("]"))
-    return listed.select(*_check("all_cities_present", WARNING, F.size("ids") == 0, observed))
+    """Number of expected sites without any silver row (one row); the sites are `missing_site_rows`."""
+    missing = missing_site_rows(silver, expected).agg(F.count(F.lit(1)).alias("n"))
+    observed = F.concat(F.lit("missing: "), F.col("n").cast("string"), F.lit(" sites"))
+    return missing.select(*_check("all_cities_present", WARNING, F.col("n") == 0, observed))
 
 
 def missing_site_rows(silver: DataFrame, expected: DataFrame) -> DataFrame:
@@ -93,9 +94,16 @@ def missing_site_rows(silver: DataFrame, expected: DataFrame) -> DataFrame:
     return expected.select("city_id").distinct().join(present, "city_id", "left_anti")
 
 
-def run_checks(silver: DataFrame, expected: DataFrame, as_of: _dt.datetime | None = None) -> DataFrame:
-    """Q7: all checks as one long DataFrame; freshness only when `as_of` (live runs) is given."""
-    return row_checks(silver, as_of).unionByName(duplicate_keys(silver)).unionByName(missing_sites(silver, expected))
+def run_checks(silver: DataFrame, expected: DataFrame, as_of: _dt.datetime | None = None,
+               after: DataFrame | None = None) -> DataFrame:
+    """Q7: all checks as one long DataFrame; freshness only when `as_of` (live runs) is given.
+
+    Row and key checks read `silver` (a run: the days it stages); the site and freshness checks read
+    `after` (a run: the whole table as it will be), by default the same.
+    """
+    whole = silver if after is None else after
+    out = row_checks(silver).unionByName(duplicate_keys(silver)).unionByName(missing_sites(whole, expected))
+    return out if as_of is None else out.unionByName(freshness(whole, as_of))
 
 
 def gate_decision(results: DataFrame) -> DataFrame:
@@ -109,14 +117,15 @@ def gate_decision(results: DataFrame) -> DataFrame:
     )
 
 
-def record_and_enforce(spark: SparkSession, results: DataFrame, run_id: str, dq_path: str | None) -> list:
-    """Q8: append the results (with run id and time), then raise if a critical check failed."""
-    rows = results.select(*DQ_SCHEMA.fieldNames()[1:]).collect()  # one row per check (<= 6)
-    recorded = spark.createDataFrame([(run_id, *r) for r in rows], DQ_SCHEMA).withColumn(
-        "checked_at", F.current_timestamp())
-    if dq_path:
-        recorded.write.mode("append").parquet(dq_path)
-    failed = [r["check_name"] for r in rows if r["severity"] == CRITICAL and not r["passed"]]
-    if failed:
-        raise DataQualityError(f"Critical data quality checks failed: {failed}")
-    return rows
+def record_and_enforce(spark: SparkSession, results: DataFrame, run_id: str, checks_path: str) -> None:
+    """Q8: append the results with run id and time; raise if a critical check failed.
+
+    What is recorded is read back for the decision, so both come from one evaluation: one row a check.
+    """
+    stamped = results.select(F.lit(run_id).alias("run_id"), *[f.split()[0] for f in CHECK_DDL.split(", ")][1:],
+                             F.current_timestamp().alias("checked_at"))
+    decided = Observation("gate")
+    blocking = F.when((F.col("severity") == CRITICAL) & ~F.col("passed"), F.col("check_name"))
+    stamped.coalesce(1).observe(decided, F.collect_list(blocking).alias("blocking")).write.mode("append").parquet(checks_path)
+    if failed := sorted(decided.get["blocking"]):
+        raise GateBlocked(failed)

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import POLLUTANT_LABELS
-from ..session import checkpoint_dir
 from .joins import join_dimension
 
 REPORT_COLUMNS = ["name", "obs_date_ist", "aqi", "aqi_category", "prominent_pollutant", "pm2_5_24h", "pm10_24h"]
@@ -25,10 +24,10 @@ def latest_per_site(gold: DataFrame) -> DataFrame:
     return latest.select("city_id", *[F.col(f"_r.{c}").alias(c) for c in fields])
 
 
-def latest_aqi(gold: DataFrame, dim: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def latest_aqi(gold: DataFrame, dim: DataFrame) -> DataFrame:
     """X11: latest reported day per site joined to the dimension (J4, inner), worst index first (O1)."""
     latest = latest_per_site(gold.select("city_id", *REPORT_COLUMNS[1:]))
-    joined = join_dimension(latest, dim.select("city_id", "name"), "city_id", max_broadcast_rows)
+    joined = join_dimension(latest, dim.select("city_id", "name"), "city_id")
     return joined.select(*REPORT_COLUMNS).orderBy(F.col("aqi").desc(), F.col("name"))
 
 
@@ -38,30 +37,30 @@ def label(code: Column) -> Column:
     return F.coalesce(mapping[code], code)
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """W3 without a single-task window: 1-based position of each row in `order`.
+def global_rank(df: DataFrame, buckets: list[Column], order: list[Column], name: str = "rank") -> DataFrame:
+    """W3 without a single-task window and without a job at plan time: 1-based position in `order`.
 
-    Sort (range-partitioned, parallel) and checkpoint the sorted rows to the shared checkpoint
-    folder, so partition numbers are fixed; count rows per sorted partition, turn the counts
-    into offsets (one small row per partition, broadcast), then add the row number inside
-    each partition. The order must be total for positions to be deterministic.
+    `buckets`: sort columns that split the order coarsely, a row in an earlier bucket coming before all rows of a
+    later one. The few bucket sizes are added up in one small window; the row number is taken inside each
+    bucket. The order must be total for positions to be deterministic.
     """
-    checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*order).checkpoint().withColumn("_part", F.spark_partition_id())
-    sizes = ordered.groupBy("_part").agg(F.count("*").alias("_n"))
-    offsets = sizes.select(
-        "_part", (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_before"))
-    inner = Window.partitionBy("_part").orderBy(*order)
-    ranked = ordered.withColumn("_pos", F.row_number().over(inner))
-    return (ranked.join(F.broadcast(offsets), "_part")
-            .withColumn(name, (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_pos")).cast("int"))
-            .drop("_part", "_pos", "_before"))
+    keys = [f"_bucket{i}" for i in range(len(buckets))]
+    ascending = [F.col(k) for k in keys]
+    split = df.withColumns(dict(zip(keys, buckets)))
+    sizes = split.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*ascending).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*[F.col(k).alias(f"{k}s") for k in keys], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = split.withColumn("_pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}s"))
+    return placed.join(starts, same).select(*df.columns, (F.col("_before") + F.col("_pos")).cast("int").alias(name))
 
 
 def report_rows(latest: DataFrame) -> DataFrame:
     """Rank, label and one markdown table line per site (content of the published table)."""
-    ranked = global_rank(latest, [F.col("aqi").desc(), F.col("name")])
+    # buckets: the index (501 values) and the first character of the name
+    ranked = global_rank(latest, [-F.col("aqi"), F.substring("name", 1, 1)], [F.col("aqi").desc(), F.col("name")])
     line = F.format_string("| %d | %s | %s | **%d** | %s | %s | %s | %s |", F.col("rank"), F.col("name"),
                            F.col("obs_date_ist").cast("string"), F.col("aqi"), F.col("aqi_category"),
                            F.col("main_pollutant_label"), F.col("pm2_5_24h").cast("string"),

@@ -119,10 +119,23 @@ class StagedMerge:
     def candidate(self) -> DataFrame:
         return merged_state(self.plan, self.cols)
 
+    @property
+    def checked(self) -> DataFrame:
+        """All staged days, whether they change or not: what row checks look at."""
+        return merged_state(self.spark.read.parquet(self.staged_path), self.cols)
+
+    @property
+    def after_commit(self) -> DataFrame:
+        """The whole table as a commit will leave it: untouched partitions plus the candidate."""
+        if self._first is not None:
+            return self.checked
+        table = self.spark.read.parquet(self.table_path).select(*self.cols)
+        return table.where(~F.col(self.partition_col).isin(self.changed_dates)).unionByName(self.candidate)
+
     def commit(self, revisions_path: str | None = None) -> MergeResult:
         if self.changed_dates:
-            (self.candidate.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(self.partition_col).parquet(self.table_path))
+            (self.candidate.hint("rebalance", F.col(self.partition_col)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(self.partition_col).parquet(self.table_path))
             if revisions_path and self._first is None:
                 (revisions(self.plan).withColumn("revised_at", F.current_timestamp())
                  .write.mode("append").parquet(revisions_path))
@@ -143,8 +156,12 @@ def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
     """
     cols = [c for c in SILVER_COLUMNS if c in batch.columns]
     staged_path = fs.staging_path(table_path)
+    batch_path = f"{staged_path}-batch"  # the batch is evaluated once and read from here
+    batch.select(*cols).write.mode("overwrite").parquet(batch_path)
+    batch = spark.read.parquet(batch_path)
     if not fs.table_exists(spark, table_path):
-        batch.select(*cols).withColumn("_action", F.lit(INSERT)).write.mode("overwrite").parquet(staged_path)
+        batch.withColumn("_action", F.lit(INSERT)).write.mode("overwrite").parquet(staged_path)
+        fs.delete(spark, batch_path)
         staged = spark.read.parquet(staged_path)
         stats = staged.groupBy(partition_col).agg(F.count("*").alias("ins"), F.lit(0).alias("upd")).collect()
         return StagedMerge(spark, table_path, staged_path, cols, partition_col, stats, first_write=staged)
@@ -156,6 +173,7 @@ def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
     touched = target.join(dates, partition_col, "left_semi")
     plan_df = merge_plan(touched, batch.select(*cols), columns=cols)
     plan_df.write.mode("overwrite").parquet(staged_path)  # inputs are fully read before any rewrite
+    fs.delete(spark, batch_path)
     staged = spark.read.parquet(staged_path)
     stats = staged.groupBy(partition_col).agg(
         F.count_if(F.col("_action") == INSERT).alias("ins"),

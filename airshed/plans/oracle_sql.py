@@ -1,19 +1,57 @@
 """SQL text of the registered queries for the DuckDB check (driver tables pre-registered as views).
 
-Built from the same fixed tables as the Spark expressions, but written in the plain form of
-each rule (e.g. the 8-hour mean as one RANGE window per site, the merge as one full outer
-join per batch), not in the distributed forms the Spark operators use.
+Each rule is written out here on its own, in its plain form (the sub-indices band by band, the 8-hour
+mean as one RANGE window per site, the merge as one full outer join per batch); nothing is taken from
+`airshed.functions` or from the operators.
 """
 
 from __future__ import annotations
 
-from ..config import FRESHNESS_HOURS, MAX_PLAUSIBLE, POLLUTANT_LABELS
-from ..functions import aqi
-from ..functions.breakpoints import DAILY_MEAN_POLLUTANTS, MIN_HOURS_FOR_SUBINDEX, POLLUTANT_ORDER
-from ..functions.numeric import round_half_up_sql as rnd
-from ..sources.testdata import DIM_CITY_SQL, TIEBREAK_COLS, readings_sql
+from ..sources.testdata import DIM_CITY_SQL, TIEBREAK_COLS, faulty_sql, readings_sql
 from . import params as P
 
+# ---------------------------------------------------------------------------------------
+# Fixed values (published method): index by concentration, band by band.
+SUB_INDEX = {
+    "pm2_5": """CASE WHEN {c} <= 30 THEN 50.0 * {c} / 30 WHEN {c} <= 60 THEN 51 + 49.0 * ({c} - 31) / 29
+      WHEN {c} <= 90 THEN 101 + 99.0 * ({c} - 61) / 29 WHEN {c} <= 120 THEN 201 + 99.0 * ({c} - 91) / 29
+      WHEN {c} <= 250 THEN 301 + 99.0 * ({c} - 121) / 129 ELSE 401 + 99.0 * ({c} - 250) / 250 END""",
+    "pm10": """CASE WHEN {c} <= 50 THEN {c} WHEN {c} <= 100 THEN 51 + 49.0 * ({c} - 51) / 49
+      WHEN {c} <= 250 THEN 101 + 99.0 * ({c} - 101) / 149 WHEN {c} <= 350 THEN 201 + 99.0 * ({c} - 251) / 99
+      WHEN {c} <= 430 THEN 301 + 99.0 * ({c} - 351) / 79 ELSE 401 + 99.0 * ({c} - 430) / 430 END""",
+    "no2": """CASE WHEN {c} <= 40 THEN 50.0 * {c} / 40 WHEN {c} <= 80 THEN 51 + 49.0 * ({c} - 41) / 39
+      WHEN {c} <= 180 THEN 101 + 99.0 * ({c} - 81) / 99 WHEN {c} <= 280 THEN 201 + 99.0 * ({c} - 181) / 99
+      WHEN {c} <= 400 THEN 301 + 99.0 * ({c} - 281) / 119 ELSE 401 + 99.0 * ({c} - 400) / 400 END""",
+    "so2": """CASE WHEN {c} <= 40 THEN 50.0 * {c} / 40 WHEN {c} <= 80 THEN 51 + 49.0 * ({c} - 41) / 39
+      WHEN {c} <= 380 THEN 101 + 99.0 * ({c} - 81) / 299 WHEN {c} <= 800 THEN 201 + 99.0 * ({c} - 381) / 419
+      WHEN {c} <= 1600 THEN 301 + 99.0 * ({c} - 801) / 799 ELSE 401 + 99.0 * ({c} - 1600) / 1600 END""",
+    "o3": """CASE WHEN {c} <= 50 THEN {c} WHEN {c} <= 100 THEN 51 + 49.0 * ({c} - 51) / 49
+      WHEN {c} <= 168 THEN 101 + 99.0 * ({c} - 101) / 67 WHEN {c} <= 208 THEN 201 + 99.0 * ({c} - 169) / 39
+      WHEN {c} <= 748 THEN 301 + 99.0 * ({c} - 209) / 539 ELSE 401 + 99.0 * ({c} - 748) / 748 END""",
+    "co": """CASE WHEN {c} <= 1 THEN 50.0 * {c} WHEN {c} <= 2 THEN 51 + 49.0 * ({c} - 1.1) / 0.9
+      WHEN {c} <= 10 THEN 101 + 99.0 * ({c} - 2.1) / 7.9 WHEN {c} <= 17 THEN 201 + 99.0 * ({c} - 10) / 7
+      WHEN {c} <= 34 THEN 301 + 99.0 * ({c} - 17) / 17 ELSE 401 + 99.0 * ({c} - 34) / 34 END""",
+}
+CATEGORY = """CASE WHEN aqi <= 50 THEN 'Good' WHEN aqi <= 100 THEN 'Satisfactory' WHEN aqi <= 200 THEN 'Moderate'
+      WHEN aqi <= 300 THEN 'Poor' WHEN aqi <= 400 THEN 'Very Poor' WHEN aqi <= 500 THEN 'Severe' END"""
+POLLUTANT_ORDER = ["pm2_5", "pm10", "no2", "so2", "o3", "co"]
+DAILY_MEAN_POLLUTANTS = ["pm2_5", "pm10", "no2", "so2"]
+LABELS = "WHEN 'pm2_5' THEN 'PM2.5' WHEN 'pm10' THEN 'PM10' WHEN 'no2' THEN 'NO2' WHEN 'so2' THEN 'SO2' WHEN 'o3' THEN 'O3' WHEN 'co' THEN 'CO'"
+TOO_HIGH = "pm2_5 > 2000 OR pm10 > 3000 OR no2 > 2000 OR so2 > 3000 OR o3 > 2000 OR co_mg_m3 > 200"
+# End of fixed values.
+# ---------------------------------------------------------------------------------------
+
+
+def rnd(expr: str, digits: int) -> str:
+    """Half up to `digits`; sums in another order may differ by 1e-7, which counts as the tie in compared queries."""
+    return f"floor(({expr}) * 1e{digits} + 0.5 + 1e-7) / 1e{digits}"
+
+
+def index_of(pollutant: str, conc: str) -> str:
+    raw = "CAST(" + SUB_INDEX[pollutant].format(c=f"({conc})") + " AS DOUBLE)"
+    return f"CASE WHEN ({conc}) IS NOT NULL THEN CAST(floor(greatest(0, least(500, {raw})) + 0.5 + 1e-7) AS INTEGER) END"
+
+
 VALUES = ["pm2_5", "pm10", "no2", "so2", "o3"]
 VALUE_COLS = ["pm2_5", "pm10", "no2", "so2", "o3", "co_mg_m3"]
 SILVER_OUT = ["city_id", "ts_utc", "obs_date_ist", "obs_hour_ist", *VALUE_COLS, "grid_latitude", "grid_longitude",
@@ -71,22 +109,20 @@ def measures_sql(source: str = "rolled") -> str:
 
 
 def scored_sql(source: str = "measures") -> str:
-    value = {p: f"{p}_24h" for p in DAILY_MEAN_POLLUTANTS}
-    value.update({"o3": "o3_8h_max", "co": "co_8h_max"})
-    si_defs = ", ".join(
-        f"CASE WHEN {p}_hours >= {MIN_HOURS_FOR_SUBINDEX} THEN {aqi.sub_index_sql(p, value[p])} END AS si_{p}"
-        for p in POLLUTANT_ORDER
-    )
-    si = {p: f"si_{p}" for p in POLLUTANT_ORDER}
+    value = {p: f"{p}_24h" for p in DAILY_MEAN_POLLUTANTS} | {"o3": "o3_8h_max", "co": "co_8h_max"}
+    si_defs = ", ".join(f"CASE WHEN {p}_hours >= 16 THEN {index_of(p, value[p])} END AS si_{p}" for p in POLLUTANT_ORDER)
     rounded = ", ".join(f"{rnd(f'{p}_24h', 2)} AS {p}_24h" for p in DAILY_MEAN_POLLUTANTS)
-    return f"""SELECT city_id, obs_date_ist, aqi, {aqi.category_sql('aqi')} AS aqi_category,
-    {aqi.main_pollutant_sql(si, 'aqi')} AS prominent_pollutant,
-    {aqi.pollutants_reported_sql(si)} AS pollutants_reported,
+    return f"""SELECT city_id, obs_date_ist, aqi, {CATEGORY} AS aqi_category,
+    CASE aqi WHEN si_pm2_5 THEN 'pm2_5' WHEN si_pm10 THEN 'pm10' WHEN si_no2 THEN 'no2' WHEN si_so2 THEN 'so2'
+      WHEN si_o3 THEN 'o3' WHEN si_co THEN 'co' END AS prominent_pollutant, reported AS pollutants_reported,
     {rounded}, {rnd('o3_8h_max', 2)} AS o3_8h_max,
     {rnd('co_8h_max', 3)} AS co_8h_max_mg_m3,
     {', '.join(f'si_{p}' for p in POLLUTANT_ORDER)},
     {', '.join(f'{p}_hours' for p in POLLUTANT_ORDER)}
-  FROM (SELECT *, {aqi.overall_index_sql(si)} AS aqi FROM (SELECT *, {si_defs} FROM {source}))"""
+  FROM (SELECT *, CASE WHEN reported >= 3 AND coalesce(si_pm2_5, si_pm10) IS NOT NULL
+      THEN list_max([si_pm2_5, si_pm10, si_no2, si_so2, si_o3, si_co]) END AS aqi
+    FROM (SELECT *, CAST(len(list_filter([si_pm2_5, si_pm10, si_no2, si_so2, si_o3, si_co], lambda x: x IS NOT NULL)) AS INTEGER) AS reported
+      FROM (SELECT *, {si_defs} FROM {source})))"""
 
 
 def gold_ctes(name: str, silver: str) -> str:
@@ -171,7 +207,7 @@ def sub_index_all_pollutants() -> str:
     parts = []
     for p in POLLUTANT_ORDER:
         c = COLUMN_OF[p]
-        parts.append(f"SELECT city_id, ts_utc, '{p}' AS pollutant, {c} AS conc, {aqi.sub_index_sql(p, c)} AS si "
+        parts.append(f"SELECT city_id, ts_utc, '{p}' AS pollutant, {c} AS conc, {index_of(p, c)} AS si "
                      f"FROM silver WHERE {c} IS NOT NULL")
     return f"WITH {base_ctes()}\n" + "\nUNION ALL\n".join(parts)
 
@@ -196,45 +232,37 @@ def latest_aqi_ranked() -> str:
 
 
 def ranked_report_rows() -> str:
-    labels = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in POLLUTANT_LABELS.items())
     return f"""WITH {latest_aqi_sql_ctes()},
 ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY aqi DESC, name) AS INTEGER) AS rank,
-  coalesce(CASE prominent_pollutant {labels} END, prominent_pollutant) AS main_pollutant_label FROM latest)
-SELECT *, printf('| %d | %s | %s | **%d** | %s | %s | %.2f | %.2f |', rank, name, CAST(obs_date_ist AS VARCHAR),
-  aqi, aqi_category, main_pollutant_label, pm2_5_24h, pm10_24h) AS line FROM ranked"""
+  coalesce(CASE prominent_pollutant {LABELS} END, prominent_pollutant) AS main_pollutant_label FROM latest)
+SELECT *, printf('| %d | %s | %s | **%d** | %s | %s | %s | %s |', rank, name, CAST(obs_date_ist AS VARCHAR),
+  aqi, aqi_category, main_pollutant_label, CAST(pm2_5_24h AS VARCHAR), CAST(pm10_24h AS VARCHAR)) AS line FROM ranked"""
 
 
-def _row_checks(source: str, as_of=None) -> str:
-    neg = "greatest(" + ", ".join(f"CAST({c} < 0 AS INTEGER)" for c in VALUE_COLS) + ") = 1"
-    imp = "greatest(" + ", ".join(f"CAST({c} > {float(v)!r} AS INTEGER)" for c, v in MAX_PLAUSIBLE.items()) + ") = 1"
+def _row_checks(source: str) -> tuple[str, str]:
+    negative = " OR ".join(f"{c} < 0" for c in VALUE_COLS)
     stats = f"""SELECT count(*) FILTER (WHERE city_id IS NULL OR ts_utc IS NULL) AS null_keys,
-    count(*) FILTER (WHERE {neg}) AS negative, count(*) FILTER (WHERE {imp}) AS implausible,
-    max(ts_utc) AS latest FROM {source}"""
-    rows = [
-        "SELECT 'not_null_keys' AS check_name, 'critical' AS severity, null_keys = 0 AS passed, "
-        "CAST(null_keys AS VARCHAR) || ' rows' AS observed FROM stats",
-        "SELECT 'no_negative_concentrations', 'critical', negative = 0, CAST(negative AS VARCHAR) || ' rows' FROM stats",
-        "SELECT 'plausible_concentrations', 'warning', implausible = 0, CAST(implausible AS VARCHAR) || ' rows' "
-        "FROM stats",
-    ]
-    if as_of is not None:
-        ts = f"TIMESTAMP '{as_of.isoformat(sep=' ')}'"
-        rows.append(f"SELECT 'fresh_within_{FRESHNESS_HOURS}h', 'warning', "
-                    f"coalesce(latest >= {ts} - INTERVAL {FRESHNESS_HOURS} HOUR, false), "
-                    f"'latest hour ' || coalesce(strftime(latest, '%Y-%m-%d %H:%M'), 'NULL') || ' UTC' FROM stats")
-    return stats, "\nUNION ALL\n".join(rows)
-
-
-def _dq_all(source: str, as_of=None) -> str:
-    stats, rows = _row_checks(source, as_of)
+    count(*) FILTER (WHERE {negative}) AS negative, count(*) FILTER (WHERE {TOO_HIGH}) AS implausible FROM {source}"""
+    return stats, """SELECT 'not_null_keys' AS check_name, 'critical' AS severity, null_keys = 0 AS passed, null_keys || ' rows' AS observed FROM stats
+UNION ALL SELECT 'no_negative_concentrations', 'critical', negative = 0, negative || ' rows' FROM stats
+UNION ALL SELECT 'plausible_concentrations', 'warning', implausible = 0, implausible || ' rows' FROM stats"""
+
+
+def _fresh(source: str, as_of) -> str:
+    ts = f"TIMESTAMP '{as_of.isoformat(sep=' ')}'"
+    return f"""SELECT 'fresh_within_48h' AS check_name, 'warning' AS severity, coalesce(max(ts_utc) >= {ts} - INTERVAL 48 HOUR, false) AS passed,
+  'latest hour ' || coalesce(strftime(max(ts_utc), '%Y-%m-%d %H:%M'), 'NULL') || ' UTC' AS observed FROM {source}"""
+
+
+def _dq_all(source: str) -> str:
+    stats, rows = _row_checks(source)
     return f"""stats AS ({stats}),
 dupes AS (SELECT count(*) AS n FROM (SELECT city_id, ts_utc FROM {source} GROUP BY city_id, ts_utc HAVING count(*) > 1)),
 missing AS (SELECT d.city_id FROM (SELECT DISTINCT city_id FROM dim_city) d
   WHERE d.city_id NOT IN (SELECT DISTINCT city_id FROM {source} WHERE city_id IS NOT NULL)),
 results AS ({rows}
-UNION ALL SELECT 'unique_city_hour', 'critical', n = 0, CAST(n AS VARCHAR) || ' duplicate keys' FROM dupes
-UNION ALL SELECT 'all_cities_present', 'warning', count(*) = 0,
-  'missing: [' || coalesce(string_agg('''' || city_id || '''', ', ' ORDER BY city_id), '') || ']' FROM missing)"""
+UNION ALL SELECT 'unique_city_hour', 'critical', n = 0, n || ' duplicate keys' FROM dupes
+UNION ALL SELECT 'all_cities_present', 'warning', count(*) = 0, 'missing: ' || count(*) || ' sites' FROM missing)"""
 
 
 def dq_results_long() -> str:
@@ -247,8 +275,32 @@ SELECT city_id, ts_utc, count(*) AS versions FROM clean GROUP BY city_id, ts_utc
 
 
 def dq_freshness_asof() -> str:
-    stats, rows = _row_checks("silver", P.FRESHNESS_AS_OF)
-    return f"WITH {base_ctes()},\nstats AS ({stats}),\nr AS ({rows})\nSELECT * FROM r WHERE check_name LIKE 'fresh%'"
+    return f"WITH {base_ctes()}\n{_fresh('silver', P.FRESHNESS_AS_OF)}"
+
+
+FAULTY = f"faulty AS (SELECT *, co / 1000.0 AS co_mg_m3 FROM ({faulty_sql()}))"
+
+
+def dq_faulty(check: str) -> str:
+    stats, rows = _row_checks("faulty")
+    return f"WITH {FAULTY},\nstats AS ({stats}),\nr AS ({rows})\nSELECT * FROM r WHERE check_name = '{check}'"
+
+
+def drop_all_null_rows() -> str:
+    return f"""WITH {FAULTY}
+SELECT run_id, count(*) AS rows, count(*) FILTER (WHERE NOT empty) AS kept FROM (
+  SELECT run_id, coalesce(pm2_5, pm10, no2, so2, CASE WHEN NOT isnan(o3) THEN o3 END, co) IS NULL AS empty
+  FROM faulty WHERE ts_utc IS NOT NULL) GROUP BY run_id"""
+
+
+def drop_bad_timestamps() -> str:
+    return f"WITH {FAULTY}\nSELECT run_id, count(*) AS rows, count(ts_utc) AS parsed, max(ts_utc) AS last_ts_utc FROM faulty GROUP BY run_id"
+
+
+def select_run_rows() -> str:
+    runs = ", ".join(f"'{r}'" for r in P.SELECTED_RUNS)
+    return f"""WITH {_envelopes_sql()}
+SELECT city_id, run_id, strftime(d, '%Y-%m-%d') AS window_start, ingested_at, hours FROM envelopes WHERE run_id IN ({runs})"""
 
 
 def dq_gate_decision() -> str:
@@ -262,12 +314,14 @@ FROM results"""
 
 def dq_missing_cities() -> str:
     return f"""WITH {base_ctes()},\n{DIM}
-SELECT d.city_id FROM (SELECT DISTINCT city_id FROM dim_city) d
+SELECT city_id FROM (SELECT city_id FROM dim_city UNION SELECT 'R' || r_regionkey FROM region) d
 WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.city_id = d.city_id)"""
 
 
 def dim_unique_key_check() -> str:
-    return f"WITH {DIM}\nSELECT city_id, count(*) AS n FROM dim_city GROUP BY city_id HAVING count(*) > 1"
+    return f"""WITH {DIM}
+SELECT city_id, count(*) AS n FROM (SELECT city_id FROM dim_city UNION ALL SELECT 'C' || n_nationkey FROM nation)
+GROUP BY city_id HAVING count(*) > 1"""
 
 
 def dim_publish() -> str:
@@ -383,25 +437,47 @@ def stream_landing_silver() -> str:
     return f"WITH {base_ctes()}\nSELECT city_id, ts_utc, {', '.join(VALUE_COLS)} FROM silver"
 
 
-def lakehouse_run_audit() -> str:
-    """Audit rows of seven runs merged in order: per step, the inserted/updated counts and the
-    changed-day window of the merge, and the gold rows of [first, last changed day + 1]."""
+def _run_steps() -> tuple[str, list[tuple[int, str, str, str, str]]]:
+    """CTEs of seven runs merged in order; for each its changed rows, the state after it and its counts."""
     ctes, _ = sequential_merge_ctes(P.ARRIVAL_IN_ORDER)
-    rows = []
-    for i, run in enumerate(P.ARRIVAL_IN_ORDER):
-        if i == 0:
-            changed, state, ins, upd = "b0", "b0", "(SELECT count(*) FROM b0)", "0"
-        else:
-            changed = f"(SELECT * FROM p{i} WHERE _action IN ('insert', 'update'))"
-            state = f"s{i}"
-            ins = f"(SELECT count(*) FROM p{i} WHERE _action = 'insert')"
-            upd = f"(SELECT count(*) FROM p{i} WHERE _action = 'update')"
-        rows.append(f"""SELECT 'run-{run}' AS run_id, 'backfill' AS mode, w.ws AS window_start, w.we AS window_end,
-    'success' AS status, (SELECT count(*) FROM envelopes WHERE run_id = 'run-{run}') AS bronze_rows,
-    {ins} AS silver_inserted, {upd} AS silver_updated,
-    (SELECT count(*) FROM (SELECT DISTINCT city_id, obs_date_ist FROM {state}
-       WHERE obs_date_ist BETWEEN w.ws AND CAST(w.we + INTERVAL 1 DAY AS DATE))) AS gold_rows,
-    CAST(NULL AS VARCHAR) AS error
-  FROM (SELECT min(obs_date_ist) AS ws, max(obs_date_ist) AS we FROM {changed}) w""")
+    steps = [(P.ARRIVAL_IN_ORDER[0], "b0", "b0", "(SELECT count(*) FROM b0)", "0")]
+    for i, run in enumerate(P.ARRIVAL_IN_ORDER[1:], 1):
+        steps.append((run, f"(SELECT * FROM p{i} WHERE _action IN ('insert', 'update'))", f"s{i}",
+                      f"(SELECT count(*) FROM p{i} WHERE _action = 'insert')", f"(SELECT count(*) FROM p{i} WHERE _action = 'update')"))
+    return ctes, steps
+
+
+def lakehouse_run_audit() -> str:
+    """Audit rows: the window asked for (the days landed), the counts, and the gold rows of changed days and their next days."""
+    ctes, steps = _run_steps()
+    rows = [f"""SELECT 'run-{run}' AS run_id, 'backfill' AS mode, (SELECT min(d) FROM envelopes WHERE run_id = 'run-{run}') AS window_start,
+    (SELECT max(d) FROM envelopes WHERE run_id = 'run-{run}') AS window_end, 'success' AS status,
+    (SELECT count(*) FROM envelopes WHERE run_id = 'run-{run}') AS bronze_rows, {ins} AS silver_inserted, {upd} AS silver_updated,
+    (SELECT count(*) FROM (SELECT DISTINCT city_id, obs_date_ist FROM {state} WHERE obs_date_ist IN (
+       SELECT obs_date_ist FROM {changed} UNION SELECT CAST(obs_date_ist + INTERVAL 1 DAY AS DATE) FROM {changed}))) AS gold_rows,
+    CAST(NULL AS VARCHAR) AS error""" for run, changed, state, ins, upd in steps]
     env = _envelopes_sql("env_readings")  # `readings` is already defined by the merge CTEs
     return f"WITH {ctes},\n{env}\n" + "\nUNION ALL\n".join(rows)
+
+
+def lakehouse_run_checks() -> str:
+    """The check table of runs by site half: row checks see the days of a run's batch, site and freshness checks all of silver."""
+    ctes = f"""{base_ctes()},\n{DIM},
+first_half AS ({dedupe_sql('clean', P.FIRST_SITES_SQL)}),
+whole AS ({dedupe_sql('clean')}),
+second_days AS (SELECT * FROM whole WHERE obs_date_ist IN (SELECT obs_date_ist FROM clean WHERE NOT ({P.FIRST_SITES_SQL})))"""
+    parts = []
+    for run, staged, after in (("sites-1", "first_half", "first_half"), ("sites-2", "second_days", "whole")):
+        stats, rows = _row_checks(staged)
+        parts.append(f"""SELECT '{run}' AS run_id, * FROM (WITH stats AS ({stats}) {rows}
+UNION ALL SELECT 'unique_city_hour', 'critical', n = 0, n || ' duplicate keys'
+  FROM (SELECT count(*) AS n FROM (SELECT 1 FROM {staged} GROUP BY city_id, ts_utc HAVING count(*) > 1))
+UNION ALL SELECT 'all_cities_present', 'warning', count(*) = 0, 'missing: ' || count(*) || ' sites'
+  FROM dim_city d WHERE NOT EXISTS (SELECT 1 FROM {after} s WHERE s.city_id = d.city_id)
+UNION ALL {_fresh(after, P.FRESHNESS_AS_OF)})""")
+    return f"WITH {ctes}\n" + "\nUNION ALL\n".join(parts)
+
+
+def rebuild_equals_incremental() -> str:
+    """Values of a full replay, as kept by the rebuilt silver."""
+    return f"WITH {base_ctes()}\nSELECT city_id, ts_utc, {', '.join(VALUE_COLS)} FROM silver"

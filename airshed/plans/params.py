@@ -25,3 +25,7 @@ EVENT_MIN_COUNT = 1
 # Time buckets of the event window: events are high-frequency, so one user-day may be large;
 # 6-hour buckets bound a window group to 13 hours of one user.
 EVENT_BUCKET_HOURS = 6
+# Runs picked by the run-selection query.
+SELECTED_RUNS = ["run-2", "run-5"]
+# Two runs by site: the first holds the sites with an even supplier number.
+FIRST_SITES_SQL = "l_suppkey % 2 = 0"

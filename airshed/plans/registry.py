@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from ..functions import aqi
 from ..functions.breakpoints import DAILY_MEAN_POLLUTANTS, POLLUTANT_ORDER
-from ..functions.numeric import round_half_up
+from ..functions.numeric import TIE_TOLERANCE, round_half_up as plain_round
 from ..operators import quality, serve, upsert, windows
 from ..operators.clean import clean_hours, explode_hours, newest_first, parse_payload, silver_transform, to_silver
 from ..operators.dedupe import latest_per_key
 from ..operators.daily import GOLD_COLUMNS, SILVER_COLUMN, daily_aqi, daily_measures
-from ..operators.publish import replace_range
-from ..functions.localtime import local_date
+from ..operators.publish import publish_dimension, replace_range
+from ..functions.localtime import local_date, parse_utc_hour
 from ..operators.rolling import rolling_8h_mean, with_trailing_means
 from ..schemas import SILVER_COLUMNS
 from ..session import checkpoint_dir
@@ -29,6 +29,11 @@ from ..sources import landing, testdata
 from . import oracle_sql as osql
 from . import params as P
 
+def round_half_up(c, digits: int = 0):
+    """Rounding of the compared queries (see TIE_TOLERANCE)."""
+    return plain_round(c, digits, TIE_TOLERANCE)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 SILVER_OUT = [c for c in SILVER_COLUMNS if c != "updated_at"]
 VALUE_COLS = ["pm2_5", "pm10", "no2", "so2", "o3", "co_mg_m3"]
@@ -37,6 +42,11 @@ VALUE_COLS = ["pm2_5", "pm10", "no2", "so2", "o3", "co_mg_m3"]
 # ------------------------------------------------------------------------ shared inputs
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def hourly_readings(spark: SparkSession, sf_dir: str, *, early_ingest: bool = False) -> DataFrame:
     """Readings view with silver-style grid column names and the tie-break columns."""
     return (testdata.readings(spark, sf_dir, early_ingest=early_ingest, keep_source=True)
@@ -53,7 +63,7 @@ def silver_from_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_of(silver: DataFrame) -> DataFrame:
-    return daily_aqi(silver, audit=False)
+    return daily_aqi(silver, audit=False, tolerance=TIE_TOLERANCE)
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,18 +94,19 @@ def merge_plan_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sequential_merge(spark: SparkSession, sf_dir: str, order: list[int]) -> DataFrame:
     """I5 batch by batch: merge each run's deduped rows into the state, in arrival `order`.
 
-    All runs' batches come from one pass: a single dedupe keyed by (run, site, hour),
-    checkpointed once, from which each batch is a filter. Each merged state is checkpointed to
+    All runs' batches come from one pass: a single dedupe keyed by (run, site, hour), written once,
+    partitioned by run, so each batch reads its own files. Each merged state is checkpointed to
     the shared checkpoint folder, so lineage stays one merge deep and a lost executor
     recomputes one step, not the whole chain.
     """
-    checkpoint_dir(spark)
+    folder = scratch(spark, "per-run")
     clean = clean_hours(hourly_readings(spark, sf_dir))
     per_run = latest_per_key(clean, ["run_id", "city_id", "ts_utc"],
-                             newest_first(testdata.TIEBREAK_COLS)).select(*SILVER_OUT).checkpoint()
+                             newest_first(testdata.TIEBREAK_COLS)).select(*SILVER_OUT)
+    per_run.hint("rebalance", F.col("run_id")).withColumn("run", F.col("run_id")).write.partitionBy("run").parquet(folder)
     state = None
     for run in order:
-        batch = per_run.where(F.col("run_id") == f"run-{run}")
+        batch = spark.read.parquet(folder).where(F.col("run") == f"run-{run}").select(*SILVER_OUT)
         if state is None:
             state = batch.checkpoint()
             continue
@@ -169,7 +180,7 @@ def q_sub_index_all_pollutants(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("city_id", "ts_utc", "v.pollutant", "v.conc").where(F.col("conc").isNotNull())
     si = None
     for p in POLLUTANT_ORDER:
-        branch = aqi.sub_index(p, "conc")
+        branch = aqi.sub_index(p, "conc", TIE_TOLERANCE)
         si = F.when(F.col("pollutant") == p, branch) if si is None else si.when(F.col("pollutant") == p, branch)
     return long.withColumn("si", si)
 
@@ -193,11 +204,7 @@ def q_latest_aqi_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ranked_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X12 + W3 + P18: ranked report rows with pollutant labels and the table line."""
-    rows = serve.report_rows(_latest(spark, sf_dir))
-    line = F.format_string("| %d | %s | %s | **%d** | %s | %s | %.2f | %.2f |", F.col("rank"), F.col("name"),
-                           F.col("obs_date_ist").cast("string"), F.col("aqi"), F.col("aqi_category"),
-                           F.col("main_pollutant_label"), F.col("pm2_5_24h"), F.col("pm10_24h"))
-    return rows.withColumn("line", line)
+    return serve.report_rows(_latest(spark, sf_dir))
 
 
 def q_dq_results_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,8 +220,55 @@ def q_dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dq_freshness_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freshness against a fixed clock."""
-    checks = quality.row_checks(silver_from_readings(spark, sf_dir), P.FRESHNESS_AS_OF)
-    return checks.where(F.col("check_name").startswith("fresh"))
+    return quality.freshness(silver_from_readings(spark, sf_dir), P.FRESHNESS_AS_OF)
+
+
+def faulty_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty readings with their hour text parsed; `co` in ug/m3."""
+    return testdata.faulty_readings(spark, sf_dir).withColumn("ts_utc", parse_utc_hour(F.col("hour_text"))).drop("hour_text")
+
+
+def _faulty_check(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    rows = faulty_hours(spark, sf_dir).withColumn("co_mg_m3", F.col("co") / F.lit(1000.0))
+    return quality.row_checks(rows).where(F.col("check_name") == name)
+
+
+def q_dq_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: rows without site or hour among the faulty readings."""
+    return _faulty_check(spark, sf_dir, "not_null_keys")
+
+
+def q_dq_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 + P12 on the faulty readings."""
+    return _faulty_check(spark, sf_dir, "no_negative_concentrations")
+
+
+def q_dq_implausible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 + P13 on the faulty readings."""
+    return _faulty_check(spark, sf_dir, "plausible_concentrations")
+
+
+def q_drop_all_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the faulty readings with an hour, those with a value, by run."""
+    rows = faulty_hours(spark, sf_dir).where("ts_utc is not null").withColumn("row_no", F.lit(1))
+    kept = clean_hours(rows).groupBy("run_id").agg(F.count("*").alias("kept"))
+    return rows.groupBy("run_id").agg(F.count("*").alias("rows")).join(kept, "run_id", "left").select(
+        "run_id", "rows", F.coalesce("kept", F.lit(0)).alias("kept"))
+
+
+def q_drop_bad_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of the faulty readings whose text parses, by run."""
+    return faulty_hours(spark, sf_dir).groupBy("run_id").agg(
+        F.count("*").alias("rows"), F.count("ts_utc").alias("parsed"), F.max("ts_utc").alias("last_ts_utc"))
+
+
+def q_select_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: the bronze rows of two runs, with their hours."""
+    from .lakehouse import rows_of_runs
+
+    parsed = parse_payload(rows_of_runs(bronze_of(envelopes(spark, sf_dir)), P.SELECTED_RUNS))
+    return parsed.select("city_id", "run_id", F.date_format("window_start", "yyyy-MM-dd").alias("window_start"),
+                         "ingested_at", F.size("p.hourly.time").cast("long").alias("hours"))
 
 
 def q_dq_gate_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,19 +279,22 @@ def q_dq_gate_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_missing_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Configured sites without any stored hour."""
-    return quality.missing_site_rows(silver_from_readings(spark, sf_dir), testdata.dim_city(spark, sf_dir))
+    """Expected sites without any stored hour (one for each region has none)."""
+    return quality.missing_site_rows(silver_from_readings(spark, sf_dir), testdata.sites_with_gaps(spark, sf_dir))
 
 
 def q_dim_unique_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Duplicate site ids in the dimension (must be empty)."""
-    dim = testdata.dim_city(spark, sf_dir)
+    """Repeated site ids in a dimension that has some."""
+    dim = testdata.repeated_sites(spark, sf_dir)
     return dim.groupBy("city_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
 def q_dim_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K7 content: the site dimension as published."""
-    return testdata.dim_city(spark, sf_dir)
+    """K7: the site dimension published over an older version, and read back."""
+    path = scratch(spark, "sites")
+    publish_dimension(testdata.dim_city(spark, sf_dir).limit(0).select("city_id"), path)
+    publish_dimension(testdata.dim_city(spark, sf_dir), path)
+    return spark.read.parquet(path)
 
 
 def q_merge_upsert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,7 +377,7 @@ def q_skip_loaded_files_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_landing_roundtrip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 -> files -> S1: envelopes written as JSON lines and read back FAILFAST."""
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    folder = scratch(spark, "landing")
     landing.write_landing(envelopes(spark, sf_dir), folder)
     back = landing.read_landing(spark, folder)
     parsed = parse_payload(back)
@@ -344,60 +401,110 @@ def q_stream_landing_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     each `availableNow` run of the stream picks up only the new files and applies them
     (bronze append, staged merge, gate, commit, gold). Result: silver keys and values."""
     from ..streaming import landing_stream
-    from .lakehouse import Paths
+    from .lakehouse import at
 
-    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    paths = Paths(root)
+    root = scratch(spark, "stream")
     env = envelopes(spark, sf_dir)
     first_wave = F.col("run_id").isin([f"run-{i}" for i in range(1, P.TARGET_LAST_RUN + 1)])
     dim = testdata.dim_city(spark, sf_dir)
     for wave in (first_wave, ~first_wave):
-        landing.write_landing(env.where(wave), paths.landing)
+        landing.write_landing(env.where(wave), at(root, "landing"))
         landing_stream.start(spark, root, dim).awaitTermination()
-    return spark.read.parquet(paths.silver).select("city_id", "ts_utc", *VALUE_COLS)
-
-
-_LAKES: dict[tuple[str, str], str] = {}
+    return spark.read.parquet(at(root, "silver")).select("city_id", "ts_utc", *VALUE_COLS)
 
 
 def seven_run_lakehouse(spark: SparkSession, sf_dir: str) -> str:
-    """Seven lakehouse runs, one per ingestion run, in order (built once per session and data
-    folder; both lakehouse queries read the result). Returns the lakehouse root."""
-    from ..sources import fs
-    from .lakehouse import Paths, run
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _LAKES and fs.table_exists(spark, Paths(_LAKES[key]).runs):
-        return _LAKES[key]
-    root = f"{checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
-    paths = Paths(root)
+    """Seven lakehouse runs, one per ingestion run, in order, in a new lakehouse. Returns its root."""
+    from .lakehouse import at, run
+
+    root = scratch(spark, "lake")
     env = envelopes(spark, sf_dir).checkpoint()  # built once, landed run by run
+    spans = {r["run_id"]: (r["s"], r["e"]) for r in env.groupBy("run_id").agg(  # one row for each run
+        F.to_date(F.min("window_start")).alias("s"), F.to_date(F.max("window_end")).alias("e")).collect()}
     dim = testdata.dim_city(spark, sf_dir)
     for i in P.ARRIVAL_IN_ORDER:
-        folder = f"{paths.landing}/run-{i}"
+        folder = f"{at(root, 'landing')}/run-{i}"
         landing.write_landing(env.where(F.col("run_id") == f"run-{i}"), folder)
-        run(spark, root, dim, landing_files=[folder], run_id=f"run-{i}", mode="backfill")
-    _LAKES[key] = root
+        start, end = spans.get(f"run-{i}", (P.TODAY, P.TODAY))
+        run(spark, root, dim, landing_files=[folder], run_id=f"run-{i}", mode="backfill", start=start, end=end,
+            as_of=P.FRESHNESS_AS_OF, tolerance=TIE_TOLERANCE)
     return root
 
 
+def _gold(spark: SparkSession, root: str) -> DataFrame:
+    from .lakehouse import at
+
+    return spark.read.parquet(at(root, "gold")).select(*GOLD_COLUMNS)
+
+
 def q_lakehouse_runs_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I7 (with I1, I4, I5, K2, K6): after seven lakehouse runs (each loads its landing files,
-    merges, gates, commits and republishes the changed days + 1), the published gold equals
-    the daily index over all data."""
-    from .lakehouse import Paths
-
-    paths = Paths(seven_run_lakehouse(spark, sf_dir))
-    return spark.read.parquet(paths.gold_daily).drop("computed_at").select(*GOLD_COLUMNS)
+    merges, gates, commits and republishes the changed days and their next days), the published gold
+    equals the daily index over all data."""
+    return _gold(spark, seven_run_lakehouse(spark, sf_dir))
 
 
 def q_lakehouse_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I7 + K2 + A8: the audit rows of the seven runs (bronze rows appended, silver inserted and
-    updated, changed-day window, gold rows republished)."""
-    from .lakehouse import Paths
+    """I7 + K2 + A8: the audit rows of the seven runs (window asked for, bronze rows appended, silver inserted
+    and updated, gold rows republished)."""
+    from .lakehouse import at
+
+    return spark.read.parquet(at(seven_run_lakehouse(spark, sf_dir), "audit")).drop("finished_at")
+
+
+def q_lakehouse_resumed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4 + I7 across a failure: the second run's publish is lost after its silver commit; a third run that brings
+    nothing new publishes the pending days. Gold equals the daily index over all data."""
+    from unittest import mock
+
+    from . import lakehouse as L
+
+    root = scratch(spark, "lake")
+    env = envelopes(spark, sf_dir).checkpoint()
+    dim = testdata.dim_city(spark, sf_dir)
+    early = F.col("run_id").isin([f"run-{i}" for i in range(1, P.TARGET_LAST_RUN + 1)])
+    live = {"as_of": P.FRESHNESS_AS_OF, "mode": "incremental", "today": P.TODAY, "tolerance": TIE_TOLERANCE}
+    for name, part in (("early", early), ("late", ~early)):
+        folder = f"{L.at(root, 'landing')}/{name}"
+        landing.write_landing(env.where(part).withColumn("run_id", F.lit(name)), folder)
+        if name == "early":
+            L.run(spark, root, dim, landing_files=[folder], run_id=name, **live)
+            continue
+        with mock.patch.object(L, "write_days", side_effect=ConnectionError("publish lost")):
+            try:
+                L.run(spark, root, dim, landing_files=[folder], run_id=name, **live)
+            except ConnectionError:
+                pass
+    L.run(spark, root, dim, run_id="resume", **live)
+    return _gold(spark, root)
+
+
+def q_lakehouse_run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1..Q8 in runs: the check table of two runs, the first with half of the sites and the second with the rest."""
+    from . import lakehouse as L
+
+    root = scratch(spark, "lake")
+    rows = testdata.readings(spark, sf_dir, keep_source=True)
+    dim = testdata.dim_city(spark, sf_dir)
+    first = F.expr(P.FIRST_SITES_SQL)
+    for i, part in enumerate((first, ~first), 1):
+        folder = f"{L.at(root, 'landing')}/sites-{i}"
+        env = landing.build_envelopes(rows.where(part), source="lineitem", order=testdata.TIEBREAK_COLS)
+        landing.write_landing(env.withColumn("run_id", F.concat(F.col("run_id"), F.lit(f"-{i}"))), folder)
+        # the bronze rows keep their own run ids; the run merges all that was landed for it
+        L.load_bronze(spark, [folder], root)
+        bronze = L.stored(spark, root, "bronze").where(F.col("run_id").endswith(f"-{i}"))
+        L.merge_rows(spark, root, bronze, dim, f"sites-{i}", P.FRESHNESS_AS_OF, tolerance=TIE_TOLERANCE)
+    return spark.read.parquet(L.at(root, "checks")).drop("checked_at")
+
+
+def q_rebuild_equals_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver keys and values after seven runs and a rebuild from bronze."""
+    from . import lakehouse as L
 
-    paths = Paths(seven_run_lakehouse(spark, sf_dir))
-    return spark.read.parquet(paths.runs).drop("finished_at")
+    root = seven_run_lakehouse(spark, sf_dir)
+    L.rebuild(spark, root, testdata.dim_city(spark, sf_dir), tolerance=TIE_TOLERANCE)
+    return spark.read.parquet(L.at(root, "silver")).select("city_id", "ts_utc", *VALUE_COLS)
 
 
 QUERIES: dict[str, tuple[Query, Callable[[], str] | None]] = {
@@ -436,6 +543,15 @@ QUERIES: dict[str, tuple[Query, Callable[[], str] | None]] = {
     "stream_landing_silver": (q_stream_landing_silver, osql.stream_landing_silver),
     "lakehouse_runs_gold": (q_lakehouse_runs_gold, osql.daily_aqi),
     "lakehouse_run_audit": (q_lakehouse_run_audit, osql.lakehouse_run_audit),
+    "lakehouse_resumed_gold": (q_lakehouse_resumed_gold, osql.daily_aqi),
+    "lakehouse_run_checks": (q_lakehouse_run_checks, osql.lakehouse_run_checks),
+    "rebuild_equals_incremental": (q_rebuild_equals_incremental, osql.rebuild_equals_incremental),
+    "dq_null_keys": (q_dq_null_keys, lambda: osql.dq_faulty("not_null_keys")),
+    "dq_negative": (q_dq_negative, lambda: osql.dq_faulty("no_negative_concentrations")),
+    "dq_implausible": (q_dq_implausible, lambda: osql.dq_faulty("plausible_concentrations")),
+    "drop_all_null_rows": (q_drop_all_null_rows, osql.drop_all_null_rows),
+    "drop_bad_timestamps": (q_drop_bad_timestamps, osql.drop_bad_timestamps),
+    "select_run_rows": (q_select_run_rows, osql.select_run_rows),
 }
 
 

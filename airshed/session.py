@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,17 +20,16 @@ RECOMMENDED_CONF = {
 
 
 def cluster_conf(input_bytes: int, executor_cores_total: int, scan_split_bytes: int = 512 << 20,
-                 shuffle_input_bytes_per_partition: int = 1 << 30, max_shuffle_partitions: int = 100_000) -> dict:
+                 shuffle_input_bytes_per_partition: int = 1 << 30) -> dict:
     """Sizing for a cluster run over `input_bytes` of parquet.
 
     Scan tasks read ~`scan_split_bytes` each. Shuffles start with one partition per
-    ~`shuffle_input_bytes_per_partition` of input (at least 3x the cores, at most
-    `max_shuffle_partitions`, so map-output bookkeeping stays bounded); AQE then coalesces
+    ~`shuffle_input_bytes_per_partition` of input (at least 3x the cores); AQE then coalesces
     small post-shuffle partitions toward the advisory size and splits skewed ones.
     Example: 100 TB on 8,000 cores -> 200k scan tasks, 100k initial shuffle partitions.
     """
     parts = -(-input_bytes // shuffle_input_bytes_per_partition)
-    parts = min(max_shuffle_partitions, max(3 * executor_cores_total, parts))
+    parts = max(3 * executor_cores_total, parts)
     return {
         "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
         "spark.sql.shuffle.partitions": str(parts),
@@ -60,8 +58,8 @@ def get_spark(app: str = "airshed", master: str | None = None, shuffle_partition
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (`spark.checkpoint.dir` or the context's setting).
 
-    Only when the session has none (local tests, local bench) is a private folder created and
-    registered with the context; on a cluster the configured shared folder is always used.
+    Where it is unset, a session in one process (master `local`) gets a folder of its own; on a cluster
+    that would be a machine-local folder, so it is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -72,6 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             current = sc.getCheckpointDir() or configured
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="airshed-ckpt-", dir=os.environ.get("AIRSHED_SCRATCH", "/tmp"))
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+    local = tempfile.mkdtemp(prefix="airshed-ckpt-")  # one process: every task sees it
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

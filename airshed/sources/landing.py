@@ -110,13 +110,11 @@ def read_landing(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 def new_files_only(landing: DataFrame, bronze: DataFrame | None, key: str = "source_path") -> DataFrame:
     """Drop landing rows whose file is already in bronze (left anti join on the file key).
 
-    The distinct key set of bronze is small (one row per file), and the anti join is planned
-    by Catalyst (broadcast when AQE measures it small, shuffle otherwise).
+    The anti join needs no distinct below it; AQE broadcasts the keys when it measures them small.
     """
     if bronze is None:
         return landing
-    loaded = bronze.select(key).distinct()
-    return landing.join(loaded, key, "left_anti")
+    return landing.join(bronze.select(key), key, "left_anti")
 
 
 def read_saved_responses(spark: SparkSession, path: str, dim_ordered: DataFrame, run_id: str, source: str,

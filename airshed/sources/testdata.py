@@ -72,6 +72,36 @@ def dim_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Faults put into the readings by column values, so that every check and drop rule has rows to find.
+FAULT_EXPRS = [
+    "CASE WHEN l_partkey % 97 <> 0 THEN city_id END AS city_id",
+    "CASE WHEN l_partkey % 31 <> 0 THEN date_format(ts_utc, \"yyyy-MM-dd'T'HH:mm\") WHEN l_partkey % 2 = 0 THEN '2024-13-45T99:99' END AS hour_text",
+    "run_id", "ingested_at",
+    "CASE WHEN l_partkey % 37 = 0 THEN NULL WHEN l_partkey % 41 = 0 THEN -1 - pm2_5 WHEN l_partkey % 43 = 0 THEN pm2_5 + 2000 ELSE pm2_5 END AS pm2_5",
+    *[f"CASE WHEN l_partkey % 37 <> 0 THEN {c} END AS {c}" for c in ("pm10", "no2", "so2")],
+    "CASE WHEN l_partkey % 37 = 0 AND l_partkey % 2 = 0 THEN CAST('NaN' AS DOUBLE) WHEN l_partkey % 37 <> 0 THEN o3 END AS o3",
+    "CASE WHEN l_partkey % 37 <> 0 THEN co END AS co",
+    "latitude AS grid_latitude", "longitude AS grid_longitude",
+]
+
+
+def faulty_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All readings, some with null site, unparsable hour text, a negative or too high PM2.5, or no value at all."""
+    return readings(spark, sf_dir, keep_source=True).selectExpr(*FAULT_EXPRS)
+
+
+def sites_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sites and one more for each region, which has no readings."""
+    extra = table(spark, sf_dir, "region").select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("city_id"))
+    return dim_city(spark, sf_dir).select("city_id").unionByName(extra)
+
+
+def repeated_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sites and one more for each nation, whose ids some sites already have."""
+    extra = table(spark, sf_dir, "nation").select(F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("city_id"))
+    return dim_city(spark, sf_dir).select("city_id").unionByName(extra)
+
+
 # ------------------------------------------------------------------------- SQL text (DuckDB)
 
 
@@ -98,3 +128,14 @@ FROM lineitem"""
 DIM_CITY_SQL = """SELECT 'C' || CAST(s_suppkey AS VARCHAR) AS city_id, s_name AS name, n_name AS state,
   8.0::DOUBLE + (s_suppkey % 29) AS latitude, 68.0::DOUBLE + (s_suppkey % 23) AS longitude
 FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey"""
+
+
+def faulty_sql() -> str:
+    """The faulty readings; hour_text as a timestamp that is null where it can't be parsed."""
+    values = ", ".join(f"CASE WHEN l_partkey % 37 <> 0 THEN {c} END AS {c}" for c in ("pm10", "no2", "so2"))
+    return f"""SELECT CASE WHEN l_partkey % 97 <> 0 THEN city_id END AS city_id,
+  CASE WHEN l_partkey % 31 <> 0 THEN ts_utc END AS ts_utc, run_id, ingested_at,
+  CASE WHEN l_partkey % 37 = 0 THEN NULL WHEN l_partkey % 41 = 0 THEN -1 - pm2_5 WHEN l_partkey % 43 = 0 THEN pm2_5 + 2000 ELSE pm2_5 END AS pm2_5,
+  {values}, CASE WHEN l_partkey % 37 = 0 AND l_partkey % 2 = 0 THEN 'NaN'::DOUBLE WHEN l_partkey % 37 <> 0 THEN o3 END AS o3,
+  CASE WHEN l_partkey % 37 <> 0 THEN co END AS co
+FROM ({readings_sql(keep_source=True)})"""

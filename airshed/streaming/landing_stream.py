@@ -4,8 +4,8 @@ The file source's checkpoint remembers which landing files were read, which give
 "skip files already loaded" rule of the batch loader for free; `trigger(availableNow=True)`
 processes what has landed and stops, so the same job serves scheduled runs. Each micro-batch
 is applied with the batch operators in `foreachBatch`, written so that replaying an epoch
-after a failure changes nothing: bronze appends only files it does not hold yet, the silver
-merge leaves equal versions unchanged, and gold replaces whole date ranges.
+after a failure converges: bronze appends only files it does not hold yet, the silver merge
+leaves equal versions unchanged, and days logged as pending are published whatever the batch changes.
 """
 
 from __future__ import annotations
@@ -17,11 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import quality, upsert
-from ..operators.clean import silver_transform
-from ..plans.lakehouse import Paths, publish_gold
+from ..plans import lakehouse
 from ..schemas import BRONZE_COLUMNS, LANDING_SCHEMA
-from ..sources import fs, landing
+from ..sources import landing
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -40,41 +38,31 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
 
 def apply_batch(spark: SparkSession, root: str, dim: DataFrame, batch: DataFrame, epoch_id: int,
                 halo_days: int = 1, as_of: _dt.datetime | None = None) -> dict:
-    """One micro-batch: bronze append (new files only), staged silver merge, gate, commit, gold."""
-    paths = Paths(root)
-    existing = spark.read.parquet(paths.bronze) if fs.table_exists(spark, paths.bronze) else None
-    fresh = landing.new_files_only(batch, existing).select(*BRONZE_COLUMNS)
-    fresh.write.mode("append").parquet(paths.bronze)
+    """One micro-batch: bronze append (new files only), then merge, gate, commit and publish as in a run.
+
+    Days that an interrupted epoch left pending are published here even if this batch changes nothing.
+    """
+    fresh = landing.new_files_only(batch, lakehouse.stored(spark, root, "bronze")).select(*BRONZE_COLUMNS)
+    fresh.write.mode("append").parquet(lakehouse.at(root, "bronze"))
     # the batch's own rows (replays included) go through silver; merging them again is a no-op
-    staged = upsert.stage_merge(spark, silver_transform(batch.select(*BRONZE_COLUMNS)), paths.silver)
-    if not staged.changed_dates:
-        staged.discard()
-        return {"epoch": epoch_id, "inserted": 0, "updated": 0, "gold_rows": 0}
-    checks = quality.run_checks(staged.candidate, dim, as_of)
-    try:
-        quality.record_and_enforce(spark, checks, f"stream-{epoch_id}", paths.dq_results)
-    except quality.DataQualityError:
-        staged.discard()
-        raise
-    res = staged.commit(paths.silver_revisions)
-    gold_rows = publish_gold(spark, paths, res.changed_dates, halo_days)
-    return {"epoch": epoch_id, "inserted": res.inserted, "updated": res.updated, "gold_rows": gold_rows}
+    done = lakehouse.merge_rows(spark, root, batch.select(*BRONZE_COLUMNS), dim, f"stream-{epoch_id}", as_of, halo_days)
+    return {"epoch": epoch_id, "inserted": done["silver_inserted"], "updated": done["silver_updated"], "gold_rows": done["gold_rows"]}
 
 
 def start(spark: SparkSession, root: str, dim: DataFrame, *, checkpoint: str | None = None,
           available_now: bool = True, processing_time: str | None = None, log: list | None = None,
-          max_files_per_trigger: int | None = None) -> StreamingQuery:
+          max_files_per_trigger: int | None = None, live: bool = True) -> StreamingQuery:
     """Start the landing stream. The checkpoint defaults to a folder under the lakehouse root
-    (shared storage), never a machine-local one."""
-    paths = Paths(root)
-    checkpoint = checkpoint or f"{paths.root.rstrip('/')}/_meta/stream_checkpoints/landing"
+    (shared storage), never a machine-local one. `live`: each epoch checks freshness at its own time."""
+    checkpoint = checkpoint or f"{root.rstrip('/')}/_meta/stream_checkpoints/landing"
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        out = apply_batch(spark, root, dim, batch, epoch_id)
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None) if live else None
+        out = apply_batch(spark, root, dim, batch, epoch_id, as_of=now)
         if log is not None:
             log.append(out)
 
-    writer = (landing_stream(spark, paths.landing, max_files_per_trigger).writeStream.foreachBatch(each)
+    writer = (landing_stream(spark, lakehouse.at(root, "landing"), max_files_per_trigger).writeStream.foreachBatch(each)
               .option("checkpointLocation", checkpoint).queryName(f"airshed_landing_{uuid.uuid4().hex[:8]}"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "1 minute")

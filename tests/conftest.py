@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
-import os
 import sys
 from pathlib import Path
 
@@ -20,7 +19,6 @@ SITES = [("BLR", "Bengaluru", "Karnataka", 12.97, 77.59), ("DEL", "Delhi", "Delh
 def spark(tmp_path_factory):
     from airshed.session import get_spark
 
-    os.environ.setdefault("AIRSHED_SCRATCH", str(tmp_path_factory.mktemp("scratch")))
     s = get_spark("airshed-tests", master="local[4]", shuffle_partitions=4,
                   extra={"spark.driver.memory": "4g",
                          "spark.checkpoint.dir": str(tmp_path_factory.mktemp("ckpt"))})

@@ -24,7 +24,7 @@ def test_checks_and_gate_decision(spark):
     assert got["unique_city_hour"] == (False, "1 duplicate keys")
     assert got["no_negative_concentrations"] == (False, "1 rows")
     assert got["plausible_concentrations"] == (False, "1 rows")
-    assert got["all_cities_present"] == (False, "missing: ['C']")
+    assert got["all_cities_present"] == (False, "missing: 1 sites")
     assert got["fresh_within_48h"] == (False, "latest hour 2026-09-01 01:00 UTC")
     decision = quality.gate_decision(res).first()
     assert decision.may_publish is False
@@ -39,6 +39,6 @@ def test_label_passes_unknown_codes_through(spark):
 
 def test_global_rank_matches_a_plain_ordering(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("v"), F.col("id").alias("k"))
-    ranked = {r.k: r.rank for r in serve.global_rank(df.repartition(7), [F.col("v").desc(), F.col("k")]).collect()}
+    ranked = {r.k: r.rank for r in serve.global_rank(df.repartition(7), [-F.col("v")], [F.col("v").desc(), F.col("k")]).collect()}
     order = sorted(range(5000), key=lambda k: (-(k * 7919 % 5000), k))
     assert [ranked[k] for k in order] == list(range(1, 5001))

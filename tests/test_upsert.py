@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from airshed.operators import upsert
-from airshed.operators.publish import replace_range, write_range
+from airshed.operators.publish import replace_range, write_days
 
 COLS = ("city_id string, ts_utc timestamp_ntz, obs_date_ist date, pm2_5 double, pm10 double, no2 double, "
         "so2 double, o3 double, co_mg_m3 double, run_id string, ingested_at timestamp_ntz")
@@ -70,6 +70,6 @@ def test_replace_range_empties_days_without_new_rows(spark, tmp_path):
     assert got == [(1, 1), (2, 2)]
     path = str(tmp_path / "gold")
     old.write.partitionBy("obs_date_ist").parquet(path)
-    assert write_range(spark, new, path, dt.date(2026, 9, 2), dt.date(2026, 9, 3)) == 1
+    assert write_days(spark, new, path, [dt.date(2026, 9, 2), dt.date(2026, 9, 3)]) == 1
     got = sorted((r.obs_date_ist.day, r.v) for r in spark.read.parquet(path).collect())
     assert got == [(1, 1), (2, 2)]
