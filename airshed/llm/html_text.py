@@ -2,7 +2,7 @@
 
 Each page is read into its containers (block elements), boilerplate elements left out. A container's path
 is generalised: tags with their classes, digits and order dropped. Every page scores its containers and votes for
-the best path; Spark adds the votes up per host, and each page is extracted again from the container with its
+the best path, widened to the ancestor that holds the other parts of a split body; Spark adds the votes up per host, and each page is extracted again from the container with its
 host's winning path. A page without that path takes its own best container.
 
 A host may hold any share of the pages: votes are partial sums by (host, path), and winners are joined with pages
@@ -28,6 +28,7 @@ from .common import ship, written
 
 SALTS = 32  # parts into which every host's pages are split for the join with the winners
 MIN_SHARE = 0.2  # of a host's votes that a path needs to win; else pages keep their own choice
+PROSE = 40  # characters that paragraphs have on average in a further part of the body, unlike notes and labels
 
 # HTML element kinds
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -69,11 +70,12 @@ def _attributes(tag: str, raw: str) -> tuple[str, bool, bool]:
 
 
 class Container:
-    __slots__ = ("path", "tag", "first", "last", "own", "links", "blocks", "strong", "depth")
+    __slots__ = ("path", "tag", "first", "last", "own", "links", "blocks", "strong", "depth", "above", "size", "prose", "parts")
 
-    def __init__(self, path: str, tag: str, first: int, strong: bool, depth: int):
+    def __init__(self, path: str, tag: str, first: int, strong: bool, depth: int, above: Container | None = None):
         self.path, self.tag, self.first, self.last, self.strong, self.depth = path, tag, first, None, strong, depth
         self.own = self.links = self.blocks = 0
+        self.above, self.size, self.prose, self.parts = above, 0, 0, 0  # with all in it: text, text of paragraphs outside links, paragraphs
 
     def score(self) -> float:
         """Text outside links in its own paragraphs, more for article-like elements."""
@@ -89,7 +91,7 @@ def read(page: str) -> tuple[list[str], list[Container]]:
     stack: list[tuple[str, str, Container | None, bool]] = []  # tag, path, container opened, paragraph
     home = [root]  # open containers
     skip = 0  # depth inside a boilerplate element
-    links = 0
+    links = paragraphs = 0
     at, n = 0, len(page)
 
     def text(raw: str) -> None:
@@ -100,13 +102,16 @@ def read(page: str) -> tuple[list[str], list[Container]]:
         size = len(shown) - shown.count(" ") if len(shown) < 4 else len(shown)
         if shown.strip():
             home[-1].own += size
+            home[-1].size += size
             if links:
                 home[-1].links += size
+            elif paragraphs:
+                home[-1].prose += size
 
     def close(upto: int) -> None:
-        nonlocal skip, links
+        nonlocal skip, links, paragraphs
         while len(stack) > upto:
-            tag, _, container, _ = stack.pop()
+            tag, _, container, paragraph = stack.pop()
             if skip:
                 skip -= 1
                 if not skip:
@@ -114,10 +119,14 @@ def read(page: str) -> tuple[list[str], list[Container]]:
                 continue
             if tag == "a":
                 links -= 1
+            paragraphs -= paragraph
             if container is not None:
                 container.last = len(pieces)
                 home.pop()
                 parent = home[-1]
+                parent.size += container.size
+                parent.prose += container.prose
+                parent.parts += container.parts
                 if container.tag in ("blockquote", "center", "section"):  # flows into its parent
                     parent.own += container.own
                     parent.links += container.links
@@ -176,11 +185,13 @@ def read(page: str) -> tuple[list[str], list[Container]]:
             continue
         container = None
         if tag in CONTAINERS:
-            container = Container(path, tag, len(pieces), strong, len(stack))
+            container = Container(path, tag, len(pieces), strong, len(stack), home[-1])
             containers.append(container)
             home.append(container)
         elif tag in PARAGRAPHS:
             home[-1].blocks += 1
+        home[-1].parts += tag in PARAGRAPHS
+        paragraphs += tag in PARAGRAPHS
         if tag == "a":
             links += 1
         stack.append((tag, path, container, tag in PARAGRAPHS))
@@ -189,11 +200,23 @@ def read(page: str) -> tuple[list[str], list[Container]]:
     return pieces, containers
 
 
+def widened(top: Container) -> Container:
+    """The outermost ancestor reached by steps whose further text is mostly paragraphs of prose outside links."""
+    c = top
+    while (c := c.above) is not None and c.path:  # the page as a whole has no path to vote for
+        size, prose, parts = c.size - top.size, c.prose - top.prose, c.parts - top.parts
+        if 2 * prose > size and prose >= PROSE * parts:
+            top = c
+        elif size:
+            break
+    return top
+
+
 def best(containers: list[Container]) -> Container:
-    """Highest score; of equals the outermost first one. Widened to an enclosing article or main element."""
+    """Highest score; of equals the outermost first one. Widened to an enclosing article or main element, else over a split body."""
     top = max(containers, key=lambda c: (c.score(), -c.depth, -c.first))
     around = [c for c in containers if c.tag in ("article", "main") and c.first <= top.first and c.last >= top.last]
-    return min(around, key=lambda c: (c.tag != "article", -c.depth)) if around else top
+    return min(around, key=lambda c: (c.tag != "article", -c.depth)) if around else widened(top)
 
 
 def text_of(pieces: list[str], spans: list[tuple[int, int]]) -> str:
@@ -223,11 +246,12 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, host in enumerate(batch.column("host").to_pylist()):
             page = pages[i].as_py()
             if page:
-                c = best(read(page)[1])
-                if c.score() > 0 and c.path:
+                containers = read(page)[1]
+                c, score = best(containers), max(x.score() for x in containers)
+                if score > 0 and c.path:
                     hosts.append(host)
                     paths.append(c.path)
-                    scores.append(c.score())
+                    scores.append(score)
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
                                          names=["host", "path", "score"])
 

@@ -49,6 +49,20 @@ def test_host_consensus_and_odd_rows(spark):
     assert H.main_text(df.where("false")).count() == 0
 
 
+def test_split_bodies(spark):
+    """A body in sibling containers is taken whole, on the page alone and by the host's path; lists of links and short notes stay out."""
+    words = "The council met again on Monday and heard the report of the river board, which "
+    page = ("<html><body><div class=links><ul><li><a href=a>One link of many</a><li><a href=b>Another link</a></ul></div>"
+            "<div id=content><div class=lead><p>%s opens.</p></div><div class=text><p>%s goes on.</p><p>%s ends.</p></div>"
+            "<div class=more><figure><figcaption>Bridge</figcaption></figure><p>%s is added.</p></div></div>"
+            "<div class=base><p>All rights kept</p></div></body></html>") % (words, words * 3, words * 2, words)
+    want = " ".join(f"{words} opens. {words * 3} goes on. {words * 2} ends. Bridge {words} is added.".split())
+    cells = page.replace("<div class=lead>", "<table><tr><td>").replace("opens.</p></div>", "opens.</p></td></tr></table>")
+    assert H.extract(page, None) == H.extract(cells, None) == want
+    docs = spark.createDataFrame([(i, "http://split.org/a", page) for i in range(4)], "page_id long, url string, html string")
+    assert {(r.text, r.path) for r in H.main_text(docs).collect()} == {(want, "/html/body/div")}
+
+
 def test_broken_markup_never_fails():
     for page in ("<" * 50, "<div" * 50, "</p></div></b>" * 20 + "x", "<p><b><i>" * 300 + "deep", "<script>never closed", "<a href='>x", "&#xZZ; &bogus;"):
         assert isinstance(H.extract(page, "/div"), str)
