@@ -1,6 +1,8 @@
 """Main text of web pages by consensus host paths.
 
-Each page is read into its containers (block elements), boilerplate elements left out. A container's path
+Each page is read into its containers (block elements), boilerplate elements left out. A class or id marks boilerplate only if one of
+its tokens names it by its head word (`post-comments`, `sidebar-left`, not `has-sidebar` or `legal-analysis`) and no token names an
+article; an element so marked that holds most of the page's text outside links stays in. A container's path
 is generalised: tags with their classes, digits and order dropped. Every page scores its containers and votes for
 the best path, widened to the ancestor that holds the other parts of a split body; Spark adds the votes up per host, and each page is extracted again from the container with its
 host's winning path. A page without that path takes its own best container.
@@ -40,6 +42,7 @@ CONTAINERS = {"article", "main", "section", "div", "td", "body", "center", "bloc
 PARAGRAPHS = {"p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "dd", "dt", "figcaption"}
 CLOSES_P = PARAGRAPHS | CONTAINERS | {"ul", "ol", "dl", "table", "hr", "address", "fieldset", "figure", "details", "form", "nav",
                                       "header", "footer", "aside"}
+GONE, MARKED = 2, 3  # kinds of left-out elements: whatever they hold, by their names
 # Words of class and id that mark what isn't the article
 BOILERPLATE = {"nav", "navbar", "navigation", "menu", "menus", "breadcrumb", "breadcrumbs", "header", "masthead", "footer", "sidebar", "side",
                "aside", "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "banner",
@@ -48,6 +51,11 @@ BOILERPLATE = {"nav", "navbar", "navigation", "menu", "menus", "breadcrumb", "br
                "discussion", "respond", "login", "search", "pager", "pagination", "toolbar", "widget", "copyright", "legal", "alert"}
 BOILERPLATE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
 ARTICLE_WORDS = {"article", "content", "post", "entry", "story", "main", "body", "text", "page"}
+SHAPE_WORDS = {"list", "link", "links", "left", "right", "top", "bottom", "wrap", "wrapper", "box", "area", "container", "block", "section",
+               "inner", "outer", "item", "items", "bar", "panel", "group", "row", "col", "column"}  # say nothing of what an element holds
+STATE_WORDS = {"has", "with", "without", "no", "is", "show", "hide"}  # what follows is beside the element, not it
+OFTEN_LONG = {"comment", "comments", "reply", "replies", "disqus", "discussion", "respond", "cookie", "cookies", "consent", "gdpr",
+              "popup", "modal"}  # may hold more text than the article, and still go
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTR = re.compile(r"(?i)(?<![\w-])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -55,27 +63,43 @@ _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+def _marks(token: str) -> str | None:
+    """The boilerplate word that a class or id token names, if any."""
+    words = _WORDS.findall(token)
+    while len(words) > 1 and words[-1] in SHAPE_WORDS:
+        words.pop()
+    if not words or words[-1] not in BOILERPLATE or STATE_WORDS & set(words):
+        return None
+    if words[-1] == "header" and ARTICLE_WORDS & set(words):
+        return None  # an article's own heading
+    return words[-1]
+
+
 @lru_cache(maxsize=4096)
-def _attributes(tag: str, raw: str) -> tuple[str, bool, bool]:
-    """Generalised path step, whether it is boilerplate, whether its names speak for an article."""
+def _attributes(tag: str, raw: str) -> tuple[str, bool, bool, bool, bool]:
+    """Generalised path step, whether it goes, whether its names mark it, whether it may stay for its text, whether they speak for an article."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(raw)} if raw else {}
     names = entities.unescape(f"{found.get('class', '')} {found.get('id', '')}")
-    words = set(_WORDS.findall(_CAMEL.sub(" ", names).lower()))
+    tokens = [_CAMEL.sub("-", t).lower() for t in names.split()]
+    words = {w for t in tokens for w in _WORDS.findall(t)}
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
     strong = bool(words & ARTICLE_WORDS)
-    drop = tag in DROPPED or hidden or found.get("role", "").lower() in BOILERPLATE_ROLES or (
-        bool(words & BOILERPLATE) and tag not in ("html", "body", "article", "main"))
+    drop = tag in DROPPED or hidden or found.get("role", "").lower() in BOILERPLATE_ROLES
+    marks = {_marks(t) for t in tokens} - {None}
+    article = any(w and set(w) <= ARTICLE_WORDS for w in map(_WORDS.findall, tokens))
+    marked = bool(marks) and not article and tag not in ("html", "body", "article", "main")
     classes = sorted({re.sub(r"\d+", "", c).strip("-_").lower() for c in found.get("class", "").split()} - {""})
-    return ".".join([tag, *classes]), drop, strong
+    return ".".join([tag, *classes]), drop, marked, not marks & OFTEN_LONG, strong
 
 
 class Container:
-    __slots__ = ("path", "tag", "first", "last", "own", "links", "blocks", "strong", "depth", "above", "size", "prose", "parts")
+    __slots__ = ("path", "tag", "first", "last", "own", "links", "blocks", "strong", "depth", "above", "size", "far", "prose", "parts")
 
     def __init__(self, path: str, tag: str, first: int, strong: bool, depth: int, above: Container | None = None):
         self.path, self.tag, self.first, self.last, self.strong, self.depth = path, tag, first, None, strong, depth
         self.own = self.links = self.blocks = 0
-        self.above, self.size, self.prose, self.parts = above, 0, 0, 0  # with all in it: text, text of paragraphs outside links, paragraphs
+        self.above = above
+        self.size = self.far = self.prose = self.parts = 0  # with all in it: text, text of links, of paragraphs outside links, paragraphs
 
     def score(self) -> float:
         """Text outside links in its own paragraphs, more for article-like elements."""
@@ -83,37 +107,58 @@ class Container:
         return boost * max(0, self.own - 2 * self.links) * (1 + min(self.blocks, 10) / 10)
 
 
-def read(page: str) -> tuple[list[str], list[Container]]:
-    """Text pieces in page order (None-free; a space piece parts blocks) and containers with their piece ranges."""
+def read(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[str], list[Container]]:
+    """Text pieces in page order (None-free; a space piece parts blocks) and containers with their piece ranges.
+
+    `spared`: where elements begin that stay in although they are marked; the page is read again with those that hold most of its text.
+    """
     pieces: list[str] = []
     root = Container("", "", 0, False, 0)
     containers = [root]
-    stack: list[tuple[str, str, Container | None, bool]] = []  # tag, path, container opened, paragraph
+    stack: list[tuple[str, str, Container | None, bool | int]] = []  # tag, path, container opened, paragraph or what is left out
     home = [root]  # open containers
     skip = 0  # depth inside a boilerplate element
     links = paragraphs = 0
+    gone = 0  # depth inside elements that go whatever they hold, and inside links of left-out ones
+    marked_out: list[list] = []  # open marked elements inside a left-out one: place, whether it may stay, text
+    held: dict[int, int] = {}  # text outside links of marked elements that may stay
+    left_out = 0  # text outside links of all marked elements
     at, n = 0, len(page)
 
     def text(raw: str) -> None:
-        if skip or not raw:
+        if not raw or (skip and (gone or links)):
             return
         shown = entities.unescape(raw) if "&" in raw else raw
-        pieces.append(shown)
         size = len(shown) - shown.count(" ") if len(shown) < 4 else len(shown)
+        if skip:
+            if marked_out and shown.strip():
+                marked_out[-1][2] += size
+            return
+        pieces.append(shown)
         if shown.strip():
             home[-1].own += size
             home[-1].size += size
             if links:
                 home[-1].links += size
+                home[-1].far += size
             elif paragraphs:
                 home[-1].prose += size
 
     def close(upto: int) -> None:
-        nonlocal skip, links, paragraphs
+        nonlocal skip, links, paragraphs, gone, left_out
         while len(stack) > upto:
             tag, _, container, paragraph = stack.pop()
             if skip:
                 skip -= 1
+                gone -= paragraph == GONE
+                if paragraph == MARKED:
+                    begin, may_stay, size = marked_out.pop()
+                    if may_stay:
+                        held[begin] = size
+                    if marked_out:
+                        marked_out[-1][2] += size
+                    else:
+                        left_out += size
                 if not skip:
                     pieces.append(" ")
                 continue
@@ -125,6 +170,7 @@ def read(page: str) -> tuple[list[str], list[Container]]:
                 home.pop()
                 parent = home[-1]
                 parent.size += container.size
+                parent.far += container.far
                 parent.prose += container.prose
                 parent.parts += container.parts
                 if container.tag in ("blockquote", "center", "section"):  # flows into its parent
@@ -174,14 +220,19 @@ def read(page: str) -> tuple[list[str], list[Container]]:
             continue
         if m[3].endswith("/") and tag not in CONTAINERS and tag not in PARAGRAPHS:
             continue
-        step, drop, strong = _attributes(tag, m[3])
+        step, drop, marked, may_stay, strong = _attributes(tag, m[3])
         above = stack[-1][1] if stack else ""
         if tag == "header" and home[-1].tag in ("article", "main") and not skip:
-            drop = False  # an article's own heading
+            drop = marked = False  # an article's own heading
         path = f"{above}/{step}" if tag not in INLINE else above
-        if skip or drop:
+        marked = marked and m.start() not in spared
+        if skip or drop or marked:
             skip += 1
-            stack.append((tag, path, None, False))
+            kind = GONE if drop or tag == "a" else MARKED if marked else False
+            gone += kind == GONE
+            if kind == MARKED:
+                marked_out.append([m.start(), may_stay, 0])
+            stack.append((tag, path, None, kind))
             continue
         container = None
         if tag in CONTAINERS:
@@ -196,6 +247,9 @@ def read(page: str) -> tuple[list[str], list[Container]]:
             links += 1
         stack.append((tag, path, container, tag in PARAGRAPHS))
     close(0)
+    most = frozenset(k for k, size in held.items() if 2 * size > root.size - root.far + left_out)
+    if most and not spared:
+        return read(page, most)
     root.last = len(pieces)
     return pieces, containers
 

@@ -63,6 +63,31 @@ def test_split_bodies(spark):
     assert {(r.text, r.path) for r in H.main_text(docs).collect()} == {(want, "/html/body/div")}
 
 
+NAMED = [  # names that hold a boilerplate word, and whether such an element inside the article's container stays
+    ("class='content has-sidebar'", True), ("class=post-with-comments", True), ("class='page side'", True), ("id=legal-analysis", True),
+    ("class=entry-header", True), ("class=post-comments", False), ("class='sidebar-left'", False), ("id=mainNav", False),
+    ("class='box comment-list'", False), ("class=site-header", False),
+]
+
+
+@pytest.mark.parametrize("names,stays", NAMED)
+def test_boilerplate_words_in_names(names, stays):
+    long = "The council met again on Monday and heard the report of the river board. " * 3
+    page = f"<div id=content><div {names}><p>Short words here.</p></div><p>{long}</p></div>"
+    assert H.extract(page, None) == ("Short words here. " if stays else "") + long.strip()
+    if stays:
+        assert H.extract(f"<div {names}><p>{long}</p></div><p>x</p>", None) == long.strip()
+
+
+def test_marked_element_with_most_of_the_text_stays():
+    long = "The council met again on Monday and heard the report of the river board. " * 3
+    other = "<div class=menu><a href=x>" + "a link " * 200 + "</a></div><div class=share>share this</div>"
+    for names in ("class=widget", "id=notice", "class=promo"):
+        assert H.extract(f"<body>{other}<div {names}><div class=side>note</div><p>{long}</p></div><p>end</p></body>", None).startswith(long.strip())
+        assert H.extract(f"<body><div class=search><div {names}><p>{long}</p></div></div></body>", None) == long.strip()
+    assert H.extract(f"<body><div class=text><p>kept text</p></div><div class=comments><p>{long}</p></div></body>", None) == "kept text"
+
+
 def test_broken_markup_never_fails():
     for page in ("<" * 50, "<div" * 50, "</p></div></b>" * 20 + "x", "<p><b><i>" * 300 + "deep", "<script>never closed", "<a href='>x", "&#xZZ; &bogus;"):
         assert isinstance(H.extract(page, "/div"), str)
