@@ -6,8 +6,9 @@ pieces before it, one after it, and the pair around it. Patterns and instances (
 form a bipartite graph. In each round a pattern's confidence is the share of its distinct instances that
 are trusted, seeds fully and found ones by their score; patterns of high confidence and support give
 their other instances a noisy-or score, and instances above `MIN_SCORE` are trusted in the next round. Rounds end when
-no instance is new, after `ROUNDS` at the latest. Only identifier-like tokens (with four digits or an
-at sign) can be instances, so prose is left alone.
+no instance is new, after `ROUNDS` at the latest. Only identifier-like tokens (with a digit or an
+at sign) and runs of such groups (`078 05 1120`, `(555) 123 4567`) can be instances, so words are left alone. A value with fewer
+than four digits may stand for something else elsewhere: its node is bound to the patterns around it, so only they can find it.
 
 Defined cases: null and empty texts have no spans; repeated rows each have their spans, and their instances
 count once; null doc_ids are kept; an empty table gives no row; other columns are kept by `mask`.
@@ -29,10 +30,15 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?<![A-Za-z0-9._%+@/-])(?=[A-Za-z._%+/-]*+[0-9@])[A-Za-z0-9._%+@/-]++"
+# Groups with a digit (short capitals may stand between) with one space, bracket, dot, hyphen or slash between; longer rows are tables of numbers
+_GROUP = r"(?=[A-Za-z]*+[0-9])[A-Za-z0-9]++"
+_NEXT = rf"(?:\)[\x20-]?|\x20\(?|[./-])(?:[A-Z]{{2,5}}\x20)?{_GROUP}"
+RUN = rf"(?<![A-Za-z0-9._%+@/-])(?<![0-9]\x20)\(?{_GROUP}(?:{_NEXT}){{1,8}}+(?!{_NEXT})(?![A-Za-z0-9_%+@/]|[.-][A-Za-z0-9])"
 SECRET = "^(?=.*[a-f])(?=.*[0-9])[0-9a-f]{32,}$"
 
 CONTEXT_CHARS = 120  # looked at on either side of an occurrence, for at most three pieces
-MIN_DIGITS = 4
+MIN_DIGITS = 4  # of a value that is one instance wherever it stands
+MIN_CHARS = 2
 ROUNDS = 4
 MIN_SUPPORT = 3  # trusted distinct instances a pattern needs
 MIN_CONFIDENCE = 0.8
@@ -106,9 +112,12 @@ def _overlaps(spans: Column, m: Column) -> Column:
 
 
 def other_tokens(text: Column, base: Column) -> Column:
-    """Identifier-like tokens outside all base spans: seeds of kind `secret`, else of kind null."""
-    found = F.filter(_matches(text, TOKEN), lambda m: (
-        F.contains(m["value"], F.lit("@")) | (F.char_length(_digits(m["value"])) >= MIN_DIGITS)) & ~_overlaps(base, m))
+    """Identifier-like runs and tokens outside all base spans and one another: seeds of kind `secret`, else of kind null."""
+    runs = F.when(text.rlike(r"[0-9][A-Za-z]*[\x20)./-]"), F.filter(
+        _matches(text, RUN), lambda m: ~m["value"].rlike("[0-9a-f]{32}") & ~_overlaps(base, m))).otherwise(
+            F.array().cast("array<struct<start:bigint,end:bigint,value:string>>"))
+    found = once(runs, lambda joined: F.concat(joined, F.filter(_matches(text, TOKEN), lambda m: (
+        F.char_length(m["value"]) >= MIN_CHARS) & ~_overlaps(base, m) & ~_overlaps(joined, m))))
     spans = F.transform(found, lambda m: F.struct(
         F.when(m["value"].rlike(SECRET), F.lit("secret")).alias("kind"), m["start"].alias("start"),
         m["end"].alias("end"), m["value"].alias("value"))).cast(SPAN)
@@ -121,6 +130,12 @@ def _instance(value: Column) -> Column:
     return F.when((F.char_length(digits) >= 8) & ~value.rlike("[A-Za-z@]") & ~value.rlike(r"^[0-9]+(\.[0-9]+){3}$"), digits).otherwise(F.lower(value))
 
 
+def _node(value: Column, patterns: Column) -> Column:
+    """A value's instance; a short one's is bound to its context."""
+    short = ~F.contains(value, F.lit("@")) & (F.char_length(_digits(value)) < MIN_DIGITS)
+    return F.when(short, F.concat_ws("\n", F.lower(value), F.xxhash64(patterns).cast("string"))).otherwise(_instance(value))
+
+
 def _pieces(side: Column) -> Column:
     """Lower-case pieces of a context; digits are all alike."""
     return F.filter(F.split(F.regexp_replace(F.lower(side), "[0-9]+", "0"), r"[\x20\x09-\x0D]+"), lambda p: p != "")
@@ -141,8 +156,9 @@ def _with_context(text: Column, spans: Column) -> Column:
             F.concat(F.lit("R1 "), F.get(after, F.lit(0))),
             F.concat(F.lit("LR "), F.get(before, F.size(before) - 1), F.lit(" _ "), F.get(after, F.lit(0))),
         ), lambda p: p.isNotNull())))
-        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-                        s["value"].alias("value"), _instance(s["value"]).alias("instance"), patterns.alias("patterns"))
+        return once(patterns, lambda p: F.struct(
+            s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+            s["value"].alias("value"), _node(s["value"], p).alias("instance"), p.alias("patterns")))
 
     return F.transform(spans, occurrence)
 

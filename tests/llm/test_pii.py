@@ -56,6 +56,19 @@ def test_patterns_find_unseen_identifiers(contexts):
     assert spans[401] == spans[402] == []
 
 
+def test_short_and_grouped_identifiers(spark):
+    """Found whole next to trusted patterns; a short value elsewhere isn't touched."""
+    values = ["AB-123", "077", "078 05 1120", "(555) 123 4567", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19"]
+    rows = [(i, f"You can reach me at user{i}@example.org any time") for i in range(60)]
+    rows += [(100 + i, f"You can reach me at {v} any time") for i, v in enumerate(values)]
+    rows += [(200 + i, f"Room 077 of house {i} has {i + 30} chairs and {1000 + i} 12 nails") for i in range(9)]
+    rows += [(300, "rows " + "12 " * 400 + "end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = {r.doc_id: r.text for r in P.mask(docs).collect()}
+    assert [texts[100 + i] for i in range(len(values))] == ["You can reach me at <ID> any time"] * len(values)
+    assert all(texts[i] == t for i, t in rows if i >= 200)
+
+
 def test_mask(contexts, odd_docs, no_docs):
     texts = {r.doc_id: r.text for r in P.mask(contexts).collect()}
     assert texts[0] == "You can reach me at <EMAIL> any time"
