@@ -6,7 +6,8 @@ pieces before it, one after it, and the pair around it. Patterns and instances (
 form a bipartite graph. In each round a pattern's confidence is the share of its distinct instances that
 are trusted, seeds fully and found ones by their score; patterns of high confidence and support give
 their other instances a noisy-or score, and instances above `MIN_SCORE` are trusted in the next round. Rounds end when
-no instance is new, after `ROUNDS` at the latest. Only identifier-like tokens (with a digit or an
+the trusted instances and their scores are the last round's (they only grow, as trust adds to the patterns' confidence); a warning
+is logged if that isn't so after `ROUNDS`. Only identifier-like tokens (with a digit or an
 at sign) and runs of such groups (`078 05 1120`, `(555) 123 4567`) can be instances, so words are left alone. A value with fewer
 than four digits may stand for something else elsewhere: its node is bound to the patterns around it, so only they can find it.
 
@@ -16,6 +17,8 @@ count once; null doc_ids are kept; an empty table gives no row; other columns ar
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +42,7 @@ SECRET = "^(?=.*[a-f])(?=.*[0-9])[0-9a-f]{32,}$"
 CONTEXT_CHARS = 120  # looked at on either side of an occurrence, for at most three pieces
 MIN_DIGITS = 4  # of a value that is one instance wherever it stands
 MIN_CHARS = 2
-ROUNDS = 4
+ROUNDS = 50  # bound; rounds end earlier once nothing changes
 MIN_SUPPORT = 3  # trusted distinct instances a pattern needs
 MIN_CONFIDENCE = 0.8
 MIN_SCORE = 0.9
@@ -178,7 +181,7 @@ def trusted_instances(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     seeds = found.where("kind is not null").select("instance").distinct()
     edges = written(found.select("instance", F.explode("patterns").alias("pattern")).distinct(), "pii-graph")
     seeds = written(seeds.withColumn("score", F.lit(1.0)), "pii-seeds")
-    trusted, known = seeds, -1
+    trusted, known = seeds, None
     for _ in range(rounds):
         weight = edges.join(trusted, "instance", "left").groupBy("pattern").agg(
             F.sum(F.coalesce("score", F.lit(0.0))).alias("good"), F.count(F.lit(1)).alias("n"))
@@ -187,10 +190,13 @@ def trusted_instances(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         scored = edges.join(patterns, "pattern").groupBy("instance").agg(
             F.round(1 - F.exp(F.sum(F.log1p(-F.col("confidence")))), 6).alias("score")).where(F.col("score") >= MIN_SCORE)
         fresh = written(scored.join(seeds.select("instance"), "instance", "left_anti"), "pii-trusted")
-        count = fresh.count()
-        if count == known:
+        # no instance is lost and no score falls from round to round, so equal numbers and sums mean equal instances and scores
+        found_now = fresh.agg(F.count(F.lit(1)), F.sum(F.round(F.col("score") * 1_000_000).cast("long"))).first()
+        if found_now == known:
             break
-        known, trusted = count, seeds.unionByName(fresh)
+        known, trusted = found_now, seeds.unionByName(fresh)
+    else:
+        logging.getLogger(__name__).warning("trusted instances still changed in round %d, the last one", rounds)
     return fresh
 
 

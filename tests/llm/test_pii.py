@@ -69,6 +69,20 @@ def test_short_and_grouped_identifiers(spark):
     assert all(texts[i] == t for i, t in rows if i >= 200)
 
 
+def test_rounds_go_on_until_nothing_is_new(spark, caplog):
+    """Seven levels of instances, each trusted only through patterns of the level before."""
+    rows = [("email", f"0-{i}", ["none"]) for i in range(20)]
+    for level in range(1, 8):
+        for new in range(20):
+            pair = [f"{level}-{new}-a", f"{level}-{new}-b"]
+            rows += [(None, f"{level}-{new}", pair)] + [(None, f"{level - 1}-{i}", pair) for i in range(20)]
+    found = spark.createDataFrame(rows, "kind string, instance string, patterns array<string>")
+    assert {r.instance for r in P.trusted_instances(found).collect()} == {f"{k}-{i}" for k in range(1, 8) for i in range(20)}
+    assert not caplog.records
+    P.trusted_instances(found, rounds=2)
+    assert "still changed" in caplog.text
+
+
 def test_mask(contexts, odd_docs, no_docs):
     texts = {r.doc_id: r.text for r in P.mask(contexts).collect()}
     assert texts[0] == "You can reach me at <EMAIL> any time"
