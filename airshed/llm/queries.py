@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, langid, lm_score, packing, pii, quality, quality_sql, shuffle_shards, simhash
+from . import chat, decontaminate, html_text, langid, lm_score, packing, pii, quality, quality_sql, resampling, resampling_sql, shuffle_shards, simhash, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark's words, and its rank if it is drawn."""
+    rows = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, read back from normalised archives."""
+    rows = warc.roundtrip(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -99,6 +111,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (rid) LEFT JOIN found USING (rid)"""
 
+_BITS = "array_to_string(list_transform(range(40), lambda i: lpad(bin(('0x' || substr(hex, i + 1, 1))::INT), 4, '0')), '')"
+_BASE32 = ("array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum("
+           "list_transform(range(5), lambda j: substr(bits, 5 * i + j + 1, 1)::INT << (4 - j)))::INT, 1)), '')")
+
+WARC_SQL = f"""
+WITH rows AS (SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper FROM pages),
+digests AS (SELECT html, {_BASE32} AS digest
+            FROM (SELECT html, {_BITS} AS bits FROM (SELECT html, sha1(html) AS hex FROM (SELECT DISTINCT html FROM rows))))
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN keeper IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN keeper IS DISTINCT FROM page_id THEN keeper END AS refers_to
+FROM rows JOIN digests USING (html)"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_pii": (op1_pii, None),
     "op2_langid": (op2_langid, None),
@@ -110,6 +135,8 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_sharding": (op8_sharding, None),
     "op9_lm_score": (op9_lm_score, None),
     "op10_decontamination": (op10_decontamination, DECONTAMINATION_SQL),
+    "op11_resampling": (op11_resampling, resampling_sql.QUERY),
+    "op13_warc": (op13_warc, WARC_SQL),
 }
 
 

@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import base64
+import glob
+import gzip
+import hashlib
+import io
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from airshed.llm import warc as W
+from airshed.llm.common import table
+
+from .conftest import SF
+
+
+def brute(rows, least=0):
+    """(page_id, payload_bytes, digest, type, refers_to) of (page_id, html) rows, sorted."""
+    payloads = [(page, (html or "").encode()) for page, html in rows]
+    ids = defaultdict(list)
+    for page, raw in payloads:
+        ids[raw].append(page)
+    out = []
+    for page, raw in payloads:
+        known = [i for i in ids[raw] if i is not None]
+        keeper = max(known) if known and len(ids[raw]) > 1 and len(raw) >= least else page
+        digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        out.append((page, len(raw), digest, "response" if keeper == page else "revisit", None if keeper == page else keeper))
+    return sorted(map(str, out))
+
+
+def pages(spark):
+    long = "".join(random.Random(5).choices("abc <>\r\né", k=400_000))
+    texts = [None, "", "<p>a</p>", "<p>a</p>", "WARC/1.1\r\n\r\nx", "\r\n\r\n", "\x00\x1f\U0001F600", long, long, "b"]
+    rows = [(i, f"http://h/{i}?q=a bé%20\r\nX-Evil: 1" if i else None, t, 7, "f", 3) for i, t in enumerate(texts * 3)]
+    rows += [rows[3], rows[3], (None, "u", "<p>a</p>", 7, "f", 3), (None, "u", "lone", 7, "f", 3), (None, "u", "lone", 7, "f", 3)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string, payload int, file string, refers_to int")
+
+
+def results(df):
+    cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return sorted(str(tuple(r)) for r in df.select(*cols).collect())
+
+
+@pytest.mark.parametrize("least", [0, 3])
+def test_round_trip_against_brute_force(spark, least):
+    df = pages(spark).repartition(3)
+    rows = [(r.page_id, r.html) for r in df.select("page_id", "html").collect()]
+    assert results(W.roundtrip(df, least)) == brute(rows, least)
+
+
+def test_given_pages(spark):
+    df = table(spark, SF, "pages")
+    assert results(W.roundtrip(df)) == brute([(r.page_id, r.html) for r in df.collect()])
+
+
+def test_archives_are_one_stream_and_then_a_member_a_record(spark, tmp_path):
+    df = pages(spark).coalesce(2)
+    files = W.write_archives(df, f"file://{tmp_path}/whole", archive_bytes=300_000)
+    for row in files.collect():
+        data = open(row.file.removeprefix("file://"), "rb").read()
+        machine = W.zlib.decompressobj(31)
+        raw = machine.decompress(data)
+        assert machine.eof and not machine.unused_data  # a single member
+        assert raw.count(b"WARC-Record-ID") == row.records and len(raw) == row.bytes
+    members = W.normalise(files, f"file://{tmp_path}/members")
+    index = W.read_index(members).collect()
+    assert len(index) == df.count() == sum(r.records for r in members.collect())
+    for e in index:
+        data = open(e.file.removeprefix("file://"), "rb").read()[e.offset:e.offset + e.length]
+        machine = W.zlib.decompressobj(31)
+        raw = machine.decompress(data)
+        assert machine.eof and not machine.unused_data  # exactly one record
+        found = W.parse(raw)
+        assert found["record_type"] == e.record_type and found["payload_digest"] == e.payload_digest
+    texts = Counter(t for t in (gzip.open(f).read() for f in glob.glob(f"{tmp_path}/whole/*.gz")))
+    again = Counter(t for t in (gzip.open(f).read() for f in glob.glob(f"{tmp_path}/members/*.gz")))
+    assert texts == again  # normalising changes no byte of the records
+
+
+def test_files_of_unfinished_attempts_are_not_read(spark, tmp_path):
+    members = W.normalise(W.write_archives(pages(spark)), f"file://{tmp_path}/m")
+    line = '{"file":"file:///nowhere.gz","offset":0,"length":9,"record_id":"x","record_type":"response","payload_digest":"y"}\n'
+    (tmp_path / "m" / "lost.warc.gz.index.jsonl").write_text(line)
+    assert W.read_index(members).count() == pages(spark).count()
+
+
+def test_headers_hold_one_line_each():
+    raw = W.record(4, "http://h/\r\nWARC-Type: resource é", b"x", "response", None)
+    assert W.parse(raw)["record_type"] == "response" and W.parse(raw)["url"].startswith("http://h/%0D%0AWARC-Type:%20resource%20%C3%A9")
+    assert raw.count(b"\r\nWARC-Type") == 1
+
+
+def test_damaged_archives_are_errors():
+    raw = W.record(1, "u", b"payload", "response", None)
+    whole = gzip.compress(raw + raw)
+    list(W.rewrite(io.BytesIO(whole), io.BytesIO(), "f"))
+    for bad in (whole[:-30], gzip.compress(raw + raw[:-20]), gzip.compress(b"no record\r\n\r\n")):
+        with pytest.raises((EOFError, ValueError)):
+            list(W.rewrite(io.BytesIO(bad), io.BytesIO(), "f"))
+    with pytest.raises(ValueError):
+        W.parse(raw.replace(b"payload\r\n", b"pAyload\r\n"))
+
+
+@pytest.mark.parametrize("piece", [1, 7, 64])
+def test_pieces_of_any_size_give_the_same_records(monkeypatch, piece):
+    monkeypatch.setattr(W, "PIECE", piece)
+    raw = b"".join(W.record(i, f"http://h/{i}", b"\r\n\r\n" * i + b"z" * (i * 50), "response", None) for i in range(6))
+    source = gzip.compress(raw[:400]) + gzip.compress(raw[400:])  # members in a row are one content
+    sink = io.BytesIO()
+    entries = list(W.rewrite(io.BytesIO(source), sink, "f"))
+    assert gzip.decompress(sink.getvalue()) == raw and [e[3] for e in entries] == [f"<urn:page:{i}>" for i in range(6)]
+
+
+def test_empty_table(spark):
+    assert W.roundtrip(pages(spark).where("false")).count() == 0
