@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, langid, lm_score, packing, pii, quality, quality_sql, resampling, resampling_sql, shuffle_shards, simhash, warc
+from . import chat, decontaminate, html_text, langid, lm_score, packing, phrases, phrases_sql, pii, quality, quality_sql, resampling, resampling_sql, shuffle_shards, simhash, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,11 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of each language of all documents."""
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of all pages, read back from normalised archives."""
     rows = warc.roundtrip(table(spark, sf_dir, "pages"))
@@ -136,6 +141,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op9_lm_score": (op9_lm_score, None),
     "op10_decontamination": (op10_decontamination, DECONTAMINATION_SQL),
     "op11_resampling": (op11_resampling, resampling_sql.QUERY),
+    "op12_phrases": (op12_phrases, phrases_sql.QUERY),
     "op13_warc": (op13_warc, WARC_SQL),
 }
 
