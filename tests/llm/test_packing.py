@@ -28,7 +28,7 @@ def ids_of(tokenizer, text):
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab '.é中\n\t \x1c7<|endoftext|>"), max_size=30), max_size=5))
-def test_cached_chunks_give_the_tokenizers_ids(texts):
+def test_ids_are_the_tokenizers_ids(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(default_path())
@@ -37,6 +37,26 @@ def test_cached_chunks_give_the_tokenizers_ids(texts):
     assert got == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_every_code_point_and_long_runs_give_the_tokenizers_ids(tokenizer):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{chr(c)}1{chr(c)}." for c in points[i:i + 32]) for i in range(0, len(points), 32)]
+    texts += ["x" + " " * 300_000 + "y", " " * 300_000, "a" * 300_000, "\n" * 2000 + "z" + "\t" * 1999, "#" * 200_000]
+    got = subwords(default_path()).encode(texts)
+    want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert got == want
+
+
+def test_other_vocabulary_falls_back():
+    import os
+
+    path = os.path.join(os.path.dirname(default_path()), "word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    assert np.frombuffer(subwords(path).encode(["Two small Words"])[0], "<u4").tolist() == t.encode("Two small Words", add_special_tokens=False).ids
+
+
 def check(rows, docs, tokenizer, window=K.WINDOW):
     want = sorted((str(r.doc_id), [*ids_of(tokenizer, r.text), 0]) for r in docs)
     sequences, pieces = {}, {}
