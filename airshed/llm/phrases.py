@@ -7,9 +7,9 @@
 2. Pairs of ids, and then sequences of up to `max_words` ids of which each pair beside each other may be frequent, are counted in
    HAT-tries (`hat_trie`): one for each language of a task, spilling whole subtrees as sorted runs that are written as a table. What pairs may be frequent a
    filter tells: a bitmap of at most FILTER_BITS bits of the frequent pairs' hashes. It only errs towards keeping, so counts are whole.
-3. Runs are merged by ranges of the prefix: Spark's range partitions sort all runs' sequences, a pass over each partition adds up every
-   prefix of 2 to `max_words` ids, and prefixes that lie at a partition's edge are added up across partitions. No key's
-   rows are gathered in one task.
+3. Runs are merged per prefix partition. Runs of pairs, the bulk, are cut at partitions that follow from the ids, packed, and added up
+   partition by partition. Longer sequences are sorted by Spark's range partitions; a pass over each adds up every prefix of 3 to
+   `max_words` ids, and prefixes that lie at a partition's edge are added up across partitions. No key's rows are gathered in one task.
 4. Every cut of a frequent phrase is scored by joins with the counts of both parts, in decimals of 38 digits (an overflow is an error, not a wrong
    number), and phrases inside a longer one that is as frequent are dropped by a join.
 
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import positions, ship, written
-from .hat_trie import HatTrie, columns_of, id_at, pack
+from .hat_trie import BUDGET, HatTrie, add_up, columns_of, id_at, pack
 from .resampling import slices
 
 BREAKS = r"[.,;:!?\x0A-\x0D]+"  # what ends a piece
@@ -42,6 +42,8 @@ TOP = 2000
 ABSORB_PERCENT = 100
 FILTER_BITS = 1 << 26  # 8 MB at most
 CHUNK_BITS = 1 << 15
+BLOCK_BYTES = 16 << 20  # text of a slice that is cut into blocks
+PARTITION_WORDS = 1 << 22  # occurrences in a prefix partition, about
 
 BLOCK = "lang string, block long, words array<string>, counts array<long>, n_words long, n_tokens long, tokens binary"
 
@@ -66,7 +68,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     block = TaskContext.get().partitionId() << 33
     for batch in batches:
-        for start, texts in slices(batch.column(1)):
+        for start, texts in slices(batch.column(1), BLOCK_BYTES):
             lang = batch.column(0).slice(start, len(texts))
             for name in lang.unique().to_pylist():
                 words, numbers = token_numbers(texts.filter(pc.equal(lang, name)))
@@ -99,8 +101,9 @@ def with_ids(blocks: DataFrame, words: DataFrame) -> DataFrame:
     """lang, n_tokens, tokens of each block, with `local` (the block's numbers of frequent words) and `ids` (their ids); written."""
     numbered = blocks.select("block", "lang", F.posexplode("words").alias("_at", "word"))
     same = ["lang", "word"]
-    found = numbered.join(words.select(*same, "id"), same).groupBy("block").agg(
-        F.collect_list(F.struct((F.col("_at") + 1).cast("int").alias("at"), F.col("id").cast("int").alias("id"))).alias("_found"))
+    looked_up = numbered.join(words.select(*same, "id"), same, "left")  # every word of a block, most of them rare
+    known = F.when(F.col("id").isNotNull(), F.struct((F.col("_at") + 1).cast("int").alias("at"), F.col("id").cast("int").alias("id")))
+    found = looked_up.groupBy("block").agg(F.collect_list(known).alias("_found"))
     joined = blocks.select("lang", "block", "n_tokens", "tokens").join(found, "block")
     return written(joined.select("lang", "n_tokens", "tokens", F.col("_found.at").alias("local"), F.col("_found.id").alias("ids")), "phrase-ids")
 
@@ -143,31 +146,36 @@ def _run_schema(depth: int) -> str:
     return ", ".join(["lang string", *(f"k{i} long" for i in range(columns_of(depth))), "n long"])
 
 
+def _spilled(depth: int, least: int, bitmap: bytes | None, trie_settings: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Language and sorted run of whatever the tries of a task spill."""
+    tries: dict[str, HatTrie] = {}
+    known = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").view(bool)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            lang, ids = row["lang"], _block_ids(row)
+            may_pair = (ids[:-1] > 0) & (ids[1:] > 0)
+            if known is not None:
+                at = np.flatnonzero(may_pair)
+                may_pair[at] = known[pair_places(lang, pack([ids[at], ids[at + 1]])[0], len(known))]
+            trie = tries.setdefault(lang, HatTrie(depth, **trie_settings))
+            for run in trie.add(sequences(ids, may_pair, least, depth)):
+                yield lang, run
+            if sum(map(len, tries.values())) > trie.budget:  # several languages in one task
+                name = max(tries, key=lambda t: len(tries[t]))
+                for run in tries[name].spill():
+                    yield name, run
+    for lang, trie in tries.items():
+        for run in trie.spill():
+            yield lang, run
+
+
 def _count(depth: int, least: int, bitmap: bytes | None, trie_settings: dict):
+    names = [f.split()[0] for f in _run_schema(depth).split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in _run_schema(depth).split(", ")]
-        tries: dict[str, HatTrie] = {}
-        known = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").view(bool)
-        rows = lambda lang, r: pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(r[1]), pa.string()), *map(pa.array, r[0]), pa.array(r[1])], names=names)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                lang, ids = row["lang"], _block_ids(row)
-                may_pair = (ids[:-1] > 0) & (ids[1:] > 0)
-                if known is not None:
-                    at = np.flatnonzero(may_pair)
-                    may_pair[at] = known[pair_places(lang, pack([ids[at], ids[at + 1]])[0], len(known))]
-                trie = tries.setdefault(lang, HatTrie(depth, **trie_settings))
-                for spilled in trie.add(sequences(ids, may_pair, least, depth)):
-                    yield rows(lang, spilled)
-                if sum(map(len, tries.values())) > trie.budget:  # many languages in one task
-                    for name in list(tries):
-                        for spilled in tries.pop(name).spill():
-                            yield rows(name, spilled)
-        for lang, trie in tries.items():
-            for spilled in trie.spill():
-                yield rows(lang, spilled)
+        for lang, (columns, counts) in _spilled(depth, least, bitmap, trie_settings, batches):
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), *map(pa.array, columns), pa.array(counts)], names=names)
 
     return run
 
@@ -177,6 +185,89 @@ def runs(coded: DataFrame, depth: int, least: int = 2, bitmap: bytes | None = No
     return written(coded.mapInArrow(_count(depth, least, bitmap, trie_settings), _run_schema(depth)), "phrase-runs")
 
 
+# Pairs are the bulk of what is counted, so their runs are cut into packed prefix partitions instead of rows.
+
+
+def prefix_partition(pairs: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers that say which prefix partition a pair belongs to; sorted pairs of one partition lie side by side.
+
+    Ids are ranks by frequency, so the words of an octave of ids have about as many occurrences as any other octave's. An octave is cut into 16
+    parts of ids or, with more words in the corpus, into so many that a part has some PARTITION_WORDS occurrences; a
+    single id with more is cut by the second id's octaves, and these in turn.
+    """
+    first, second = pairs >> 32, pairs & ((1 << 32) - 1)
+    octave = lambda ids: np.frexp(np.maximum(ids, 1).astype(np.float64))[1].astype(np.int64) - 1
+    spare = octave(first) + int(np.floor(np.log2(12 * PARTITION_WORDS / max(1, n_words))))  # log2 of ids that fit into a partition
+    shift = np.clip(np.minimum(spare, octave(first) - 4), 0, None)
+    more = np.clip(-spare, 0, 28)  # log2 of parts of one id
+    finer = np.clip(octave(second) - np.clip(more - 4, 0, None), 0, None)
+    return (octave(first) << 32) | (first >> shift), np.where(more > 0, (octave(second) << 32) | (second >> finer), 0)
+
+
+def packed(pairs: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted pairs as differences and counts, both with equal bytes side by side before compression."""
+    steps = np.diff(pairs, prepend=0).astype("<u8")
+    planes = np.concatenate([x.view(np.uint8).reshape(-1, 8).T.ravel() for x in (steps, counts.astype("<u8"))])
+    return zlib.compress(planes.tobytes(), 1)
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(2, 8, -1)
+    steps, counts = (np.ascontiguousarray(p.T).view("<u8").ravel().astype(np.int64) for p in planes)
+    return np.cumsum(steps), counts
+
+
+def _count_pairs(n_words: int, trie_settings: dict):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, ((pairs,), counts) in _spilled(2, 2, None, trie_settings, batches):
+            p, q = prefix_partition(pairs, n_words)
+            cuts = [0, *(np.flatnonzero((p[1:] != p[:-1]) | (q[1:] != q[:-1])) + 1).tolist(), len(pairs)]
+            blobs = [packed(pairs[i:j], counts[i:j]) for i, j in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(blobs), pa.string()), pa.array(p[cuts[:-1]]), pa.array(q[cuts[:-1]]),
+                                              pa.array(blobs, pa.binary())], names=["lang", "p", "q", "run"])
+
+    return run
+
+
+def _merge_pairs(min_count: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, size = None, [], 0
+
+        def settle() -> tuple[np.ndarray, np.ndarray]:
+            (pairs,), counts = add_up([np.concatenate([p for p, _ in parts])], np.concatenate([n for _, n in parts]))
+            return pairs, counts
+
+        def whole() -> pa.RecordBatch:
+            pairs, counts = settle()
+            kept = counts >= min_count
+            return pa.RecordBatch.from_arrays([pa.array([at[0]] * int(kept.sum()), pa.string()), pa.array(pairs[kept]), pa.array(counts[kept])],
+                                              names=["lang", "k0", "a"])
+
+        for batch in batches:
+            for *key, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                if at is not None and key != at:
+                    yield whole()
+                    parts, size = [], 0
+                at = key
+                parts.append(unpacked(blob))
+                size += len(parts[-1][0])
+                if size > 2 * BUDGET and len(parts) > 1:
+                    parts = [settle()]
+                    size = len(parts[0][0])
+        if parts:
+            yield whole()
+
+    return run
+
+
+def frequent_pairs(coded: DataFrame, n_words: int, min_count: int, **trie_settings) -> DataFrame:
+    """lang, k0, a of the pairs found `min_count` times or more, written. Runs are merged prefix partition by prefix partition, one at a time."""
+    found = written(coded.mapInArrow(_count_pairs(n_words, trie_settings), "lang string, p long, q long, run binary"), "phrase-pair-runs")
+    keys = ["lang", "p", "q"]
+    merged = found.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_merge_pairs(min_count), "lang string, k0 long, a long")
+    return written(merged, "phrase-pairs")
+
+
 def _merge(depth: int, least: int, min_count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = columns_of(depth)
@@ -290,10 +381,10 @@ def counted_phrases(documents: DataFrame, min_count: int = MIN_COUNT, max_words:
     totals = written(blocks.groupBy("lang").agg(F.sum("n_words").alias("n")), "phrase-totals")
     words = frequent_words(blocks, min_count)
     coded = with_ids(blocks, words)
-    pairs = prefix_counts(runs(coded, 2, **trie_settings), 2, 2, min_count)
-    width = columns_of(max_words)
-    keys = [f"k{i}" for i in range(width)]
-    found = pairs.select("lang", "k0", *[F.lit(0).cast("long").alias(k) for k in keys[1:]], "len", "a")
+    n_words = totals.agg(F.sum("n")).first()[0] or 0
+    pairs = frequent_pairs(coded, n_words, min_count, **trie_settings)
+    keys = [f"k{i}" for i in range(columns_of(max_words))]
+    found = pairs.select("lang", "k0", *[F.lit(0).cast("long").alias(k) for k in keys[1:]], F.lit(2).cast("long").alias("len"), "a")
     if max_words > 2:
         longer = runs(coded, max_words, 3, pair_filter(pairs), **trie_settings)
         found = found.unionByName(prefix_counts(longer, max_words, 3, min_count))

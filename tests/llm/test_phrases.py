@@ -118,6 +118,20 @@ def test_hot_containers_burst_into_nodes():
     assert [c.high for c in trie.root.children[:-1]] == [c.low for c in trie.root.children[1:]]
 
 
+@pytest.mark.parametrize("n_words", [1, 10**8, 10**11, 10**15])
+def test_prefix_partitions_of_sorted_pairs_lie_side_by_side(n_words):
+    rng = np.random.default_rng(n_words % 97)
+    firsts, seconds = (np.minimum(rng.zipf(1.2, 20_000), P.FILTER_BITS) for _ in range(2))
+    pairs = np.unique((firsts << 32) | seconds)
+    keys = list(zip(*(x.tolist() for x in P.prefix_partition(pairs, n_words))))
+    starts = [k for k, before in zip(keys, [None, *keys]) if k != before]
+    assert len(starts) == len(set(starts))
+    sizes = Counter(keys)
+    assert len(sizes) < 700 if n_words == 1 else len(sizes) >= 100
+    got, counts = P.unpacked(P.packed(pairs, np.arange(len(pairs))))
+    assert (got == pairs).all() and (counts == np.arange(len(pairs))).all()
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     a, left, right, n = 3_000_000_019, 3_000_000_033, 3_000_000_037, 90_000_000_000_013
     counts = spark.createDataFrame([("en", ["p", "q"], a, "p q"), ("en", ["p"], left, "p"), ("en", ["q"], right, "q")],
