@@ -74,10 +74,12 @@ def daily_aqi(
     end: _dt.date | None = None,
     *,
     days: list[_dt.date] | None = None,
+    keys: DataFrame | None = None,
     tolerance: float = 0.0,
     audit: bool = True,
 ) -> DataFrame:
-    """Gold rows for local days [start, end] (all days when both are None), or for exactly `days`.
+    """Gold rows for local days [start, end] (all days when both are None), or for exactly `days`; of these only
+    the site-days in `keys` (distinct city_id, obs_date_ist) if given.
 
     The scan is widened one day back so the 8-hour means just after midnight are complete; with
     silver partitioned by obs_date_ist both filters prune partitions. The date filter has to be
@@ -88,7 +90,13 @@ def daily_aqi(
         hourly = silver.where(F.col("obs_date_ist").between(F.lit(start - _dt.timedelta(days=1)), F.lit(end)))
     if days is not None:
         hourly = hourly.where(F.col("obs_date_ist").isin(sorted({*days, *(d - _dt.timedelta(days=1) for d in days)})))
-    measures = daily_measures(hourly)
+    if keys is not None:  # a site-day needs its own hours and those of the evening before
+        site_day = ["city_id", "obs_date_ist"]
+        read = keys.select("city_id", F.explode(F.array("obs_date_ist", F.date_sub("obs_date_ist", 1))).alias("obs_date_ist"))
+        hourly = hourly.join(read, site_day, "left_semi")
+        measures = daily_measures(hourly).join(keys.select(*site_day), site_day, "left_semi")
+    else:
+        measures = daily_measures(hourly)
     if days is not None:
         measures = measures.where(F.col("obs_date_ist").isin(days))
     if start is not None and end is not None:

@@ -33,7 +33,7 @@ def any_negative(cols: list[str] = VALUE_COLS) -> Column:
 
 
 def any_implausible(limits: dict[str, float] = MAX_PLAUSIBLE) -> Column:
-    """Some value above its column's limit, as shares of the limits; nulls are no values."""
+    """Some value above its column's limit; nulls are no values."""
     pairs = F.array(*[F.struct(F.col(c).alias("v"), F.lit(float(top)).alias("top")) for c, top in limits.items()])
     return F.exists(F.filter(pairs, lambda p: p["v"].isNotNull()), lambda p: p["v"] > p["top"])
 
@@ -51,18 +51,24 @@ def _unpivot(one_row: DataFrame, checks: list[list[Column]]) -> DataFrame:
 
 def duplicate_keys(silver: DataFrame, keys: list[str] = SILVER_KEY) -> DataFrame:
     """Q1/A5: number of keys that occur more than once (one row)."""
-    dupes = silver.groupBy(*keys).count().where(F.col("count") > 1).agg(F.count("*").alias("n"))
-    return dupes.select(*_check("unique_city_hour", CRITICAL, F.col("n") == 0,
+    return _duplicates(silver.groupBy(*keys).count().where(F.col("count") > 1).agg(F.count("*").alias("n")))
+
+
+def _duplicates(counted: DataFrame) -> DataFrame:
+    return counted.select(*_check("unique_city_hour", CRITICAL, F.col("n") == 0,
                                 F.concat(F.col("n").cast("string"), F.lit(" duplicate keys"))))
 
 
 def row_checks(silver: DataFrame) -> DataFrame:
     """Q2, Q3, Q4 from one scan of silver: A6 filtered counts as `count_if`."""
-    stats = silver.agg(
+    return _row_results(silver.agg(
         F.count_if(F.col("city_id").isNull() | F.col("ts_utc").isNull()).alias("null_keys"),
         F.count_if(any_negative()).alias("negative"),
         F.count_if(any_implausible()).alias("implausible"),
-    )
+    ))
+
+
+def _row_results(stats: DataFrame) -> DataFrame:
     rows = lambda c: F.concat(F.col(c).cast("string"), F.lit(" rows"))
     return _unpivot(stats, [
         _check("not_null_keys", CRITICAL, F.col("null_keys") == 0, rows("null_keys")),
@@ -73,10 +79,15 @@ def row_checks(silver: DataFrame) -> DataFrame:
 
 def freshness(silver: DataFrame, as_of: _dt.datetime) -> DataFrame:
     """The latest stored hour lies within FRESHNESS_HOURS before `as_of` (one row)."""
+    return fresh_enough(silver.agg(F.max("ts_utc").alias("latest")), as_of)
+
+
+def fresh_enough(newest: DataFrame, as_of: _dt.datetime) -> DataFrame:
+    """Q6 from one row with the `latest` hour."""
     # a string cast keeps the clock value exact whatever the session or process time zone
     limit = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(FRESHNESS_HOURS))
     shown = F.coalesce(F.date_format("latest", "yyyy-MM-dd HH:mm"), F.lit("NULL"))
-    return silver.agg(F.max("ts_utc").alias("latest")).select(*_check(
+    return newest.select(*_check(
         f"fresh_within_{FRESHNESS_HOURS}h", WARNING, F.coalesce(F.col("latest") >= limit, F.lit(False)),
         F.concat(F.lit("latest hour "), shown, F.lit(" UTC"))))
 
@@ -94,16 +105,16 @@ def missing_site_rows(silver: DataFrame, expected: DataFrame) -> DataFrame:
     return expected.select("city_id").distinct().join(present, "city_id", "left_anti")
 
 
-def run_checks(silver: DataFrame, expected: DataFrame, as_of: _dt.datetime | None = None,
-               after: DataFrame | None = None) -> DataFrame:
-    """Q7: all checks as one long DataFrame; freshness only when `as_of` (live runs) is given.
+def run_checks(silver: DataFrame, expected: DataFrame, as_of: _dt.datetime | None = None) -> DataFrame:
+    """Q7: all checks of a table as one long DataFrame; freshness only when `as_of` (live runs) is given."""
+    out = row_checks(silver).unionByName(duplicate_keys(silver)).unionByName(missing_sites(silver, expected))
+    return out if as_of is None else out.unionByName(freshness(silver, as_of))
 
-    Row and key checks read `silver` (a run: the days it stages); the site and freshness checks read
-    `after` (a run: the whole table as it will be), by default the same.
-    """
-    whole = silver if after is None else after
-    out = row_checks(silver).unionByName(duplicate_keys(silver)).unionByName(missing_sites(whole, expected))
-    return out if as_of is None else out.unionByName(freshness(whole, as_of))
+
+def results(row_counts: DataFrame, duplicates: DataFrame, missing: DataFrame, fresh: DataFrame | None) -> DataFrame:
+    """Q7 from counts taken elsewhere: one row of row counts, one of repeated keys (`n`), and finished site and freshness checks."""
+    out = _row_results(row_counts).unionByName(_duplicates(duplicates)).unionByName(missing)
+    return out if fresh is None else out.unionByName(fresh)
 
 
 def gate_decision(results: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SILVER_KEY, VALUE_COLS
-from ..schemas import SILVER_COLUMNS
+from ..schemas import SILVER_COLUMNS, TABLE_DDL
 from ..sources import fs
 
 INSERT, UPDATE, UNCHANGED, KEEP = "insert", "update", "unchanged", "keep"
@@ -79,11 +79,12 @@ def merged_state(plan: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 
 def revisions(plan: DataFrame, keys: list[str] = SILVER_KEY, superseded_by: str = "run_id") -> DataFrame:
-    """I8: before-images of updated rows, with the run that replaced them."""
+    """I8: before-images of updated rows, with the run that replaced them and, where rows have `updated_at`, until when they were valid."""
     old = [c[len("_old_"):] for c in plan.columns if c.startswith("_old_")]
+    until = [F.col("updated_at").alias("superseded_at")] if "updated_at" in old else []
     return plan.where(F.col("_action") == UPDATE).select(
         *keys, *[F.col(f"_old_{c}").alias(c) for c in old if c not in keys],
-        F.col(superseded_by).alias("superseded_by_run"),
+        F.col(superseded_by).alias("superseded_by_run"), *until,
     )
 
 
@@ -107,6 +108,7 @@ class StagedMerge:
         self.cols, self.partition_col, self._first = cols, partition_col, first_write
         self.inserted = sum(r["ins"] for r in stats)
         self.updated = sum(r["upd"] for r in stats)
+        self.dates = [r[partition_col] for r in stats]
         self.changed_dates = sorted(r[partition_col] for r in stats if r["ins"] or r["upd"])
 
     @property
@@ -125,20 +127,20 @@ class StagedMerge:
         return merged_state(self.spark.read.parquet(self.staged_path), self.cols)
 
     @property
-    def after_commit(self) -> DataFrame:
-        """The whole table as a commit will leave it: untouched partitions plus the candidate."""
-        if self._first is not None:
-            return self.checked
-        table = self.spark.read.parquet(self.table_path).select(*self.cols)
-        return table.where(~F.col(self.partition_col).isin(self.changed_dates)).unionByName(self.candidate)
+    def changed_keys(self) -> DataFrame:
+        """Distinct (site, day) of the inserted and updated rows."""
+        changed = self.plan.where(F.col("_action").isin(INSERT, UPDATE))
+        return changed.select("city_id", self.partition_col).distinct()
 
     def commit(self, revisions_path: str | None = None) -> MergeResult:
+        """Before-images first: a commit that breaks after them is merged again and writes them twice, which readers of history
+        allow for (`history.versions`), while the other way round they would be lost."""
         if self.changed_dates:
-            (self.candidate.hint("rebalance", F.col(self.partition_col)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(self.partition_col).parquet(self.table_path))
             if revisions_path and self._first is None:
                 (revisions(self.plan).withColumn("revised_at", F.current_timestamp())
                  .write.mode("append").parquet(revisions_path))
+            (self.candidate.hint("rebalance", F.col(self.partition_col)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(self.partition_col).parquet(self.table_path))
         self.discard()
         return MergeResult(self.inserted, self.updated, self.changed_dates)
 
@@ -148,11 +150,12 @@ class StagedMerge:
 
 
 def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
-                partition_col: str = "obs_date_ist") -> StagedMerge:
+                partition_col: str = "obs_date_ist", table_ddl: str = TABLE_DDL["silver"]) -> StagedMerge:
     """Evaluate K4 once against the partitions the batch touches and stage the result.
 
     Only target partitions holding a batch date are read (the semi join on the batch's dates
-    lets Spark prune partitions at run time). A missing table (K3) stages the batch itself.
+    lets Spark prune partitions at run time). A missing table (K3) stages the batch itself; a table without rows is
+    one like any other, as it is read with its declared columns.
     """
     cols = [c for c in SILVER_COLUMNS if c in batch.columns]
     staged_path = fs.staging_path(table_path)
@@ -165,7 +168,7 @@ def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
         staged = spark.read.parquet(staged_path)
         stats = staged.groupBy(partition_col).agg(F.count("*").alias("ins"), F.lit(0).alias("upd")).collect()
         return StagedMerge(spark, table_path, staged_path, cols, partition_col, stats, first_write=staged)
-    target = spark.read.parquet(table_path)
+    target = spark.read.schema(table_ddl).parquet(table_path).select(*cols)
     # Size bound: one row per distinct calendar day of the batch (a decade of history is
     # ~3,650 rows), so the broadcast is safe; it also lets Spark prune target partitions at run
     # time (dynamic partition pruning reuses this broadcast).

@@ -10,6 +10,7 @@ from ..schemas import LANDING_SCHEMA, PAYLOAD_SCHEMA, RESPONSES_SCHEMA
 
 HOUR_FORMAT = "yyyy-MM-dd'T'HH:mm"
 INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+NO_INGEST_DATE = "unknown"
 REQUIRED_FIELDS = ["run_id", "ingested_at", "city_id", "payload"]
 
 
@@ -94,17 +95,47 @@ def parse_envelopes(raw: DataFrame) -> DataFrame:
     )
 
 
+def ingest_date_of(path: Column) -> Column:
+    """The ingest date in a landing path, as text; files outside such a folder share one value."""
+    found = F.regexp_extract(path, "/ingest_date=([^/]+)/", 1)
+    return F.when(found != "", found).otherwise(F.lit(NO_INGEST_DATE))
+
+
+def landing_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Landing lines not yet parsed: `value`, the file's base name (`source_file`), its full path (`source_path`, the skip key: base
+    names can repeat across ingest dates) and the ingest date in that path."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
+    path = F.col("_metadata.file_path")
+    return lines.where(F.trim("value") != "").select("value", F.col("_metadata.file_name").alias("source_file"), path.alias("source_path"),
+                                                     ingest_date_of(path).alias("ingest_date"))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Envelope fields of landing lines, typed; a corrupt line stops the job."""
+    envelope = F.from_json("value", LANDING_SCHEMA, {"mode": "FAILFAST"})
+    parsed = lines.select(envelope.alias("e"), *[c for c in lines.columns if c != "value"])
+    return parse_envelopes(parsed.select("e.*", *[c for c in parsed.columns if c != "e"]))
+
+
 def read_landing(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Landing JSON lines with the declared schema; corrupt lines stop the job.
+    """Landing JSON lines with the declared schema; corrupt lines stop the job."""
+    return parse_lines(landing_lines(spark, paths))
 
-    Adds the file base name (`source_file`, as recorded by the reference layout) and the full
-    path (`source_path`, the skip key: base names can repeat across ingest dates).
+
+def landing_dates(spark: SparkSession, paths: list[str] | str) -> list[str]:
+    """Ingest dates of landing files, from their names alone: a listing, no file is opened. At most one entry for each calendar day."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
+    return sorted(r[0] for r in files.select(ingest_date_of(F.col("path"))).distinct().collect())
+
+
+def unread_lines(lines: DataFrame, bronze: DataFrame | None, dates: list[str]) -> DataFrame:
+    """The lines of files that bronze doesn't hold, found before they are parsed.
+
+    A file's ingest date follows from its path and bronze is partitioned by it, so only the partitions of `dates` are read.
     """
-    raw = (spark.read.schema(LANDING_SCHEMA).option("mode", "FAILFAST").option("recursiveFileLookup", "true")
-           .json(paths)
-           .select(*LANDING_SCHEMA.fieldNames(), F.col("_metadata.file_name").alias("source_file"),
-                   F.col("_metadata.file_path").alias("source_path")))
-    return parse_envelopes(raw)
+    if bronze is None:
+        return lines
+    return new_files_only(lines, bronze.where(F.col("ingest_date").isin(dates)))
 
 
 def new_files_only(landing: DataFrame, bronze: DataFrame | None, key: str = "source_path") -> DataFrame:

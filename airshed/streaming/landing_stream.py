@@ -28,11 +28,9 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.json(landing_dir).select(
-        *LANDING_SCHEMA.fieldNames(),
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_path").alias("source_path"),
-    )
+    path = F.col("_metadata.file_path")
+    raw = reader.json(landing_dir).select(*LANDING_SCHEMA.fieldNames(), F.col("_metadata.file_name").alias("source_file"),
+                                          path.alias("source_path"), landing.ingest_date_of(path).alias("ingest_date"))
     return landing.parse_envelopes(raw)
 
 
@@ -42,8 +40,8 @@ def apply_batch(spark: SparkSession, root: str, dim: DataFrame, batch: DataFrame
 
     Days that an interrupted epoch left pending are published here even if this batch changes nothing.
     """
-    fresh = landing.new_files_only(batch, lakehouse.stored(spark, root, "bronze")).select(*BRONZE_COLUMNS)
-    fresh.write.mode("append").parquet(lakehouse.at(root, "bronze"))
+    dates = [r[0] for r in batch.select("ingest_date").distinct().collect()]  # at most one for each calendar day
+    lakehouse.append_bronze(spark, landing.unread_lines(batch, lakehouse.stored(spark, root, "bronze"), dates), root)
     # the batch's own rows (replays included) go through silver; merging them again is a no-op
     done = lakehouse.merge_rows(spark, root, batch.select(*BRONZE_COLUMNS), dim, f"stream-{epoch_id}", as_of, halo_days)
     return {"epoch": epoch_id, "inserted": done["silver_inserted"], "updated": done["silver_updated"], "gold_rows": done["gold_rows"]}
