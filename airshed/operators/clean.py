@@ -81,13 +81,13 @@ def to_silver(hourly: DataFrame, tiebreak: list[str] | None = None, *, audit: bo
 def silver_transform(bronze: DataFrame, *, audit: bool = True) -> DataFrame:
     """Bronze envelopes (payload JSON) -> one silver row per (city_id, ts_utc).
 
-    Among versions with equal ingestion time and run id, the higher version number of the landing path
-    (`source_path`, else `source_file`), then the later path and then the later array position win, so
+    Among versions with equal ingestion time and run id, the higher `version` (without such a column: the version number in
+    the landing path), then the later path (`source_path`, else `source_file`) and then the later array position win, so
     the result does not depend on task order.
     """
     origin = "source_path" if "source_path" in bronze.columns else "source_file"
-    version = F.coalesce(F.regexp_extract(origin, r"(?:/version=|_v)([0-9]+)(?:/|_landing)", 1).try_cast("long"), F.lit(0).cast("long"))
-    numbered = bronze.withColumn("version_no", version)
+    in_path = F.regexp_extract(origin, r"(?:/version=|_v)([0-9]+)(?:/|_landing)", 1).try_cast("long")
+    numbered = bronze.withColumn("version_no", F.coalesce(F.col("version") if "version" in bronze.columns else in_path, F.lit(0).cast("long")))
     carry = ["city_id", "run_id", "ingested_at", "version_no", origin]
     hourly = explode_hours(parse_payload(numbered), carry)
     return to_silver(hourly, ["version_no", origin, "pos"], audit=audit)

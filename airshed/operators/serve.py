@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import POLLUTANT_LABELS
 from .joins import join_dimension
+from .ranges import numbered
 
 REPORT_COLUMNS = ["name", "obs_date_ist", "aqi", "aqi_category", "prominent_pollutant", "pm2_5_24h", "pm10_24h"]
 
@@ -37,30 +38,15 @@ def label(code: Column) -> Column:
     return F.coalesce(mapping[code], code)
 
 
-def global_rank(df: DataFrame, buckets: list[Column], order: list[Column], name: str = "rank") -> DataFrame:
-    """W3 without a single-task window and without a job at plan time: 1-based position in `order`.
-
-    `buckets`: sort columns that split the order coarsely, a row in an earlier bucket coming before all rows of a
-    later one. The few bucket sizes are added up in one small window; the row number is taken inside each
-    bucket. The order must be total for positions to be deterministic.
-    """
-    keys = [f"_bucket{i}" for i in range(len(buckets))]
-    ascending = [F.col(k) for k in keys]
-    split = df.withColumns(dict(zip(keys, buckets)))
-    sizes = split.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*ascending).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*[F.col(k).alias(f"{k}s") for k in keys], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    placed = split.withColumn("_pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}s"))
-    return placed.join(starts, same).select(*df.columns, (F.col("_before") + F.col("_pos")).cast("int").alias(name))
+def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """1-based position in `order`, by range partitions (`ranges.numbered`): neither a single-task window nor a task for each
+    value of the index. `df` is evaluated once. The order must be total for positions to be deterministic."""
+    return numbered(df, order, name).withColumn(name, F.col(name).cast("int"))
 
 
 def report_rows(latest: DataFrame) -> DataFrame:
     """Rank, label and one markdown table line per site (content of the published table)."""
-    # buckets: the index (501 values) and the first character of the name
-    ranked = global_rank(latest, [-F.col("aqi"), F.substring("name", 1, 1)], [F.col("aqi").desc(), F.col("name")])
+    ranked = global_rank(latest, [-F.col("aqi"), F.col("name")])
     line = F.format_string("| %d | %s | %s | **%d** | %s | %s | %s | %s |", F.col("rank"), F.col("name"),
                            F.col("obs_date_ist").cast("string"), F.col("aqi"), F.col("aqi_category"),
                            F.col("main_pollutant_label"), F.col("pm2_5_24h").cast("string"),

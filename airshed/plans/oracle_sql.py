@@ -478,6 +478,43 @@ UNION ALL {_fresh(after, P.FRESHNESS_AS_OF)})""")
     return f"WITH {ctes}\n" + "\nUNION ALL\n".join(parts)
 
 
+def _late_sites_ctes() -> str:
+    """Silver after the early runs and after the late runs of some sites, and the merge between them."""
+    early, late = f"l_linenumber <= {P.TARGET_LAST_RUN}", f"l_linenumber > {P.TARGET_LAST_RUN} AND {P.LATE_SITES_SQL}"
+    return (base_ctes() + f",\ntarget AS ({dedupe_sql('clean', early)}),\nbatch AS ({dedupe_sql('clean', late)}),\n"
+            f"plan AS ({merge_sql('target', 'batch')}),\nmerged AS (SELECT {SILVER_SEL} FROM plan)")
+
+
+def gold_delta_by_key() -> str:
+    return f"""WITH {_late_sites_ctes()},\n{gold_ctes('gold', 'merged')},
+changed AS (SELECT DISTINCT city_id, obs_date_ist AS d FROM plan WHERE _action IN ('insert', 'update'))
+SELECT city_id, obs_date_ist, aqi, prominent_pollutant,
+  EXISTS (SELECT 1 FROM changed c WHERE c.city_id = gold.city_id AND gold.obs_date_ist - c.d BETWEEN 0 AND 1) AS recomputed
+FROM gold"""
+
+
+def gate_from_summary() -> str:
+    return f"""WITH {_late_sites_ctes()},\n{DIM},\n{_dq_all('merged')}
+SELECT * FROM results UNION ALL {_fresh('merged', P.FRESHNESS_AS_OF)}"""
+
+
+def silver_as_of() -> str:
+    ctes, steps = _run_steps()
+    cols = ", ".join(["city_id", "ts_utc", "run_id", *VALUE_COLS])
+    states = "\nUNION ALL\n".join(f"SELECT 'run-{run}' AS as_of, {cols} FROM {state}" for run, _, state, _, _ in steps)
+    return f"WITH {ctes}\n{states}"
+
+
+def events_hot_user_mean() -> str:
+    return f"""WITH hot AS (SELECT event_id, {P.HOT_USER_SQL} AS user_id, ts, value FROM events)
+{events_trailing_mean().replace("FROM events", "FROM hot")}"""
+
+
+def events_numbered_by_value() -> str:
+    return """SELECT event_id, event_type, value, row_number() OVER (ORDER BY event_type, event_id) AS place,
+  row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS place_in_type FROM events"""
+
+
 def rebuild_equals_incremental() -> str:
     """Values of a full replay, as kept by the rebuilt silver."""
     return f"WITH {base_ctes()}\nSELECT city_id, ts_utc, {', '.join(VALUE_COLS)} FROM silver"

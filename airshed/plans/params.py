@@ -25,6 +25,10 @@ EVENT_MIN_COUNT = 1
 # Time buckets of the event window: events are high-frequency, so one user-day may be large;
 # 6-hour buckets bound a window group to 13 hours of one user.
 EVENT_BUCKET_HOURS = 6
+# The hot-user query gives every third event to one user.
+HOT_USER_SQL = "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END"
+# The key-level query's late batch has the sites whose number leaves this remainder.
+LATE_SITES_SQL = "l_suppkey % 10 = 3"
 # Runs picked by the run-selection query.
 SELECTED_RUNS = ["run-2", "run-5"]
 # Two runs by site: the first holds the sites with an even supplier number.

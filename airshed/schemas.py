@@ -11,6 +11,8 @@ LANDING_SCHEMA = T.StructType([
     T.StructField(name, T.StringType())
     for name in ["run_id", "ingested_at", "source", "city_id", "window_start", "window_end", "payload"]
 ])
+# A writer that lands an hour more than once in a run numbers the versions in a further field; a line without it is version 0.
+VERSIONED_LANDING = T.StructType([*LANDING_SCHEMA.fields, T.StructField("version", T.LongType())])
 
 # Source response, as far as we read it; other fields are ignored. Its field names.
 _HOURLY_DDL = ", ".join(["time: array<string>", *(f"{api}: array<double>" for api in POLLUTANTS)])
@@ -20,7 +22,7 @@ PAYLOAD_SCHEMA = _RESPONSE_DDL
 RESPONSES_SCHEMA = f"array<{_RESPONSE_DDL}>"
 
 BRONZE_COLUMNS = ["run_id", "ingested_at", "source", "city_id", "window_start", "window_end", "payload",
-                  "source_file", "source_path", "ingest_date"]
+                  "source_file", "source_path", "ingest_date", "version"]
 
 SILVER_COLUMNS = [
     "city_id", "ts_utc", "obs_date_ist", "obs_hour_ist", "pm2_5", "pm10", "no2", "so2", "o3", "co_mg_m3",
@@ -47,7 +49,7 @@ _GOLD_DDL = ("city_id string, aqi int, aqi_category string, prominent_pollutant
 # The dimension has none: its columns may change between versions.
 TABLE_DDL = {
     "bronze": "run_id string, ingested_at timestamp_ntz, source string, city_id string, window_start date, window_end date, payload string, "
-              "source_file string, source_path string, ingest_date string",
+              "source_file string, source_path string, ingest_date string, version bigint",
     "silver": f"{_SILVER_DDL}, obs_date_ist date",
     "revisions": f"{_SILVER_DDL}, obs_date_ist date, superseded_by_run string, superseded_at timestamp, revised_at timestamp",
     "gold": f"{_GOLD_DDL}, obs_date_ist date",

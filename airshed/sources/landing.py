@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import POLLUTANTS
-from ..schemas import LANDING_SCHEMA, PAYLOAD_SCHEMA, RESPONSES_SCHEMA
+from ..operators.ranges import numbered
+from ..schemas import LANDING_SCHEMA, PAYLOAD_SCHEMA, RESPONSES_SCHEMA, VERSIONED_LANDING
 
 HOUR_FORMAT = "yyyy-MM-dd'T'HH:mm"
 INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
@@ -32,17 +33,18 @@ def build_envelopes(hourly: DataFrame, source: str, order: list[str] | None = No
 
     `hourly` has city_id, run_id, ingested_at (NTZ, UTC), ts_utc, latitude, longitude and the
     six values under our column names (co in ug/m3). A run that reports the same hour more
-    than once gets one envelope per version: `_slot` is the version's ordinal within (site,
-    run, hour), in `order` (ascending), and is part of the file key, so a later slot wins ties
-    in the silver dedupe. An envelope therefore covers one site, one UTC day, one run and one
+    than once gets one envelope per version: `version` is the ordinal within (site,
+    run, hour), in `order` (ascending), numbered by range partitions, so that an hour with any number of versions is
+    spread over tasks; a later version wins ties in the silver dedupe. An envelope therefore covers one site, one UTC day, one run and one
     slot: at most 24 entries, like a real source response, whatever the data volume. Arrays
     are built from structs sorted by time; to_json keeps nulls inside arrays, so values
     round-trip.
     """
     order = order or []
     api_of = {col: api for api, col in POLLUTANTS.items()}
-    by_hour = Window.partitionBy("city_id", "run_id", "ts_utc").orderBy(*[F.col(c) for c in order])
-    slotted = hourly.withColumn("_slot", F.row_number().over(by_hour) - 1)
+    hour = ["city_id", "run_id", "ts_utc"]
+    needed = [*hour, "ingested_at", "latitude", "longitude", *POLLUTANTS.values()]
+    slotted = numbered(hourly.select(*dict.fromkeys([*needed, *order])), [F.col(c) for c in order] or [F.lit(0)], "_slot", hour).withColumn("_slot", F.col("_slot") - 1)
     entry = F.struct(F.col("ts_utc"), *[F.col(col).alias(api_of[col]) for col in POLLUTANTS.values()])
     day = F.to_date("ts_utc")
     grouped = slotted.groupBy("city_id", "run_id", day.alias("_day"), "_slot").agg(
@@ -61,17 +63,16 @@ def build_envelopes(hourly: DataFrame, source: str, order: list[str] | None = No
         F.to_json(response_struct(F.col("_entries"), F.col("_lat"), F.col("_lon"))).alias("payload"),
         F.format_string("%s_%s_v%05d_landing.jsonl", F.col("run_id"), F.date_format("_day", "yyyyMMdd"),
                         F.col("_slot")).alias("_file"),
-        F.format_string("%05d", F.col("_slot")).alias("version"),
+        F.col("_slot").alias("version"),
     )
 
 
 def write_landing(envelopes: DataFrame, landing_dir: str) -> None:
-    """K1 sink: JSON lines under ingest_date=<date of ingestion>/version=<slot>/, appended, never
-    rewritten. Later versions of an hour within one run land under a later `version` folder,
-    so the landing path orders them."""
+    """K1 sink: JSON lines under ingest_date=<date of ingestion>/, appended, never rewritten; a few files a date, as rows are
+    rebalanced. The version of an hour is a field of the line."""
     (envelopes.withColumn("ingest_date", F.substring("ingested_at", 1, 10))
-     .drop("_file")
-     .write.mode("append").partitionBy("ingest_date", "version").json(landing_dir))
+     .drop("_file").hint("rebalance", F.col("ingest_date"))
+     .write.mode("append").partitionBy("ingest_date").json(landing_dir))
 
 
 def _require(c: str) -> Column:
@@ -91,7 +92,8 @@ def parse_envelopes(raw: DataFrame) -> DataFrame:
         F.to_date("window_start").alias("window_start"),
         F.to_date("window_end").alias("window_end"),
         "payload",
-        *[c for c in raw.columns if c not in LANDING_SCHEMA.fieldNames()],
+        (F.coalesce("version", F.lit(0)) if "version" in raw.columns else F.lit(0)).cast("long").alias("version"),
+        *[c for c in raw.columns if c not in VERSIONED_LANDING.fieldNames()],
     )
 
 
@@ -112,7 +114,7 @@ def landing_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Envelope fields of landing lines, typed; a corrupt line stops the job."""
-    envelope = F.from_json("value", LANDING_SCHEMA, {"mode": "FAILFAST"})
+    envelope = F.from_json("value", VERSIONED_LANDING, {"mode": "FAILFAST"})
     parsed = lines.select(envelope.alias("e"), *[c for c in lines.columns if c != "value"])
     return parse_envelopes(parsed.select("e.*", *[c for c in parsed.columns if c != "e"]))
 

@@ -18,18 +18,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import lakehouse
-from ..schemas import BRONZE_COLUMNS, LANDING_SCHEMA
+from ..schemas import BRONZE_COLUMNS, VERSIONED_LANDING
 from ..sources import landing
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of landing JSON lines with the declared schema; corrupt lines fail."""
-    reader = (spark.readStream.schema(LANDING_SCHEMA).option("mode", "FAILFAST")
+    reader = (spark.readStream.schema(VERSIONED_LANDING).option("mode", "FAILFAST")
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     path = F.col("_metadata.file_path")
-    raw = reader.json(landing_dir).select(*LANDING_SCHEMA.fieldNames(), F.col("_metadata.file_name").alias("source_file"),
+    raw = reader.json(landing_dir).select(*VERSIONED_LANDING.fieldNames(), F.col("_metadata.file_name").alias("source_file"),
                                           path.alias("source_path"), landing.ingest_date_of(path).alias("ingest_date"))
     return landing.parse_envelopes(raw)
 

@@ -71,12 +71,11 @@ def test_dimension_join_has_no_hint(spark):
     assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()  # AQE decides from measured bytes
 
 
-def test_building_the_report_runs_no_data_job(spark):
-    tracker, group = spark.sparkContext.statusTracker(), "report-plan"
-    spark.sparkContext.setJobGroup(group, "plan only")
-    R.q_ranked_report_rows(spark, SF)
-    spark.sparkContext.setJobGroup("default", "")
-    assert len(tracker.getJobIdsForGroup(group)) <= 3  # the three tables' Parquet footers
+def test_the_report_computes_the_daily_index_once(spark):
+    """Ranks come from a written table in range partitions: what is left to run reads that table, not the readings."""
+    report = R.q_ranked_report_rows(spark, SF)
+    assert not any("lineitem" in f for f in report.inputFiles())
+    assert "Window" in _plan(report) and "_part" in _plan(report)
 
 
 def test_partitioned_writes_are_rebalanced(spark, tmp_path):
