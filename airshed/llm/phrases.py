@@ -42,7 +42,7 @@ TOP = 2000
 ABSORB_PERCENT = 100
 FILTER_BITS = 1 << 26  # 8 MB at most
 CHUNK_BITS = 1 << 15
-BLOCK_BYTES = 16 << 20  # text of a slice that is cut into blocks
+BLOCK_BYTES = 8 << 20  # text of a slice that is cut into blocks
 PARTITION_WORDS = 1 << 22  # occurrences in a prefix partition, about
 
 BLOCK = "lang string, block long, words array<string>, counts array<long>, n_words long, n_tokens long, tokens binary"
@@ -101,7 +101,8 @@ def with_ids(blocks: DataFrame, words: DataFrame) -> DataFrame:
     """lang, n_tokens, tokens of each block, with `local` (the block's numbers of frequent words) and `ids` (their ids); written."""
     numbered = blocks.select("block", "lang", F.posexplode("words").alias("_at", "word"))
     same = ["lang", "word"]
-    looked_up = numbered.join(words.select(*same, "id"), same, "left")  # every word of a block, most of them rare
+    # every word of a block, most of them rare; by shuffle whatever the size, as the words have no proven bound for a broadcast
+    looked_up = numbered.join(words.select(*same, "id").hint("merge"), same, "left")
     known = F.when(F.col("id").isNotNull(), F.struct((F.col("_at") + 1).cast("int").alias("at"), F.col("id").cast("int").alias("id")))
     found = looked_up.groupBy("block").agg(F.collect_list(known).alias("_found"))
     joined = blocks.select("lang", "block", "n_tokens", "tokens").join(found, "block")
@@ -231,7 +232,7 @@ def _count_pairs(n_words: int, trie_settings: dict):
 
 def _merge_pairs(min_count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, parts, size = None, [], 0
+        at, parts, size, last = None, [], 0, 0  # `last`: what was left when parts were added up
 
         def settle() -> tuple[np.ndarray, np.ndarray]:
             (pairs,), counts = add_up([np.concatenate([p for p, _ in parts])], np.concatenate([n for _, n in parts]))
@@ -247,13 +248,13 @@ def _merge_pairs(min_count: int):
             for *key, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 if at is not None and key != at:
                     yield whole()
-                    parts, size = [], 0
+                    parts, size, last = [], 0, 0
                 at = key
                 parts.append(unpacked(blob))
                 size += len(parts[-1][0])
-                if size > 2 * BUDGET and len(parts) > 1:
+                if size > BUDGET + last and len(parts) > 1:
                     parts = [settle()]
-                    size = len(parts[0][0])
+                    size = last = len(parts[0][0])
         if parts:
             yield whole()
 

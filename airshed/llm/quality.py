@@ -1,17 +1,19 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Each rule compares one ratio of a text with a cutoff. Cutoffs come from labelled documents, apart for
-each stratum (language): going from the most lenient cutoff of a fixed grid to the strictest, a cutoff is
-certified if an exact binomial test shows that it rejects less than `risk / number of rules` of the good
-documents; the walk ends at the first cutoff that fails (fixed sequence). Strata and rules are
-corrected for by Bonferroni, so with probability 1 - `error` no stratum loses more than `risk` of its
-good documents. Among the certified cutoffs the one that best parts labelled junk from good documents
-is taken, the most lenient of equals. A stratum with too few labels certifies nothing and rejects nothing.
-
-Defined cases: null and empty texts have no words and fail the base rule; null lang is a stratum of its own;
-labels without doc_id or quality, or for unknown documents, are ignored; several labels for one document
-count as its lowest; repeated documents are judged alike; empty tables give empty results; other
-columns of the input are kept by `filter_documents` whatever their names.
+Each rule is one ratio of a text, from 0 to 1, of which high values are suspect. Labelled texts are the trials: a text counts once for each
+stratum (language) whatever the number of its copies and labels, and a hash of the text puts it into one of two halves. The first
+half gives each rule its scale: the share of good texts whose ratio is as high or higher, a quantile grid, and beyond the largest good
+ratio, below all shares, how far a ratio lies on the way to 1. A document's level is its smallest value on the scales of all rules, so the cutoffs of all rules tighten together along one nested path that doesn't depend on the second half.
+The second half certifies: going along the path from the most lenient cutoffs to the strictest, a point is certified if an exact
+binomial test shows that all rules together reject less than `risk` of the good texts; the walk ends at the first point that fails
+(fixed sequence), which needs no further correction within a stratum. Strata are corrected for by Bonferroni, so with probability
+1 - `error` no stratum loses more than `risk` of its good documents. Among the certified points the one that best parts
+junk from good texts is taken, the most lenient of equals. A stratum with too few labels certifies nothing and rejects nothing.
+
+Defined cases: null and empty texts have no words and fail the base rule; a null lang is a stratum of its own, together with the
+lang ''; labels without doc_id or quality, or for unknown documents, are ignored; several labels for one text
+count as its lowest; repeated documents and labels are one trial and are judged alike; empty tables give empty results; other
+columns of the input are kept by `filter_documents` whatever their names. Near copies count as trials of their own.
 """
 
 from __future__ import annotations
@@ -30,11 +32,13 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 RISK = 0.05  # share of a stratum's good documents that the rules may reject
 ERROR = 0.05  # probability that any stratum loses more
-GRID = 50  # cutoffs 0/50 ... 50/50 of a ratio
+GRID = 1000  # steps of a ratio
+LEVELS = 1000  # steps of a level: the path's points are at shares 0/1000, 1/1000, ...
+MARGINS = 20  # points of the path before those: parts of the way from a rule's largest good ratio to 1
+LONG_WORD = 32  # mean word length at which the ratio of long words is 1
 GOOD_WEIGHT = 10  # a rejected good document weighs as much as so many rejected junk documents (as shares)
-BROADCAST_STRATA = 100_000  # cutoff rows (some 50 bytes each) beyond which the join is an ordinary one
 
-RULES = ("symbols", "capitals", "dup_lines", "repeats")
+RULES = ("symbols", "capitals", "dup_lines", "repeats", "adjacent", "long_words", "short_words")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -64,7 +68,7 @@ def _repeat_words(windows: Column) -> Column:
 
 
 def measured(documents: DataFrame) -> DataFrame:
-    """`_row` (all input columns), `doc_id`, `stratum`, the COUNTS, one ratio from 0 to 1 for each rule, `base_failed`."""
+    """`_row` (all input columns), `doc_id`, `stratum`, `digest` of the text, the COUNTS, one step from 0 to GRID for each rule, `base_failed`."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     df = documents.select(as_record(documents), F.col("doc_id").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"),
                           text.alias("_text"))
@@ -79,17 +83,22 @@ def measured(documents: DataFrame) -> DataFrame:
         "n_words": size.cast("long"),
         "word_chars": F.char_length(F.array_join("_words", "")).cast("long"),
         "_windows": F.when(size >= REPEAT_WINDOW, _window_hashes(F.col("_words"))),
+        "_adjacent": once(F.col("_words"), lambda a: F.size(F.filter(a, lambda w, i: w == F.get(a, i - 1)))),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
     })
     df = df.withColumn("n_repeat_words", F.when(
         F.size(F.array_distinct("_windows")) < F.size("_windows"),
         _repeat_words(F.col("_windows"))).otherwise(0).cast("long"))
-    share = lambda part, whole: F.least(F.lit(1.0), F.col(part) / F.greatest(F.col(whole), F.lit(1)))
+    share = lambda part, whole: F.col(part) / F.greatest(F.col(whole), F.lit(1))
+    ratios = {
+        "symbols": share("n_symbols", "word_chars"), "capitals": share("_capitals", "word_chars"),
+        "dup_lines": F.col("n_dup_lines") / F.greatest(F.size("_lines"), F.lit(1)), "repeats": share("n_repeat_words", "n_words"),
+        "adjacent": share("_adjacent", "n_words"), "long_words": share("word_chars", "n_words") / LONG_WORD,
+        "short_words": share("n_words", "word_chars"),
+    }
     return df.select(
-        "_row", "doc_id", "stratum", *COUNTS,
-        share("n_symbols", "word_chars").alias("symbols"), share("_capitals", "word_chars").alias("capitals"),
-        F.least(F.lit(1.0), F.col("n_dup_lines") / F.greatest(F.size("_lines"), F.lit(1))).alias("dup_lines"),
-        share("n_repeat_words", "n_words").alias("repeats"),
+        "_row", "doc_id", "stratum", F.sha2("_text", 256).alias("digest"), *COUNTS,
+        *[F.ceil(F.least(F.lit(1.0), ratios[r]) * GRID).cast("int").alias(r) for r in RULES],
         ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"))
 
 
@@ -109,39 +118,55 @@ def binomial_tail(n: Column, k: Column, p: Column) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.exp(log_tail)))
 
 
+def trials(judged: DataFrame, labels: DataFrame) -> DataFrame:
+    """stratum, digest, good, first (whether of the first half), the rules' steps: one row for each labelled text that passes the base rule."""
+    label = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(
+        (F.min("quality") > 0).alias("good"))
+    seen = judged.where(~F.col("base_failed")).join(label, "doc_id")
+    return seen.groupBy("stratum", "digest", *RULES).agg(F.min("good").alias("good")).withColumn("first", F.col("digest") < "8")
+
+
 def certify(judged: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """Cutoffs: stratum, and for each rule the grid step beyond which it rejects (null: it rejects nothing).
+    """Cutoffs: stratum, and for each rule the step from which on it rejects (null: it rejects nothing).
 
     `judged`: rows of `measured`. Only documents that pass the base rule count.
     """
-    label = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(
-        (F.min("quality") > 0).alias("good"))
-    seen = judged.where(~F.col("base_failed")).select("doc_id", "stratum", *RULES).join(label, "doc_id")
-    rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.ceil(F.col(r) * GRID).cast("int").alias("step")) for r in RULES])
-    tally = written(seen.select("stratum", "good", F.inline(rules)).groupBy("stratum", "rule", "step").agg(
-        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("junk")), "tally")
-    strata = tally.select("stratum").distinct().count()
-    steps = tally.select("stratum", "rule").distinct().withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(GRID))))
-    full = steps.join(tally, ["stratum", "rule", "step"], "left").fillna(0, ["good", "junk"])
+    tried = written(trials(judged, labels), "trials")
+    strata = tried.select("stratum").distinct().count()
+    steps = F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("step")) for r in RULES]))
+    per_rule = tried.select("stratum", "digest", "good", "first", steps)
     by = Window.partitionBy("stratum", "rule")
-    beyond = by.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)  # ratios above this cutoff
-    cut = full.select("*", F.sum("good").over(by).alias("n"), F.sum("junk").over(by).alias("n_junk"),
-                      F.coalesce(F.sum("good").over(beyond), F.lit(0)).alias("k"),
-                      F.coalesce(F.sum("junk").over(beyond), F.lit(0)).alias("k_junk"))
-    tested = cut.withColumn("p", binomial_tail(F.col("n"), F.col("k"), F.lit(risk / len(RULES))))
-    passed = tested.withColumn("ok", F.col("p") <= F.lit(error / len(RULES) / max(1, strata)))
-    certified = passed.withColumn("all_ok", F.min("ok").over(by.orderBy(F.desc("step")))).where("all_ok")
+    counts = per_rule.where("good and first").groupBy("stratum", "rule", "step").agg(F.count(F.lit(1)).alias("_n"))
+    rules = tried.select("stratum", F.explode(F.array(*map(F.lit, RULES))).alias("rule")).distinct()
+    grid = rules.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(GRID))))
+    above = by.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)  # good texts at this step or beyond
+    filled = grid.join(counts, ["stratum", "rule", "step"], "left").fillna(0, ["_n"])
+    tail = filled.select("stratum", "rule", "step", F.sum("_n").over(above).alias("k"), F.sum("_n").over(by).alias("n"),
+                         F.max(F.when(F.col("_n") > 0, F.col("step"))).over(by).alias("top"))
+    beyond = F.expr(f"-(((step - top) * {MARGINS}) div ({GRID} - top))")
+    level = F.when(F.col("k") > 0, F.ceil(F.col("k") * LEVELS / F.col("n"))).otherwise(beyond).cast("int")
+    tail = written(tail.where("n > 0").select("stratum", "rule", "step", level.alias("level")), "levels")
+    levels = per_rule.where("not first").join(tail, ["stratum", "rule", "step"]).groupBy("stratum", "digest", "good").agg(F.min("level").alias("level"))
+    tally = levels.groupBy("stratum", "level").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("junk"))
+    points = tally.select("stratum").distinct().withColumn("level", F.explode(F.sequence(F.lit(-MARGINS), F.lit(LEVELS))))
+    full = points.join(tally, ["stratum", "level"], "left").fillna(0, ["good", "junk"])
+    whole = Window.partitionBy("stratum")
+    upto = whole.orderBy("level").rowsBetween(Window.unboundedPreceding, 0)  # texts that this point rejects
+    cut = full.select("stratum", "level", F.sum("good").over(whole).alias("n"), F.sum("junk").over(whole).alias("n_junk"),
+                      F.sum("good").over(upto).alias("k"), F.sum("junk").over(upto).alias("k_junk"))
+    passed = cut.withColumn("ok", binomial_tail(F.col("n"), F.col("k"), F.lit(risk)) <= F.lit(error / max(1, strata)))
+    certified = passed.withColumn("all_ok", F.min("ok").over(upto)).where("all_ok")
     worth = F.col("k_junk") / F.greatest("n_junk", F.lit(1)) - GOOD_WEIGHT * F.col("k") / F.greatest("n", F.lit(1))
-    best = certified.groupBy("stratum", "rule").agg(F.max(F.struct(worth.alias("worth"), F.col("step"))).alias("best"))
-    return best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("best.step"))).alias(f"cut_{r}") for r in RULES])
+    best = certified.groupBy("stratum").agg(F.max(F.struct(worth.alias("worth"), (-F.col("level")).alias("lenient"))).alias("best"))
+    point = best.select("stratum", (-F.col("best.lenient")).alias("_point"))
+    within = tail.join(point, "stratum").where(F.col("level") <= F.col("_point"))
+    return within.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == r, F.col("step"))).alias(f"cut_{r}") for r in RULES])
 
 
 def verdict(judged: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """`judged` with `kept`: passes the base rule and no certified cutoff rejects it."""
     cutoffs = written(cutoffs.withColumnRenamed("stratum", "_stratum"), "cutoffs")
-    if cutoffs.count() <= BROADCAST_STRATA:
-        cutoffs = F.broadcast(cutoffs)
-    rejected = [F.coalesce(F.col(r) * GRID > F.col(f"cut_{r}"), F.lit(False)) for r in RULES]
+    rejected = [F.coalesce(F.col(r) >= F.col(f"cut_{r}"), F.lit(False)) for r in RULES]
     joined = judged.join(cutoffs, F.col("stratum") == F.col("_stratum"), "left")
     any_rejected = rejected[0]
     for r in rejected[1:]:
@@ -150,7 +175,7 @@ def verdict(judged: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 
 def judge(documents: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """One row per document: doc_id, stratum, COUNTS, the rules' ratios, base_failed, kept."""
+    """One row per document: doc_id, stratum, digest, COUNTS, the rules' steps, base_failed, kept."""
     rows = written(measured(documents.select("doc_id", "text", "lang")).drop("_row"), "quality")
     return verdict(rows, certify(rows, labels, risk, error))
 

@@ -85,3 +85,40 @@ def test_odd_rows_and_empty_tables(spark, odd_docs, no_docs):
     assert all(r.text and not brute(r.text)[-1] for r in out.collect())
     assert Q.filter_documents(no_docs, odd).count() == 0
     assert Q.judge(odd_docs, labels.where("false")).where("kept").count() == sum(not brute(r.text)[-1] for r in odd_docs.collect())
+
+
+def test_copies_of_rows_and_texts_change_no_cutoff(spark, corpus):
+    """A text is one trial: the same rows many times over, and the same texts under other ids, certify what one of each does."""
+    docs, labels = corpus
+    cutoffs = lambda d, la: sorted(map(str, Q.certify(Q.measured(d), la).collect()))
+    want = cutoffs(docs, labels)
+    assert want and "None" not in want[0]
+    again = docs.withColumn("doc_id", F.col("doc_id") + 100_000)
+    more = labels.withColumn("doc_id", F.col("doc_id") + 100_000)
+    assert cutoffs(docs.union(docs).union(again), labels.union(labels).union(more)) == want
+    few = docs.where("doc_id < 60 or doc_id between 3000 and 3059")
+    many = few
+    for _ in range(5):
+        many = many.union(many)
+    assert cutoffs(many, labels) == cutoffs(few, labels)
+
+
+def test_junk_of_equal_words_is_rejected(spark, corpus):
+    """Runs of one word have no symbols, capitals, repeated lines or repeated windows: the rule of adjacent words finds them."""
+    docs, labels = corpus
+    runs = [(9000 + i, " ".join(w for k, w in enumerate(prose(i, 30).split()) for _ in range(4 if k % 3 else 1)), "en") for i in range(120)]
+    found = docs.union(spark.createDataFrame(runs, docs.schema))
+    marked = labels.union(spark.createDataFrame([(9000 + i, 0, 0) for i in range(100)], labels.schema))
+    out = {r.doc_id: r for r in Q.judge(found, marked).collect()}
+    assert not any(out[9000 + i].kept or out[9000 + i].base_failed for i in range(120))
+    assert sum(out[i].kept for i in range(2000)) >= 1900
+
+
+def test_good_texts_lost_stay_within_the_risk(spark):
+    """Random halves of labels: the share of good texts rejected among unseen ones stays near the risk even when junk looks alike."""
+    rows = [(i, prose(i, 25 + i % 50) + (" #" * (i % 7)), "en") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = docs.select("doc_id", F.when(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0, 0).otherwise(1).alias("quality"), F.lit(0).alias("toxic"))
+    out = Q.judge(docs, labels.where("doc_id < 750")).join(labels, "doc_id").where("doc_id >= 750 and quality = 1")
+    n, lost = out.agg(F.count("*"), F.count_if(~F.col("kept"))).first()
+    assert lost <= 1.5 * Q.RISK * n
