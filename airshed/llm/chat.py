@@ -11,13 +11,16 @@ Order: by the latest turn among a call and the calls it builds on, then by depth
 its call. Calls on a cycle, or building on one, are flagged `cyclic` and stand at their own turn, as do results without a call.
 
 Defined cases: several calls with one id: the first by turn takes the links, all are kept; repeated results each follow the call; null
-text is empty content; null ids never link; arguments that aren't a JSON object are invalid and kept as a string; unknown tools
-are invalid; a call that builds on an unknown call is treated as building on none; empty tables give no row.
+text is empty content; null ids never link; arguments that aren't a JSON object are invalid, and so are NaN and infinities, numbers
+beyond a double and nesting deeper than MAX_DEPTH; what can't be read is kept as a string; lone surrogates are written as escapes, so
+every message is JSON that reads back; unknown tools are invalid; clashing and further columns of the messages are ignored; a call that builds on an unknown call is treated as building on none; empty tables give no row.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +34,8 @@ from .common import positions, ship, written
 # name string, content string (arguments of a call as JSON, else text)
 MESSAGE_COLUMNS = ("conv_id", "turn", "kind", "role", "call_id", "after", "name", "content")
 
+MAX_DEPTH = 100  # levels of nesting in arguments, a parameter of what is valid
+
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
 
 
@@ -62,8 +67,51 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
     return found
 
 
+_LONE_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
+def _writable(text: str) -> str:
+    """Lone surrogates, which UTF-8 can't hold, as JSON escapes."""
+    return _LONE_SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """Sorted keys, no spaces, UTF-8. Whole-number literals keep their digits; other numbers take the shortest form that reads
+    back as the same double."""
+    return _writable(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+
+
+def _no_constant(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
+def _double(digits: str) -> float:
+    value = float(digits)
+    if math.isinf(value):
+        raise OverflowError(f"{digits} is beyond a double")
+    return value
+
+
+def _depth(value, most: int = MAX_DEPTH + 1) -> int:
+    """Levels of nesting, counted up to `most`, without recursion."""
+    depth, level = 0, [value]
+    while depth < most and (level := [x for x in level if isinstance(x, (dict, list))]):
+        depth += 1
+        level = [y for x in level for y in (x.values() if isinstance(x, dict) else x)]
+    return depth
+
+
+def read_arguments(text: str | None) -> tuple[object, str | None]:
+    """The value of a JSON text, or the text itself and what is wrong with it."""
+    try:
+        value = json.loads(text or "", parse_constant=_no_constant, parse_float=_double)
+    except RecursionError:
+        return text, "$: nested too deep"
+    except OverflowError:
+        return text, "$: number out of range"
+    except ValueError:
+        return text, "$: not JSON"
+    return (text, "$: nested too deep") if _depth(value) > MAX_DEPTH else (value, None)
 
 
 def _format(schemas: dict[str, dict]):
@@ -78,16 +126,13 @@ def _format(schemas: dict[str, dict]):
                     valid.append(None)
                     errors.append("")
                     continue
-                try:
-                    arguments = json.loads(content or "")
-                    found = violations(arguments, {"type": "object"})
-                except ValueError:
-                    arguments, found = content, ["$: not JSON"]
+                arguments, problem = read_arguments(content)
+                found = [problem] if problem else violations(arguments, {"type": "object"})
                 if not found:
                     found = violations(arguments, schemas[name]) if name in schemas else [f"{name}: unknown tool"]
                 messages.append(canonical({"role": role, "tool_call": {"arguments": arguments, "id": call_id, "name": name}}))
                 valid.append(not found)
-                errors.append("; ".join(found))
+                errors.append(_writable("; ".join(found)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(messages, pa.string()), pa.array(valid, pa.bool_()), pa.array(errors, pa.string())],
                 names=[*batch.schema.names, "message", "valid", "errors"])

@@ -50,3 +50,24 @@ def test_long_chain_in_one_conversation(spark):
 
 def test_empty_table(spark):
     assert C.link(spark.createDataFrame([], SCHEMA), TOOLS).count() == 0
+
+
+ODD = ['{"x": "\\ud800"}', "[" * 100_000 + "]" * 100_000, '{"x": NaN}', '{"x": -Infinity}', '{"x": 1e400}', '{"x": 1.50e0}', '{"x": 1' + "0" * 30 + "}",
+       '{"x": 1' + "0" * 5000 + "}", '{"\\udc00": 1}', "[" * 100 + "]" * 100, "[" * 101 + "]" * 101, '"' + "y" * 2_000_000 + '"', None, "", "null",
+       '{"x": 1, "x": 2}', "\x00", '{"a": "\\u0000 \\ud83d\\ude00"}']
+
+
+def test_odd_arguments_neither_crash_nor_make_bad_json(spark):
+    rows = [(1, i, "call", "assistant", f"c{i}", None, "f", text, "clash", 5) for i, text in enumerate(ODD)]
+    rows.append((1, 99, "result", "tool", "c0", None, None, "z" * 1_000_000, "clash", 5))
+    out = C.link(spark.createDataFrame(rows, SCHEMA + ", message string, position int"), TOOLS).collect()
+    assert len(out) == len(rows)
+    strict = {"parse_constant": lambda name: 1 / 0}
+    for r in out:
+        assert C.canonical(json.loads(r.message, **strict)) == r.message
+    errors = {r.turn: r.errors for r in out}
+    assert errors[1] == errors[10] == "$: nested too deep" and errors[9] == "$: not object"
+    assert errors[2] == errors[3] == errors[7] == "$: not JSON" and errors[4] == "$: number out of range"
+    assert errors[8] == "$.x: missing; $.\\udc00: unknown" and errors[6] == "" and errors[5] == "$.x: not integer"
+    messages = {r.turn: r.message for r in out}
+    assert '"x":"\\ud800"' in messages[0] and '"x":1.5}' in messages[5]
