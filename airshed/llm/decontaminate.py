@@ -6,8 +6,9 @@ item. Wherever that length reaches a window's length, the matched words are hit;
 are removed, or the document as a whole when hits cover too much of it.
 
 The benchmark is the bounded side: it is read in blocks of at most `BLOCK_WORDS` words, and each block's
-automaton (some 100 bytes a word) is broadcast and run over all documents; the blocks' results are
-united, so a benchmark of any size works with bounded memory.
+automaton (some 150 bytes a word, 200 while it is built) is broadcast and run over all documents. With more than one block a
+pass's rows are written in the shared folder before the next, so one automaton is alive at a time and a benchmark of any size works
+with bounded memory. A text takes time in proportion to its words, however long its matches are.
 
 Defined cases: null or word-less texts and items have no windows; items of fewer words than a window
 are one window as a whole; repeated documents each give their row; repeated items count once per item_id;
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from .common import as_record, ship, with_text
+from .common import as_record, ship, with_text, written
 
 WINDOW_WORDS = 10
 BLOCK_WORDS = 500_000
@@ -47,41 +49,68 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class ItemAutomaton:
-    """Generalised suffix automaton over word numbers of several items."""
+    """Generalised suffix automaton over word numbers of several items.
+
+    States are numbers in compact arrays. Most states have one transition, kept in two arrays; only branching states have a
+    dictionary. After `finish`, every state knows its suffix of window length and its longest suffix that is a whole short item, so a
+    word of a document is looked up in constant time, whatever the length of the match.
+    """
 
     def __init__(self, window: int):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
-        self.length, self.link, self.next = [0], [-1], [{}]
-        self.whole: dict[int, set] = {}  # state -> short items that end there as a whole: (words, item)
-        self.items: dict[int, set] = {}  # state of a window-long match -> its items
+        self.names: list = []  # item ids by number
+        self.length, self.link = array("i"), array("i")
+        self.word, self.to = array("i"), array("i")  # a state's first transition
+        self.more: dict[int, dict[int, int]] = {}  # further transitions of branching states
+        self.at_window, self.at_whole = array("i"), array("i")  # see `finish`
+        self.whole: dict[int, dict[int, list[int]]] = {}  # state -> words of short items that end there as a whole -> their numbers
+        self.owner = array("i")  # state of a window -> first cell of the list of its items, -1 for none
+        self.cell_item, self.cell_next = array("i"), array("i")
         self.least = window  # fewest words of any window
+        self._state(0, -1)
 
-    def _state(self, length: int, link: int, nxt: dict[int, int]) -> int:
+    def _state(self, length: int, link: int) -> int:
         self.length.append(length)
         self.link.append(link)
-        self.next.append(nxt)
+        self.word.append(-1)
+        self.to.append(-1)
         return len(self.length) - 1
 
+    def follow(self, state: int, word: int) -> int:
+        """The state after `word`, -1 if it doesn't follow here."""
+        if self.word[state] == word:
+            return self.to[state]
+        more = self.more.get(state)
+        return more.get(word, -1) if more else -1
+
+    def _connect(self, state: int, word: int, to: int) -> None:
+        if self.word[state] in (-1, word):
+            self.word[state], self.to[state] = word, to
+        else:
+            self.more.setdefault(state, {})[word] = to
+
     def _clone(self, p: int, q: int, word: int) -> int:
-        c = self._state(self.length[p] + 1, self.link[q], dict(self.next[q]))
+        c = self._state(self.length[p] + 1, self.link[q])
+        self.word[c], self.to[c] = self.word[q], self.to[q]
+        if q in self.more:
+            self.more[c] = dict(self.more[q])
         self.link[q] = c
-        while p != -1 and self.next[p].get(word) == q:
-            self.next[p][word] = c
+        while p != -1 and self.follow(p, word) == q:
+            self._connect(p, word, c)
             p = self.link[p]
         return c
 
     def _extend(self, last: int, word: int) -> int:
-        q = self.next[last].get(word)
-        if q is not None:  # the word already follows here, from an earlier item
+        q = self.follow(last, word)
+        if q != -1:  # the word already follows here, from an earlier item
             return q if self.length[q] == self.length[last] + 1 else self._clone(last, q, word)
-        new = self._state(self.length[last] + 1, 0, {})
+        new = self._state(self.length[last] + 1, 0)
         p = last
-        while p != -1 and word not in self.next[p]:
-            self.next[p][word] = new
+        while p != -1 and (q := self.follow(p, word)) == -1:
+            self._connect(p, word, new)
             p = self.link[p]
         if p != -1:
-            q = self.next[p][word]
             self.link[new] = q if self.length[q] == self.length[p] + 1 else self._clone(p, q, word)
         return new
 
@@ -90,48 +119,70 @@ class ItemAutomaton:
         for w in words:
             last = self._extend(last, self.vocabulary.setdefault(w, len(self.vocabulary)))
 
+    def finish(self) -> None:
+        """After all `add` calls: `at_window`, the state of each state's suffix of window length (-1 if all are shorter)."""
+        n = len(self.length)
+        self.at_window = array("i", [-1]) * n
+        self.owner = array("i", [-1]) * n
+        for s in sorted(range(1, n), key=self.length.__getitem__):  # suffix links lead to shorter states
+            if self.length[s] >= self.window:
+                up = self.link[s]
+                self.at_window[s] = s if self.length[up] < self.window else self.at_window[up]
+
     def label(self, item, words: list[bytes]) -> None:
-        """After all `add` calls: note where this item's windows end."""
+        """After `finish`: note where this item's windows end."""
         ids = [self.vocabulary[w] for w in words]
         if not ids:
             return
+        number = len(self.names)
+        self.names.append(item)
+        state = length = 0
         if len(ids) < self.window:
             self.least = min(self.least, len(ids))
-            state = 0
             for w in ids:
-                state = self.next[state][w]
-            self.whole.setdefault(state, set()).add((len(ids), item))
+                state = self.follow(state, w)
+            self.whole.setdefault(state, {}).setdefault(len(ids), []).append(number)
             return
-        state, length = 0, 0
         for w in ids:
             state, length = self.step(state, length, w)
             if length >= self.window:
-                self.items.setdefault(self.at_length(state, self.window), set()).add(item)
+                at = self.at_window[state]
+                if self.owner[at] == -1 or self.cell_item[self.owner[at]] != number:
+                    self.cell_item.append(number)
+                    self.cell_next.append(self.owner[at])
+                    self.owner[at] = len(self.cell_item) - 1
+
+    def finish_whole(self) -> None:
+        """After all `label` calls: `at_whole`, the nearest state on the way of suffix links (itself first) where short items end."""
+        n = len(self.length) if self.whole else 0
+        self.at_whole = array("i", [0]) * n
+        for s in sorted(range(1, n), key=self.length.__getitem__):
+            self.at_whole[s] = s if s in self.whole else self.at_whole[self.link[s]]
 
     def step(self, state: int, length: int, word: int) -> tuple[int, int]:
         """Longest suffix of what was read, with `word`, that occurs in an item."""
-        nxt = self.next
-        while state and word not in nxt[state]:
+        while (to := self.follow(state, word)) == -1:
+            if not state:
+                return 0, 0
             state = self.link[state]
             length = self.length[state]
-        if word in nxt[state]:
-            return nxt[state][word], length + 1
-        return 0, 0
-
-    def at_length(self, state: int, length: int) -> int:
-        """The state of the suffix of `length` words."""
-        while self.length[self.link[state]] >= length:
-            state = self.link[state]
-        return state
+        return to, length + 1
 
     def scan(self, ids: np.ndarray) -> tuple[list[tuple[int, int]], set]:
-        """Hit word ranges [from, to) and the items whose windows occur; ids: word numbers, -1 unknown.
+        """Hit word ranges [from, to), sorted and apart, and the items whose windows occur; ids: word numbers, -1 unknown.
 
         Unknown words end every match, so only runs of known words are streamed.
         """
         known = np.flatnonzero(np.diff(np.concatenate(([False], ids >= 0, [False])).astype(np.int8)))
         ranges: list[tuple[int, int]] = []
-        found: set = set()
+        windows: set[int] = set()
+        shorts: set[tuple[int, int]] = set()
+
+        def cover(a: int, b: int) -> None:  # ends never fall, so each range is put in and taken out once
+            while ranges and a <= ranges[-1][1]:
+                a = min(a, ranges.pop()[0])
+            ranges.append((a, b))
+
         for lo, hi in zip(known[::2].tolist(), known[1::2].tolist()):
             if hi - lo < self.least:
                 continue
@@ -139,18 +190,23 @@ class ItemAutomaton:
             for i, w in enumerate(ids[lo:hi].tolist(), lo):
                 state, length = self.step(state, length, w)
                 if length >= self.window:
-                    ranges.append((i + 1 - length, i + 1))
-                    found |= self.items.get(self.at_length(state, self.window), set())
-                if self.whole and state:
-                    s = state
-                    while s:
-                        # a short item ends here if its words are a suffix of the match
-                        for n, item in self.whole.get(s, ()):
-                            if n <= length:
-                                ranges.append((i + 1 - n, i + 1))
-                                found.add(item)
-                        s = self.link[s]
-        return ranges, found
+                    cover(i + 1 - length, i + 1)
+                    windows.add(self.at_window[state])
+                if self.whole:
+                    s = self.at_whole[state]
+                    while s:  # short items are of fewer words than a window, each state on the way ends others
+                        for n in self.whole[s]:
+                            if n <= length:  # its words are a suffix of the match
+                                cover(i + 1 - n, i + 1)
+                                shorts.add((s, n))
+                        s = self.at_whole[self.link[s]]
+        found = {number for s, n in shorts for number in self.whole[s][n]}
+        for state in windows:
+            cell = self.owner[state]
+            while cell != -1:
+                found.add(self.cell_item[cell])
+                cell = self.cell_next[cell]
+        return ranges, {self.names[number] for number in found}
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[list[int]]:
@@ -167,8 +223,10 @@ def build(items: list[tuple[str | None, list[bytes]]], window: int) -> ItemAutom
     auto = ItemAutomaton(window)
     for _, words in items:
         auto.add(words)
+    auto.finish()
     for item, words in items:
         auto.label(item, words)
+    auto.finish_whole()
     return auto
 
 
@@ -201,7 +259,7 @@ def _scanner(shared):
                     ids = np.fromiter((find(w, -1) for w in words), np.int64, len(words))
                     ranges, found = auto.scan(ids)
                     n_words.append(len(words))
-                    spans.append(merged(ranges))
+                    spans.append(ranges)
                     items.append(sorted(i for i in found if i is not None))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))),
@@ -216,7 +274,7 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS,
     """All columns of `documents` with `_n_words`, `_spans` (hit word ranges [from, to)) and `_items`.
 
     With more than one block the documents are passed through one automaton after the other and
-    each pass's findings are added to the row: no shuffle, no copy of the texts.
+    each pass's findings are added to the row: no shuffle. A pass that another follows is written, and its automaton let go.
     """
     spark = documents.sparkSession
     ship(spark)
@@ -235,6 +293,8 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS,
         first = next(blocks, None)
         if first is None:
             return out
+        out = written(out, "decontamination-pass")
+        shared.unpersist()
 
 
 def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS,

@@ -83,3 +83,52 @@ def test_spans_go_and_clean_documents_stay(spark, bench, leaky, odd_docs):
 def test_empty_tables(spark, bench, no_docs, odd_docs):
     assert D.hits(no_docs, bench).count() == 0
     assert D.hits(odd_docs, bench.where("false")).where("contaminated or n_hit > 0").count() == 0
+
+
+def seconds(do) -> float:
+    import time
+
+    best = float("inf")
+    for _ in range(3):
+        start = time.process_time()
+        do()
+        best = min(best, time.process_time() - start)
+    return best
+
+
+@pytest.mark.parametrize("short", [[], [[b"a"], [b"a"] * 3]])
+def test_time_follows_the_words_of_a_text(short):
+    """One word over and over matches an item of the same kind at every length: twice the words, some twice the time."""
+    import numpy as np
+
+    took = []
+    for n in (60_000, 120_000):
+        auto = D.build([("long", [b"a"] * n), *[(f"s{i}", w) for i, w in enumerate(short)]], 10)
+        ids = np.zeros(n, np.int64)
+        assert auto.scan(ids)[0] == [(0, n)]
+        took.append(seconds(lambda: auto.scan(ids)))
+    assert took[1] <= 2.5 * took[0] + 0.05
+
+
+def test_a_window_of_many_items():
+    """Items that share a window are listed once each, and a text that repeats it is no slower for it."""
+    import numpy as np
+
+    words = [b"w%d" % i for i in range(12)]
+    auto = D.build([(str(i), words) for i in range(3000)], 10)
+    ids = np.array([auto.vocabulary[w] for w in words] * 500, dtype=np.int64)
+    ranges, found = auto.scan(ids)
+    assert ranges == [(0, 6000)] and found == {str(i) for i in range(3000)}
+    assert len(auto.cell_item) == 3 * 3000
+
+
+def test_memory_a_word():
+    import tracemalloc
+
+    rng = random.Random(3)
+    items = [(str(i), [b"word%d" % rng.randrange(20_000) for _ in range(50)]) for i in range(1000)]
+    tracemalloc.start()
+    auto = D.build(items, 10)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert auto.names and held < 250 * 50_000
