@@ -50,3 +50,35 @@ def test_fisher_yates_is_uniform():
 
 def test_empty_table(no_docs):
     assert S.write_shards(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("doc_id, text", [(7, "the same row"), (None, None)])
+def test_equal_rows_are_spread_over_buckets(spark, many, doc_id, text):
+    """A hot key's rows all lie in its shard, in buckets of about the asked size; slots stay gapless."""
+    n = 60_000
+    hot = spark.range(0, n, numPartitions=5).select(F.lit(doc_id).cast("long").alias("doc_id"), F.lit(text).cast("string").alias("text"))
+    docs = many.select("doc_id", "text").unionByName(hot)
+    one = 8 + len(text or "")
+    out = S.write_shards(docs, shards=4, bucket_bytes=64 << 10)
+    rows = out.groupBy("_shard", "_bucket").agg(F.sum("_size").alias("bytes"), F.count("*").alias("n"), F.max("_slot").alias("last")).collect()
+    assert sum(r.n for r in rows) == docs.count()
+    big = max((r.bytes, r._shard) for r in rows)
+    assert big[0] < 3 * (64 << 10)  # all rows in one bucket would be 7 to 18 times the size
+    home = {r._shard for r in out.where(F.col("_doc").eqNullSafe(F.lit(doc_id))).select("_shard").distinct().collect()}
+    assert len(home) == 1
+    filled = [r for r in rows if r._shard in home]
+    assert len(filled) >= n * one // (64 << 10)
+    assert max(r.last for r in filled) + 1 == sum(r.n for r in filled)
+
+
+def test_repeated_rows_same_result_from_other_partitions(spark):
+    rows = [(i % 50, f"text {i % 25}") for i in range(400)] + [(None, None)] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda df: sorted(str((r._doc, r._crc, r._copy, r._shard, r._bucket)) for r in df.collect())
+    assert key(S.write_shards(docs.repartition(3), 4, bucket_bytes=500)) == key(S.write_shards(docs.repartition(7), 4, bucket_bytes=500))
+
+
+def test_one_shuffle_places_buckets_by_number(spark):
+    numbered = spark.range(100).select(F.pmod(F.xxhash64("id"), F.lit(5)).cast("int").alias("_number"))
+    plan = numbered.repartitionById(5, "_number").groupBy("_number").applyInArrow(lambda t: t, numbered.schema)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
