@@ -5,8 +5,8 @@ lower-case text, runs of non-letters as one space), hashed to `FEATURES` numbers
 language family; within a family one-versus-one linear support vector machines vote between its languages. All models
 are trained in numpy by averaged stochastic subgradient steps on the hinge loss.
 
-Training takes at most `TRAIN_ROWS` documents of each language, those with the smallest hash of doc_id and
-text (a documented bound on a sample of labelled rows). Prediction reads every whole text.
+Training takes about `TRAIN_ROWS` documents of each language at most, those with the smallest hash of doc_id and
+text, of `TRAIN_LANGS` languages, and about `TRAIN_TOTAL` in all (documented bounds on a sample of labelled rows). Prediction reads every whole text.
 
 Defined cases: texts that are null or have no letter are `und` with score 0; documents without lang are predicted but
 not learned from; repeated rows are predicted alike and learned from once; without any labelled text all is `und`; languages
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from .common import ship, written
 FEATURE_BITS = 12
 FEATURES = 1 << FEATURE_BITS
 TRAIN_ROWS = 1_000  # labelled documents of each language at most
+TRAIN_LANGS = 1_000  # languages learned at most, those with most documents
+TRAIN_TOTAL = 50_000  # labelled documents of all languages at most, shared out evenly
 EPOCHS = 6
 UNDETERMINED = "und"
 
@@ -42,7 +45,7 @@ FAMILIES = {
     "semitic": ("ar", "he", "mt", "am"),
 }
 _FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes}
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # `\w` would take fractions and raised digits for letters
 _OTHER = re.compile(r"[\W\d_]+")
 _A = np.uint32(0x9E3779B1)  # odd multipliers of the n-gram hash
 _B = np.uint32(0x85EBCA77)
@@ -138,33 +141,38 @@ class Hierarchy:
         return lang, float(min(1.0, max(0.0, p * wins[lang][1] / (len(members) - 1))))
 
 
-def training_sample(documents: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """About `rows` documents of each language, chosen by hash, without gathering a language in one task.
+def training_sample(documents: DataFrame, rows: int = TRAIN_ROWS, langs: int = TRAIN_LANGS) -> DataFrame:
+    """About `rows` documents of each language, chosen by hash before any shuffle.
 
-    The share of a language whose hash falls below a threshold follows from the languages' counts.
+    The share of a language whose hash falls below a threshold follows from the languages' counts. The thresholds, at most `langs` rows
+    whatever the corpus, go to all tasks; only the texts that are drawn are shuffled (to count repeated ones once).
     """
-    texts = documents.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    sizes = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    texts = documents.where("lang is not null and text is not null").select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    sizes = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(langs).collect()
+    limits = documents.sparkSession.createDataFrame([(r["lang"], rows / r["_n"]) for r in sizes], "lang string, _share double")
     unit = F.pmod(F.xxhash64(F.col("doc_id"), F.xxhash64("text")), F.lit(1 << 40)) / float(1 << 40)
-    drawn = texts.join(sizes, "lang").where(unit < rows / F.col("_n"))
+    drawn = texts.join(F.broadcast(limits), "lang").where(unit < F.col("_share"))
     return drawn.select("lang", "text").distinct()
 
 
-def train(documents: DataFrame, rows: int = TRAIN_ROWS) -> Hierarchy | None:
+def train(documents: DataFrame, rows: int = TRAIN_ROWS, langs: int = TRAIN_LANGS) -> Hierarchy | None:
     """A model from the labelled texts of `documents` (lang, text); None if there are none.
 
-    The driver receives the sample's feature vectors only: about `rows` times the number of languages, 8 KB each.
+    The driver receives the sample's feature vectors only: about `rows` times the number of languages, 8 KB each, and never more than
+    about `TRAIN_TOTAL`, as `rows` is lowered for many languages.
     """
     ship(documents.sparkSession)
-    vectors = training_sample(documents, rows).mapInArrow(_vectors, "lang string, vector binary")
-    langs, data = [], []
+    some = documents.where("lang is not null and text is not null").select("lang").distinct().limit(langs).count()
+    rows = max(1, min(rows, TRAIN_TOTAL // max(1, some)))
+    vectors = training_sample(documents, rows, langs).mapInArrow(_vectors, "lang string, vector binary")
+    names, data = [], []
     for lang, vector in vectors.toLocalIterator():
-        langs.append(lang)
+        names.append(lang)
         data.append(np.frombuffer(vector, np.float32).astype(np.float16))
-    if not langs:
+    if not names:
         return None
-    order = sorted(range(len(langs)), key=lambda i: (langs[i], data[i].tobytes()))  # the same model in any order of arrival
-    return Hierarchy(np.stack([data[i] for i in order]).astype(np.float32), [langs[i] for i in order])
+    order = sorted(range(len(names)), key=lambda i: (names[i], data[i].tobytes()))  # the same model in any order of arrival
+    return Hierarchy(np.stack([data[i] for i in order]).astype(np.float32), [names[i] for i in order])
 
 
 def _predict(shared):

@@ -42,3 +42,49 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in L.predict(odd_docs, None).collect()} == {"und"}
     one = L.train(odd_docs.where("lang = 'en'"))
     assert {r.lang_pred for r in L.predict(odd_docs, one).collect()} == {"en", "und"}
+
+
+def test_numbers_and_signs_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "½ ² ① 12 _ Ⅷ"), (2, "½ tree"), (3, "ª"), (4, "\u4e2d")], "doc_id long, text string")
+    model = L.Hierarchy(np.stack([L.features("tree"), L.features("baum")]), ["en", "de"])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(docs, model).collect()}
+    assert got[1] == ("und", 0.0) and all(got[i][0] in ("en", "de") for i in (2, 3, 4))
+
+
+def test_votes_against_brute_force():
+    """Family by the largest margin; in it every pair of languages is asked anew, most duels win, then larger sums, then the name."""
+    rng = np.random.default_rng(5)
+    names = ["en", "de", "nl", "sv", "fr", "es", "it", "zz"]
+    x = rng.random((160, L.FEATURES)).astype(np.float32)
+    langs = [names[i % len(names)] for i in range(160)]
+    for i, lang in enumerate(langs):
+        x[i, names.index(lang)] += 20
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    model = L.Hierarchy(x, langs)
+    for v in (rng.random((60, L.FEATURES)) + 3 * (np.arange(L.FEATURES) < 8) * rng.random((60, L.FEATURES))).astype(np.float32):
+        v /= np.linalg.norm(v)
+        margins = {f: sum(float(a) * float(b) for a, b in zip(model.family_weights[k], v)) for k, f in enumerate(model.families)}
+        family = max(margins, key=margins.get)
+        members = [n for n in names if L.family_of(n) == family]
+        table_ = []
+        for m in members:
+            duels = []
+            for other in members:
+                if other != m:
+                    a, b = sorted((m, other))
+                    p = 1 / (1 + np.exp(-4 * float(model.pairs[a, b] @ v)))
+                    duels.append(p if m == a else 1 - p)
+            table_.append((sum(d >= 0.5 for d in duels), sum(duels), m))
+        assert model.predict(v)[0] == max(table_)[2]
+
+
+def test_training_sample_is_drawn_before_any_shuffle(spark):
+    """One language with nine tenths of the rows: its texts meet the thresholds where they are read, no exchange by language."""
+    docs = spark.range(20_000, numPartitions=4).selectExpr("id as doc_id", "if(id % 10 = 0, concat('l', id % 7), 'en') as lang", "concat('text ', id) as text")
+    sample = L.training_sample(docs, 100)
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(lang#" in plan.split("BroadcastHashJoin")[0]
+    assert "hashpartitioning" not in plan.split("BroadcastHashJoin")[1]
+    sizes = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+    assert len(sizes) == 8 and all(50 < n < 160 for n in sizes.values())
+    assert L.training_sample(docs, 100, langs=2).select("lang").distinct().count() == 2
