@@ -30,7 +30,7 @@ FEATURE_BITS = 12
 FEATURES = 1 << FEATURE_BITS
 TRAIN_ROWS = 1_000  # labelled documents of each language at most
 TRAIN_LANGS = 1_000  # languages learned at most, those with most documents
-TRAIN_TOTAL = 50_000  # labelled documents of all languages at most, shared out evenly
+TRAIN_TOTAL = 20_000  # labelled documents of all languages at most, shared out evenly
 EPOCHS = 6
 UNDETERMINED = "und"
 
