@@ -10,6 +10,9 @@ host's winning path. A page without that path takes its own best container.
 A host may hold any share of the pages: votes are partial sums by (host, path), and winners are joined with pages
 salted by page, so no host is gathered in one task.
 
+Formulas keep their text (not their annotations). What a browser shows only in place of something else (`noscript`, `object`, `canvas`) or
+not at all (`template`) goes.
+
 Defined cases: null or empty html gives empty text; null url is host ''; pages without any container are read as a
 whole; unclosed, crossed and stray tags are read as a browser would roughly read them; repeated pages vote once each; an empty
 table gives no row.
@@ -34,10 +37,14 @@ PROSE = 40  # characters that paragraphs have on average in a further part of th
 
 # HTML element kinds
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "svg", "math"}
-DROPPED = RAW | {"nav", "header", "footer", "aside", "form", "button", "select", "dialog", "menu", "head", "object", "canvas", "audio", "video"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "svg"}
+DROPPED = RAW | {"nav", "header", "footer", "aside", "form", "button", "select", "dialog", "menu", "head", "object", "canvas", "audio", "video",
+                 "annotation", "annotation-xml"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
-          "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
+          "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
+          "math", "maction", "menclose", "merror", "mfenced", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom",
+          "mprescripts", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtable", "mtd", "mtext", "mtr",
+          "munder", "munderover", "semantics", "annotation", "annotation-xml"}
 CONTAINERS = {"article", "main", "section", "div", "td", "body", "center", "blockquote"}
 PARAGRAPHS = {"p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "dd", "dt", "figcaption"}
 CLOSES_P = PARAGRAPHS | CONTAINERS | {"ul", "ol", "dl", "table", "hr", "address", "fieldset", "figure", "details", "form", "nav",
@@ -54,10 +61,13 @@ ARTICLE_WORDS = {"article", "content", "post", "entry", "story", "main", "body",
 SHAPE_WORDS = {"list", "link", "links", "left", "right", "top", "bottom", "wrap", "wrapper", "box", "area", "container", "block", "section",
                "inner", "outer", "item", "items", "bar", "panel", "group", "row", "col", "column"}  # say nothing of what an element holds
 STATE_WORDS = {"has", "with", "without", "no", "is", "show", "hide"}  # what follows is beside the element, not it
+IN_ARTICLES = {"legal", "side"}  # say what a part of an article is about, or where it stands
 OFTEN_LONG = {"comment", "comments", "reply", "replies", "disqus", "discussion", "respond", "cookie", "cookies", "consent", "gdpr",
               "popup", "modal"}  # may hold more text than the article, and still go
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+# A quote opens a value only right after "="; comments and CDATA sections are cut out by hand
+_TAG = re.compile(r"<!--|<!\[CDATA\[|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)"
+                  r"((?:[\s/]++|=?+[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+|=)*+)>")
 _ATTR = re.compile(r"(?i)(?<![\w-])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -76,8 +86,9 @@ def _marks(token: str) -> str | None:
 
 
 @lru_cache(maxsize=4096)
-def _attributes(tag: str, raw: str) -> tuple[str, bool, bool, bool, bool]:
-    """Generalised path step, whether it goes, whether its names mark it, whether it may stay for its text, whether they speak for an article."""
+def _attributes(tag: str, raw: str) -> tuple[str, bool, bool, bool, bool, bool]:
+    """Generalised path step, whether it goes, whether its names mark it, whether it may stay for its text, whether they speak for an article,
+    and whether their marks count outside articles only."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(raw)} if raw else {}
     names = entities.unescape(f"{found.get('class', '')} {found.get('id', '')}")
     tokens = [_CAMEL.sub("-", t).lower() for t in names.split()]
@@ -88,14 +99,45 @@ def _attributes(tag: str, raw: str) -> tuple[str, bool, bool, bool, bool]:
     marks = {_marks(t) for t in tokens} - {None}
     article = any(w and set(w) <= ARTICLE_WORDS for w in map(_WORDS.findall, tokens))
     marked = bool(marks) and not article and tag not in ("html", "body", "article", "main")
-    classes = sorted({re.sub(r"\d+", "", c).strip("-_").lower() for c in found.get("class", "").split()} - {""})
-    return ".".join([tag, *classes]), drop, marked, not marks & OFTEN_LONG, strong
+    classes = sorted({re.sub(r"\d+|/", "", c).strip("-_").lower() for c in found.get("class", "").split()} - {""})
+    return ".".join([tag, *classes]), drop, marked, not marks & OFTEN_LONG, strong, marks <= IN_ARTICLES
+
+
+class Paths:
+    """Generalised paths of a page by number, each a step below another: a page of any depth holds each step once."""
+
+    def __init__(self):
+        self.known: dict[tuple[int, str], int] = {}
+        self.above, self.step = [0], [""]
+
+    def below(self, path: int, step: str) -> int:
+        number = self.known.setdefault((path, step), len(self.step))
+        if number == len(self.step):
+            self.above.append(path)
+            self.step.append(step)
+        return number
+
+    def text(self, path: int) -> str:
+        steps = []
+        while path:
+            steps.append(self.step[path])
+            path = self.above[path]
+        return "".join(f"/{step}" for step in reversed(steps))
+
+    def number(self, text: str) -> int:
+        """The number of a path as text; 0 if the page hasn't got it."""
+        path = 0
+        for step in text.split("/")[1:]:
+            path = self.known.get((path, step), 0)
+            if not path:
+                break
+        return path
 
 
 class Container:
     __slots__ = ("path", "tag", "first", "last", "own", "links", "blocks", "strong", "depth", "above", "size", "far", "prose", "parts")
 
-    def __init__(self, path: str, tag: str, first: int, strong: bool, depth: int, above: Container | None = None):
+    def __init__(self, path: int, tag: str, first: int, strong: bool, depth: int, above: Container | None = None):
         self.path, self.tag, self.first, self.last, self.strong, self.depth = path, tag, first, None, strong, depth
         self.own = self.links = self.blocks = 0
         self.above = above
@@ -107,15 +149,21 @@ class Container:
         return boost * max(0, self.own - 2 * self.links) * (1 + min(self.blocks, 10) / 10)
 
 
-def read(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[str], list[Container]]:
-    """Text pieces in page order (None-free; a space piece parts blocks) and containers with their piece ranges.
+def read(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[str], list[Container], Paths]:
+    """Text pieces in page order (None-free; a space piece parts blocks), containers with their piece ranges, and their paths.
+
+    Time and memory follow the page's length, however deep, crossed or unclosed its elements are.
 
     `spared`: where elements begin that stay in although they are marked; the page is read again with those that hold most of its text.
     """
     pieces: list[str] = []
-    root = Container("", "", 0, False, 0)
-    containers = [root]
-    stack: list[tuple[str, str, Container | None, bool | int]] = []  # tag, path, container opened, paragraph or what is left out
+    root = Container(0, "", 0, False, 0)
+    containers, paths = [root], Paths()
+    stack: list[tuple[str, int, Container | None, bool | int]] = []  # tag, path, container opened, paragraph or what is left out
+    places: dict[str, list[int]] = {}  # of the open elements of each tag
+    not_inline: list[int] = []  # places of open elements that aren't inline
+    articles = 0  # open article and main elements
+    unended: set[str] = set()  # raw elements of which no end tag follows
     home = [root]  # open containers
     skip = 0  # depth inside a boilerplate element
     links = paragraphs = 0
@@ -124,6 +172,7 @@ def read(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[str], li
     held: dict[int, int] = {}  # text outside links of marked elements that may stay
     left_out = 0  # text outside links of all marked elements
     at, n = 0, len(page)
+    last_tag = page.rfind(">") + 1  # no tag ends behind it
 
     def text(raw: str) -> None:
         if not raw or (skip and (gone or links)):
@@ -145,9 +194,12 @@ def read(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[str], li
                 home[-1].prose += size
 
     def close(upto: int) -> None:
-        nonlocal skip, links, paragraphs, gone, left_out
+        nonlocal skip, links, paragraphs, gone, left_out, articles
         while len(stack) > upto:
             tag, _, container, paragraph = stack.pop()
+            places[tag].pop()
+            if tag not in INLINE:
+                not_inline.pop()
             if skip:
                 skip -= 1
                 gone -= paragraph == GONE
@@ -166,6 +218,7 @@ def read(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[str], li
                 links -= 1
             paragraphs -= paragraph
             if container is not None:
+                articles -= tag in ("article", "main")
                 container.last = len(pieces)
                 home.pop()
                 parent = home[-1]
@@ -178,80 +231,93 @@ def read(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[str], li
                     parent.links += container.links
                     parent.blocks += container.blocks
 
+    def push(tag: str, path: int, container: Container | None, kind: bool | int) -> None:
+        places.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            not_inline.append(len(stack))
+        stack.append((tag, path, container, kind))
+
     while at < n:
-        m = _TAG.search(page, at)
+        m = _TAG.search(page, at, last_tag)
         if m is None:
-            text(page[at:])
+            text(page[at:].split("<!--", 1)[0])
             break
         text(page[at:m.start()])
         at = m.end()
         if m[2] is None:
-            if m[0].startswith("<![CDATA["):
-                text(m[0][9:-3].replace("&", "&amp;"))
+            if m[0] == "<!--":
+                end = page.find("-->", at - 2)
+                at = end + 3 if end >= 0 else n
+            elif m[0] == "<![CDATA[":
+                end = -1 if "]]" in unended else page.find("]]>", at)
+                if end < 0:  # without its end it goes up to the tag's
+                    unended.add("]]")
+                    at = page.find(">", at) + 1
+                else:
+                    text(page[at:end].replace("&", "&amp;"))
+                    at = end + 3
             continue
         tag = m[2].lower()
-        if m[1]:  # an end tag closes up to its element, but never past an open container of another kind
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag not in INLINE and tag not in VOID and not skip:
-                        pieces.append(" ")
-                    close(k)
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE:
-                    break  # a stray inline end tag
-            else:
+        if m[1]:  # an end tag closes up to its element, an inline one never past an element of another kind
+            place = places[tag][-1] if places.get(tag) else -1
+            if place < 0:
                 if tag in ("p", "br") and not skip:
                     pieces.append(" ")
+            elif tag not in INLINE or not not_inline or not_inline[-1] < place:
+                if tag not in INLINE and tag not in VOID and not skip:
+                    pieces.append(" ")
+                close(place)
             continue
         if tag not in INLINE and not skip:
             pieces.append(" ")
-        if tag in CLOSES_P:  # an open paragraph ends here, with the inline elements in it
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p" or (tag == "li" and stack[k][0] == "li") or (tag in ("dd", "dt") and stack[k][0] in ("dd", "dt")):
-                    close(k)
-                    break
-                if stack[k][0] not in INLINE:
-                    break
+        if tag in CLOSES_P and not_inline:  # an open paragraph ends here, with the inline elements in it
+            place = not_inline[-1]
+            opened = stack[place][0]
+            if opened == "p" or (tag == "li" and opened == "li") or (tag in ("dd", "dt") and opened in ("dd", "dt")):
+                close(place)
         if tag in VOID:
             continue
         if tag in RAW and not m[3].endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            end = None if tag in unended else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if end is None:
+                unended.add(tag)
             at = end.end() if end else (n if tag in ("script", "style", "svg") else at)
             continue
         if m[3].endswith("/") and tag not in CONTAINERS and tag not in PARAGRAPHS:
             continue
-        step, drop, marked, may_stay, strong = _attributes(tag, m[3])
-        above = stack[-1][1] if stack else ""
+        step, drop, marked, may_stay, strong, outside = _attributes(tag, m[3])
+        above = stack[-1][1] if stack else 0
         if tag == "header" and home[-1].tag in ("article", "main") and not skip:
             drop = marked = False  # an article's own heading
-        path = f"{above}/{step}" if tag not in INLINE else above
-        marked = marked and m.start() not in spared
+        path = paths.below(above, step) if tag not in INLINE else above
+        marked = marked and not (outside and articles) and m.start() not in spared
         if skip or drop or marked:
             skip += 1
             kind = GONE if drop or tag == "a" else MARKED if marked else False
             gone += kind == GONE
             if kind == MARKED:
                 marked_out.append([m.start(), may_stay, 0])
-            stack.append((tag, path, None, kind))
+            push(tag, path, None, kind)
             continue
         container = None
         if tag in CONTAINERS:
             container = Container(path, tag, len(pieces), strong, len(stack), home[-1])
             containers.append(container)
             home.append(container)
+            articles += tag in ("article", "main")
         elif tag in PARAGRAPHS:
             home[-1].blocks += 1
         home[-1].parts += tag in PARAGRAPHS
         paragraphs += tag in PARAGRAPHS
         if tag == "a":
             links += 1
-        stack.append((tag, path, container, tag in PARAGRAPHS))
+        push(tag, path, container, tag in PARAGRAPHS)
     close(0)
     most = frozenset(k for k, size in held.items() if 2 * size > root.size - root.far + left_out)
     if most and not spared:
         return read(page, most)
     root.last = len(pieces)
-    return pieces, containers
+    return pieces, containers, paths
 
 
 def widened(top: Container) -> Container:
@@ -281,10 +347,11 @@ def extract(page: str | None, path: str | None) -> str:
     """Main text: all containers with the winning path that don't lie in one another, else the page's best container."""
     if not page:
         return ""
-    pieces, containers = read(page)
+    pieces, containers, paths = read(page)
     chosen: list[tuple[int, int]] = []
-    for c in containers if path else ():
-        if c.path == path and (not chosen or c.first >= chosen[-1][1]) and c.last > c.first:
+    wanted = paths.number(path) if path else 0
+    for c in containers if wanted else ():
+        if c.path == wanted and (not chosen or c.first >= chosen[-1][1]) and c.last > c.first:
             chosen.append((c.first, c.last))
     text = text_of(pieces, chosen) if chosen else ""
     if not text:
@@ -300,11 +367,11 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, host in enumerate(batch.column("host").to_pylist()):
             page = pages[i].as_py()
             if page:
-                containers = read(page)[1]
+                _, containers, known = read(page)
                 c, score = best(containers), max(x.score() for x in containers)
                 if score > 0 and c.path:
                     hosts.append(host)
-                    paths.append(c.path)
+                    paths.append(known.text(c.path))
                     scores.append(score)
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
                                          names=["host", "path", "score"])

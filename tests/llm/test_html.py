@@ -17,6 +17,11 @@ CASES = [
      "Some longer text here, see this."),
     ("<main><p>kept text</p><form>no</form><script>no('</p>')</script><style>p{}</style><div class=comments><p>nice post, long comment</p></div></main>", "kept text"),
     ("plain &eacute;&#233;&#xe9; text", "plain ééé text"), ("", ""), ("<div></div>", ""), ("<!-- a --><p>x<!-- y -->z", "xz"),
+    ("<p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>no</annotation></math> holds.", "Energy E=mc2 holds."),
+    ("<article><p>Before it.</p><div class=legal><p>What the law says.</p></div><div class=legal-notice><p>no</p></div></article>", "Before it. What the law says."),
+    ("<div><p class='a'' id=x>kept <a href=\"y\"\">more</a> text</p></div>", "kept more text"),
+    ("<p title='a > b'>one</p><p title=it's>two</p><a href=?q=\"x\">three</a>", "one two three"),
+    ("a<!-->b<!-- c --><![CDATA[<d>]]>e <![CDATA[ f> g <!-- h", "ab<d>e g"),
     ("<article><header><h1>Title</h1></header><aside>no</aside><p>a   b&nbsp;c</p></article>", "Title a b c"),
 ]
 
@@ -91,3 +96,45 @@ def test_marked_element_with_most_of_the_text_stays():
 def test_broken_markup_never_fails():
     for page in ("<" * 50, "<div" * 50, "</p></div></b>" * 20 + "x", "<p><b><i>" * 300 + "deep", "<script>never closed", "<a href='>x", "&#xZZ; &bogus;"):
         assert isinstance(H.extract(page, "/div"), str)
+
+
+PATTERNS = {
+    "nested": ("<div>", "text of it", "</div>"), "unclosed": ("<div><b>", "text", ""), "stray ends": ("<i>", "text", "</b></u></div>"),
+    "inline under blocks": ("<b>", "x", "<div>y</div>"), "raw without end": ("<textarea>", "z", ""), "cdata": ("<![CDATA[", "z>", ""),
+    "open tags": ("<a b ", "c", ""), "comments": ("<!-- -", "c", ">"), "quotes": ("<p x='", "c", "> \""), "classes": ("<div class=a/b>", "c", "</i></b>"),
+}
+
+
+@pytest.mark.parametrize("kind", PATTERNS)
+def test_time_follows_the_length_of_a_page(kind):
+    import time
+
+    head, inner, tail = PATTERNS[kind]
+    took = []
+    for n in (15_000, 30_000):
+        page = "<div><p>first</p>" + head * n + inner + tail * n
+        best = float("inf")
+        for _ in range(3):
+            start = time.process_time()
+            H.extract(page, "/div/div")
+            best = min(best, time.process_time() - start)
+        took.append(best)
+    assert took[1] <= 2.5 * took[0] + 0.1
+
+
+def test_memory_of_deep_pages():
+    import tracemalloc
+
+    page = "<div class='some long name of a class'>" * 40_000 + "deep text"
+    tracemalloc.start()
+    assert H.extract(page, None) == "deep text"
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+
+
+def test_paths_by_number():
+    _, containers, paths = H.read("<body><div class='b2 a'><section>x</section></div><div class='a b'><p>y</p></div></body>")
+    texts = [paths.text(c.path) for c in containers]
+    assert texts == ["", "/body", "/body/div.a.b", "/body/div.a.b/section", "/body/div.a.b"]
+    assert [paths.number(t) for t in texts[1:]] == [c.path for c in containers[1:]] and paths.number("/body/table") == paths.number("/x") == 0
