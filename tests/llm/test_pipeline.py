@@ -19,7 +19,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_entry_lists_all():
-    assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
 
 
