@@ -11,6 +11,10 @@ is logged if that isn't so after `ROUNDS`. Only identifier-like tokens (with a d
 at sign) and runs of such groups (`078 05 1120`, `(555) 123 4567`) can be instances, so words are left alone. A value with fewer
 than four digits may stand for something else elsewhere: its node is bound to the patterns around it, so only they can find it.
 
+A pattern's pieces are looked for within `CONTEXT_CHARS` code points on either side; a longer piece counts by its part within.
+Work in one text follows its length: places add up block by block, spans are merged in one pass, and
+contexts are read from pieces of the text.
+
 Defined cases: null and empty texts have no spans; repeated rows each have their spans, and their instances
 count once; null doc_ids are kept; an empty table gives no row; other columns are kept by `mask`.
 """
@@ -47,25 +51,65 @@ MIN_SUPPORT = 3  # trusted distinct instances a pattern needs
 MIN_CONFIDENCE = 0.8
 MIN_SCORE = 0.9
 
+BLOCK = 64  # items of a step along an array
+CHUNK = 256  # code points; a text is cut so that a place in it is reached without a walk from its start
+PLACE = "struct<start:bigint,end:bigint,value:string>"
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
 
 
+def _emitted(items: Column, state: Column, kind: str, step) -> Column:
+    """What `step` gives out along an array: step(state, item) is a struct of the next state and an array<kind> of what it gives out.
+
+    Goes block by block, so that an item is moved a bounded number of times and not once for each item after it. The finish of
+    `aggregate` names a value without copying it, which `once` would do with all that was given out so far.
+    """
+    none, nones = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def add(a: Column, i: Column) -> Column:
+        return F.aggregate(F.array().cast("array<int>"), step(a["state"], F.get(items, i)), lambda r, _: r,
+                           lambda r: F.struct(r["state"].alias("state"), F.concat(a["out"], r["out"]).alias("out")))
+
+    def block(a: Column, first: Column) -> Column:
+        places = F.sequence(first, F.least(first + BLOCK, F.size(items)) - 1)
+        return F.aggregate(places, F.struct(a["state"].alias("state"), none.alias("out")), add,
+                           lambda r: F.struct(r["state"].alias("state"), F.concat(a["out"], F.array(r["out"])).alias("out")))
+
+    firsts = F.sequence(F.lit(0), F.size(items) - 1, F.lit(BLOCK))
+    done = F.aggregate(firsts, F.struct(state.alias("state"), nones.alias("out")), block, lambda a: F.flatten(a["out"]))
+    return F.when(F.size(items) > 0, done).otherwise(none)
+
+
 def _matches(text: Column, regex: str) -> Column:
     """All matches as structs (start, end, value), positions in code points: gaps and values add up."""
     values = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
-    gaps = F.split(text, regex, -1)
-    zero = F.lit(0).cast("long")
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
+    pairs = F.filter(F.zip_with(F.split(text, regex, -1), values, lambda g, v: F.struct(g.alias("gap"), v.alias("value"))),
+                     lambda p: p["value"].isNotNull())
+
+    def step(at: Column, x: Column) -> Column:
+        return once(at + F.char_length(x["gap"]), lambda start: once(start + F.char_length(x["value"]), lambda end: F.struct(
+            end.alias("state"), F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))).alias("out"))))
+
+    return once(pairs, lambda found: _emitted(found, F.lit(0).cast("long"), PLACE, step))
+
 
-    def add(a: Column, x: Column) -> Column:
-        start = a["at"] + F.char_length(x["gap"])
-        end = start + F.char_length(x["value"])
-        span = F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), x["value"].alias("value"))
-        return F.struct(end.cast("long").alias("at"), F.concat(a["out"], F.array(span)).alias("out"))
+def _chunks(text: Column) -> Column:
+    """The text in pieces of CHUNK code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
 
-    pairs = F.zip_with(gaps, values, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    return F.aggregate(F.filter(pairs, lambda p: p["value"].isNotNull()), F.struct(zero.alias("at"), empty.alias("out")),
-                       add, lambda a: a["out"])
+
+def _near(chunks: Column, start: Column, end: Column) -> Column:
+    """Code points start to end, at most CHUNK of them, so within two chunks."""
+    return once(F.floor(start / CHUNK).cast("int"), lambda i: F.substring(
+        F.concat(F.coalesce(F.get(chunks, i), F.lit("")), F.coalesce(F.get(chunks, i + 1), F.lit(""))),
+        (start - i * CHUNK + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int")))
+
+
+def _part(chunks: Column, start: Column, end: Column) -> Column:
+    """Code points start to end; an array is cut only for parts longer than a chunk, of which a text has few."""
+    first = F.floor(start / CHUNK).cast("int")
+    some = F.slice(chunks, first + 1, F.floor((end - 1) / CHUNK).cast("int") - first + 1)
+    long = F.substring(F.array_join(some, ""), (start - first * CHUNK + 1).cast("int"), (end - start).cast("int"))
+    return F.when(end - start <= CHUNK, _near(chunks, start, end)).otherwise(long)
 
 
 def _digits(value: Column) -> Column:
@@ -110,17 +154,38 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(k) for k in KINDS])
 
 
-def _overlaps(spans: Column, m: Column) -> Column:
-    return F.exists(spans, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"]))
+def _apart(found: Column, taken: Column) -> Column:
+    """Those of `found` (disjoint, sorted) that overlap none of `taken`: one pass over both by start.
+
+    A found one waits until the next one of either kind is known to begin after it.
+    """
+    place = lambda s, free: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(free).alias("free"), s["value"].alias("value"))
+    last = F.struct(F.lit(2**62).alias("start"), F.lit(2**62).alias("end"), F.lit(True).alias("free"), F.lit("").alias("value"))
+    both = F.concat(F.sort_array(F.concat(F.transform(found, lambda s: place(s, True)), F.transform(taken, lambda s: place(s, False)))), F.array(last))
+    none = F.array().cast(f"array<{PLACE}>")
+    zero = F.struct(F.lit(0).cast("long").alias("covered"), none.alias("waits"))
+
+    def step(a: Column, x: Column) -> Column:
+        hit = F.exists(a["waits"], lambda w: w["end"] > x["start"])  # of at most one
+        alone = F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value")))
+        return F.when(x["free"], F.struct(
+            F.struct(a["covered"].alias("covered"), F.when(x["start"] >= a["covered"], alone).otherwise(none).alias("waits")).alias("state"),
+            a["waits"].alias("out"))).otherwise(F.struct(
+                F.struct(F.greatest(a["covered"], x["end"]).alias("covered"), F.when(hit, none).otherwise(a["waits"]).alias("waits")).alias("state"),
+                none.alias("out")))
+
+    return F.when((F.size(taken) == 0) | (F.size(found) == 0), found).otherwise(once(both, lambda items: _emitted(items, zero, PLACE, step)))
 
 
 def other_tokens(text: Column, base: Column) -> Column:
     """Identifier-like runs and tokens outside all base spans and one another: seeds of kind `secret`, else of kind null."""
-    runs = F.when(text.rlike(r"[0-9][A-Za-z]*[\x20)./-]"), F.filter(
-        _matches(text, RUN), lambda m: ~m["value"].rlike("[0-9a-f]{32}") & ~_overlaps(base, m))).otherwise(
-            F.array().cast("array<struct<start:bigint,end:bigint,value:string>>"))
-    found = once(runs, lambda joined: F.concat(joined, F.filter(_matches(text, TOKEN), lambda m: (
-        F.char_length(m["value"]) >= MIN_CHARS) & ~_overlaps(base, m) & ~_overlaps(joined, m))))
+    runs = F.when(text.rlike(r"[0-9][A-Za-z]*[\x20)./-]"), once(F.filter(
+        _matches(text, RUN), lambda m: ~m["value"].rlike("[0-9a-f]{32}")), lambda found: _apart(found, base))).otherwise(
+            F.array().cast(f"array<{PLACE}>"))
+    tokens = F.filter(_matches(text, TOKEN), lambda m: F.char_length(m["value"]) >= MIN_CHARS)
+    taken = lambda joined: F.concat(F.transform(base, lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"))), joined)
+    found = once(runs, lambda joined: once(tokens, lambda some: F.concat(joined, once(taken(joined), lambda t: _apart(some, t)))))
     spans = F.transform(found, lambda m: F.struct(
         F.when(m["value"].rlike(SECRET), F.lit("secret")).alias("kind"), m["start"].alias("start"),
         m["end"].alias("end"), m["value"].alias("value"))).cast(SPAN)
@@ -146,11 +211,14 @@ def _pieces(side: Column) -> Column:
 
 def _with_context(text: Column, spans: Column) -> Column:
     """Occurrences: a span's kind, place, instance and the patterns around it."""
+    return F.when(F.size(spans) == 0, F.array()).otherwise(once(_chunks(text), lambda chunks: _in_context(chunks, spans)))
+
+
+def _in_context(chunks: Column, spans: Column) -> Column:
 
     def occurrence(s: Column) -> Column:
-        left = F.substring(text, (F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)) + 1).cast("int"),
-                           F.least(s["start"], F.lit(CONTEXT_CHARS).cast("long")).cast("int"))
-        right = F.substring(text, (s["end"] + 1).cast("int"), F.lit(CONTEXT_CHARS))
+        left = _near(chunks, F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)), s["start"])
+        right = _near(chunks, s["end"], s["end"] + CONTEXT_CHARS)
         patterns = once(_pieces(left), lambda before: once(_pieces(right), lambda after: F.filter(F.array(
             F.concat(F.lit("L1 "), F.get(before, F.size(before) - 1)),
             F.concat(F.lit("L2 "), F.get(before, F.size(before) - 2), F.lit(" "), F.get(before, F.size(before) - 1)),
@@ -223,16 +291,19 @@ def digest(spans: Column) -> Column:
 
 def _masked(text: Column, spans: Column) -> Column:
     """The text with each run of overlapping spans replaced by <KIND> of its first span."""
-    order = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    size = F.char_length(text).cast("long")
+    order = F.concat(F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))),
+                     F.array(F.struct(size.alias("start"), size.alias("end"), F.lit(None).cast("string").alias("kind"))))
+
+    def written_out(chunks: Column) -> Column:
+        def step(at: Column, s: Column) -> Column:
+            tag = F.coalesce(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")), F.lit(""))
+            return F.struct(F.greatest(at, s["end"]).alias("state"), F.when(s["start"] < at, F.array().cast("array<string>")).otherwise(
+                F.array(_part(chunks, at, s["start"]), tag)).alias("out"))
 
-    def add(a: Column, s: Column) -> Column:
-        gap = F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int"))
-        inside = s["start"] < a["at"]
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(inside, a["out"]).otherwise(
-            F.concat(a["out"], gap, F.lit("<"), F.upper(s["kind"]), F.lit(">"))).alias("out"))
+        return F.array_join(once(order, lambda items: _emitted(items, F.lit(0).cast("long"), "string", step)), "")
 
-    return F.aggregate(order, start, add, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.char_length(text))))
+    return once(_chunks(text), written_out)
 
 
 def mask(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:

@@ -18,7 +18,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
-                        pii.digest(F.col("spans")).alias("spans"))
+                        pii.digest(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"),
+                        *[F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in ("id", "secret")])
 
 
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,3 +105,79 @@ def test_plan_has_no_python(contexts):
     with redirect_stdout(out):
         P.mask(contexts).explain()
     assert "Python" not in out.getvalue() and "Arrow" not in out.getvalue()
+
+
+LONG = {  # lines of a log, a table of numbers on one line, addresses beside one another
+    "log": "2024-01-0{d} 10.0.{d}.1 user{i}@example.org paid {i}77 from +1 (771) 555-16{d}5 id AB-{i} ok\n",
+    "table": "{i} 12,{i}.5 {d}x ",
+    "mail": "a{i}@b.c/a{d}@b.c ",
+}
+
+
+def long_text(kind, size):
+    lines, n, i = [], 0, 0
+    while n < size:
+        lines.append(LONG[kind].format(i=1000 + i, d=i % 10))
+        n, i = n + len(lines[-1]), i + 1
+    return "".join(lines)
+
+
+@pytest.mark.parametrize("kind, size", [("log", 1 << 19), ("table", 1 << 17), ("mail", 1 << 17)])
+def test_time_follows_the_length_of_one_text(spark, kind, size):
+    """Twice the text takes at most 2.5 times the time."""
+    import time
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, long_text(kind, n))], "doc_id long, text string")
+        start = time.perf_counter()
+        P.occurrences(docs).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    seconds(1 << 16)
+    once = seconds(size)
+    assert seconds(2 * size) < 2.5 * once
+
+
+@pytest.mark.parametrize("kind", sorted(LONG))
+def test_long_texts_against_brute_force(spark, kind):
+    """Base spans, the others apart from them and one another, and masked text of a text of many blocks and chunks."""
+    text = "\U0001F600" + long_text(kind, 40_000)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = P.find(docs).first()
+    base = brute(text)
+    assert [(s.kind, s.start, s.end) for s in row.base] == base
+    assert all(text[s.start:s.end] == s.value for s in row.spans)
+    runs = [m.span() for m in re.finditer(P.RUN, text) if not re.search("[0-9a-f]{32}", m.group())]
+
+    def apart(some, taken):
+        covered = bytearray(len(text) + 1)
+        for s, e in taken:
+            covered[s:e] = b"\1" * (e - s)
+        return [(s, e) for s, e in some if not any(covered[s:e])]
+
+    taken = [(s, e) for _, s, e in base]
+    joined = apart(runs, taken)
+    tokens = apart([m.span() for m in re.finditer(P.TOKEN, text) if m.end() - m.start() >= P.MIN_CHARS], taken + joined)
+    got = P.occurrences(docs).select(F.inline("found")).where(f"kind is null or kind not in {P.KINDS!r}").collect()
+    assert sorted((s.start, s.end) for s in got) == sorted(joined + tokens)
+    shown, at = [], 0
+    for s, e, k in sorted((s.start, s.end, s.kind) for s in row.spans):
+        if s >= at:
+            shown += [text[at:s], f"<{k.upper()}>"]
+        at = max(at, e)
+    assert P.mask(docs).first().text == "".join(shown) + text[at:]
+
+
+def test_recall_and_precision_on_planted_identifiers(spark):
+    """Identifiers of four forms in the contexts of addresses and in prose: at least 0.9 of both."""
+    forms = [lambda i: f"AB-{4000 + 37 * i}", lambda i: f"078 05 {1120 + i}", lambda i: f"X{i % 10}{90000 + 41 * i}", lambda i: f"acct/{700 + i}-{i:04d}"]
+    places = ["please write to {} before noon", "the account holder is {} since then", "contact the owner at {} for access"]
+    prose = ["The year {} saw few visitors", "Room {} was closed again", "They sold {} tickets that day"]
+    rows = [(i, places[i % 3].format(f"user{i}@example.org")) for i in range(150)]
+    planted = {1000 + i: (forms[i % 4](i), places[i % 3]) for i in range(30)}
+    rows += [(k, place.format(v)) for k, (v, place) in planted.items()]
+    rows += [(2000 + i, prose[i % 3].format(1200 + 7 * i)) for i in range(200)]
+    spans = {r.doc_id: [s.value for s in r.spans if s.kind not in P.KINDS] for r in P.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    right = sum(spans[k] == [v] for k, (v, _) in planted.items())
+    found = sum(len(v) for v in spans.values())
+    assert right / len(planted) >= 0.9 and right / found >= 0.9, (right, found)
