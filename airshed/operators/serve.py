@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +40,11 @@ def label(code: Column) -> Column:
     return F.coalesce(mapping[code], code)
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+def global_rank(df: DataFrame, order: list[Column], then: Sequence[Column] = (), name: str = "rank") -> DataFrame:
     """1-based position in `order`, by range partitions (`ranges.numbered`): neither a single-task window nor a task for each
-    value of the index. `df` is evaluated once. The order must be total for positions to be deterministic."""
-    return numbered(df, order, name).withColumn(name, F.col(name).cast("int"))
+    value of the index. `df` is evaluated once. The order must be total for positions to be deterministic; rows equal in `order` follow
+    `then`, whose columns may be sort orders (`desc()`)."""
+    return numbered(df, order, name, then=then).withColumn(name, F.col(name).cast("int"))
 
 
 def report_rows(latest: DataFrame) -> DataFrame:
