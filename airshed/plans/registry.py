@@ -26,7 +26,7 @@ from ..functions.localtime import local_date, parse_utc_hour
 from ..operators.rolling import rolling_8h_mean, with_trailing_means
 from ..schemas import SILVER_COLUMNS
 from ..session import checkpoint_dir
-from ..sources import landing, testdata
+from ..sources import fs, landing, testdata
 from . import oracle_sql as osql
 from . import params as P
 
@@ -419,16 +419,15 @@ def seven_run_lakehouse(spark: SparkSession, sf_dir: str) -> str:
     from .lakehouse import at, run
 
     root = scratch(spark, "lake")
-    env = envelopes(spark, sf_dir).checkpoint()  # built once, landed run by run
-    spans = {r["run_id"]: (r["s"], r["e"]) for r in env.groupBy("run_id").agg(  # one row for each run
-        F.to_date(F.min("window_start")).alias("s"), F.to_date(F.max("window_end")).alias("e")).collect()}
+    landing.write_landing(envelopes(spark, sf_dir), at(root, "landing"), F.col("run_id"))  # built once, loaded run by run
+    spans = {r["run_id"]: (r["s"], r["e"]) for r in testdata.readings(spark, sf_dir).groupBy("run_id").agg(  # one row for each run
+        F.to_date(F.min("ts_utc")).alias("s"), F.to_date(F.max("ts_utc")).alias("e")).collect()}
     dim = testdata.dim_city(spark, sf_dir)
     for i in P.ARRIVAL_IN_ORDER:
-        folder = f"{at(root, 'landing')}/run-{i}"
-        landing.write_landing(env.where(F.col("run_id") == f"run-{i}"), folder)
+        folder = landing.batch_folder(at(root, "landing"), f"run-{i}")
         start, end = spans.get(f"run-{i}", (P.TODAY, P.TODAY))
-        run(spark, root, dim, landing_files=[folder], run_id=f"run-{i}", mode="backfill", start=start, end=end,
-            as_of=P.FRESHNESS_AS_OF, tolerance=TIE_TOLERANCE)
+        run(spark, root, dim, landing_files=[folder] if fs.exists(spark, folder) else None, run_id=f"run-{i}", mode="backfill",
+            start=start, end=end, as_of=P.FRESHNESS_AS_OF, tolerance=TIE_TOLERANCE)
     return root
 
 
@@ -459,13 +458,13 @@ def q_lakehouse_resumed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import lakehouse as L
 
     root = scratch(spark, "lake")
-    env = envelopes(spark, sf_dir).checkpoint()
     dim = testdata.dim_city(spark, sf_dir)
     early = F.col("run_id").isin([f"run-{i}" for i in range(1, P.TARGET_LAST_RUN + 1)])
     live = {"as_of": P.FRESHNESS_AS_OF, "mode": "incremental", "today": P.TODAY, "tolerance": TIE_TOLERANCE}
-    for name, part in (("early", early), ("late", ~early)):
-        folder = f"{L.at(root, 'landing')}/{name}"
-        landing.write_landing(env.where(part).withColumn("run_id", F.lit(name)), folder)
+    env = envelopes(spark, sf_dir).where("run_id is not null").withColumn("run_id", F.when(early, "early").otherwise("late"))
+    landing.write_landing(env, L.at(root, "landing"), F.col("run_id"))  # built once, loaded batch by batch
+    for name in ("early", "late"):
+        folder = landing.batch_folder(L.at(root, "landing"), name)
         if name == "early":
             L.run(spark, root, dim, landing_files=[folder], run_id=name, **live)
             continue

@@ -1,0 +1,59 @@
+"""Envelopes: one shuffle, the same rows whether or not site-days are crowded, batches landed in one pass."""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from airshed.operators import ranges
+from airshed.sources.landing import batch_folder, build_envelopes, read_landing, write_landing
+
+START = dt.datetime(2026, 9, 1)
+
+
+@pytest.fixture(scope="module")
+def hourly(spark):
+    """Site A has one crowded hour, B repeats some rows, and some keys are null."""
+    rows = [("A", "r1", START, i) for i in range(60)] + [("B", f"r{i % 2}", START + dt.timedelta(hours=i % 30), i // 3) for i in range(120)]
+    rows += [(None, "r1", START, i) for i in range(20)] + [("C", None, None, i) for i in range(3)]
+    df = spark.createDataFrame(rows, "city_id string, run_id string, ts_utc timestamp_ntz, id int")
+    values = [(F.col("id") * k).cast("double").alias(c) for k, c in enumerate(("pm2_5", "pm10", "no2", "so2", "o3", "co"), 1)]
+    return df.select("*", F.lit(dt.datetime(2026, 9, 2)).cast("timestamp_ntz").alias("ingested_at"), F.lit(1.0).alias("latitude"),
+                     F.lit(2.0).alias("longitude"), *values).repartition(5)
+
+
+def test_envelopes_take_one_shuffle_and_no_written_copy(hourly):
+    env = build_envelopes(hourly, "test", ["id"])
+    plan = env._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"Exchange (\w+)\((\w+)#", plan)[0] == ("hashpartitioning", "city_id")
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1 and "FileScan" not in plan
+
+
+def test_crowded_site_days_give_the_same_envelopes(hourly):
+    plain = sorted(map(tuple, build_envelopes(hourly, "test", ["id"]).collect()), key=repr)
+    split = sorted(map(tuple, build_envelopes(hourly, "test", ["id"], crowd=15).collect()), key=repr)
+    assert plain == split
+    by_site = {c: sorted(r[8] for r in plain if r[3] == c) for c in ("A", None)}
+    assert by_site == {"A": list(range(60)), None: list(range(20))}
+
+
+def test_crowded_keys_are_counted_whole(spark, hourly):
+    hot = ranges.crowded(hourly, ["city_id", "run_id"], 19)
+    assert {tuple(r) for r in hot.collect()} == {("A", "r1"), (None, "r1"), ("B", "r0"), ("B", "r1")}
+    assert ranges.crowded(hourly, ["city_id", "run_id"], 60) is None
+    assert ranges.crowded(hourly.limit(0), ["city_id"], 1) is None
+
+
+def test_batches_land_in_one_pass(spark, hourly, tmp_path):
+    env = build_envelopes(hourly.where("city_id is not null and run_id is not null"), "test", ["id"])
+    write_landing(env, str(tmp_path / "landing"), F.col("run_id"))
+    files = list((tmp_path / "landing").rglob("*.json.gz"))
+    assert len(files) == 2  # one ingest date in each of two batches
+    key = ["city_id", "run_id", "window_start", "version"]
+    for run in ("r0", "r1"):
+        back = read_landing(spark, batch_folder(str(tmp_path / "landing"), run)).select(*[F.col(c).cast("string") for c in key], "payload")
+        want = env.where(F.col("run_id") == run).select(*[F.col(c).cast("string") for c in key], "payload")
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, want.collect())) != []
