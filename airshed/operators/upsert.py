@@ -103,9 +103,9 @@ class StagedMerge:
     """
 
     def __init__(self, spark: SparkSession, table_path: str, staged_path: str | None, cols: list[str],
-                 partition_col: str, stats: list, first_write: DataFrame | None = None):
-        self.spark, self.table_path, self.staged_path = spark, table_path, staged_path
-        self.cols, self.partition_col, self._first = cols, partition_col, first_write
+                 partition_col: str, stats: list, staged: DataFrame, first: bool = False):
+        self.spark, self.table_path, self.staged_path, self._staged = spark, table_path, staged_path, staged
+        self.cols, self.partition_col, self._first = cols, partition_col, first
         self.inserted = sum(r["ins"] for r in stats)
         self.updated = sum(r["upd"] for r in stats)
         self.dates = [r[partition_col] for r in stats]
@@ -113,9 +113,7 @@ class StagedMerge:
 
     @property
     def plan(self) -> DataFrame:
-        if self._first is not None:
-            return self._first
-        return self.spark.read.parquet(self.staged_path).where(F.col(self.partition_col).isin(self.changed_dates))
+        return self._staged if self._first else self._staged.where(F.col(self.partition_col).isin(self.changed_dates))
 
     @property
     def candidate(self) -> DataFrame:
@@ -124,7 +122,7 @@ class StagedMerge:
     @property
     def checked(self) -> DataFrame:
         """All staged days, whether they change or not: what row checks look at."""
-        return merged_state(self.spark.read.parquet(self.staged_path), self.cols)
+        return merged_state(self._staged, self.cols)
 
     @property
     def changed_keys(self) -> DataFrame:
@@ -136,7 +134,7 @@ class StagedMerge:
         """Before-images first: a commit that breaks after them is merged again and writes them twice, which readers of history
         allow for (`history.versions`), while the other way round they would be lost."""
         if self.changed_dates:
-            if revisions_path and self._first is None:
+            if revisions_path and not self._first:
                 (revisions(self.plan).withColumn("revised_at", F.current_timestamp())
                  .write.mode("append").parquet(revisions_path))
             (self.candidate.hint("rebalance", F.col(self.partition_col)).write.mode("overwrite")
@@ -149,6 +147,12 @@ class StagedMerge:
             fs.delete(self.spark, self.staged_path)
 
 
+def _kept(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """`df` written and read back with its own columns, so that no file is opened to find them."""
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
                 partition_col: str = "obs_date_ist", table_ddl: str = TABLE_DDL["silver"]) -> StagedMerge:
     """Evaluate K4 once against the partitions the batch touches and stage the result.
@@ -160,14 +164,11 @@ def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
     cols = [c for c in SILVER_COLUMNS if c in batch.columns]
     staged_path = fs.staging_path(table_path)
     batch_path = f"{staged_path}-batch"  # the batch is evaluated once and read from here
-    batch.select(*cols).write.mode("overwrite").parquet(batch_path)
-    batch = spark.read.parquet(batch_path)
     if not fs.table_exists(spark, table_path):
-        batch.withColumn("_action", F.lit(INSERT)).write.mode("overwrite").parquet(staged_path)
-        fs.delete(spark, batch_path)
-        staged = spark.read.parquet(staged_path)
+        staged = _kept(spark, batch.select(*cols).withColumn("_action", F.lit(INSERT)), staged_path)
         stats = staged.groupBy(partition_col).agg(F.count("*").alias("ins"), F.lit(0).alias("upd")).collect()
-        return StagedMerge(spark, table_path, staged_path, cols, partition_col, stats, first_write=staged)
+        return StagedMerge(spark, table_path, staged_path, cols, partition_col, stats, staged, first=True)
+    batch = _kept(spark, batch.select(*cols), batch_path)
     target = spark.read.schema(table_ddl).parquet(table_path).select(*cols)
     # Size bound: one row per distinct calendar day of the batch (a decade of history is
     # ~3,650 rows), so the broadcast is safe; it also lets Spark prune target partitions at run
@@ -175,13 +176,12 @@ def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
     dates = F.broadcast(batch.select(partition_col).distinct())
     touched = target.join(dates, partition_col, "left_semi")
     plan_df = merge_plan(touched, batch.select(*cols), columns=cols)
-    plan_df.write.mode("overwrite").parquet(staged_path)  # inputs are fully read before any rewrite
+    staged = _kept(spark, plan_df, staged_path)  # inputs are fully read before any rewrite
     fs.delete(spark, batch_path)
-    staged = spark.read.parquet(staged_path)
     stats = staged.groupBy(partition_col).agg(
         F.count_if(F.col("_action") == INSERT).alias("ins"),
         F.count_if(F.col("_action") == UPDATE).alias("upd")).collect()  # one row per day of the batch
-    return StagedMerge(spark, table_path, staged_path, cols, partition_col, stats)
+    return StagedMerge(spark, table_path, staged_path, cols, partition_col, stats, staged)
 
 
 def upsert(spark: SparkSession, batch: DataFrame, table_path: str, revisions_path: str | None = None,

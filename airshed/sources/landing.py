@@ -12,6 +12,8 @@ from ..schemas import LANDING_SCHEMA, PAYLOAD_SCHEMA, RESPONSES_SCHEMA, VERSIONE
 HOUR_FORMAT = "yyyy-MM-dd'T'HH:mm"
 INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 NO_INGEST_DATE = "unknown"
+FEW_FILES = 4  # of a date
+LARGE_FILE = 16 << 20  # bytes
 REQUIRED_FIELDS = ["run_id", "ingested_at", "city_id", "payload"]
 
 
@@ -147,8 +149,19 @@ def read_landing(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 def landing_dates(spark: SparkSession, paths: list[str] | str) -> list[str]:
     """Ingest dates of landing files, from their names alone: a listing, no file is opened. At most one entry for each calendar day."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
-    return sorted(r[0] for r in files.select(ingest_date_of(F.col("path"))).distinct().collect())
+    return [date for date, *_ in landing_files(spark, paths)]
+
+
+def landing_files(spark: SparkSession, paths: list[str] | str) -> list[tuple[str, int, int]]:
+    """Each ingest date of landing files with their number and bytes, from a listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "length")
+    dated = files.groupBy(ingest_date_of(F.col("path")).alias("date")).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("size"))
+    return sorted((r["date"], r["n"], r["size"]) for r in dated.collect())
+
+
+def are_few(files: list[tuple[str, int, int]]) -> bool:
+    """Whether the files of each date are few or large, so that a table written in their layout is no heap of small files."""
+    return all(n <= FEW_FILES or size >= n * LARGE_FILE for _, n, size in files)
 
 
 def unread_lines(lines: DataFrame, bronze: DataFrame | None, dates: list[str]) -> DataFrame:

@@ -57,3 +57,41 @@ def test_batches_land_in_one_pass(spark, hourly, tmp_path):
         back = read_landing(spark, batch_folder(str(tmp_path / "landing"), run)).select(*[F.col(c).cast("string") for c in key], "payload")
         want = env.where(F.col("run_id") == run).select(*[F.col(c).cast("string") for c in key], "payload")
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def _shuffled_bronze(spark, monkeypatch, root, files):
+    """Whether the append to bronze had a shuffle."""
+    from airshed.plans import lakehouse as L
+
+    frames = type(spark.range(1))
+    hints, plain = [], frames.hint
+    monkeypatch.setattr(frames, "hint", lambda df, name, *a: hints.append(name) or plain(df, name, *a))
+    rows = L.load_bronze(spark, files, root)
+    monkeypatch.undo()
+    return rows, "rebalance" in hints
+
+
+def test_bronze_is_shuffled_only_for_many_small_files(spark, hourly, tmp_path, monkeypatch):
+    env = build_envelopes(hourly.where("city_id is not null and run_id is not null"), "test", ["id"])
+    write_landing(env, str(tmp_path / "few"))
+    for _ in range(5):
+        write_landing(env, str(tmp_path / "many"))
+    n = env.count()
+    assert _shuffled_bronze(spark, monkeypatch, str(tmp_path / "a"), [str(tmp_path / "few")]) == (n, False)
+    assert _shuffled_bronze(spark, monkeypatch, str(tmp_path / "b"), [str(tmp_path / "many")]) == (5 * n, True)
+    assert len(list((tmp_path / "b").rglob("*.parquet"))) == 1
+
+
+def test_outstanding_days_take_one_pass(spark, tmp_path):
+    from airshed.plans import lakehouse as L
+
+    root, day = str(tmp_path), dt.date(2026, 9, 1)
+    assert L.outstanding(spark, root) == ([], [])
+    L.log_pending(spark, root, "m1/x", [day])
+    L.log_pending(spark, root, "m2/x", [day, day + dt.timedelta(days=1)])
+    L.log_pending(spark, root, "m3/x", [None])
+    L._append(spark, root, "publish_log", [("m1/x", None, "published")], L.PUBLISH_LOG_DDL, "logged_at")
+    merges, days = L.outstanding(spark, root)
+    assert sorted(merges) == ["m2/x", "m3/x"] and set(days) == {None, day, day + dt.timedelta(days=1)} and len(days) == 3
+    L._append(spark, root, "publish_log", [(m, None, "published") for m in merges], L.PUBLISH_LOG_DDL, "logged_at")
+    assert L.outstanding(spark, root) == ([], [])
