@@ -30,7 +30,8 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     path = F.col("_metadata.file_path")
     raw = reader.json(landing_dir).select(*VERSIONED_LANDING.fieldNames(), F.col("_metadata.file_name").alias("source_file"),
-                                          path.alias("source_path"), landing.ingest_date_of(path).alias("ingest_date"))
+                                          path.alias("source_path"), landing.ingest_date_of(path).alias("ingest_date"),
+                                          F.col("_metadata.file_size").alias("file_size"))
     return landing.parse_envelopes(raw)
 
 
@@ -40,8 +41,11 @@ def apply_batch(spark: SparkSession, root: str, dim: DataFrame, batch: DataFrame
 
     Days that an interrupted epoch left pending are published here even if this batch changes nothing.
     """
-    dates = [r[0] for r in batch.select("ingest_date").distinct().collect()]  # at most one for each calendar day
-    lakehouse.append_bronze(spark, landing.unread_lines(batch, lakehouse.stored(spark, root, "bronze"), dates), root)
+    size = F.col("file_size") if "file_size" in batch.columns else F.lit(0)
+    files = batch.select("ingest_date", "source_path", size.alias("size")).distinct()
+    listed = [tuple(r) for r in files.groupBy("ingest_date").agg(F.count(F.lit(1)), F.sum("size")).collect()]  # one for each calendar day
+    fresh = landing.unread_lines(batch, lakehouse.stored(spark, root, "bronze"), [date for date, *_ in listed])
+    lakehouse.append_bronze(spark, fresh, root, as_landed=landing.are_few(listed))
     # the batch's own rows (replays included) go through silver; merging them again is a no-op
     done = lakehouse.merge_rows(spark, root, batch.select(*BRONZE_COLUMNS), dim, f"stream-{epoch_id}", as_of, halo_days)
     return {"epoch": epoch_id, "inserted": done["silver_inserted"], "updated": done["silver_updated"], "gold_rows": done["gold_rows"]}
