@@ -1,14 +1,14 @@
 """Scoring texts with a causal self-attention language model over subword ids.
 
 Documents are cut into blocks of some megabytes. A block's distinct words are tokenized once; its row holds each document's word
-numbers, the words, their counts in training documents, and their subword ids. Word and subword counts are sums over all blocks. Subword
-ids fall into 64 classes: the most frequent ids and the end alone, the others by frequency and place in a word. The attention model gives the
-probability of the next class, the corpus counts that of an id in its class, so a text's probability is exact and
-every document's probabilities sum to one.
+numbers, the words, their counts in training documents, and their subword ids. Word and subword counts are sums over all blocks. Attention
+sees subword ids, each with a vector of its own, and predicts the next id from the hidden state by binary decisions: six lead to one of 64 classes
+(the most frequent ids and the end alone, the others by frequency and place in a word), the class's Huffman tree leads on to the id. Decisions start
+at the corpus shares. A text's probability is exact and every document's probabilities sum to one.
 
-The attention weights are fitted on all training tokens, each of them a target once, in windows side by side: in each of `ROUNDS` rounds, every partition passes over
+All weights are fitted on all training tokens, each of them a target once, in windows side by side: in each of `ROUNDS` rounds, every partition passes over
 the next of `ROUNDS` interleaved parts of its blocks' windows, cut from the blocks as they are read; the partitions' weights are averaged
-by Spark, some 5,000 numbers. Word counts go back to the blocks by a join on distinct words of blocks, not on tokens. Scoring runs over
+by Spark: some 5,000 numbers by windows, an id's or decision's vector by how often a partition saw it, two vectors an id of the vocabulary at most. Word counts go back to the blocks by a join on distinct words of blocks, not on tokens. Scoring runs over
 overlapping windows, each token scored once.
 
 Defined cases: null and empty texts have the end token only; null doc_ids train like others; repeated rows are scored alike; without
@@ -36,6 +36,7 @@ RANKS = "byte_bpe_50k.tiktoken"  # vocabulary of byte pieces; the id after the l
 TOGETHER = 512  # words tokenized in one call
 BATCH = 256  # windows cut at once
 STEP_WINDOWS = 32  # of them scored at once, small enough for a core's cache
+WEIGHTS = [f"w{k}" for k in range(A.WIDTH)]  # columns of a row of weights
 
 BLOCK_SCHEMA = ("block long, doc_ids array<long>, held array<boolean>, sizes array<int>, numbers binary, words array<string>, "
                 "train array<long>, sub binary, sub_sizes binary, sub_ids array<int>, sub_counts array<long>")
@@ -74,12 +75,13 @@ class Pieces:
         ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(words), TOGETHER):
             some = [f" {w}" for w in words[at:at + TOGETHER]]
-            if any(not w[1:].isprintable() or " " in w[1:] for w in some):  # other space inside: one by one
+            joined = "".join(some)
+            if not joined.isprintable() or joined.count(" ") > len(some):  # other space inside: one by one
                 apart = [self.encoding.encode_ordinary(w) for w in some]
                 ids.append(np.array([i for a in apart for i in a], np.int64))
                 sizes.append(np.array([len(a) for a in apart], np.int64))
                 continue
-            found = np.array(self.encoding.encode_ordinary("".join(some)), np.int64)
+            found = np.array(self.encoding.encode_ordinary(joined), np.int64)
             ends = np.searchsorted(np.cumsum(self.lengths[found]), np.cumsum([len(w.encode()) for w in some])) + 1
             ids.append(found)
             sizes.append(np.diff(ends, prepend=0))
@@ -98,14 +100,22 @@ def _flat(lengths: np.ndarray, starts: np.ndarray, numbers: np.ndarray) -> np.nd
     """Positions of all subwords of a sequence of words."""
     sizes = lengths[numbers]
     ends = np.cumsum(sizes)
-    return np.repeat(starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+    kind = np.int32 if not len(ends) or max(ends[-1], starts[-1]) < 1 << 31 else np.int64
+    at = np.repeat((starts[numbers] - (ends - sizes)).astype(kind), sizes)
+    at += np.arange(len(at), dtype=kind)
+    return at
+
+
+class _Numbers(dict):
+    """Gives each new word the next number."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
 
 
 def _block_row(block: int, doc_ids: list, held: list[bool], docs: list[list[bytes]], pieces: Pieces) -> list:
-    known: dict[bytes, int] = {b"": 0}  # the end is word 0
-    for words in docs:
-        for w in dict.fromkeys(words):
-            known.setdefault(w, len(known))
+    known = _Numbers({b"": 0})  # the end is word 0
     number = known.__getitem__
     parts = [np.fromiter((*map(number, words), 0), np.int32, len(words) + 1) for words in docs]
     numbers = np.concatenate(parts)
@@ -198,10 +208,13 @@ def training_windows(doc_subs: np.ndarray, held: np.ndarray, part: int, parts: i
 
 
 def _fit_partition(shared, part: int, parts: int):
+    """Rows of `A.WIDTH` weights with the number of windows or times seen; without ids' vectors in `shared`, classes are the tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         A.keep_memory()
-        flat, of = shared.value
+        flat, of, *vectors = shared.value
         weights, n, adam = flat, 0, A.Adam(A.RATE / (1 + part))  # smaller steps from round to round
+        vectors = [v.copy() for v in vectors]  # the worker process keeps the shared ones
+        more = [*vectors, *(A.IdSteps(v, A.ID_RATE / (1 + part)) for v in vectors)]
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
@@ -209,18 +222,26 @@ def _fit_partition(shared, part: int, parts: int):
                 doc, start = training_windows(doc_subs, np.array(row["held"], bool), part, parts)
                 if not len(doc):
                     continue
-                inputs, targets, there = A.windows(of[ids], np.cumsum(doc_subs) - doc_subs, doc_subs, doc, start)
-                weights = A.fit(weights, inputs, np.where(there, targets, -1), adam)
+                begins = np.cumsum(doc_subs) - doc_subs
+                tokens, before = (ids.astype(np.int32), len(of)) if vectors else (of[ids], A.START)
+                for at in range(0, len(doc), BATCH):
+                    some = slice(at, at + BATCH)
+                    inputs, targets, there = A.windows(tokens, begins, doc_subs, doc[some], start[some], before)
+                    weights = A.fit(weights, inputs, np.where(there, targets, -1), adam, *more)
                 n += len(doc)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(A.SIZE)), pa.array(weights.astype(np.float64) * n), pa.array(np.full(A.SIZE, n))],
-                                             names=["i", "w", "n"])
+            rows, times = [weights.reshape(-1, A.WIDTH)], [np.full(A.SIZE // A.WIDTH, n)]
+            for v, steps in zip(vectors, more[1:]):
+                rows, times = [*rows, v.own, v.nodes], [*times, *steps.seen]
+            rows, times = np.concatenate(rows).astype(np.float32), np.concatenate(times)
+            seen = np.flatnonzero(times)
+            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(times[seen]), *(pa.array(c) for c in rows[seen].T)], names=["i", "n", *WEIGHTS])
 
     return run
 
 
-def train(blocks: DataFrame, tokenizer_path: str, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Attention weights, class of each id, log share of each id in its class."""
+def train(blocks: DataFrame, tokenizer_path: str, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, A.Ids]:
+    """Attention weights, class of each id, log share of each id in its class, and the ids' vectors."""
     spark = blocks.sparkSession
     pieces = vocabulary_of(tokenizer_path)
     counts = np.zeros(pieces.size, np.int64)
@@ -228,27 +249,37 @@ def train(blocks: DataFrame, tokenizer_path: str, rounds: int = ROUNDS) -> tuple
     for i, n in pairs.groupBy("sub_ids").agg(F.sum("sub_counts")).collect():  # at most the vocabulary's size
         counts[i] = n
     of, log_share, shares = id_classes(counts, pieces.begins, pieces.end)
-    flat = A.initial(shares)
+    flat, vectors = A.initial(shares), A.Ids(of, counts + 1.0)
     learn = blocks.select("held", "sizes", "numbers", "sub", "sub_sizes")
     for k in range(rounds):
-        shared = spark.sparkContext.broadcast((flat, of))
-        sums = learn.mapInArrow(_fit_partition(shared, k, rounds), "i long, w double, n long").groupBy("i").agg(F.sum("w").alias("w"), F.sum("n").alias("n"))
-        for i, w, n in sums.collect():  # one row for each of the model's numbers
-            flat[i] = w / n
-    return flat, of, log_share
-
-
-def _text_scores(flat: np.ndarray, of: np.ndarray, log_share: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Natural log probability of each document; `ids`: the documents' subword ids one after the other."""
-    p, classes = A.views(flat), of[ids]
-    begins = np.cumsum(sizes) - sizes
-    total = np.add.reduceat(log_share[ids], begins)
+        shared = spark.sparkContext.broadcast((flat, of, vectors))
+        fitted = learn.mapInArrow(_fit_partition(shared, k, rounds), "i long, n long, " + ", ".join(f"{w} float" for w in WEIGHTS))
+        sums = fitted.groupBy("i").agg(*(F.sum(F.col(w).cast("double") * F.col("n")) / F.sum("n") for w in WEIGHTS))
+        found = sums.toArrow()  # a row for each of the model's vectors
+        rows = np.concatenate([flat.reshape(-1, A.WIDTH), vectors.own, vectors.nodes])
+        rows[found.column(0).to_numpy()] = np.stack([c.to_numpy() for c in found.columns[1:]], axis=1)
+        flat, own, nodes = np.split(rows, [len(flat) // A.WIDTH, len(flat) // A.WIDTH + len(vectors.own)])
+        flat, vectors = flat.reshape(-1), vectors.copy()
+        vectors.own, vectors.nodes = own, nodes
+    return flat, of, log_share, vectors
+
+
+def _text_scores(flat: np.ndarray, of: np.ndarray, log_share: np.ndarray, ids: np.ndarray, sizes: np.ndarray, vectors: A.Ids | None = None) -> np.ndarray:
+    """Natural log probability of each document; `ids`: the documents' subword ids one after the other.
+
+    Without `vectors`, an id has its share in its class.
+    """
+    p, begins = A.views(flat), np.cumsum(sizes) - sizes
+    if vectors is None:
+        tokens, before, total = of[ids], A.START, np.add.reduceat(log_share[ids], begins)
+    else:
+        tokens, before, total = ids.astype(np.int32), len(of), np.zeros(len(sizes))
     doc, start = A.window_starts(sizes)
     for group, skip in ((np.flatnonzero(start == 0), 0), (np.flatnonzero(start > 0), A.CONTEXT - A.STEP)):
         for at in range(0, len(group), BATCH):
             some = group[at:at + BATCH]
-            inputs, targets, there = A.windows(classes, begins, sizes, doc[some], start[some])
-            scored = np.concatenate([A.log_probs(p, inputs[k:k + STEP_WINDOWS], targets[k:k + STEP_WINDOWS], skip)
+            inputs, targets, there = A.windows(tokens, begins, sizes, doc[some], start[some], before)
+            scored = np.concatenate([A.log_probs(p, inputs[k:k + STEP_WINDOWS], targets[k:k + STEP_WINDOWS], skip, vectors)
                                      for k in range(0, len(some), STEP_WINDOWS)]) * there[:, skip:]
             total += np.bincount(doc[some], weights=scored.sum(axis=1, dtype=np.float64), minlength=len(sizes))
     return total
@@ -257,7 +288,7 @@ def _text_scores(flat: np.ndarray, of: np.ndarray, log_share: np.ndarray, ids: n
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         A.keep_memory()
-        flat, of, log_share, n_all, n_words = shared.value
+        flat, of, log_share, vectors, n_all, n_words = shared.value
         denominator = np.log10(n_all + n_words + 1.0)
         for batch in batches:
             for row in batch.to_pylist():
@@ -269,7 +300,7 @@ def _score(shared):
                 base = np.add.reduceat((np.log10(counts + 1.0) - denominator)[numbers], begins)
                 known = np.add.reduceat((counts > 0)[numbers].astype(np.int64), begins)
                 ids, doc_subs = _subwords(row)
-                score = _text_scores(flat, of, log_share, ids, doc_subs) / np.log(10)
+                score = _text_scores(flat, of, log_share, ids, doc_subs, vectors) / np.log(10)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(sizes), pa.array(known),
                      pa.array(np.full(len(sizes), n_all)), pa.array(base), pa.array(score)],
@@ -292,11 +323,11 @@ def score(documents: DataFrame, held_out, tokenizer_path: str | None = None, blo
     vocabulary = blocks.select(F.inline(F.arrays_zip("words", "train"))).where("train > 0").groupBy("words").agg(F.sum("train").alias("count"))
     vocabulary = written(vocabulary.withColumnRenamed("words", "word"), "lm-vocabulary")
     n_all, n_words = vocabulary.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
-    flat, of, log_share = train(blocks, path)
+    flat, of, log_share, vectors = train(blocks, path)
     asked = blocks.select("block", F.posexplode("words").alias("at", "word"))
     answers = asked.join(vocabulary, "word").groupBy("block").agg(F.collect_list(F.struct("at", "count")).alias("found"))  # a block's words
     answers = answers.select(F.col("block").alias("_block"), F.col("found.at").alias("at"), F.col("found.count").alias("count"))
-    shared = spark.sparkContext.broadcast((flat, of, log_share, int(n_all), int(n_words)))  # vocabulary file's size and the model
+    shared = spark.sparkContext.broadcast((flat, of, log_share, vectors, int(n_all), int(n_words)))  # vocabulary file's size and the model
     needed = blocks.select("block", "doc_ids", "held", "sizes", "numbers", "sub", "sub_sizes")
     none = F.array().cast("array<long>")
     joined = needed.join(answers, F.col("block") == F.col("_block"), "left").select(

@@ -109,3 +109,109 @@ def test_model_learns_order(spark):
 
 def test_empty_table(no_docs):
     assert L.score(no_docs, held_out()).count() == 0
+
+
+def odd_ids(n=300, seed=0):
+    """Ids of some frequencies with random vectors."""
+    rng = np.random.default_rng(seed)
+    counts = rng.integers(0, 50, n)
+    of, log_share, shares = L.id_classes(counts, np.arange(n) % 3 == 0, 7)
+    ids = A.Ids(of, counts + 1.0)
+    ids.own, ids.nodes = rng.normal(0, 0.5, ids.own.shape), rng.normal(0, 0.5, ids.nodes.shape)
+    return ids, A.initial(shares).astype(np.float64), log_share, shares
+
+
+def test_ids_probabilities_sum_to_one_and_begin_at_the_corpus_shares():
+    ids, flat, log_share, shares = odd_ids()
+    n = len(log_share)
+    inputs = np.full((n, A.CONTEXT), 11)
+    targets = np.repeat(np.arange(n)[:, None], A.CONTEXT, axis=1)
+    assert np.exp(A.log_probs(A.views(flat), inputs, targets, 0, ids)).sum(axis=0) == pytest.approx(np.ones(A.CONTEXT), rel=1e-5)
+    ids.nodes[:] = 0
+    p = A.views(flat)
+    p["out"][:] = 0
+    assert np.allclose(A.log_probs(p, inputs, targets, 0, ids)[:, 5], log_share + np.log(shares)[ids.of[:-1]], atol=1e-5)
+
+
+def test_an_id_is_told_from_the_others_of_its_class():
+    """The input's own id, not only its class, changes what follows; the hidden state changes an id's share in its class."""
+    ids, flat, *_ = odd_ids()
+    a, b = np.flatnonzero(ids.of == np.bincount(ids.of[:-1]).argmax())[:2]
+    inputs = np.full((2, A.CONTEXT), 11)
+    inputs[1, 3] = b
+    inputs[0, 3] = a
+    log_p = [A.log_probs(A.views(flat), inputs, np.full((2, A.CONTEXT), t), 0, ids) for t in (a, b)]
+    assert abs(log_p[0][0, 3] - log_p[0][1, 3]) > 1e-3
+    share = log_p[0] - log_p[1]
+    assert abs(share[0, 3] - share[1, 3]) > 1e-3
+
+
+def test_gradient_of_ids_vectors_against_differences():
+    ids, flat, *_ = odd_ids()
+    rng = np.random.default_rng(3)
+    inputs, targets = rng.integers(0, 301, (3, A.CONTEXT)), rng.integers(-1, 300, (3, A.CONTEXT))
+    _, grad, n, found = A._gradients(flat, inputs, targets, ids)
+    assert n == (targets >= 0).sum()
+
+    def difference(values, at):
+        kept = values[at]
+        loss = []
+        for step in (1e-4, -1e-4):
+            values[at] = kept + step
+            loss.append(A.loss_and_gradient(flat, inputs, targets, ids)[0])
+        values[at] = kept
+        return (loss[0] - loss[1]) / 2e-4
+
+    for k in rng.integers(0, A.SIZE, 25):
+        assert difference(flat, k) == pytest.approx(grad[k], abs=1e-5)
+    for table, (rows, often, sums), total in ((ids.own, found[0], inputs.size), (ids.nodes, found[1], ids.lengths[targets[targets >= 0]].sum())):
+        assert often.sum() == total and len(set(rows.tolist())) == len(rows)
+        for r in rng.integers(0, len(rows), 15):
+            assert difference(table, (rows[r], 5)) == pytest.approx(sums[r, 5] / n, abs=1e-5)
+        unseen = np.setdiff1d(np.arange(len(table)), rows)[:3]
+        assert all(difference(table, (r, 5)) == 0 for r in unseen)
+
+
+def test_ids_vectors_are_fitted_on_every_training_token():
+    """A partition's rows say how often each input id's vector was seen: once for each token after which a training token stands."""
+    pieces, seen, want = L.vocabulary_of(L.default_path()), Counter(), Counter()
+    docs = [[b"w%d" % (1000 * d + i) for i in range(n)] for d, n in enumerate((0, 1, 40, 700, 90))]
+    held = [False, False, True, False, False]
+    batch = L._record(L._BLOCK_ARROW, [L._block_row(0, list(range(5)), held, docs, pieces)])
+    ids = [[i for w in words for i in pieces.encode([w.decode()])[0].tolist()] + [pieces.end] for words in docs]
+    of, _, shares = L.id_classes(np.bincount(np.concatenate(ids), minlength=pieces.size), pieces.begins, pieces.end)
+    vectors = A.Ids(of, np.ones(len(of)))
+    shared = type("Shared", (), {"value": (A.initial(shares), of, vectors)})
+    for k in range(L.ROUNDS):
+        for r in L._fit_partition(shared, k, L.ROUNDS)(iter([batch])):
+            seen.update(dict(zip(r.column("i").to_pylist(), r.column("n").to_pylist())))
+    assert not vectors.own.any() and not vectors.nodes.any()  # a task works on its own copy
+    for text, out in zip(ids, held):
+        if not out:
+            want.update(vectors.node[s] for t in text for s in range(vectors.starts[t], vectors.starts[t] + vectors.lengths[t]))
+    first = A.SIZE // A.WIDTH + len(vectors.own)
+    assert {i - first: n for i, n in seen.items() if i >= first} == want
+
+
+def test_order_of_ids_in_mixed_classes_is_learned(spark):
+    """Each of 150 equally frequent ids has one that follows it: held-out texts are far likelier than under word counts, and than with words shuffled."""
+    pieces, rng = L.vocabulary_of(L.default_path()), np.random.default_rng(5)
+    words = [w for w in (f"{a}{b}" for a in "abcdefghijklmnoprstw" for b in "abcdefghijklmnoprstuw") if pieces.encode([w])[1][0] == 1][:150]
+    assert len(words) == 150
+    follows = np.roll(order := rng.permutation(150), 1)[np.argsort(order)]
+    rows = []
+    for d in range(4000):
+        at, text = int(rng.integers(150)), []
+        for _ in range(45):
+            text.append(words[at])
+            at = follows[at]
+        rows.append((d, d % 10 == 0, " ".join(text)))
+        if d % 10 == 0:
+            rows.append((d, True, " ".join(rng.permutation(text).tolist())))
+    df = spark.createDataFrame(rows, "doc_id long, held boolean, text string").repartition(1)
+    got = {}
+    for r in L.score(df, F.col("held")).where("held_out").collect():
+        got.setdefault(r.doc_id, []).append((r.score, r.base_score))
+    pairs = [(max(p)[0], min(p)[0], p[0][1]) for p in got.values()]
+    assert len(pairs) == 400 and sum(good > 0.3 * base for good, _, base in pairs) >= 380
+    assert sum(good - 5 > bad for good, bad, _ in pairs) >= 380
