@@ -33,14 +33,17 @@ _SAFE = 60  # below it exponentials need no shift
 _DEPTH = CLASSES.bit_length() - 1  # decisions to a class; the last of `out`'s columns stands for none
 _NODES = np.array([[(1 << d) - 1 + (c >> (_DEPTH - d)) for d in range(_DEPTH)] for c in range(CLASSES)])
 _SIGNS = np.array([[1 if c >> (_DEPTH - 1 - d) & 1 else -1 for d in range(_DEPTH)] for c in range(CLASSES)], np.float32)
+_SURE = 14  # log odds of a decision lie between -_SURE and _SURE, so the odds of _DEPTH decisions have a product
 
 
 def keep_memory() -> None:
     """Let this process keep what it frees: the C library returns large arrays to the system at once, until one larger than they was freed.
 
-    Without it, mapping and unmapping the arrays of each step takes half of a step's time.
+    Without it, mapping and unmapping the arrays of each step takes half of a step's time. And make one square product: until a process
+    made one, products of narrow matrices took it up to five times as long (230 instead of 45 ns a row, OpenBLAS 0.3.30).
     """
     np.empty(24 << 20, np.uint8)
+    np.ones((64, 64)) @ np.ones((64, 64))
 
 
 def views(flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -92,7 +95,7 @@ class Ids:
         self.lengths = np.array([len(path) for path in found], np.int32)
         self.starts = np.cumsum(self.lengths, dtype=np.int32) - self.lengths
         self.node = np.where(steps < 0, ~steps, steps).astype(np.min_scalar_type(max(1, len(children))))
-        self.sign = np.where(steps < 0, -1, 1).astype(np.float32)
+        self.sign = np.where(steps < 0, -1, 1).astype(np.int8)
         self.odds = np.array(odds, np.float32)
         self.own = np.zeros((len(of) + 1, WIDTH), np.float32)
         self.nodes = np.zeros((len(children), WIDTH), np.float32)
@@ -117,9 +120,12 @@ class Ids:
         at = np.concatenate([starts[:m] + d for d, m in enumerate(width)])
         return np.concatenate([order[:m] for m in width]), np.take(self.node, at), np.take(self.sign, at), width
 
-    def logits(self, h: np.ndarray, token: np.ndarray, node: np.ndarray, sign: np.ndarray) -> np.ndarray:
-        """Each decision's log odds of the way taken."""
-        return (np.einsum("ij,ij->i", np.take(h, token, axis=0), np.take(self.nodes, node, axis=0)) + np.take(self.odds, node)) * sign
+    def odds_against(self, h: np.ndarray, token: np.ndarray, node: np.ndarray, sign: np.ndarray) -> np.ndarray:
+        """Each decision's odds against the way taken."""
+        y = np.einsum("ij,ij->i", np.take(h, token, axis=0), np.take(self.nodes, node, axis=0))
+        y += np.take(self.odds, node)
+        y *= sign
+        return _odds(y)
 
 
 def _heads(qkv: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,32 +169,52 @@ def _forward(p: dict[str, np.ndarray], inputs: np.ndarray, first: int = 0, ids:
     return x, qkv, a, total, mixed, z, act, h
 
 
-def _class_logits(p: dict[str, np.ndarray], h: np.ndarray, classes: np.ndarray):
-    """Log odds of the ways taken to each row's class, (rows, _DEPTH), and the decisions' places in rows of CLASSES."""
-    nodes, signs = np.take(_NODES, classes, axis=0), np.take(_SIGNS, classes, axis=0)
-    at = nodes + np.arange(0, len(h) * CLASSES, CLASSES)[:, None]
-    return (np.take((h @ p["out"]).reshape(-1), at) + np.take(p["bias"], nodes)) * signs, at, signs
+def _class_odds(p: dict[str, np.ndarray], h: np.ndarray, classes: np.ndarray):
+    """Odds against the ways taken to each row's class, (rows, _DEPTH), the decisions' places in rows of CLASSES, and their signs."""
+    at, signs = np.take(_NODES, classes, axis=0), np.take(_SIGNS, classes, axis=0)
+    at += np.arange(0, len(h) * CLASSES, CLASSES)[:, None]
+    logits = h @ p["out"]
+    logits += p["bias"]
+    y = np.take(logits.reshape(-1), at)
+    y *= signs
+    return _odds(y), at, signs
 
 
-def _log_sigmoid(y: np.ndarray) -> np.ndarray:
-    """Natural log of the probabilities of ways taken at log odds `y`."""
-    return np.minimum(y, 0) - np.log(1 + np.exp(-np.abs(y)))
+def _odds(y: np.ndarray) -> np.ndarray:
+    """Odds against ways taken at log odds `y`, in place."""
+    np.clip(y, -_SURE, _SURE, out=y)
+    return np.exp(np.negative(y, out=y), out=y)
 
 
-def _missed(y: np.ndarray) -> np.ndarray:
-    """Probabilities of the other ways."""
-    return 1 / (1 + np.exp(np.clip(y, -_SAFE, _SAFE)))
+def _class_log_probs(odds: np.ndarray) -> np.ndarray:
+    odds += 1
+    product = odds[:, 0].copy()
+    for d in range(1, _DEPTH):
+        product *= odds[:, d]
+    return -np.log(product)
 
 
-def log_probs(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, first: int, ids: Ids | None = None) -> np.ndarray:
-    """Natural log probability of each target from place `first` on; inputs, targets: (windows, CONTEXT)."""
-    h = _forward(p, inputs, first, ids)[-1]
+def log_probs(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, first: int, ids: Ids | None = None, together: int = 32) -> np.ndarray:
+    """Natural log probability of each target from place `first` on; inputs, targets: (windows, CONTEXT).
+
+    So many windows `together` fit a core's cache; decisions inside classes, which are few, are made for all windows at once.
+    """
     wanted = targets[:, first:].reshape(-1)
-    y = _class_logits(p, h, wanted if ids is None else np.take(ids.of, wanted))[0]
-    picked = _log_sigmoid(y) @ np.ones(_DEPTH, y.dtype)
+    classes, h, picked = wanted if ids is None else np.take(ids.of, wanted), [], []
+    for at in range(0, len(inputs), together):
+        h.append(_forward(p, inputs[at:at + together], first, ids)[-1])
+        rows = slice(at * (CONTEXT - first), at * (CONTEXT - first) + len(h[-1]))
+        picked.append(_class_log_probs(_class_odds(p, h[-1], classes[rows])[0]))
+    picked = np.concatenate(picked)
     if ids is not None:
-        token, node, sign, _ = ids.decisions(wanted)
-        picked += np.bincount(token, weights=_log_sigmoid(ids.logits(h, token, node, sign)), minlength=len(picked))
+        token, node, sign, width = ids.decisions(wanted)
+        log_p = np.log(1 + ids.odds_against(np.concatenate(h), token, node, sign))
+        begin = 0
+        for m in width:  # in all, as in `_gradients`
+            log_p[:m] += log_p[begin:begin + m] if begin else 0
+            begin += m
+        if width:
+            picked[token[:width[0]]] -= log_p[:width[0]]
     return picked.reshape(len(targets), -1)
 
 
@@ -206,7 +232,7 @@ def _summed(keys: np.ndarray, rows: np.ndarray, at: np.ndarray | None = None, sc
 
 
 def _gradients(flat: np.ndarray, inputs: np.ndarray, targets: np.ndarray, ids: Ids | None):
-    """Log odds of all ways taken, the gradient of the mean negative log probability, and for `own` and `nodes`: the
+    """Odds against all ways taken, the gradient of the mean negative log probability, and for `own` and `nodes`: the
     ids or nodes seen, how often, and the sums of their gradients over tokens.
     """
     p, grad = views(flat), np.zeros_like(flat)
@@ -216,22 +242,23 @@ def _gradients(flat: np.ndarray, inputs: np.ndarray, targets: np.ndarray, ids: I
     counted = wanted >= 0
     wanted = np.maximum(wanted, 0)
     n = max(1, int(counted.sum()))
-    y, at, signs = _class_logits(p, h, wanted if ids is None else np.take(ids.of, wanted))
+    against, at, signs = _class_odds(p, h, wanted if ids is None else np.take(ids.of, wanted))
     signs *= (counted / -n).astype(h.dtype)[:, None]
-    signs *= _missed(y)
+    signs *= against / (1 + against)
     d = np.zeros((len(h), CLASSES), h.dtype)
     d.reshape(-1)[at] = signs
     np.matmul(h.T, d, out=g["out"])
     g["bias"][:] = np.ones(len(d), d.dtype) @ d
     dh = d @ p["out"].T
-    odds, found = [y[counted].ravel()], None
+    odds, found = [(against, counted[:, None])], None
     if ids is not None:
         place = np.flatnonzero(counted)
         token, node, sign, width = ids.decisions(np.take(wanted, place))
         token = np.take(place, token)
-        odds.append(ids.logits(h, token, node, sign))
-        missed = _missed(odds[1])
-        missed *= sign
+        against = ids.odds_against(h, token, node, sign)
+        odds.append((against, True))
+        missed = against / (1 + against)
+        missed *= sign  # the log odds' gradient, but for its sign
         found = _summed(node, h, token, -missed)
         if width:
             sums = np.take(ids.nodes, node, axis=0)
@@ -277,7 +304,7 @@ def _gradients(flat: np.ndarray, inputs: np.ndarray, targets: np.ndarray, ids: I
 def loss_and_gradient(flat: np.ndarray, inputs: np.ndarray, targets: np.ndarray, ids: Ids | None = None) -> tuple[float, np.ndarray]:
     """Mean negative log probability and its gradient; a target of -1 doesn't count."""
     odds, grad, n, _ = _gradients(flat, inputs, targets, ids)
-    return -sum(float(_log_sigmoid(y).sum()) for y in odds) / n, grad
+    return sum(float((np.log(1 + against) * counted).sum()) for against, counted in odds) / n, grad
 
 
 class Adam:

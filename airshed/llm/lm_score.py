@@ -256,6 +256,7 @@ def train(blocks: DataFrame, tokenizer_path: str, rounds: int = ROUNDS) -> tuple
         fitted = learn.mapInArrow(_fit_partition(shared, k, rounds), "i long, n long, " + ", ".join(f"{w} float" for w in WEIGHTS))
         sums = fitted.groupBy("i").agg(*(F.sum(F.col(w).cast("double") * F.col("n")) / F.sum("n") for w in WEIGHTS))
         found = sums.toArrow()  # a row for each of the model's vectors
+        shared.destroy()
         rows = np.concatenate([flat.reshape(-1, A.WIDTH), vectors.own, vectors.nodes])
         rows[found.column(0).to_numpy()] = np.stack([c.to_numpy() for c in found.columns[1:]], axis=1)
         flat, own, nodes = np.split(rows, [len(flat) // A.WIDTH, len(flat) // A.WIDTH + len(vectors.own)])
@@ -279,8 +280,7 @@ def _text_scores(flat: np.ndarray, of: np.ndarray, log_share: np.ndarray, ids: n
         for at in range(0, len(group), BATCH):
             some = group[at:at + BATCH]
             inputs, targets, there = A.windows(tokens, begins, sizes, doc[some], start[some], before)
-            scored = np.concatenate([A.log_probs(p, inputs[k:k + STEP_WINDOWS], targets[k:k + STEP_WINDOWS], skip, vectors)
-                                     for k in range(0, len(some), STEP_WINDOWS)]) * there[:, skip:]
+            scored = A.log_probs(p, inputs, targets, skip, vectors, STEP_WINDOWS) * there[:, skip:]
             total += np.bincount(doc[some], weights=scored.sum(axis=1, dtype=np.float64), minlength=len(sizes))
     return total
 
