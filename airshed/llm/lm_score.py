@@ -8,8 +8,8 @@ at the corpus shares. A text's probability is exact and every document's probabi
 
 All weights are fitted on all training tokens, each of them a target once, in windows side by side: in each of `ROUNDS` rounds, every partition passes over
 the next of `ROUNDS` interleaved parts of its blocks' windows, cut from the blocks as they are read; the partitions' weights are averaged
-by Spark: some 5,000 numbers by windows, an id's or decision's vector by how often a partition saw it, two vectors an id of the vocabulary at most. Word counts go back to the blocks by a join on distinct words of blocks, not on tokens. Scoring runs over
-overlapping windows, each token scored once.
+by Spark: some 5,000 numbers by windows, an id's or decision's vector by how often a partition saw it, two vectors an id of the vocabulary at most. Distinct words of blocks, not tokens, are shuffled, once: a word's rows sum up its count,
+which goes back to their blocks. Scoring runs over overlapping windows, each token scored once.
 
 Defined cases: null and empty texts have the end token only; null doc_ids train like others; repeated rows are scored alike; without
 training documents counts are zero and the model is nearly uniform; an empty table gives no row.
@@ -18,13 +18,12 @@ training documents counts are zero and the model is nearly uniform; an empty tab
 from __future__ import annotations
 
 import base64
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import attention as A
@@ -89,11 +88,15 @@ class Pieces:
 
 
 def packed(values: np.ndarray) -> bytes:
-    return zlib.compress(values.tobytes(), 1)
+    """The numbers' first bytes, then their second ones and so on, compressed, after their size."""
+    raw = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unpacked(raw: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), kind)
+    size = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(pa.decompress(raw[8:], size, "zstd", asbytes=True), np.uint8)
+    return planes.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).reshape(-1)
 
 
 def _flat(lengths: np.ndarray, starts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -309,6 +312,17 @@ def _score(shared):
     return run
 
 
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """For each distinct word of a block that training documents hold: block, at (its number there), count (in all of them),
+    first (true in one row of a word). A word has at most a row a block.
+    """
+    rows = blocks.select("block", F.posexplode(F.arrays_zip("words", "train")).alias("at", "_word"))
+    rows = rows.select("block", "at", F.col("_word.words").alias("word"), F.col("_word.train").alias("train"))
+    same = Window.partitionBy("word")
+    rows = rows.select("block", "at", F.sum("train").over(same).alias("count"), (F.col("block") == F.min("block").over(same)).alias("first"))
+    return rows.where("count > 0")
+
+
 def score(documents: DataFrame, held_out, tokenizer_path: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
@@ -320,18 +334,14 @@ def score(documents: DataFrame, held_out, tokenizer_path: str | None = None, blo
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                             F.col("text").cast("string").alias("text"))
     blocks = written(rows.mapInArrow(_to_blocks(path, block_bytes), BLOCK_SCHEMA), "lm-blocks")
-    vocabulary = blocks.select(F.inline(F.arrays_zip("words", "train"))).where("train > 0").groupBy("words").agg(F.sum("train").alias("count"))
-    vocabulary = written(vocabulary.withColumnRenamed("words", "word"), "lm-vocabulary")
-    n_all, n_words = vocabulary.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
+    counts = written(word_counts(blocks), "lm-counts")
+    n_all, n_words = counts.where("first").agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
     flat, of, log_share, vectors = train(blocks, path)
-    asked = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    answers = asked.join(vocabulary, "word").groupBy("block").agg(F.collect_list(F.struct("at", "count")).alias("found"))  # a block's words
-    answers = answers.select(F.col("block").alias("_block"), F.col("found.at").alias("at"), F.col("found.count").alias("count"))
+    answers = counts.groupBy(F.col("block").alias("_block")).agg(F.collect_list("at").alias("at"), F.collect_list("count").alias("count"))  # in one order
     shared = spark.sparkContext.broadcast((flat, of, log_share, vectors, int(n_all), int(n_words)))  # vocabulary file's size and the model
     needed = blocks.select("block", "doc_ids", "held", "sizes", "numbers", "sub", "sub_sizes")
-    none = F.array().cast("array<long>")
     joined = needed.join(answers, F.col("block") == F.col("_block"), "left").select(
         "doc_ids", "held", "sizes", "numbers", "sub", "sub_sizes",
-        F.coalesce(F.col("at").cast("array<long>"), none).alias("at"), F.coalesce("count", none).alias("count"))
+        F.coalesce("at", F.array().cast("array<int>")).alias("at"), F.coalesce("count", F.array().cast("array<long>")).alias("count"))
     return joined.mapInArrow(_score(shared), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                              "base_score double, score double")

@@ -215,3 +215,28 @@ def test_order_of_ids_in_mixed_classes_is_learned(spark):
     pairs = [(max(p)[0], min(p)[0], p[0][1]) for p in got.values()]
     assert len(pairs) == 400 and sum(good > 0.3 * base for good, _, base in pairs) >= 380
     assert sum(good - 5 > bad for good, bad, _ in pairs) >= 380
+
+
+def test_words_of_blocks_are_shuffled_once(spark):
+    """Word counts come from one shuffle without a join; each block gets the counts of its own words."""
+    pieces = L.vocabulary_of(L.default_path())
+    docs = [[[b"a", b"b", b"a"], [b"c"]], [[b"b", b"d"], [b"a"]], [[b"e"]]]
+    held = [[False, True], [False, False], [True]]
+    made = [L._block_row(7 * k, list(range(len(d))), h, d, pieces) for k, (d, h) in enumerate(zip(docs, held))]
+    blocks = spark.createDataFrame([(r[0], r[5], r[6]) for r in made], "block long, words array<string>, train array<long>")
+    found = L.word_counts(blocks)
+    plan = found._jdf.queryExecution().sparkPlan().toString() + found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(word") == 1 and "Join" not in plan
+    rows = found.collect()
+    want = {b"": 4 - 1, b"a": 3, b"b": 2, b"d": 1}  # the ends of three training documents
+    got = {(r.block, made[r.block // 7][5][r.at].encode()): r["count"] for r in rows}
+    assert got == {(7 * k, w): want[w] for k, d in enumerate(docs) for w in {b"", *(w for x in d for w in x)} if w in want} and len(got) == len(rows)
+    assert sorted(r["count"] for r in rows if r.first) == sorted(want.values())
+
+
+@pytest.mark.parametrize("kind", ["<i4", "<u2", "<u4"])
+def test_packed_numbers_come_back_and_are_small(kind):
+    values = np.minimum(np.random.default_rng(2).zipf(1.3, 100_000), 60_000).astype(kind)
+    assert (L.unpacked(L.packed(values), kind) == values).all() and len(L.unpacked(L.packed(values[:0]), kind)) == 0
+    if kind == "<i4":
+        assert len(L.packed(values)) < 0.9 * len(zlib.compress(values.tobytes(), 1))
