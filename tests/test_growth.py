@@ -133,3 +133,52 @@ def test_row_checks_need_no_arrays(spark):
     got = df.select("i", quality.any_negative().alias("n"), quality.any_implausible().alias("p"))
     assert "lambda" not in plan_of(got)
     assert {r.i: (r.n, r.p) for r in got.collect()} == {1: (False, False), 2: (True, False), 3: (False, True), 4: (False, False), 5: (False, True), 6: (False, True)}
+
+
+def test_a_merge_into_new_days_joins_nothing(spark, root, dim, monkeypatch):
+    L.run(spark, root, dim, landing_files=land(root, "first", WIDE, 3), run_id="first")
+    with monkeypatch.context() as m:  # no stored row lies on the batch's days: there is nothing to join with
+        m.setattr(upsert, "merge_plan", lambda *a, **k: pytest.fail("joined"))
+        new = L.run(spark, root, dim, landing_files=land(root, "new", {"BLR": response(0, 30, dt.datetime(2026, 9, 11))}, 20), run_id="new")
+    assert (new["silver_inserted"], new["silver_updated"]) == (30, 0) and L.stored(spark, root, "silver").count() == 174
+    assert L.stored(spark, root, "revisions") is None and gold_is_current(spark, root) and summary_is_current(spark, root)
+
+
+def test_staged_rows_are_counted_as_they_are_written(spark, root, tmp_path):
+    from airshed.operators.clean import silver_transform
+
+    from .conftest import bronze_rows
+
+    first = silver_transform(bronze_rows(spark, sample_responses()))
+    staged = upsert.stage_merge(spark, first, root)
+    assert (staged.inserted, staged.updated, len(staged.changed_dates)) == (144, 0, 4) and staged.commit().inserted == 144
+    late = [response(0, 24, dt.datetime(2026, 9, 3), scale_pm25=1.5), response(1, 24, dt.datetime(2026, 9, 3))]
+    seen = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("staging", "")
+    staged = upsert.stage_merge(spark, silver_transform(bronze_rows(spark, late, "run-2", dt.datetime(2026, 9, 8))), root)
+    jobs = len(seen.getJobIdsForGroup("staging"))
+    counts = staged.inserted, staged.updated, staged.changed_dates, sorted(staged.dates)
+    assert len(seen.getJobIdsForGroup("staging")) == jobs  # nothing left to count
+    spark.sparkContext.setJobGroup("", "")
+    assert counts == (0, 24, [dt.date(2026, 9, 3), dt.date(2026, 9, 4)], [dt.date(2026, 9, 3), dt.date(2026, 9, 4)])
+    by_day = {r[0]: r[1] for r in staged.checked.where(upsert.is_changed()).groupBy("city_id").count().collect()}
+    assert by_day == {"BLR": 24}
+
+
+def test_hours_that_differ_need_no_count_by_key(spark, tmp_path, no_small_tables):
+    from airshed.operators import summary
+
+    one, day = (1.0,) * 6, dt.date(2026, 9, 1)
+    ddl = "city_id string, ts_utc timestamp_ntz, obs_date_ist date, pm2_5 double, pm10 double, no2 double, so2 double, o3 double, co_mg_m3 double"
+    hours = [(c, dt.datetime(2026, 9, 1, h), day, -1.0 if h == 3 else 1.0, *one[1:]) for c in "AB" for h in range(18)]
+    odd = [("A", dt.datetime(2026, 9, 1, 3), day, *one), ("C", dt.datetime(2026, 9, 1, 3), day, *one), ("C", dt.datetime(2026, 9, 1, 3, 30), day, *one),
+           ("D", None, day, *one), (None, dt.datetime(2026, 9, 1, 3), day, *one), (None, dt.datetime(2026, 9, 1, 3), day, *one)]
+    also = {"low": F.col("pm2_5") < 0}
+    for name, values in (("plain", hours), ("odd", [*hours, *odd])):
+        table = spark.createDataFrame(values, ddl)
+        quick, want = summary.by_hours(table, also), summary.day_summary(table, also)
+        assert len(re.findall(r"Exchange hashpartitioning", plan_of(quick))) == 1
+        sure = quick.where("duplicate_keys is not null")
+        assert rows(sure, *want.columns) == rows(want.where(F.col("city_id").isin("B", *("A" * (name == "plain")))), *want.columns)
+        summary.write_summary_of(table, str(tmp_path / name), also)
+        assert rows(spark.read.parquet(str(tmp_path / name)), *want.columns) == rows(want, *want.columns)
