@@ -182,3 +182,20 @@ def test_hours_that_differ_need_no_count_by_key(spark, tmp_path, no_small_tables
         assert rows(sure, *want.columns) == rows(want.where(F.col("city_id").isin("B", *("A" * (name == "plain")))), *want.columns)
         summary.write_summary_of(table, str(tmp_path / name), also)
         assert rows(spark.read.parquet(str(tmp_path / name)), *want.columns) == rows(want, *want.columns)
+
+
+def test_landing_files_are_read_by_several_tasks(spark, hourly, tmp_path, monkeypatch):  # noqa: F811
+    env = landing.build_envelopes(hourly.where("city_id is not null and run_id is not null"), "test", ["id"], by_run=True)
+    monkeypatch.setattr(landing, "LINES_A_FILE", 2)
+    landing.write_landing(env.coalesce(1), str(tmp_path / "landing"), F.col("run_id"), as_built=True)
+    back = landing.read_landing(spark, str(tmp_path / "landing"))
+    per_file = [r["count"] for r in back.groupBy("source_path").count().collect()]
+    assert max(per_file) <= 2 and len(per_file) > back.select("run_id", "ingest_date").distinct().count()
+    assert rows(back, "city_id", "run_id", "payload", "version") == rows(env, "city_id", "run_id", "payload", "version")
+
+
+def test_gold_of_some_site_days_is_sorted_once(spark, root, dim, no_small_tables):
+    L.run(spark, root, dim, landing_files=land(root, "first", WIDE, 3), run_id="first")
+    keys = spark.createDataFrame([("BLR", dt.date(2026, 9, 2))], "city_id string, obs_date_ist date")
+    plan = plan_of(daily_aqi(L.stored(spark, root, "silver"), days=[dt.date(2026, 9, 2)], keys=keys, audit=False))
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and len(re.findall(r"\bSort \[", plan)) == 1
