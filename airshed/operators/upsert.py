@@ -9,7 +9,6 @@ written over just the changed partitions, so a failed job never leaves a half-wr
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -68,6 +67,11 @@ def merge_plan(
     return j.select(*merged, "_action", *before)
 
 
+def changes() -> dict[str, Column]:
+    """Which rows of a merge are changes, by kind."""
+    return {"inserted": F.col("_action") == INSERT, "updated": F.col("_action") == UPDATE}
+
+
 def merge_counts(plan: DataFrame) -> DataFrame:
     """K5: rows per action (insert / update / unchanged / keep)."""
     return plan.groupBy("_action").agg(F.count("*").alias("rows"))
@@ -104,12 +108,37 @@ class StagedMerge:
     """
 
     def __init__(self, spark: SparkSession, table_path: str, staged_path: str | None, cols: list[str],
-                 partition_col: str, found: dict, staged: DataFrame, first: bool = False):
+                 partition_col: str, staged: DataFrame, first: bool = False):
         self.spark, self.table_path, self.staged_path, self._staged = spark, table_path, staged_path, staged
         self.cols, self.partition_col, self._first = cols, partition_col, first
-        self.inserted, self.updated = int(found["ins"] or 0), int(found["upd"] or 0)
-        self.dates = [d[0] for d in found["days"] or []]
-        self.changed_dates = sorted(d[0] for d in found["changed"] or [])
+        self._stats: list | None = None
+
+    def count_by(self, counted: DataFrame) -> None:
+        """Take the counts from a summary of the staged rows by their day (and more), with `inserted` and `updated`."""
+        self._stats = counted.groupBy(self.partition_col).agg(F.sum("inserted").alias("ins"), F.sum("updated").alias("upd")).collect()
+
+    @property
+    def stats(self) -> list:
+        """One row for each day of the batch with its inserts and updates; the staged rows are counted where no summary was given."""
+        if self._stats is None:
+            self.count_by(self._staged.groupBy(self.partition_col).agg(*[F.count_if(c).alias(n) for n, c in changes().items()]))
+        return self._stats
+
+    @property
+    def inserted(self) -> int:
+        return sum(r["ins"] for r in self.stats)
+
+    @property
+    def updated(self) -> int:
+        return sum(r["upd"] for r in self.stats)
+
+    @property
+    def dates(self) -> list:
+        return [r[self.partition_col] for r in self.stats]
+
+    @property
+    def changed_dates(self) -> list:
+        return sorted(r[self.partition_col] for r in self.stats if r["ins"] or r["upd"])
 
     @property
     def plan(self) -> DataFrame:
@@ -130,9 +159,9 @@ class StagedMerge:
         if self.changed_dates:
             if revisions_path and not self._first:
                 (revisions(self.plan).withColumn("revised_at", F.current_timestamp())
-                 .write.mode("append").option("compression", "zstd").parquet(revisions_path))
+                 .write.mode("append").parquet(revisions_path))
             (self.candidate.hint("rebalance", F.col(self.partition_col)).write.mode("overwrite")
-             .option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition_col).parquet(self.table_path))
+             .option("partitionOverwriteMode", "dynamic").partitionBy(self.partition_col).parquet(self.table_path))
         self.discard()
         return MergeResult(self.inserted, self.updated, self.changed_dates)
 
@@ -141,20 +170,10 @@ class StagedMerge:
             fs.delete(self.spark, self.staged_path)
 
 
-def is_changed() -> Column:
-    """Rows of a staged merge that were inserted or updated."""
-    return F.col("_action").isin(INSERT, UPDATE)
-
-
-def _kept(spark: SparkSession, df: DataFrame, path: str, partition_col: str) -> tuple[DataFrame, dict]:
-    """Rows with their `_action` written and read back with their own columns, so that no file is opened to find them; and what was
-    seen as they were written: inserts, updates, days and changed days (a struct each, so that a null day stays)."""
-    seen = Observation(f"kept-{uuid.uuid4().hex}")
-    day = F.struct(F.col(partition_col).alias("d"))
-    counts = [F.count_if(F.col("_action") == INSERT).alias("ins"), F.count_if(F.col("_action") == UPDATE).alias("upd"),
-              F.collect_set(day).alias("days"), F.collect_set(F.when(is_changed(), day)).alias("changed")]
-    df.observe(seen, *counts).write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get
+def _kept(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """`df` written and read back with its own columns, so that no file is opened to find them."""
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
@@ -168,17 +187,17 @@ def stage_merge(spark: SparkSession, batch: DataFrame, table_path: str,
     cols = [c for c in SILVER_COLUMNS if c in batch.columns]
     staged_path = fs.staging_path(table_path)
     batch_path = f"{staged_path}-batch"  # the batch is evaluated once and read from here
-    inserts, found = _kept(spark, batch.select(*cols).withColumn("_action", F.lit(INSERT)), batch_path, partition_col)
-    touched = None
+    seen = Observation("batch_days")
+    batch = batch.select(*cols).withColumn("_action", F.lit(INSERT)).observe(seen, F.collect_set(partition_col).alias("days"))
+    inserts, touched = _kept(spark, batch, batch_path), None
     if fs.table_exists(spark, table_path):
         # Size bound: one date per distinct calendar day of the batch (a decade of history is ~3,650).
-        touched = spark.read.schema(table_ddl).parquet(table_path).select(*cols).where(F.col(partition_col).isin([d[0] for d in found["days"] or []]))
+        touched = spark.read.schema(table_ddl).parquet(table_path).select(*cols).where(F.col(partition_col).isin(seen.get["days"] or []))
     if touched is None or touched.isEmpty():
-        return StagedMerge(spark, table_path, batch_path, cols, partition_col, found, inserts, first=True)
-    plan_df = merge_plan(touched, inserts.select(*cols), columns=cols)
-    staged, found = _kept(spark, plan_df, staged_path, partition_col)  # inputs are fully read before any rewrite
+        return StagedMerge(spark, table_path, batch_path, cols, partition_col, inserts, first=True)
+    staged = _kept(spark, merge_plan(touched, inserts.select(*cols), columns=cols), staged_path)  # inputs are fully read before any rewrite
     fs.delete(spark, batch_path)
-    return StagedMerge(spark, table_path, staged_path, cols, partition_col, found, staged)
+    return StagedMerge(spark, table_path, staged_path, cols, partition_col, staged)
 
 
 def upsert(spark: SparkSession, batch: DataFrame, table_path: str, revisions_path: str | None = None,

@@ -144,25 +144,23 @@ def test_a_merge_into_new_days_joins_nothing(spark, root, dim, monkeypatch):
     assert L.stored(spark, root, "revisions") is None and gold_is_current(spark, root) and summary_is_current(spark, root)
 
 
-def test_staged_rows_are_counted_as_they_are_written(spark, root, tmp_path):
-    from airshed.operators.clean import silver_transform
-
-    from .conftest import bronze_rows
-
-    first = silver_transform(bronze_rows(spark, sample_responses()))
-    staged = upsert.stage_merge(spark, first, root)
-    assert (staged.inserted, staged.updated, len(staged.changed_dates)) == (144, 0, 4) and staged.commit().inserted == 144
-    late = [response(0, 24, dt.datetime(2026, 9, 3), scale_pm25=1.5), response(1, 24, dt.datetime(2026, 9, 3))]
-    seen = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("staging", "")
-    staged = upsert.stage_merge(spark, silver_transform(bronze_rows(spark, late, "run-2", dt.datetime(2026, 9, 8))), root)
-    jobs = len(seen.getJobIdsForGroup("staging"))
-    counts = staged.inserted, staged.updated, staged.changed_dates, sorted(staged.dates)
-    assert len(seen.getJobIdsForGroup("staging")) == jobs  # nothing left to count
-    spark.sparkContext.setJobGroup("", "")
-    assert counts == (0, 24, [dt.date(2026, 9, 3), dt.date(2026, 9, 4)], [dt.date(2026, 9, 3), dt.date(2026, 9, 4)])
-    by_day = {r[0]: r[1] for r in staged.checked.where(upsert.is_changed()).groupBy("city_id").count().collect()}
-    assert by_day == {"BLR": 24}
+def test_staged_rows_are_counted_from_their_summary(spark, root, dim, monkeypatch):
+    L.run(spark, root, dim, landing_files=land(root, "first", WIDE, 3), run_id="first")
+    counts = []
+    real = upsert.StagedMerge.commit
+
+    def seen(self, *a):
+        own = upsert.StagedMerge(spark, self.table_path, self.staged_path, self.cols, self.partition_col, self._staged)
+        counts.append([(x.inserted, x.updated, x.changed_dates, sorted(x.dates)) for x in (self, own)])
+        return real(self, *a)
+
+    monkeypatch.setattr(upsert.StagedMerge, "commit", seen)
+    monkeypatch.setattr(upsert.StagedMerge, "changed_keys", property(lambda self: pytest.fail("keys taken from the staged rows")), raising=False)
+    late = {"BLR": response(0, 30, dt.datetime(2026, 9, 3), scale_pm25=1.5)}
+    run = L.run(spark, root, dim, landing_files=land(root, "late", late, 7), run_id="late")
+    days = [dt.date(2026, 9, 3), dt.date(2026, 9, 4)]
+    assert counts == [[(6, 24, days, days)] * 2] and (run["silver_inserted"], run["silver_updated"]) == (6, 24)
+    assert gold_is_current(spark, root) and summary_is_current(spark, root)
 
 
 def test_hours_that_differ_need_no_count_by_key(spark, tmp_path, no_small_tables):
